@@ -1,0 +1,58 @@
+"""Registered queries: name -> callable(spark, sf_dir) -> DataFrame, over the test bindings.
+
+Every query reads the driver's whole tables through ``cohortflow.sources.testbed`` (no id
+subsets, no row caps) and runs the library operators on them.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from cohortflow.plans import reactivation as P
+from cohortflow.sources import testbed as T
+from cohortflow.sources.testbed import Sources
+
+QueryFn = Callable[[SparkSession, str], DataFrame]
+REGISTRY: dict[str, QueryFn] = {}
+
+
+def register(name: str):
+    def deco(fn: QueryFn) -> QueryFn:
+        REGISTRY[name] = fn
+        return fn
+    return deco
+
+
+def _react(spark, sf_dir) -> P.ReactivationSources:
+    return P.ReactivationSources.from_testbed(Sources(spark, sf_dir))
+
+
+@register("job_lapsed_base")
+def job_lapsed_base(spark, sf_dir):
+    return P.lapsed_base(_react(spark, sf_dir), T.REACTIVATION_W, min_recency=30, min_orders=5)
+
+
+@register("job_reactivation_targets")
+def job_reactivation_targets(spark, sf_dir):
+    return P.reactivation_targets(_react(spark, sf_dir), T.REACTIVATION_W, min_recency=30, min_orders=5,
+                                  rides_since="1995-01-01")
+
+
+@register("job_reactivation_features")
+def job_reactivation_features(spark, sf_dir):
+    return P.reactivation_features(_react(spark, sf_dir), T.ANCHOR_DAY_W, outcome_cities=(1,),
+                                   rides_since="1995-01-01")
+
+
+@register("job_reactivation_features_blended")
+def job_reactivation_features_blended(spark, sf_dir):
+    return P.reactivation_features(_react(spark, sf_dir), T.ANCHOR_DAY_W, outcome_cities=(1, 2), with_city=False,
+                                   with_blended=True, rides_since="1995-01-01")
+
+
+def queries() -> dict[str, QueryFn]:
+    # import side effects: each plan module registers its queries
+    from cohortflow import registry_more  # noqa: F401
+    return dict(REGISTRY)

@@ -1,0 +1 @@
+"""Further registered queries (filled in as operators land)."""
