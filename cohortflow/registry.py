@@ -56,3 +56,125 @@ def queries() -> dict[str, QueryFn]:
     # import side effects: each plan module registers its queries
     from cohortflow import registry_more  # noqa: F401
     return dict(REGISTRY)
+
+
+# ---- cross-sell family -------------------------------------------------------------------
+from cohortflow.params import TripThresholds  # noqa: E402
+from cohortflow.plans import crosssell as X  # noqa: E402
+from cohortflow.plans import locations as L  # noqa: E402
+from cohortflow.plans import places as PL  # noqa: E402
+from cohortflow.plans import postcross as PC  # noqa: E402
+from cohortflow.plans import trips as TR  # noqa: E402
+
+TRIP_THRESHOLDS = TripThresholds(fav_cct_min_trip_cnt=3, fav_commute_time_min_trip_cnt=2, fav_payment_min_trip_cnt=3,
+                                 min_share_pct=20.0, promo_percent_threshold=50.0)
+MEMBERSHIP_DAYS = 18
+PLACE_MIN_COUNT = 1
+
+
+def cohort(spark, sf_dir):
+    """P5 adoption cohort: the customer base of the cross-sell features."""
+    s = Sources(spark, sf_dir)
+    return X.adoption_cohort(s.trips, s.first_orders, T.CROSS_SELL_W)
+
+
+@register("job_adoption_cohort")
+def job_adoption_cohort(spark, sf_dir):
+    return cohort(spark, sf_dir)
+
+
+@register("job_crossed_on_a")
+def job_crossed_on_a(spark, sf_dir):
+    s = Sources(spark, sf_dir)
+    return X.crossed_on(s.trips, s.first_orders, T.CROSS_SELL_W, "a")
+
+
+@register("job_crossed_on_b")
+def job_crossed_on_b(spark, sf_dir):
+    s = Sources(spark, sf_dir)
+    return X.crossed_on(s.trips, s.first_orders, T.CROSS_SELL_W, "b")
+
+
+@register("job_base_stamped")
+def job_base_stamped(spark, sf_dir):
+    return X.stamp_anchor(cohort(spark, sf_dir), T.CROSS_SELL_W)
+
+
+@register("job_trip_features")
+def job_trip_features(spark, sf_dir):
+    s = Sources(spark, sf_dir)
+    return TR.trip_features(s.trips, cohort(spark, sf_dir), s.credits, T.CROSS_SELL_W, TRIP_THRESHOLDS)
+
+
+@register("job_membership_status")
+def job_membership_status(spark, sf_dir):
+    s = Sources(spark, sf_dir)
+    return X.membership_status(cohort(spark, sf_dir), s.active_subs, T.EVENTS_W, MEMBERSHIP_DAYS)
+
+
+@register("job_commute_place")
+def job_commute_place(spark, sf_dir):
+    s = Sources(spark, sf_dir)
+    return PL.commute_place(s.bookings, s.place_locations, s.place_coordinates, s.place_details,
+                            cohort(spark, sf_dir), T.EVENTS_W, PLACE_MIN_COUNT)
+
+
+@register("job_last_known_features")
+def job_last_known_features(spark, sf_dir):
+    s = Sources(spark, sf_dir)
+    return X.last_known_features(s.demographics, cohort(spark, sf_dir), T.EVENTS_W)
+
+
+@register("job_profile_features")
+def job_profile_features(spark, sf_dir):
+    s = Sources(spark, sf_dir)
+    return X.profile_features(s.profile, cohort(spark, sf_dir))
+
+
+@register("job_dropoff_points")
+def job_dropoff_points(spark, sf_dir):
+    return L.point_counts(Sources(spark, sf_dir).trips, cohort(spark, sf_dir), T.CROSS_SELL_W, "dropoff")
+
+
+@register("job_pickup_points")
+def job_pickup_points(spark, sf_dir):
+    return L.point_counts(Sources(spark, sf_dir).trips, cohort(spark, sf_dir), T.CROSS_SELL_W, "pickup")
+
+
+@register("job_dominant_cell")
+def job_dominant_cell(spark, sf_dir):
+    return L.dominant_cell(job_dropoff_points(spark, sf_dir))
+
+
+def _area_frame(spark, sf_dir):
+    trips, base = Sources(spark, sf_dir).trips, cohort(spark, sf_dir)
+    drop = L.dominant_cell(L.point_counts(trips, base, T.CROSS_SELL_W, "dropoff"))
+    pick = L.dominant_cell(L.point_counts(trips, base, T.CROSS_SELL_W, "pickup"))
+    return L.area_frame(base, drop, pick, "food_first_order_date")
+
+
+@register("job_area_scores_dropoff")
+def job_area_scores_dropoff(spark, sf_dir):
+    W = T.CROSS_SELL_W
+    return L.area_scores(_area_frame(spark, sf_dir), area="cell_dropoff", first_col="food_first_order_date",
+                         start=W.source_start, end=W.anchor)
+
+
+@register("job_area_scores_pickup")
+def job_area_scores_pickup(spark, sf_dir):
+    W = T.CROSS_SELL_W
+    return L.area_scores(_area_frame(spark, sf_dir), area="cell_pickup", first_col="food_first_order_date",
+                         start=W.source_start, end=W.anchor)
+
+
+@register("job_post_cross_tagged")
+def job_post_cross_tagged(spark, sf_dir):
+    s = Sources(spark, sf_dir)
+    return PC.post_cross_tagged(s.orders, job_crossed_on_a(spark, sf_dir), s.merchant_tags, s.tags, T.CROSS_SELL_W,
+                                spark)
+
+
+@register("job_post_cross_orders")
+def job_post_cross_orders(spark, sf_dir):
+    s = Sources(spark, sf_dir)
+    return PC.post_cross_orders(s.orders, job_crossed_on_b(spark, sf_dir), T.CROSS_SELL_W, word="quik")

@@ -119,6 +119,16 @@ CUISINE_TAXONOMY = {
 }
 CUISINE_DEFAULT = "Other"
 
+# Output labels.
+ADOPTION_LABELS = ("rh-only", "rh-food", "rh-quik", "rh-food-quik")
+MEMBERSHIP_STATUS_LABELS = ("Cplus Active", "Cplus Inactive")
+COMMUTER_LABELS = {"Morning": "Morning Commuter", "Day": "Day Commuter", "Evening": "Evening Commuter",
+                   "Night": "Night Commuter"}
+PARENT_LABELS = ("Parent", "Non-Parent")
+PROMO_LABELS = ("Promo Seeker", "Non-Promo Seeker")
+CREDIT_USAGE_LABELS = ("cplus_promo_used", "non_cplus_promo_used")
+DECAY_TAUS = (90, 60, 30, 10, 5)
+
 # Missing-feature defaults.
 MISSING_RECENCY_DAYS = 365
 

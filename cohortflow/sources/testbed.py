@@ -186,7 +186,7 @@ def first_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = _lines(spark, sf_dir).join(p, F.col("l_partkey") == F.col("p_partkey"), "inner").where(F.col("p_size") > 25)
     return j.select(
         F.col("o_custkey").cast("string").alias("userid"),
-        F.col("o_orderdate").alias("first_order_date"),
+        F.trunc(F.col("o_orderdate").cast("date"), "month").alias("first_order_date"),
         F.when(F.col("p_type") == "PROMO", F.lit("food"))
          .when(F.col("p_type") == "SMALL", F.lit("quik"))
          .when(F.col("p_type") == "LARGE", F.lit("limo"))

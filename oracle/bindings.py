@@ -111,7 +111,7 @@ SELECT l_orderkey * 10 + l_linenumber AS booking_id, CAST(l_shipdate AS DATE) AS
             ELSE 'CAREEMPLUSNBD' END AS credit_type
 FROM lineitem WHERE l_returnflag <> 'N'""",
     "b_first_orders": f"""
-SELECT CAST(o.o_custkey AS VARCHAR) AS userid, o.o_orderdate AS first_order_date,
+SELECT CAST(o.o_custkey AS VARCHAR) AS userid, CAST(date_trunc('month', o.o_orderdate) AS DATE) AS first_order_date,
        CASE p.p_type WHEN 'PROMO' THEN 'food' WHEN 'SMALL' THEN 'quik' WHEN 'LARGE' THEN 'limo'
             ELSE 'ride_hailing' END AS service,
        CASE WHEN l.l_suppkey % 10 = 0 THEN 'Abu Dhabi' ELSE 'Dubai' END AS city
