@@ -99,3 +99,11 @@ def rank_within_window(df: DataFrame, key: str, order: Sequence, out: str = "ran
     """Plain window form (one shuffle, whole key in one task); for keys known to be bounded."""
     w = Window.partitionBy(key).orderBy(*[_c(o) for o in order])
     return df.withColumn(out, (F.dense_rank() if dense else F.row_number()).over(w))
+
+
+def top_k(df: DataFrame, key: str, order: Sequence, k: int, out: str = "rank") -> DataFrame:
+    """K1: the first ``k`` rows per key by ``order`` (include a tie column), with their rank.
+
+    Built on ``rank_within`` (range-partitioned), so a hot key is not sorted in one task. For
+    ``k == 1`` prefer ``latest_by`` / ``top1_by_count`` (pure aggregates)."""
+    return rank_within(df, key, order, out=out).where(F.col(out) <= k)
