@@ -17,7 +17,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortflow.params import ObservationWindow
-from cohortflow.sources.tables import read_table
+from cohortflow.sources.tables import read_table as _read_table
+
+_READ_CACHE: dict[tuple, DataFrame] = {}
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The driver's tables are read-only, so one DataFrame per (session, table) is reused
+    (saves a file listing and footer read per use)."""
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir, name)
+    df = _READ_CACHE.get(key)
+    if df is None:
+        df = _READ_CACHE[key] = _read_table(spark, sf_dir, name)
+    return df
 
 # Fixture windows (dates of the driver's data: orders 1995-2001, events January 2024).
 REACTIVATION_W = ObservationWindow.of("1997-01-01", "2000-01-01", "2000-04-01", history_start="1997-01-01",
