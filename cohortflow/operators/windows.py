@@ -61,7 +61,7 @@ def share_of_total(counts: DataFrame, key: str, n_col: str = "cnt", pct_col: str
 
 
 def rank_within(df: DataFrame, key: str, order: Sequence, out: str = "rank", dense: bool = False,
-                num_partitions: int | None = None) -> DataFrame:
+                num_partitions: int | None = None, materialize: bool = True) -> DataFrame:
     """``row_number`` (or ``dense_rank``) within ``key`` by ``order``, skew-safe.
 
     ``order`` items are column names or sort expressions (e.g. ``F.col('ts').asc_nulls_last()``);
@@ -73,7 +73,8 @@ def rank_within(df: DataFrame, key: str, order: Sequence, out: str = "rank", den
         if any(n is None for n in names):
             raise ValueError("dense rank needs plain column names in order (ascending, NULLS LAST)")
         distinct = df.select(key, *names).distinct()
-        ranked = rank_within(distinct, key, [F.col(n).asc_nulls_last() for n in names], out, False, num_partitions)
+        ranked = rank_within(distinct, key, [F.col(n).asc_nulls_last() for n in names], out, False, num_partitions,
+                             materialize)
         cond = df[key].eqNullSafe(ranked[key])
         for n in names:
             cond = cond & df[n].eqNullSafe(ranked[n])
@@ -86,6 +87,13 @@ def rank_within(df: DataFrame, key: str, order: Sequence, out: str = "rank", den
                 .sortWithinPartitions(*sort_exprs)
                 .withColumn("__pid", F.spark_partition_id())
                 .withColumn("__mid", F.monotonically_increasing_id()))
+    if materialize:
+        # Both branches below (per-partition stats and the join back) must see the same range
+        # partitioning. Two independent range exchanges would each sample their own bounds, so
+        # the placed rows are written once to the reliable checkpoint directory (also survives
+        # executor loss without recomputing a nondeterministic sample).
+        from cohortflow.session import cut_lineage
+        placed = cut_lineage(placed)
     stats = placed.groupBy(key, "__pid").agg(F.min("__mid").alias("__first"), F.count(F.lit(1)).alias("__cnt"))
     w = Window.partitionBy(key).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     stats = stats.withColumn("__off", F.coalesce(F.sum("__cnt").over(w), F.lit(0))).drop("__cnt")

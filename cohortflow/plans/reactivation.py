@@ -8,7 +8,7 @@ Service roles are parameters (``lapsed`` = the service customers lapsed from, ``
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +19,7 @@ from cohortflow.functions.keys import norm_key
 from cohortflow.functions.measures import blended_margin, calendar_days, elapsed_days, total_value
 from cohortflow.operators import aggregates as A
 from cohortflow.operators.filters import VALUE_TRIP_RULES, active_at, delivered, lapsed, valid_trips
-from cohortflow.operators.joins import assemble, broadcast_if_small, join_dim, restrict_to
+from cohortflow.operators.joins import DEFAULT_BROADCAST_ROWS, assemble, broadcast_if_small, restrict_to
 from cohortflow.operators.scans import scan_window
 from cohortflow.operators.windows import latest_by, rank_within
 from cohortflow.params import ObservationWindow
@@ -43,6 +43,10 @@ class ReactivationSources:
         return ReactivationSources(src.orders, src.merchants, src.customers, src.value_lines, src.order_level,
                                    src.trips, src.subscription_events, src.profile)
 
+    def with_checked_merchants(self, max_rows: int = DEFAULT_BROADCAST_ROWS) -> "ReactivationSources":
+        """Size-check the merchant dimension once; joins then reuse the (hinted) frame."""
+        return replace(self, merchants=broadcast_if_small(self.merchants, max_rows))
+
 
 def lapsed_service_history(orders: DataFrame, merchants: DataFrame, W: ObservationWindow,
                            cities=(1, 2), order_type: str = "shops") -> DataFrame:
@@ -50,7 +54,7 @@ def lapsed_service_history(orders: DataFrame, merchants: DataFrame, W: Observati
     o = orders.select("customer_id", "order_id", "line_no", "merchant_id", "order_status", "city_id", "order_type",
                       "order_received_timestamp", "day")
     o = delivered(scan_window(o, "day", W.history_lo, W.anchor), cities=cities, order_type=order_type)
-    return join_dim(o, merchants, "merchant_id")
+    return o.join(merchants, "merchant_id", "inner")
 
 
 def lifetime_features(history: DataFrame, W: ObservationWindow) -> DataFrame:
@@ -68,6 +72,7 @@ def lifetime_features(history: DataFrame, W: ObservationWindow) -> DataFrame:
 
 def lapsed_base(src: ReactivationSources, W: ObservationWindow, min_recency: int = 30, min_orders: int = 5) -> DataFrame:
     """Lapsed, resident customers with at least ``min_orders`` delivered orders."""
+    src = src.with_checked_merchants()
     life = lapsed(lifetime_features(lapsed_service_history(src.orders, src.merchants, W), W), "recency_days", min_recency)
     base = life.select(F.lit(W.anchor).alias("day"), *life.columns)
     base = base.join(src.customers.select("customer_id", "is_resident"), "customer_id", "left")
@@ -79,7 +84,10 @@ def lapsed_base(src: ReactivationSources, W: ObservationWindow, min_recency: int
 def ride_value(trips: DataFrame, W: ObservationWindow, since=None, recent_days: int = 30) -> DataFrame:
     """S2 + A2c + A3: de-duplicated value trips over one range ``[since, anchor)`` (T10 fixed)."""
     t = valid_trips(scan_window(trips, "day", since or W.history_lo, W.anchor), VALUE_TRIP_RULES)
-    t = t.select("day", norm_key("customer_id").alias("customer_id"), "trip_id", "revenue", "cogs").distinct()
+    # One hash partitioning by (customer, trip) serves both the de-duplication and the per-trip
+    # aggregate of value_stats (a hot customer is still spread over its trips).
+    t = (t.select("day", norm_key("customer_id").alias("customer_id"), "trip_id", "revenue", "cogs")
+          .repartition("customer_id", "trip_id").distinct())
     return A.value_stats(
         t, key="customer_id", order_id="trip_id", gross=F.col("revenue"), margin=F.col("revenue") - F.col("cogs"),
         recent=calendar_days("day", W.anchor) <= recent_days, last="day",
@@ -167,6 +175,7 @@ def reactivation_targets(src: ReactivationSources, W: ObservationWindow, min_rec
                          rides_since=None) -> DataFrame:
     """Lapsed customers with value features, membership and profile; residents with at least
     ``min_orders`` orders in the profit table."""
+    src = src.with_checked_merchants()
     life = lapsed(lifetime_features(lapsed_service_history(src.orders, src.merchants, W), W), "recency_days", min_recency)
     spine = life.select(F.lit(W.anchor).alias("day"), *life.columns)
     feats = value_features(spine, src, W, rides_since)
@@ -175,16 +184,20 @@ def reactivation_targets(src: ReactivationSources, W: ObservationWindow, min_rec
     return out.where((F.col("is_resident") == F.lit(True)) & (F.col("n_shop_orders") >= min_orders)).drop("blended_gppo")
 
 
-def anchor_day_orders(src: ReactivationSources, W: ObservationWindow, cities=(1, 2)) -> DataFrame:
-    """Orders of the anchor day with their sequence within the customer's day."""
+def anchor_day_lines(src: ReactivationSources, W: ObservationWindow, cities=(1, 2)) -> DataFrame:
+    """Delivered order lines of the anchor day at allow-listed merchants (one day partition)."""
     o = src.orders.select("customer_id", "order_id", "line_no", "merchant_id", "order_status", "city_id", "order_type",
                           "order_received_timestamp", "day", "promo_code", "basket_amount", "promo_amount",
                           "net_basket_amount_with_tax")
     o = delivered(scan_window(o, "day", W.anchor, W.anchor, hi_inclusive=True), cities=cities)
-    o = join_dim(o, src.merchants.select("merchant_id"), "merchant_id")
-    return rank_within(o, "customer_id", [F.col("order_received_timestamp").asc_nulls_last(),
-                                          F.col("order_id").asc_nulls_last(), F.col("line_no").asc_nulls_last()],
-                       out="day_order_rn")
+    return o.join(src.merchants.select("merchant_id"), "merchant_id", "inner")
+
+
+def anchor_day_orders(src: ReactivationSources, W: ObservationWindow, cities=(1, 2)) -> DataFrame:
+    """Orders of the anchor day with their sequence within the customer's day."""
+    return rank_within(anchor_day_lines(src, W, cities), "customer_id",
+                       [F.col("order_received_timestamp").asc_nulls_last(), F.col("order_id").asc_nulls_last(),
+                        F.col("line_no").asc_nulls_last()], out="day_order_rn")
 
 
 def outcome_after(src: ReactivationSources, W: ObservationWindow, cities=(1,)) -> DataFrame:
@@ -193,7 +206,7 @@ def outcome_after(src: ReactivationSources, W: ObservationWindow, cities=(1,)) -
                           "basket_amount", "promo_amount", "net_basket_amount_with_tax")
     o = delivered(scan_window(o, "day", W.anchor, W.outcome_end_inclusive, lo_inclusive=False, hi_inclusive=True),
                   cities=cities)
-    o = join_dim(o, src.merchants.select("merchant_id"), "merchant_id")
+    o = o.join(src.merchants.select("merchant_id"), "merchant_id", "inner")
     return A.outcome(o, key="customer_id", order_id="order_id", n_name="n_orders_after",
                      sums={"basket_after": "basket_amount", "promo_after": "promo_amount",
                            "spend_after": "net_basket_amount_with_tax"})
@@ -205,8 +218,9 @@ def reactivation_features(src: ReactivationSources, W: ObservationWindow, outcom
 
     All history sources are first cut to the anchor-day customers (a one-day key set, broadcast
     after a size check), so the long scans aggregate only the customers that matter."""
+    src = src.with_checked_merchants()
+    keys = broadcast_if_small(anchor_day_lines(src, W).select("customer_id").distinct())
     today = anchor_day_orders(src, W)
-    keys = broadcast_if_small(today.select("customer_id").distinct())
     history = restrict_to(lapsed_service_history(src.orders, src.merchants, W), keys, "customer_id")
     life = lifetime_features(history, W)
     feats = value_features(life, src, W, rides_since, restrict=keys)
