@@ -72,15 +72,37 @@ MEMBERSHIP_DAYS = 18
 PLACE_MIN_COUNT = 1
 
 
+_BASES: dict[tuple, DataFrame] = {}
+
+
+def shared_base(spark, sf_dir, name: str, build) -> DataFrame:
+    """A cohort that several feature jobs read is built once per run and written to the
+    checkpoint directory (reliable: survives executor loss, cuts the lineage), instead of being
+    re-derived inside every job."""
+    from cohortflow.session import cut_lineage
+
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _BASES:
+        _BASES[key] = cut_lineage(build())
+    return _BASES[key]
+
+
 def cohort(spark, sf_dir):
-    """P5 adoption cohort: the customer base of the cross-sell features."""
+    """P5 adoption cohort: the customer base of the cross-sell features (built once per run)."""
     s = Sources(spark, sf_dir)
-    return X.adoption_cohort(s.trips, s.first_orders, T.CROSS_SELL_W)
+    return shared_base(spark, sf_dir, "adoption", lambda: X.adoption_cohort(s.trips, s.first_orders, T.CROSS_SELL_W))
 
 
 @register("job_adoption_cohort")
 def job_adoption_cohort(spark, sf_dir):
-    return cohort(spark, sf_dir)
+    s = Sources(spark, sf_dir)
+    return X.adoption_cohort(s.trips, s.first_orders, T.CROSS_SELL_W)
+
+
+def crossed_base(spark, sf_dir, service: str):
+    s = Sources(spark, sf_dir)
+    return shared_base(spark, sf_dir, f"crossed_{service}",
+                       lambda: X.crossed_on(s.trips, s.first_orders, T.CROSS_SELL_W, service))
 
 
 @register("job_crossed_on_a")
@@ -170,11 +192,11 @@ def job_area_scores_pickup(spark, sf_dir):
 @register("job_post_cross_tagged")
 def job_post_cross_tagged(spark, sf_dir):
     s = Sources(spark, sf_dir)
-    return PC.post_cross_tagged(s.orders, job_crossed_on_a(spark, sf_dir), s.merchant_tags, s.tags, T.CROSS_SELL_W,
+    return PC.post_cross_tagged(s.orders, crossed_base(spark, sf_dir, "a"), s.merchant_tags, s.tags, T.CROSS_SELL_W,
                                 spark)
 
 
 @register("job_post_cross_orders")
 def job_post_cross_orders(spark, sf_dir):
     s = Sources(spark, sf_dir)
-    return PC.post_cross_orders(s.orders, job_crossed_on_b(spark, sf_dir), T.CROSS_SELL_W, word="quik")
+    return PC.post_cross_orders(s.orders, crossed_base(spark, sf_dir, "b"), T.CROSS_SELL_W, word="quik")
