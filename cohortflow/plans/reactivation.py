@@ -43,7 +43,7 @@ class ReactivationSources:
         return ReactivationSources(src.orders, src.merchants, src.customers, src.value_lines, src.order_level,
                                    src.trips, src.subscription_events, src.profile)
 
-    def with_checked_merchants(self, max_rows: int = DEFAULT_BROADCAST_ROWS) -> "ReactivationSources":
+    def with_checked_merchants(self, max_rows: int | None = DEFAULT_BROADCAST_ROWS) -> "ReactivationSources":
         """Size-check the merchant dimension once; joins then reuse the (hinted) frame."""
         return replace(self, merchants=broadcast_if_small(self.merchants, max_rows))
 
