@@ -33,6 +33,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return d
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (checkpoints must survive executor loss)")
         conf = tempfile.mkdtemp(prefix="cohortflow-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(conf)
     return conf
