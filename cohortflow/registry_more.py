@@ -19,7 +19,6 @@ from cohortflow.plans import locations as L
 from cohortflow.plans import places as PL
 from cohortflow.plans import postcross as PC
 from cohortflow.plans import reactivation as P
-from cohortflow.plans import trips as TR
 from cohortflow.registry import TRIP_THRESHOLDS, cohort, register
 from cohortflow.sources import testbed as T
 from cohortflow.sources.testbed import Sources
@@ -299,9 +298,7 @@ def agg_usage_summary(spark, d):
 
 
 def _events(spark, d):
-    e = Sources(spark, d)
-    from cohortflow.sources.tables import read_table
-    return read_table(e.spark, e.sf_dir, "events")
+    return T.read_table(spark, d, "events")
 
 
 @register("agg_decay_weights")
@@ -362,8 +359,7 @@ def agg_point_counts(spark, d):
 
 
 def _areas(spark, d):
-    from cohortflow.sources.tables import read_table
-    c = read_table(spark, d, "customer")
+    c = T.read_table(spark, d, "customer")
     return c.select(F.col("c_custkey").alias("customer_id"), F.col("c_nationkey").cast("string").alias("area"),
                     (F.col("c_acctbal") > 5000).alias("flag"))
 
@@ -633,5 +629,3 @@ def geo_hex_cell(spark, d):
     p = _event_points(spark, d)
     return p.select("event_id", G.hex_cell("latitude", "longitude", R.HEX_EDGE_KM, L.REF_LAT).alias("cell"))
 
-
-_ = TR  # trip plan module is used through the job registry

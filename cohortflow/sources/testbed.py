@@ -10,7 +10,6 @@ Money is DECIMAL (exact sums); derived amounts keep enough scale to stay exact.
 
 from __future__ import annotations
 
-import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
