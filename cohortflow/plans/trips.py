@@ -43,9 +43,20 @@ def prepared_trips(trips: DataFrame, base: DataFrame, credits: DataFrame, W: Obs
     )
 
 
+def _decay(tau: float, legacy: bool) -> Column:
+    if not legacy:
+        return decay_weight("days_from_anchor", tau)
+    return F.exp(F.round(-F.col("days_from_anchor").cast("double") / F.lit(float(tau)), 1))
+
+
 def trip_features(trips: DataFrame, base: DataFrame, credits: DataFrame, W: ObservationWindow,
-                  th: TripThresholds = TripThresholds(), decimals: int = 6) -> DataFrame:
-    """24 trip habit features, one row per cohort customer with a valid trip."""
+                  th: TripThresholds = TripThresholds(), decimals: int = 6,
+                  legacy_decimal_scale: bool = False) -> DataFrame:
+    """24 trip habit features, one row per cohort customer with a valid trip.
+
+    Shares and decay exponents are exact doubles. ``legacy_decimal_scale=True`` reproduces the
+    upstream dialect's decimal arithmetic instead (T3): ``count * 1.0 / total`` and
+    ``-days / 90.0`` carry one decimal place (rounded half up), so shares move in 10 % steps."""
     t = prepared_trips(trips, base, credits, W, th)
     is_all = F.col("kind") == "all"
 
@@ -68,7 +79,7 @@ def trip_features(trips: DataFrame, base: DataFrame, credits: DataFrame, W: Obse
         F.sum(on_all(F.col("revenue"))).alias("gmv"),
         F.max(on_all(F.col("days_from_anchor"))).alias("age_max"),
         F.min(on_all(F.col("days_from_anchor"))).alias("age_min"),
-        *[F.sum(on_all(decay_weight("days_from_anchor", tau))).alias(f"w{tau}") for tau in R.DECAY_TAUS],
+        *[F.sum(on_all(_decay(tau, legacy_decimal_scale))).alias(f"w{tau}") for tau in R.DECAY_TAUS],
     )
 
     def of_kind(kind: str, c: Column) -> Column:
@@ -90,7 +101,8 @@ def trip_features(trips: DataFrame, base: DataFrame, credits: DataFrame, W: Obse
     )
 
     def pct(n: Column) -> Column:
-        return (n.cast("double") * F.lit(1.0) / F.col("total_rides").cast("double")) * F.lit(100.0)
+        share = n.cast("double") * F.lit(1.0) / F.col("total_rides").cast("double")
+        return (F.round(share, 1) if legacy_decimal_scale else share) * F.lit(100.0)
 
     tod_pct = {b: F.coalesce(F.when(F.col(f"tod_{b}") >= th.fav_commute_time_min_trip_cnt, pct(F.col(f"tod_{b}"))), F.lit(0.0))
                for b in R.TIME_OF_DAY_ORDER}

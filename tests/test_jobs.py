@@ -9,7 +9,6 @@ import os
 import tempfile
 
 import pytest
-from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from cohortflow.operators import windows as WN
@@ -126,4 +125,21 @@ def test_rank_within_on_job_data_matches_window(spark):
     assert sorted(map(tuple, got.select(key).collect())) == sorted(map(tuple, ref.select(key).collect()))
 
 
-_ = F
+
+def test_trip_features_legacy_decimal_scale(spark):
+    """T3 option: shares in 10 % steps and decay exponents rounded to one decimal."""
+    from cohortflow.plans import trips as TR
+    from cohortflow.registry import TRIP_THRESHOLDS, cohort
+    from cohortflow.sources import testbed as TB
+
+    s = TB.Sources(spark, "/root/testdata/sf0.01")
+    exact = {r.customer_id: r for r in TR.trip_features(s.trips, cohort(spark, s.sf_dir), s.credits, TB.CROSS_SELL_W,
+                                                        TRIP_THRESHOLDS).collect()}
+    legacy = TR.trip_features(s.trips, cohort(spark, s.sf_dir), s.credits, TB.CROSS_SELL_W, TRIP_THRESHOLDS,
+                              legacy_decimal_scale=True).collect()
+    assert len(legacy) == len(exact)
+    for r in legacy:
+        assert abs(r.promo_perc / 10 - round(r.promo_perc / 10)) < 1e-9  # multiples of 10 %
+        e = exact[r.customer_id]
+        assert abs(r.promo_perc - e.promo_perc) <= 5.0 + 1e-9
+        assert r.trip_count == e.trip_count
