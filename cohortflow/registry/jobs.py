@@ -1,29 +1,20 @@
-"""Registered queries: name -> callable(spark, sf_dir) -> DataFrame, over the test bindings.
-
-Every query reads the driver's whole tables through ``cohortflow.sources.testbed`` (no id
-subsets, no row caps) and runs the library operators on them.
-"""
+"""Composed jobs registered over the test bindings."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
+from cohortflow.params import TripThresholds
+from cohortflow.plans import crosssell as X
+from cohortflow.plans import locations as L
+from cohortflow.plans import places as PL
+from cohortflow.plans import postcross as PC
 from cohortflow.plans import reactivation as P
+from cohortflow.plans import trips as TR
+from cohortflow.registry import register
 from cohortflow.sources import testbed as T
 from cohortflow.sources.testbed import Sources
 
-QueryFn = Callable[[SparkSession, str], DataFrame]
-REGISTRY: dict[str, QueryFn] = {}
-
-
-def register(name: str):
-    def deco(fn: QueryFn) -> QueryFn:
-        REGISTRY[name] = fn
-        return fn
-    return deco
-
 
 def _react(spark, sf_dir) -> P.ReactivationSources:
     return P.ReactivationSources.from_testbed(Sources(spark, sf_dir))
@@ -52,19 +43,7 @@ def job_reactivation_features_blended(spark, sf_dir):
                                    with_blended=True, rides_since="1995-01-01")
 
 
-def queries() -> dict[str, QueryFn]:
-    # import side effects: each plan module registers its queries
-    from cohortflow import registry_more  # noqa: F401
-    return dict(REGISTRY)
-
-
 # ---- cross-sell family -------------------------------------------------------------------
-from cohortflow.params import TripThresholds  # noqa: E402
-from cohortflow.plans import crosssell as X  # noqa: E402
-from cohortflow.plans import locations as L  # noqa: E402
-from cohortflow.plans import places as PL  # noqa: E402
-from cohortflow.plans import postcross as PC  # noqa: E402
-from cohortflow.plans import trips as TR  # noqa: E402
 
 TRIP_THRESHOLDS = TripThresholds(fav_cct_min_trip_cnt=3, fav_commute_time_min_trip_cnt=2, fav_payment_min_trip_cnt=3,
                                  min_share_pct=20.0, promo_percent_threshold=50.0)

@@ -19,7 +19,8 @@ from cohortflow.plans import locations as L
 from cohortflow.plans import places as PL
 from cohortflow.plans import postcross as PC
 from cohortflow.plans import reactivation as P
-from cohortflow.registry import TRIP_THRESHOLDS, cohort, register
+from cohortflow.registry import register
+from cohortflow.registry.jobs import TRIP_THRESHOLDS, cohort
 from cohortflow.sources import testbed as T
 from cohortflow.sources.testbed import Sources
 

@@ -129,7 +129,7 @@ def test_rank_within_on_job_data_matches_window(spark):
 def test_trip_features_legacy_decimal_scale(spark):
     """T3 option: shares in 10 % steps and decay exponents rounded to one decimal."""
     from cohortflow.plans import trips as TR
-    from cohortflow.registry import TRIP_THRESHOLDS, cohort
+    from cohortflow.registry.jobs import TRIP_THRESHOLDS, cohort
     from cohortflow.sources import testbed as TB
 
     s = TB.Sources(spark, "/root/testdata/sf0.01")
