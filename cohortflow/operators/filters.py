@@ -33,7 +33,7 @@ class TripRules:
 VALUE_TRIP_RULES = TripRules(
     service_area_id=None, positive_coords=(), not_null=(), valid_flag=None,
     business_types=tuple(R.VALUE_RIDE_BUSINESS_TYPES), product_col=None, product_id_col=None,
-    country="united arab emirates",
+    country=R.VALUE_COUNTRY,
 )
 
 

@@ -18,9 +18,7 @@ from cohortflow.operators.joins import restrict_to
 from cohortflow.operators.scans import scan_window
 from cohortflow.params import ObservationWindow
 
-BASE_SERVICES = ("ride_hailing", "limo")
-A_SERVICES = ("food",)
-B_SERVICES = ("quik",)
+BASE_SERVICES, A_SERVICES, B_SERVICES = R.BASE_SERVICES, R.A_SERVICES, R.B_SERVICES
 
 
 def valid_users(trips: DataFrame, W: ObservationWindow) -> DataFrame:
@@ -29,7 +27,7 @@ def valid_users(trips: DataFrame, W: ObservationWindow) -> DataFrame:
     return t.select(norm_key("customer_id").alias("customer_id")).distinct()
 
 
-def service_first_dates(first_orders: DataFrame, users: DataFrame, city: str = "Dubai") -> DataFrame:
+def service_first_dates(first_orders: DataFrame, users: DataFrame, city: str = R.HOME_CITY) -> DataFrame:
     """A5 in one pass: first date of the base service and of services A and B per customer,
     kept for customers of the base service who are valid users (J3)."""
     f = first_orders.where(F.col("city") == city).select(

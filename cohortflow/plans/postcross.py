@@ -59,7 +59,7 @@ def post_cross_tagged(orders: DataFrame, base: DataFrame, merchant_tags: DataFra
     return _finish(j, W, "days_since_first_order", extra=["cuisine", "cuisine_id", "cuisine_group"])
 
 
-def post_cross_orders(orders: DataFrame, base: DataFrame, W: ObservationWindow, word: str = "quik",
+def post_cross_orders(orders: DataFrame, base: DataFrame, W: ObservationWindow, word: str = R.B_BRAND_WORD,
                       order_type: str = "shops") -> DataFrame:
     """Service-B orders (merchant name contains ``word``, any status) of newly crossed customers."""
     o = _window_orders(orders, base, W).where(F.col("order_type") == order_type)

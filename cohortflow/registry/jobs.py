@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from cohortflow import rules as R
 from cohortflow.params import TripThresholds
 from cohortflow.plans import crosssell as X
 from cohortflow.plans import locations as L
@@ -178,4 +179,4 @@ def job_post_cross_tagged(spark, sf_dir):
 @register("job_post_cross_orders")
 def job_post_cross_orders(spark, sf_dir):
     s = Sources(spark, sf_dir)
-    return PC.post_cross_orders(s.orders, crossed_base(spark, sf_dir, "b"), T.CROSS_SELL_W, word="quik")
+    return PC.post_cross_orders(s.orders, crossed_base(spark, sf_dir, "b"), T.CROSS_SELL_W, word=R.B_BRAND_WORD)

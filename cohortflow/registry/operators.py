@@ -112,7 +112,7 @@ def filter_delivered(spark, d):
 
 @register("filter_name_contains")
 def filter_name_contains(spark, d):
-    return FL.name_contains(Sources(spark, d).orders, "merchant_name", "quik").select("order_id", "line_no",
+    return FL.name_contains(Sources(spark, d).orders, "merchant_name", R.B_BRAND_WORD).select("order_id", "line_no",
                                                                                      "merchant_name")
 
 
@@ -473,7 +473,7 @@ def band_recency(spark, d):
 @register("band_status_snapshot")
 def band_status_snapshot(spark, d):
     s = S.latest_snapshot(Sources(spark, d).platform_status, "day", EW.anchor, 3)
-    s = s.where((F.col("granularity") == "city") & (F.col("city") == "Dubai"))
+    s = s.where((F.col("granularity") == R.SNAPSHOT_GRANULARITY) & (F.col("city") == R.HOME_CITY))
     age = F.datediff(F.col("day"), F.col("last_tx_date"))
     return s.select("customer_id", "monthly_status", "all_time_tx",
                     B.band("all_time_tx", R.TX_COUNT_BANDS).alias("tx_cohort"),
@@ -483,8 +483,8 @@ def band_status_snapshot(spark, d):
 @register("status_snapshot_distinct")
 def status_snapshot_distinct(spark, d):
     s = S.exact_snapshot(Sources(spark, d).service_status, "day", EW.anchor)
-    s = s.where((F.col("granularity") == "city") & F.col("city").isin("Dubai") & (F.col("domain") == "food")
-                & (F.col("level") == "service"))
+    s = s.where((F.col("granularity") == R.SNAPSHOT_GRANULARITY) & F.col("city").isin(R.HOME_CITY)
+                & (F.col("domain") == R.SNAPSHOT_DOMAIN) & (F.col("level") == R.SNAPSHOT_LEVEL))
     return s.select("customer_id", "monthly_status", "last_order_date", "delivered_orders").distinct()
 
 

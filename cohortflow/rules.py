@@ -34,6 +34,17 @@ TIME_OF_DAY_RULES = [(6, 10, "Morning"), (10, 16, "Day"), (16, 20, "Evening")]
 TIME_OF_DAY_ELSE = "Night"
 TIME_OF_DAY_ORDER = ["Morning", "Day", "Evening", "Night"]
 
+# Services, places and the brand word of the second delivery service.
+BASE_SERVICES = ("ride_hailing", "limo")
+A_SERVICES = ("food",)
+B_SERVICES = ("quik",)
+HOME_CITY = "Dubai"
+VALUE_COUNTRY = "united arab emirates"
+B_BRAND_WORD = "quik"
+SNAPSHOT_GRANULARITY = "city"
+SNAPSHOT_DOMAIN = "food"
+SNAPSHOT_LEVEL = "service"
+
 # Valid ride rules.
 RIDE_BUSINESS_TYPES = ["jv", "hala", "ride-hailing", "ridehailing", "ride hailing"]
 VALUE_RIDE_BUSINESS_TYPES = ["ride hailing", "jv"]

@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortflow import rules as R
 from cohortflow.params import ObservationWindow
 from cohortflow.sources.tables import read_table as _read_table
 
@@ -41,6 +42,13 @@ EVENTS_W = ObservationWindow.of("2024-01-01", "2024-01-21", "2024-01-31")
 
 STEP_2_12 = 2.0 ** -12  # grid step of saved places / bookings, exact in binary
 
+# Fixture strings are built from the rule data (with case / blank variants the rules must absorb).
+B_MERCHANT_PREFIX = R.B_BRAND_WORD.capitalize() + " Mart "
+CHILD_PRODUCT = R.CHILD_PRODUCTS[2].title()
+COUNTRY = R.VALUE_COUNTRY.title()
+CREDIT_TYPES = (R.MEMBERSHIP_CREDIT_TYPES[0].capitalize(), R.MEMBERSHIP_CREDIT_TYPES[4], R.MEMBERSHIP_CREDIT_TYPES[6].upper())
+OTHER_PLACE = "Elsewhere"
+
 
 def _dec(c: Column, p: int, s: int) -> Column:
     return c.cast(f"decimal({p},{s})")
@@ -70,7 +78,7 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_linenumber").alias("line_no"),
         (F.lit(1) + (F.col("l_orderkey") % 5) % 3).cast("int").alias("city_id"),
         F.col("l_suppkey").alias("merchant_id"),
-        F.when(F.col("s_suppkey") % 4 == 0, F.concat(F.lit("Quik Mart "), F.col("s_name")))
+        F.when(F.col("s_suppkey") % 4 == 0, F.concat(F.lit(B_MERCHANT_PREFIX), F.col("s_name")))
          .otherwise(F.col("s_name")).alias("merchant_name"),
         F.concat(F.lit("Brand#"), (F.col("l_suppkey") % 7).cast("string")).alias("brand_name"),
         F.when(F.col("l_returnflag") == "N", F.lit("food")).otherwise(F.lit("shops")).alias("order_type"),
@@ -158,11 +166,11 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
          .when(F.col("o_orderpriority") == "4-NOT SPECIFIED", F.lit("ride-hailing"))
          .otherwise(F.lit("Delivery")).alias("business_type"),
         F.when(F.col("p_size") == 1, F.lit("TEST ride"))
-         .when(F.col("p_size") % 10 == 3, F.lit("Careem Kids"))
+         .when(F.col("p_size") % 10 == 3, F.lit(CHILD_PRODUCT))
          .when(F.col("p_size") % 10 == 7, F.lit("School Rides"))
          .otherwise(F.col("p_type")).alias("cct"),
         F.col("p_partkey").cast("int").alias("cct_id"),
-        F.when(F.col("o_custkey") % 17 == 0, F.lit("Oman")).otherwise(F.lit("United Arab Emirates")).alias("country"),
+        F.when(F.col("o_custkey") % 17 == 0, F.lit(OTHER_PLACE)).otherwise(F.lit(COUNTRY)).alias("country"),
         _dec(F.col("l_extendedprice"), 18, 2).alias("revenue"),
         _dec(price * _dec(F.col("l_discount"), 4, 2), 18, 4).alias("cogs"),
         _hours(F.col("l_shipdate"), hours).alias("booking_date"),
@@ -185,10 +193,10 @@ def credits(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("booking_id"),
         F.col("l_shipdate").cast("date").alias("day"),
         F.when(F.col("l_partkey") % 3 == 0, F.lit("Marketing Credits")).otherwise(F.lit("Refund")).alias("credit_title"),
-        F.when(F.col("l_suppkey") % 4 == 0, F.lit("CareemPlus"))
-         .when(F.col("l_suppkey") % 4 == 1, F.lit("careemplushala2"))
+        F.when(F.col("l_suppkey") % 4 == 0, F.lit(CREDIT_TYPES[0]))
+         .when(F.col("l_suppkey") % 4 == 1, F.lit(CREDIT_TYPES[1]))
          .when(F.col("l_suppkey") % 4 == 2, F.lit("cashback"))
-         .otherwise(F.lit("CAREEMPLUSNBD")).alias("credit_type"),
+         .otherwise(F.lit(CREDIT_TYPES[2])).alias("credit_type"),
     )
 
 
@@ -199,11 +207,11 @@ def first_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select(
         F.col("o_custkey").cast("string").alias("userid"),
         F.trunc(F.col("o_orderdate").cast("date"), "month").alias("first_order_date"),
-        F.when(F.col("p_type") == "PROMO", F.lit("food"))
-         .when(F.col("p_type") == "SMALL", F.lit("quik"))
-         .when(F.col("p_type") == "LARGE", F.lit("limo"))
-         .otherwise(F.lit("ride_hailing")).alias("service"),
-        F.when(F.col("l_suppkey") % 10 == 0, F.lit("Abu Dhabi")).otherwise(F.lit("Dubai")).alias("city"),
+        F.when(F.col("p_type") == "PROMO", F.lit(R.A_SERVICES[0]))
+         .when(F.col("p_type") == "SMALL", F.lit(R.B_SERVICES[0]))
+         .when(F.col("p_type") == "LARGE", F.lit(R.BASE_SERVICES[1]))
+         .otherwise(F.lit(R.BASE_SERVICES[0])).alias("service"),
+        F.when(F.col("l_suppkey") % 10 == 0, F.lit(OTHER_PLACE)).otherwise(F.lit(R.HOME_CITY)).alias("city"),
     )
 
 
@@ -340,7 +348,7 @@ def place_coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cur.unionByName(old)
 
 
-PLACE_NAMES = ["Home", "Work", "Gym Downtown", "My University", "DXB T3", "Dubai Mall", "Hilton Hotel",
+PLACE_NAMES = ["Home", "Work", "Gym Downtown", "My University", "Airport T3", "City Mall", "Hilton Hotel",
                "Dental Clinic", "Villa 12", "Office HQ", "Mom", None]
 
 
@@ -408,7 +416,7 @@ def platform_status(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(F.date_sub(F.col("day"), (F.col("user_id") % 130).cast("int") - 3)).alias("last_tx_date"),
         F.col("day"),
         F.lit("city").alias("granularity"),
-        F.when(F.col("user_id") % 6 == 0, F.lit("Abu Dhabi")).otherwise(F.lit("Dubai")).alias("city"),
+        F.when(F.col("user_id") % 6 == 0, F.lit(OTHER_PLACE)).otherwise(F.lit(R.HOME_CITY)).alias("city"),
     )
 
 
@@ -422,7 +430,7 @@ def service_status(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n").cast("int").alias("delivered_orders"),
         F.col("day"),
         F.lit("city").alias("granularity"),
-        F.lit("Dubai").alias("city"),
+        F.lit(R.HOME_CITY).alias("city"),
         F.when(F.col("user_id") % 2 == 0, F.lit("food")).otherwise(F.lit("shops")).alias("domain"),
         F.lit("service").alias("level"),
     )

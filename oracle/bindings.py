@@ -8,6 +8,10 @@ from __future__ import annotations
 
 import re
 
+from cohortflow import rules as R
+from cohortflow.sources.testbed import (B_MERCHANT_PREFIX, CHILD_PRODUCT, COUNTRY, CREDIT_TYPES, OTHER_PLACE,
+                                        PLACE_NAMES, TAG_NAMES)
+
 LINES = "lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey"
 TS_ORDER = "l.l_shipdate + to_hours(CAST(l.l_linenumber * 3 + l.l_orderkey % 3 AS BIGINT))"
 PRICE = "CAST(l.l_extendedprice AS DECIMAL(12,2))"
@@ -27,14 +31,8 @@ def _ewkb(lat_k: str, lon_k: str) -> str:
     return f"('0101000020E6100000' || {_le(lon_bits)} || {_le(lat_bits)})"
 
 
-PLACE_NAMES = ["Home", "Work", "Gym Downtown", "My University", "DXB T3", "Dubai Mall", "Hilton Hotel",
-               "Dental Clinic", "Villa 12", "Office HQ", "Mom", None]
 _name_case = "CASE event_id % 12 " + " ".join(
     f"WHEN {i} THEN {'NULL' if n is None else repr(n)}" for i, n in enumerate(PLACE_NAMES)) + " END"
-TAG_NAMES = ["Sushi", "Pizza", "Smoothies ", "SMOOTHIES", "Lebanese", "Burger", "Indian", "Coffee", "Desserts",
-             "Seafood", "Uzbek", "Mexican", "Italian", "French", "American", "Moroccan", "Healthy", "Cafe",
-             "Fusion", "Poké", "Vegan", "Halal", "Kunafa", "Thai", "Greek", "Wings", "Tea", "BBQ & Grill",
-             "Street Food", "Shawarma"]
 _tag_values = ", ".join(
     f"({i}, '{n}', '{'dietary' if i in (20, 21) else 'cuisine'}')" for i, n in enumerate(TAG_NAMES))
 
@@ -42,7 +40,7 @@ B = {
     "b_orders": f"""
 SELECT o.o_custkey AS customer_id, l.l_orderkey AS order_id, l.l_linenumber AS line_no,
        CAST(1 + (l.l_orderkey % 5) % 3 AS INTEGER) AS city_id, l.l_suppkey AS merchant_id,
-       CASE WHEN s.s_suppkey % 4 = 0 THEN 'Quik Mart ' || s.s_name ELSE s.s_name END AS merchant_name,
+       CASE WHEN s.s_suppkey % 4 = 0 THEN '{B_MERCHANT_PREFIX}' || s.s_name ELSE s.s_name END AS merchant_name,
        'Brand#' || CAST(l.l_suppkey % 7 AS VARCHAR) AS brand_name,
        CASE WHEN l.l_returnflag = 'N' THEN 'food' ELSE 'shops' END AS order_type,
        CASE WHEN l.l_linestatus = 'F' AND l.l_orderkey % 3 = 0 THEN 'DELIVERED'
@@ -88,10 +86,10 @@ SELECT CAST(l.l_shipdate AS DATE) AS day, CAST(o.o_custkey AS VARCHAR) AS custom
        55.0 + (o.o_custkey % 89) * 0.002 AS drop_off_longitude,
        CASE o.o_orderpriority WHEN '1-URGENT' THEN 'Ride Hailing' WHEN '2-HIGH' THEN 'JV' WHEN '3-MEDIUM' THEN 'Hala'
             WHEN '4-NOT SPECIFIED' THEN 'ride-hailing' ELSE 'Delivery' END AS business_type,
-       CASE WHEN p.p_size = 1 THEN 'TEST ride' WHEN p.p_size % 10 = 3 THEN 'Careem Kids'
+       CASE WHEN p.p_size = 1 THEN 'TEST ride' WHEN p.p_size % 10 = 3 THEN '{CHILD_PRODUCT}'
             WHEN p.p_size % 10 = 7 THEN 'School Rides' ELSE p.p_type END AS cct,
        CAST(p.p_partkey AS INTEGER) AS cct_id,
-       CASE WHEN o.o_custkey % 17 = 0 THEN 'Oman' ELSE 'United Arab Emirates' END AS country,
+       CASE WHEN o.o_custkey % 17 = 0 THEN '{OTHER_PLACE}' ELSE '{COUNTRY}' END AS country,
        CAST(l.l_extendedprice AS DECIMAL(18,2)) AS revenue,
        CAST({PRICE} * {DISC} AS DECIMAL(18,4)) AS cogs,
        l.l_shipdate + to_hours(CAST((l.l_orderkey * 7 + l.l_linenumber * 5) % 24 AS BIGINT)) AS booking_date,
@@ -104,17 +102,17 @@ SELECT CAST(l.l_shipdate AS DATE) AS day, CAST(o.o_custkey AS VARCHAR) AS custom
        CASE WHEN l.l_discount >= 0.06 THEN 'RIDE' || CAST(l.l_linenumber AS VARCHAR)
             WHEN l.l_discount = 0.0 THEN NULL ELSE '' END AS booking_promo_code
 FROM {LINES} JOIN part p ON l.l_partkey = p.p_partkey""",
-    "b_credits": """
+    "b_credits": f"""
 SELECT l_orderkey * 10 + l_linenumber AS booking_id, CAST(l_shipdate AS DATE) AS day,
        CASE WHEN l_partkey % 3 = 0 THEN 'Marketing Credits' ELSE 'Refund' END AS credit_title,
-       CASE l_suppkey % 4 WHEN 0 THEN 'CareemPlus' WHEN 1 THEN 'careemplushala2' WHEN 2 THEN 'cashback'
-            ELSE 'CAREEMPLUSNBD' END AS credit_type
+       CASE l_suppkey % 4 WHEN 0 THEN '{CREDIT_TYPES[0]}' WHEN 1 THEN '{CREDIT_TYPES[1]}' WHEN 2 THEN 'cashback'
+            ELSE '{CREDIT_TYPES[2]}' END AS credit_type
 FROM lineitem WHERE l_returnflag <> 'N'""",
     "b_first_orders": f"""
 SELECT CAST(o.o_custkey AS VARCHAR) AS userid, CAST(date_trunc('month', o.o_orderdate) AS DATE) AS first_order_date,
-       CASE p.p_type WHEN 'PROMO' THEN 'food' WHEN 'SMALL' THEN 'quik' WHEN 'LARGE' THEN 'limo'
-            ELSE 'ride_hailing' END AS service,
-       CASE WHEN l.l_suppkey % 10 = 0 THEN 'Abu Dhabi' ELSE 'Dubai' END AS city
+       CASE p.p_type WHEN 'PROMO' THEN '{R.A_SERVICES[0]}' WHEN 'SMALL' THEN '{R.B_SERVICES[0]}'
+            WHEN 'LARGE' THEN '{R.BASE_SERVICES[1]}' ELSE '{R.BASE_SERVICES[0]}' END AS service,
+       CASE WHEN l.l_suppkey % 10 = 0 THEN '{OTHER_PLACE}' ELSE '{R.HOME_CITY}' END AS city
 FROM {LINES} JOIN part p ON l.l_partkey = p.p_partkey WHERE p.p_size > 25""",
     "b_subscription_events": """
 SELECT 'CPLS-' || CAST(o_custkey AS VARCHAR) AS userid,
@@ -186,16 +184,16 @@ UNION ALL
 SELECT s_suppkey, 15 + (s_suppkey + 7) % 15, 'active' FROM supplier""",
     "b_daily_user": """
 SELECT user_id, CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY user_id, CAST(ts AS DATE)""",
-    "b_platform_status": """
+    "b_platform_status": f"""
 SELECT user_id AS customer_id, CASE WHEN n > 2 THEN 'active' ELSE 'dormant' END AS monthly_status,
        CAST(n * 3 + user_id % 40 AS INTEGER) AS all_time_tx,
        CASE WHEN user_id % 11 = 0 THEN NULL ELSE day - CAST(user_id % 130 - 3 AS INTEGER) END AS last_tx_date,
-       day, 'city' AS granularity, CASE WHEN user_id % 6 = 0 THEN 'Abu Dhabi' ELSE 'Dubai' END AS city
+       day, 'city' AS granularity, CASE WHEN user_id % 6 = 0 THEN '{OTHER_PLACE}' ELSE '{R.HOME_CITY}' END AS city
 FROM b_daily_user""",
-    "b_service_status": """
+    "b_service_status": f"""
 SELECT user_id AS customer_id, CASE WHEN n > 2 THEN 'active' ELSE 'dormant' END AS monthly_status,
        day - CAST(user_id % 40 AS INTEGER) AS last_order_date, CAST(n AS INTEGER) AS delivered_orders, day,
-       'city' AS granularity, 'Dubai' AS city, CASE WHEN user_id % 2 = 0 THEN 'food' ELSE 'shops' END AS domain,
+       'city' AS granularity, '{R.HOME_CITY}' AS city, CASE WHEN user_id % 2 = 0 THEN 'food' ELSE 'shops' END AS domain,
        'service' AS level
 FROM b_daily_user""",
 }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from cohortflow import rules as R
+
 COHORT = """CASE WHEN lifetime_orders = 0 THEN '0' WHEN lifetime_orders = 1 THEN '1'
      WHEN lifetime_orders BETWEEN 2 AND 4 THEN '2-4' WHEN lifetime_orders BETWEEN 5 AND 10 THEN '5-10'
      WHEN lifetime_orders > 10 THEN '10+' END"""
@@ -37,7 +39,7 @@ def value_ctes(anchor: str, rides_since: str) -> str:
 rides_u AS (
   SELECT DISTINCT day, CAST(customer_id AS BIGINT) AS customer_id, trip_id, revenue, cogs FROM b_trips
   WHERE day >= DATE '{rides_since}' AND day < DATE '{anchor}' AND lower(business_type) IN ('ride hailing', 'jv')
-    AND trip_outcome = 3 AND lower(country) IN ('united arab emirates')),
+    AND trip_outcome = 3 AND lower(country) IN ('{R.VALUE_COUNTRY}')),
 rides AS (
   SELECT customer_id, max(day) AS last_ride_date, count(DISTINCT trip_id) AS n_rides,
          count(DISTINCT CASE WHEN date_diff('day', day, DATE '{anchor}') <= 30 THEN trip_id END) AS n_rides_30,

@@ -11,6 +11,7 @@ import tempfile
 import pytest
 
 import __spark_entry__ as E
+from cohortflow import rules as R
 from cohortflow.operators import windows as WN
 from cohortflow.plans import locations as L
 from cohortflow.plans import places as PL
@@ -69,7 +70,7 @@ def test_rides_after_anchor_not_counted(spark):
     rows = [("2023-12-31", "1", 11, 10.0), ("2024-01-20", "1", 12, 20.0), ("2024-01-21", "1", 13, 40.0),
             ("2024-02-01", "1", 14, 80.0)]
     trips = spark.createDataFrame(
-        [(dt.date.fromisoformat(d), c, t, "Ride Hailing", 3, "United Arab Emirates", v, 1.0) for d, c, t, v in rows],
+        [(dt.date.fromisoformat(d), c, t, "Ride Hailing", 3, R.VALUE_COUNTRY.title(), v, 1.0) for d, c, t, v in rows],
         "day date, customer_id string, trip_id long, business_type string, trip_outcome int, country string, "
         "revenue double, cogs double")
     W = ObservationWindow.of("2012-01-01", "2024-01-21", "2024-02-21")

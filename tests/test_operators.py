@@ -144,10 +144,10 @@ def test_union_ranges_equals_single_range(spark):
 def test_first_dates_one_pass(spark):
     d = dt.date
     df = spark.createDataFrame([(1, "food", d(2024, 1, 3)), (1, "food", d(2024, 1, 1)), (1, "limo", d(2023, 1, 1)),
-                                (2, "quik", d(2024, 2, 1)), (3, "other", d(2024, 1, 1))], "k int, s string, dd date")
+                                (2, "shop", d(2024, 2, 1)), (3, "other", d(2024, 1, 1))], "k int, s string, dd date")
     got = {r.k: tuple(r)[1:] for r in A.first_dates(df, key="k", service_col="s", date_col="dd",
                                                     services={"base": ["ride_hailing", "limo"], "a": ["food"],
-                                                              "b": ["quik"]}).collect()}
+                                                              "b": ["shop"]}).collect()}
     assert got == {1: (d(2023, 1, 1), d(2024, 1, 1), None), 2: (None, None, d(2024, 2, 1))}
 
 
