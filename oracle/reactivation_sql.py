@@ -4,6 +4,17 @@ from __future__ import annotations
 
 from cohortflow import rules as R
 
+
+def _q(values) -> str:
+    return ", ".join(f"'{v}'" for v in values)
+
+
+MEMBER_CASE = f"""CASE WHEN lower(subscriptiontype) IN ({_q(R.PAID_SUBSCRIPTION_TYPES)}) THEN 'paid'
+                WHEN planid IN ({_q(R.PAID_PLAN_IDS)}) THEN 'paid'
+                WHEN lower(invoiceid) LIKE '{R.FREE_RENEWAL_PATTERN}' THEN 'paid'
+                WHEN lower(subscriptiontype) LIKE '{R.TRIAL_COMMITMENT_PATTERN}' THEN 'trial_without_commitment'
+                WHEN lower(subscriptiontype) LIKE '{R.TRIAL_PATTERN}' THEN 'trial' END"""
+
 COHORT = """CASE WHEN lifetime_orders = 0 THEN '0' WHEN lifetime_orders = 1 THEN '1'
      WHEN lifetime_orders BETWEEN 2 AND 4 THEN '2-4' WHEN lifetime_orders BETWEEN 5 AND 10 THEN '5-10'
      WHEN lifetime_orders > 10 THEN '10+' END"""
@@ -62,15 +73,11 @@ shop AS (
 mem AS (
   SELECT customer_id, 1 AS member_flag, member_type FROM (
     SELECT CAST(substr(userid, 6) AS BIGINT) AS customer_id,
-           CASE WHEN lower(subscriptiontype) IN ('regular') THEN 'paid'
-                WHEN planid IN ('23', '39', '43', '55', '64') THEN 'paid'
-                WHEN lower(invoiceid) LIKE '%free_renewal%' THEN 'paid'
-                WHEN lower(subscriptiontype) LIKE '%trial%commitment%' THEN 'trial_without_commitment'
-                WHEN lower(subscriptiontype) LIKE '%trial' THEN 'trial' END AS member_type,
+           {MEMBER_CASE} AS member_type,
            row_number() OVER (PARTITION BY CAST(substr(userid, 6) AS BIGINT) ORDER BY day DESC, event_seq DESC) AS rn
     FROM b_subscription_events
-    WHERE lower(eventtype) = 'subscription_started' AND CAST(expiresat AS DATE) >= DATE '{anchor}'
-      AND CAST(startedat AS DATE) < DATE '{anchor}' AND serviceareaid IN ('1', '21')) WHERE rn = 1),
+    WHERE lower(eventtype) = '{R.MEMBERSHIP_EVENT}' AND CAST(expiresat AS DATE) >= DATE '{anchor}'
+      AND CAST(startedat AS DATE) < DATE '{anchor}' AND serviceareaid IN ({_q(R.MEMBERSHIP_AREAS)})) WHERE rn = 1),
 prof AS (SELECT CAST(customer_id AS BIGINT) AS customer_id, nationality, region, sub_region, is_loyal FROM b_profile)"""
 
 
