@@ -80,10 +80,11 @@ SELECT CAST(l.l_shipdate AS DATE) AS day, CAST(o.o_custkey AS VARCHAR) AS custom
        CASE WHEN l.l_partkey % 13 = 0 THEN 2 ELSE 1 END AS service_area_id,
        CASE WHEN l.l_returnflag = 'R' AND l.l_linenumber = 1 THEN 4 ELSE 3 END AS trip_outcome,
        CASE WHEN l.l_quantity < 3 THEN 0 ELSE 1 END AS is_valid,
-       CASE WHEN l.l_orderkey % 101 = 0 THEN 0.0 ELSE 25.0 + (l.l_partkey % 83) * 0.003 END AS pick_up_latitude,
-       55.0 + (l.l_suppkey % 89) * 0.003 AS pick_up_longitude,
-       25.0 + (l.l_orderkey % 97) * 0.002 AS drop_off_latitude,
-       55.0 + (o.o_custkey % 89) * 0.002 AS drop_off_longitude,
+       CASE WHEN l.l_orderkey % 101 = 0 THEN 0.0::DOUBLE ELSE 25.0::DOUBLE + (l.l_partkey % 83) * 0.003::DOUBLE END
+           AS pick_up_latitude,
+       55.0::DOUBLE + (l.l_suppkey % 89) * 0.003::DOUBLE AS pick_up_longitude,
+       25.0::DOUBLE + (l.l_orderkey % 97) * 0.002::DOUBLE AS drop_off_latitude,
+       55.0::DOUBLE + (o.o_custkey % 89) * 0.002::DOUBLE AS drop_off_longitude,
        CASE o.o_orderpriority WHEN '1-URGENT' THEN 'Ride Hailing' WHEN '2-HIGH' THEN 'JV' WHEN '3-MEDIUM' THEN 'Hala'
             WHEN '4-NOT SPECIFIED' THEN 'ride-hailing' ELSE 'Delivery' END AS business_type,
        CASE WHEN p.p_size = 1 THEN 'TEST ride' WHEN p.p_size % 10 = 3 THEN '{CHILD_PRODUCT}'
@@ -145,7 +146,8 @@ SELECT CAST(user_id AS VARCHAR) AS customer_id, CAST(ts AS DATE) AS day, ts AS u
 FROM events""",
     "b_bookings": f"""
 SELECT CAST(ts AS DATE) AS day, CAST(user_id AS VARCHAR) AS customer_id, event_id AS booking_id,
-       25.0 + (event_id % 97) * {G} AS dropoff_lat, 55.0 + (event_id % 89) * {G} AS dropoff_long,
+       25.0::DOUBLE + (event_id % 97) * {G}::DOUBLE AS dropoff_lat,
+       55.0::DOUBLE + (event_id % 89) * {G}::DOUBLE AS dropoff_long,
        ts AS booking_creation_date, 1 AS service_area_id,
        CASE WHEN event_type = 'purchase' THEN 6 ELSE 2 END AS booking_status,
        value > 2 AS is_trip_ended, event_id % 17 = 0 AS is_cancelled_customer,
@@ -176,7 +178,7 @@ FROM events WHERE event_type = 'signup'
 UNION ALL
 SELECT event_id, 'Old Name', 'Building', 'Commercial', 'Old Place', ts - INTERVAL 1 DAY
 FROM events WHERE event_type = 'signup' AND event_id % 3 = 1""",
-    "b_tags": f"SELECT * FROM (VALUES {_tag_values}) AS t(id, name, type)",
+    "b_tags": f"SELECT CAST(id AS BIGINT) AS id, name, type FROM (VALUES {_tag_values}) AS t(id, name, type)",
     "b_merchant_tags": """
 SELECT s_suppkey AS merchant_id, s_suppkey % 15 AS tag_id,
        CASE WHEN s_nationkey % 5 = 0 THEN 'INACTIVE' ELSE 'Active' END AS status FROM supplier

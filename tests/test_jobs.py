@@ -42,6 +42,10 @@ def con():
     return duck(SF001)
 
 
+DUCK_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+              "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     df = QUERIES[name](spark, SF001)
@@ -49,6 +53,10 @@ def test_query_matches_oracle(spark, con, name):
     cur = con.execute(SQL[name])
     ocols = [d[0] for d in cur.description]
     assert compare(df.columns, rows, ocols, cur.fetchall()) == []
+    rel = con.sql(SQL[name])
+    otypes = dict(zip(rel.columns, map(str, rel.types)))
+    for f in df.schema.fields:  # same column types on both sides
+        assert DUCK_TYPES.get(f.dataType.simpleString(), f.dataType.simpleString().upper()) == otypes[f.name], f.name
 
 
 BAD_NODES = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin", "SinglePartition")
