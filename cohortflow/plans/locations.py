@@ -63,6 +63,10 @@ def area_scores(frame: DataFrame, *, area: str, first_col: str, start, end, min_
 
 
 def write_scores(scores: DataFrame, path: str, line: str, anchor, side: str, mode: str = "overwrite") -> None:
-    """Parquet sink partitioned by business line, anchor and side (no single-file coalesce)."""
+    """Parquet sink partitioned by business line, anchor and side (no single-file coalesce).
+
+    Overwrite is dynamic: only the (line, anchor, side) partition being written is replaced, so
+    both sides and many anchors share one table and a rerun is idempotent."""
     (scores.withColumn("line", F.lit(line)).withColumn("anchor", F.lit(str(anchor))).withColumn("side", F.lit(side))
-           .write.mode(mode).partitionBy("line", "anchor", "side").parquet(path))
+           .write.mode(mode).option("partitionOverwriteMode", "dynamic")
+           .partitionBy("line", "anchor", "side").parquet(path))

@@ -7,7 +7,6 @@ Service roles are parameters (``lapsed`` = the service customers lapsed from, ``
 
 from __future__ import annotations
 
-import datetime as dt
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
@@ -245,7 +244,3 @@ def reactivation_features(src: ReactivationSources, W: ObservationWindow, outcom
         "is_resident", F.coalesce("member_flag", F.lit(0)).alias("member_flag"), "member_type",
         "nationality", "region", "sub_region", "is_loyal"]
     return out.select(*cols)
-
-
-def default_rides_since(W: ObservationWindow) -> dt.date:
-    return W.history_lo

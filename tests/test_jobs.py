@@ -106,8 +106,11 @@ def test_write_scores_roundtrip(spark):
                                    "area string, n_customers long, n_adopters long, wilson_lower double")
     out = os.path.join(tempfile.mkdtemp(prefix="cohortflow-sink-"), "scores")
     L.write_scores(scores, out, "food", dt.date(2024, 1, 21), "dropoff")
+    L.write_scores(scores.limit(1), out, "food", dt.date(2024, 1, 21), "pickup")
+    L.write_scores(scores, out, "food", dt.date(2024, 1, 21), "pickup")  # rerun replaces only its partition
     back = spark.read.parquet(out)
-    assert back.count() == 2
+    assert back.count() == 4
+    assert {r.side for r in back.select("side").distinct().collect()} == {"dropoff", "pickup"}
     assert {r.line for r in back.select("line").collect()} == {"food"}
     assert sorted(back.columns) == sorted(["area", "n_customers", "n_adopters", "wilson_lower", "line", "anchor", "side"])
 
