@@ -34,8 +34,10 @@ def map_taxonomy(df: DataFrame, col: str, tax: DataFrame, out: str = "cuisine_gr
 
 
 def _window_orders(orders: DataFrame, base: DataFrame, W: ObservationWindow) -> DataFrame:
+    """Orders in ``[anchor, target_end)`` of the crossed cohort. The cohort (first order on one
+    day) is broadcast when its size check passes, so the order scan is filtered map-side."""
     o = scan_window(orders, "day", W.anchor, W.target_end)
-    return restrict_to(o, base, "customer_id")
+    return restrict_to(o, broadcast_if_small(base.select("customer_id")), "customer_id")
 
 
 def _finish(o: DataFrame, W: ObservationWindow, days_col: str, extra=()) -> DataFrame:
