@@ -107,27 +107,35 @@ def near_join(events: DataFrame, places: DataFrame, *, key: str, ev_lat: str, ev
 
     Made an equi-join on ``(key, lat band, lon cell)``: each place is written into the 3x3 grid
     cells around it, each event probes its own cell, so an event only meets places of its key
-    that are near it, never every place of the key. Cells are at least ``metres`` wide at the
-    band's most poleward latitude, so no match within ``metres`` is lost (exact away from the
-    poles and the antimeridian). The exact distance is the residual condition.
+    that are near it, never every place of the key. A band is ``metres`` (+5 %) tall; its
+    longitude cells are at least ``metres`` wide at the band's most poleward edge and wrap
+    around the antimeridian (cell index modulo the cells per band); bands touching a pole have
+    one cell. So no match within ``metres`` is lost anywhere; the exact distance is the residual
+    condition.
     """
     cell = math.degrees(metres / (1000.0 * radius_km)) * 1.05
 
-    def lon_width(band: Column) -> Column:
+    def n_cells(band: Column) -> Column:
         edge = F.greatest(F.abs(band * F.lit(cell)), F.abs((band + 1) * F.lit(cell))) + F.lit(2 * cell)
-        return F.lit(cell) / F.cos(F.radians(F.least(F.lit(89.9), edge)))
+        cos_edge = F.cos(F.radians(F.least(F.lit(90.0), edge)))
+        per_band = F.floor(F.lit(360.0) * cos_edge / F.lit(cell))
+        return F.when(edge >= 90.0, F.lit(1)).otherwise(F.greatest(F.lit(1), per_band)).cast("long")
+
+    def lon_cell(lon: Column, band: Column, shift: int = 0) -> Column:
+        n = n_cells(band)
+        k = F.floor((lon + F.lit(180.0)) / (F.lit(360.0) / n)).cast("long") + F.lit(shift)
+        return F.pmod(k, n)
 
     pk = place_key or key
     p_band = F.floor(F.col(pl_lat) / F.lit(cell)).cast("long")
-    neigh = F.explode(F.array(*[
-        F.struct((p_band + d).alias("__band"),
-                 (F.floor(F.col(pl_lon) / lon_width(p_band + d)).cast("long") + e).alias("__cell"))
+    neigh = F.explode(F.array_distinct(F.array(*[
+        F.struct((p_band + d).alias("__band"), lon_cell(F.col(pl_lon), p_band + d, e).alias("__cell"))
         for d in (-1, 0, 1) for e in (-1, 0, 1)
-    ]))
+    ])))
     p = places.select("*", neigh.alias("__nb")).select(
         [F.col(c) for c in places.columns] + [F.col("__nb.__band").alias("__pband"), F.col("__nb.__cell").alias("__pcell")])
     e_band = F.floor(F.col(ev_lat) / F.lit(cell)).cast("long")
-    e = events.withColumn("__eband", e_band).withColumn("__ecell", F.floor(F.col(ev_lon) / lon_width(F.col("__eband"))).cast("long"))
+    e = events.withColumn("__eband", e_band).withColumn("__ecell", lon_cell(F.col(ev_lon), F.col("__eband")))
     cond = ((e[key] == p[pk]) & (e["__eband"] == p["__pband"]) & (e["__ecell"] == p["__pcell"])
             & (haversine_m(e[ev_lat], e[ev_lon], p[pl_lat], p[pl_lon], radius_km) < F.lit(metres)))
     if extra is not None:

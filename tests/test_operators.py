@@ -155,3 +155,30 @@ def test_haversine_symmetry(spark):
     df = spark.createDataFrame([(25.1, 55.2, 25.3, 55.1)], "a double, b double, c double, d double")
     r = df.select(haversine_m("a", "b", "c", "d").alias("x"), haversine_m("c", "d", "a", "b").alias("y")).first()
     assert abs(r.x - r.y) < 1e-6
+
+
+def test_near_join_antimeridian_and_pole(spark):
+    rnd = random.Random(11)
+    ev, pl = [], []
+    for i in range(300):
+        # half near the antimeridian, half within 0.01 deg of the north pole
+        if i % 2:
+            lat, lon = rnd.uniform(-0.002, 0.002), rnd.choice([179.9995, -179.9995, 179.9999, -179.9991])
+        else:
+            lat, lon = 89.9995 - rnd.uniform(0, 0.01), rnd.uniform(-180, 180)
+        ev.append((1, i, lat, lon))
+        pl.append((1, 1000 + i, lat + rnd.uniform(-0.0008, 0.0008), lon + rnd.uniform(-0.0008, 0.0008)))
+    pl = [(c, loc, la, ((lo + 180.0) % 360.0) - 180.0) for c, loc, la, lo in pl]
+    e = spark.createDataFrame(ev, "customer_id int, booking_id int, lat double, lon double")
+    p = spark.createDataFrame(pl, "pc int, location_id int, plat double, plon double")
+    got = J.near_join(e, p, key="customer_id", place_key="pc", ev_lat="lat", ev_lon="lon", pl_lat="plat",
+                      pl_lon="plon", metres=100.0)
+    pairs = sorted((r.booking_id, r.location_id) for r in got.select("booking_id", "location_id").collect())
+
+    def hav(a, b, c, d):
+        p1, p2 = math.radians(a), math.radians(c)
+        x = math.sin((p2 - p1) / 2) ** 2 + math.cos(p1) * math.cos(p2) * math.sin((math.radians(d) - math.radians(b)) / 2) ** 2
+        return 1000 * 2 * R.EARTH_RADIUS_KM * math.asin(math.sqrt(min(1.0, x)))
+
+    brute = sorted((b, loc) for (_, b, la, lo) in ev for (_, loc, pla, plo) in pl if hav(la, lo, pla, plo) < 100.0)
+    assert pairs == brute and len(brute) > 50
