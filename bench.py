@@ -22,7 +22,7 @@ def main() -> None:
     from cohortflow.registry import queries
     from cohortflow.session import local_session
 
-    spark = local_session(cpus, app="cohortflow-bench", shuffle_partitions=int(cpus) * 2,
+    spark = local_session(cpus, app="cohortflow-bench", shuffle_partitions=int(os.environ.get("BENCH_PARTITIONS", int(cpus) * 2)),
                           extra={"spark.ui.showConsoleProgress": "false"})
     qs = queries()
     names = os.environ.get("BENCH_QUERIES")

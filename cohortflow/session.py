@@ -17,6 +17,7 @@ def local_session(cpus: int | str = "*", app: str = "cohortflow", shuffle_partit
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
          .config("spark.driver.memory", "8g"))
     for k, v in (extra or {}).items():
         b = b.config(k, v)
