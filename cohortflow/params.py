@@ -61,6 +61,6 @@ class TripThresholds:
     fav_cct_min_trip_cnt: int = 3
     fav_commute_time_min_trip_cnt: int = 2
     fav_payment_min_trip_cnt: int = 3
-    min_share_pct: float = 20.0  # named parent_min_trip_cnt upstream, but compared with a percentage
+    min_share_pct: float = 20.0  # a percentage threshold (named like a trip count upstream)
     promo_percent_threshold: float = 50.0
     tz_offset_hours: int = 4
