@@ -59,9 +59,9 @@ def shared_base(spark, sf_dir, name: str, build) -> DataFrame:
     """A cohort that several feature jobs read is built once per run and written to the
     checkpoint directory (reliable: survives executor loss, cuts the lineage), instead of being
     re-derived inside every job."""
-    from cohortflow.session import cut_lineage
+    from cohortflow.session import cut_lineage, session_key
 
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    key = (session_key(spark), sf_dir, name)
     if key not in _BASES:
         _BASES[key] = cut_lineage(build())
     return _BASES[key]

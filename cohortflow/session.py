@@ -27,6 +27,14 @@ def local_session(cpus: int | str = "*", app: str = "cohortflow", shuffle_partit
     return spark
 
 
+def session_key(spark: SparkSession) -> tuple:
+    """Identity of a running application (for per-run memo caches)."""
+    try:
+        return (id(spark), spark.sparkContext.applicationId)
+    except Exception:  # noqa: BLE001  (no SparkContext on a remote session)
+        return (id(spark), spark.conf.get("spark.app.id", ""))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's ``spark.checkpoint.dir``; set a scratch one only when unset (tests)."""
     d = spark.sparkContext.getCheckpointDir()

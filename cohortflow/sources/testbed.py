@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from cohortflow import rules as R
 from cohortflow.params import ObservationWindow
+from cohortflow.session import session_key
 from cohortflow.sources.tables import read_table as _read_table
 
 _READ_CACHE: dict[tuple, DataFrame] = {}
@@ -25,7 +26,7 @@ _READ_CACHE: dict[tuple, DataFrame] = {}
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The driver's tables are read-only, so one DataFrame per (session, table) is reused
     (saves a file listing and footer read per use)."""
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir, name)
+    key = (session_key(spark), sf_dir, name)
     df = _READ_CACHE.get(key)
     if df is None:
         df = _READ_CACHE[key] = _read_table(spark, sf_dir, name)
@@ -447,7 +448,7 @@ class Sources:
         fn = globals().get(name)
         if fn is None or name.startswith("_") or not callable(fn):
             raise AttributeError(name)
-        key = (id(self.spark), self.spark.sparkContext.applicationId, self.sf_dir, "binding", name)
+        key = (session_key(self.spark), self.sf_dir, "binding", name)
         df = _READ_CACHE.get(key)
         if df is None:  # bindings are pure functions of the read-only tables: build each once
             df = _READ_CACHE[key] = fn(self.spark, self.sf_dir)
