@@ -82,8 +82,12 @@ def rank_within(df: DataFrame, key: str, order: Sequence, out: str = "rank", den
 
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sort_exprs = [F.col(key).asc_nulls_last()] + order_cols
-    placed = (df.repartitionByRange(n, *sort_exprs)
+    # A per-row salt as the last sort key lets the range partitioner split exact copies (rows equal
+    # on key and order), so a group of copies is spread over partitions too; ranks among copies
+    # are arbitrary, as with any row_number tie.
+    sort_exprs = [F.col(key).asc_nulls_last()] + order_cols + [F.col("__salt").asc()]
+    placed = (df.withColumn("__salt", F.monotonically_increasing_id())
+                .repartitionByRange(n, *sort_exprs)
                 .sortWithinPartitions(*sort_exprs)
                 .withColumn("__pid", F.spark_partition_id())
                 .withColumn("__mid", F.monotonically_increasing_id()))
@@ -100,7 +104,7 @@ def rank_within(df: DataFrame, key: str, order: Sequence, out: str = "rank", den
     joined = placed.join(stats, (placed[key].eqNullSafe(stats[key])) & (placed["__pid"] == stats["__pid"]), "inner")
     return joined.select(
         placed["*"], (placed["__mid"] - stats["__first"] + F.lit(1) + stats["__off"]).alias(out)
-    ).drop("__pid", "__mid")
+    ).drop("__pid", "__mid", "__salt")
 
 
 def rank_within_window(df: DataFrame, key: str, order: Sequence, out: str = "rank", dense: bool = False) -> DataFrame:

@@ -83,10 +83,9 @@ def lapsed_base(src: ReactivationSources, W: ObservationWindow, min_recency: int
 def ride_value(trips: DataFrame, W: ObservationWindow, since=None, recent_days: int = 30) -> DataFrame:
     """S2 + A2c + A3: de-duplicated value trips over one range ``[since, anchor)`` (T10 fixed)."""
     t = valid_trips(scan_window(trips, "day", since or W.history_lo, W.anchor), VALUE_TRIP_RULES)
-    # One hash partitioning by (customer, trip) serves both the de-duplication and the per-trip
-    # aggregate of value_stats (a hot customer is still spread over its trips).
-    t = (t.select("day", norm_key("customer_id").alias("customer_id"), "trip_id", "revenue", "cogs")
-          .repartition("customer_id", "trip_id").distinct())
+    # Plain distinct: its map-side partial step removes copies before the shuffle, so even a
+    # group of copies holding a third of all rows never reaches one task whole.
+    t = t.select("day", norm_key("customer_id").alias("customer_id"), "trip_id", "revenue", "cogs").distinct()
     return A.value_stats(
         t, key="customer_id", order_id="trip_id", gross=F.col("revenue"), margin=F.col("revenue") - F.col("cogs"),
         recent=calendar_days("day", W.anchor) <= recent_days, last="day",

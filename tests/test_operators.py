@@ -182,3 +182,19 @@ def test_near_join_antimeridian_and_pole(spark):
 
     brute = sorted((b, loc) for (_, b, la, lo) in ev for (_, loc, pla, plo) in pl if hav(la, lo, pla, plo) < 100.0)
     assert pairs == brute and len(brute) > 50
+
+
+def test_rank_within_splits_a_group_of_copies(spark):
+    """A third of the rows are exact copies (same key and order value): still ranked 1..n, and the
+    copies are spread over several range partitions."""
+    rows = [(0, 5)] * 3000 + [(k % 300 + 1, k % 17) for k in range(6000)]
+    df = spark.createDataFrame(rows, "k int, ts int")
+    got = WN.rank_within(df, "k", [F.col("ts").asc_nulls_last()], out="rn", num_partitions=8)
+    hot = sorted(r.rn for r in got.where("k = 0").collect())
+    assert hot == list(range(1, 3001))
+    ref = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy("ts")))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, ref.collect()))
+    spread = (df.withColumn("__salt", F.monotonically_increasing_id())
+                .repartitionByRange(8, "k", "ts", "__salt").where("k = 0")
+                .select(F.spark_partition_id().alias("p")).distinct().count())
+    assert spread > 1
