@@ -66,7 +66,11 @@ def rank_within(df: DataFrame, key: str, order: Sequence, out: str = "rank", den
 
     ``order`` items are column names or sort expressions (e.g. ``F.col('ts').asc_nulls_last()``);
     for ``row_number`` include a unique tie column. For ``dense_rank`` the distinct
-    ``(key, order values)`` are numbered and joined back null-safely."""
+    ``(key, order values)`` are numbered and joined back null-safely.
+
+    ``materialize=False`` skips the checkpoint of the range-partitioned rows; only safe when the
+    input's partitioning and row order are deterministic (e.g. a plain file scan), because the
+    two branches then recompute the salt and the range bounds independently."""
     order_cols = [_c(o) for o in order]
     if dense:
         names = [o if isinstance(o, str) else None for o in order]
