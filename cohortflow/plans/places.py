@@ -31,22 +31,27 @@ def completed_dropoffs(bookings: DataFrame, base: DataFrame, W: ObservationWindo
 def saved_places(locations: DataFrame, coordinates: DataFrame, details: DataFrame, base: DataFrame) -> DataFrame:
     """Latest version of the place, its coordinates and its address details, inner-joined.
 
-    Each latest-version pick is a ``max_by`` aggregate (W1) with all value columns as tie."""
+    Each latest-version pick is a ``max_by`` aggregate (W1) with all value columns as tie. The
+    coordinate and detail tables are first cut to the cohort's location ids, so their version
+    aggregates only see the places that can match."""
     loc = locations.select(norm_key("user_id").alias("sl_customer_id"), norm_key("id").alias("location_id"),
                            F.col("created_at").cast("timestamp_ntz").alias("created_at"),
                            F.col("last_updated").cast("timestamp_ntz").alias("last_updated"))
     loc = restrict_to(loc, base, "sl_customer_id", "customer_id")
+    ids = loc.select("location_id")
     loc = latest_by(loc, ["sl_customer_id", "location_id"], ["last_updated", "created_at"])
     pt = decode_point("lng_lat")
     coord = coordinates.select(norm_key("location_bookmark_id").alias("location_id"), "last_updated",
                                pt.lat.alias("sl_lat"), pt.lon.alias("sl_lon"))
-    coord = latest_by(coord, ["location_id"], ["last_updated", "sl_lat", "sl_lon"], ["sl_lat", "sl_lon"])
+    coord = latest_by(restrict_to(coord, ids, "location_id"), ["location_id"], ["last_updated", "sl_lat", "sl_lon"],
+                      ["sl_lat", "sl_lon"])
     det = details.select(norm_key("location_bookmark_id").alias("location_id"), "last_updated",
                          F.col("saved_name").cast("string").alias("saved_name"),
                          F.col("address_type").cast("string").alias("address_type"),
                          F.col("building_type").cast("string").alias("building_type"),
                          F.col("place_name").cast("string").alias("place_name"))
-    det = latest_by(det, ["location_id"], ["last_updated", "saved_name", "address_type", "building_type", "place_name"],
+    det = latest_by(restrict_to(det, ids, "location_id"), ["location_id"],
+                    ["last_updated", "saved_name", "address_type", "building_type", "place_name"],
                     ["saved_name", "address_type", "building_type", "place_name"])
     return loc.join(coord, "location_id", "inner").join(det, "location_id", "inner")
 
