@@ -65,12 +65,18 @@ def _round_half_up(c: Column) -> Column:
     return F.floor(c + F.lit(0.5))
 
 
-def hex_cell(lat, lon, edge_km: float, ref_lat: float, radius_km: float = EARTH_RADIUS_KM) -> Column:
-    """Pointy-top hexagonal cell id ``"q:r"`` of an equirectangular projection at ``ref_lat``.
-
-    Axial coordinates, cube rounding (the component with the largest rounding error is rebuilt
-    from the other two). Deterministic, native, and usable as a join/group key."""
-    x = F.radians(_col(lon)) * F.lit(radius_km * math.cos(math.radians(ref_lat)))
+def hex_cell(lat, lon, edge_km: float, ref_lat: float | None = None, radius_km: float = EARTH_RADIUS_KM) -> Column:
+    """Pointy-top hexagonal cell id ``"q:r"`` with edge ``edge_km``.
+
+    Points are projected with the sinusoidal (equal-area) projection, so every cell covers the
+    same ground area at any latitude, as the cells of a resolution-6 hexagonal grid roughly do;
+    with ``ref_lat`` an equirectangular projection at that latitude is used instead. Axial
+    coordinates, cube rounding (the component with the largest rounding error is rebuilt from
+    the other two). Deterministic, native, and usable as a join/group key."""
+    if ref_lat is None:
+        x = F.radians(_col(lon)) * F.cos(F.radians(_col(lat))) * F.lit(radius_km)
+    else:
+        x = F.radians(_col(lon)) * F.lit(radius_km * math.cos(math.radians(ref_lat)))
     y = F.radians(_col(lat)) * F.lit(radius_km)
     q = (F.lit(math.sqrt(3.0) / 3.0) * x - y / F.lit(3.0)) / F.lit(edge_km)
     r = (F.lit(2.0 / 3.0) * y) / F.lit(edge_km)

@@ -22,7 +22,6 @@ from cohortflow.operators.scans import scan_window
 from cohortflow.params import ObservationWindow
 
 SIDES = {"dropoff": ("drop_off_latitude", "drop_off_longitude"), "pickup": ("pick_up_latitude", "pick_up_longitude")}
-REF_LAT = 25.0
 
 
 def point_counts(trips: DataFrame, base: DataFrame, W: ObservationWindow, side: str = "dropoff",
@@ -37,7 +36,7 @@ def point_counts(trips: DataFrame, base: DataFrame, W: ObservationWindow, side:
     return A.point_counts(pts, ["customer_id", "latitude", "longitude"], out="trip_cnts")
 
 
-def dominant_cell(points: DataFrame, edge_km: float = R.HEX_EDGE_KM, ref_lat: float = REF_LAT,
+def dominant_cell(points: DataFrame, edge_km: float = R.HEX_EDGE_KM, ref_lat: float | None = None,
                   cell_col: str = "cell") -> DataFrame:
     """The cell with the most trips per customer (G5 + A15; ties -> smallest cell id)."""
     p = points.withColumn(cell_col, hex_cell("latitude", "longitude", edge_km, ref_lat))

@@ -628,5 +628,5 @@ def geo_round_point(spark, d):
 @register("geo_hex_cell")
 def geo_hex_cell(spark, d):
     p = _event_points(spark, d)
-    return p.select("event_id", G.hex_cell("latitude", "longitude", R.HEX_EDGE_KM, L.REF_LAT).alias("cell"))
+    return p.select("event_id", G.hex_cell("latitude", "longitude", R.HEX_EDGE_KM).alias("cell"))
 

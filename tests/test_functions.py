@@ -162,7 +162,7 @@ def test_haversine_and_round(spark):
 def test_hex_cell_neighbourhood(spark):
     # points 1 km apart share a cell or are neighbours; far points differ
     rows = [(25.0, 55.0), (25.001, 55.0), (25.5, 55.5)]
-    got = _col(spark, rows, "a double, b double", G.hex_cell("a", "b", R.HEX_EDGE_KM, 25.0))
+    got = _col(spark, rows, "a double, b double", G.hex_cell("a", "b", R.HEX_EDGE_KM))
     assert got[0] == got[1]
     assert got[0] != got[2]
     assert all(":" in c for c in got)
@@ -180,3 +180,12 @@ def test_taxonomy_rows_fixed_values():
     assert rows["smoothies "] == "Healthy & Specialty" and rows["smoothies"] == "Healthy & Specialty"
     assert len(set(rows.values())) == 15
     assert len(rows) == 145  # 146 listed, one listed twice
+
+
+def test_hex_cells_equal_area_across_latitudes(spark):
+    """Boxes of equal ground area at the equator and at 60 degrees hold about as many cells."""
+    def cells(lat0, dlat, dlon):
+        pts = [(lat0 + i * dlat / 60, j * dlon / 60) for i in range(60) for j in range(60)]
+        return len(set(_col(spark, pts, "a double, b double", G.hex_cell("a", "b", R.HEX_EDGE_KM))))
+    equator, north = cells(0.0, 1.0, 1.0), cells(60.0, 1.0, 2.0)  # 2 deg of longitude at 60N = 1 deg at 0
+    assert equator > 250 and abs(equator - north) / equator < 0.15
