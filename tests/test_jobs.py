@@ -181,3 +181,15 @@ def test_anchor_run_writes_every_table(spark):
         ref = QUERIES[job](spark, SF001)
         assert compare(back.columns, [tuple(r) for r in back.collect()], ref.columns,
                        [tuple(r) for r in ref.collect()]) == [], name
+
+
+def test_window_filter_and_pruning_reach_the_scan(spark):
+    """The day window becomes a Parquet range predicate and only used columns are read."""
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        QUERIES["scan_window_half_open"](spark, SF001).explain("formatted")
+    plan = buf.getvalue()
+    pushed = [ln for ln in plan.splitlines() if ln.startswith("PushedFilters") and "l_shipdate" in ln]
+    assert pushed and "GreaterThanOrEqual(l_shipdate" in pushed[0] and "LessThan(l_shipdate" in pushed[0]
+    schemas = [ln for ln in plan.splitlines() if ln.startswith("ReadSchema") and "l_shipdate" in ln]
+    assert schemas and schemas[0].count(":") <= 5  # l_orderkey, l_partkey, l_linenumber, l_shipdate
