@@ -16,8 +16,8 @@ from cohortflow import rules as R
 class TripRules:
     """F1 valid-trip bundle."""
 
-    service_area_id: int | None = 1
-    trip_outcome: int = 3
+    service_area_id: int | None = R.SERVICE_AREA_ID
+    trip_outcome: int = R.TRIP_OUTCOME_COMPLETED
     positive_coords: tuple = ("pick_up_latitude", "pick_up_longitude", "drop_off_latitude", "drop_off_longitude")
     not_null: tuple = ("captain_id", "customer_id", "booking_id")
     valid_flag: str | None = "is_valid"
@@ -61,8 +61,8 @@ def valid_trips(df: DataFrame, rules: TripRules = TripRules()) -> DataFrame:
 class BookingRules:
     """F2 completed-booking bundle."""
 
-    service_area_id: int = 1
-    status: int = 6
+    service_area_id: int = R.SERVICE_AREA_ID
+    status: int = R.BOOKING_STATUS_COMPLETED
     true_flags: tuple = ("is_trip_ended", "is_assigned")
     false_flags: tuple = ("is_cancelled_customer", "is_cancelled_captain")
     not_null: tuple = ("booking_id", "captain_id")
@@ -78,10 +78,10 @@ def completed_bookings(df: DataFrame, rules: BookingRules = BookingRules()) -> D
     return df.where(reduce(lambda a, b: a & b, conds))
 
 
-def delivered(df: DataFrame, *, status_col: str = "order_status", statuses: Sequence[str] = ("delivered",),
+def delivered(df: DataFrame, *, status_col: str = "order_status", statuses: Sequence[str] = (R.DELIVERED_STATUS,),
               case_insensitive: bool = True, city_col: str | None = "city_id",
-              cities: Sequence[int] | None = (1, 2), type_col: str | None = "order_type",
-              order_type: str | None = "shops") -> DataFrame:
+              cities: Sequence[int] | None = R.LAPSED_SERVICE_CITIES, type_col: str | None = "order_type",
+              order_type: str | None = R.B_ORDER_TYPE) -> DataFrame:
     """status in list (case-insensitive or exact), city in list, order type/domain."""
     s = F.lower(status_col) if case_insensitive else F.col(status_col)
     vals = [v.lower() for v in statuses] if case_insensitive else list(statuses)

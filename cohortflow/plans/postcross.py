@@ -51,18 +51,18 @@ def post_cross_tagged(orders: DataFrame, base: DataFrame, merchant_tags: DataFra
                       W: ObservationWindow, spark: SparkSession, taxonomy=None) -> DataFrame:
     """Delivered service-A orders of newly crossed customers, one row per active cuisine tag,
     with order rank (dense, so repeated rows of one order share it) and cuisine group."""
-    o = delivered(_window_orders(orders, base, W), statuses=("delivered",), case_insensitive=False, city_col=None,
-                  order_type="food").select(*ORDER_COLS, "merchant_id")
+    o = delivered(_window_orders(orders, base, W), statuses=(R.DELIVERED_STATUS,), case_insensitive=False,
+                  city_col=None, order_type=R.A_ORDER_TYPE).select(*ORDER_COLS, "merchant_id")
     j = join_bridge(o, merchant_tags, tags, fact_key="merchant_id", bridge_fact_key="merchant_id",
-                    bridge_dim_key="tag_id", dim_key="id", bridge_filter=F.lower("status") == "active",
-                    dim_filter=F.col("type") == "cuisine")
+                    bridge_dim_key="tag_id", dim_key="id", bridge_filter=F.lower("status") == R.TAG_STATUS_ACTIVE,
+                    dim_filter=F.col("type") == R.TAG_TYPE_CUISINE)
     j = j.select(*ORDER_COLS, F.col("name").alias("cuisine"), F.col("id").alias("cuisine_id"))
     j = map_taxonomy(j, "cuisine", taxonomy_frame(spark, taxonomy))
     return _finish(j, W, "days_since_first_order", extra=["cuisine", "cuisine_id", "cuisine_group"])
 
 
 def post_cross_orders(orders: DataFrame, base: DataFrame, W: ObservationWindow, word: str = R.B_BRAND_WORD,
-                      order_type: str = "shops") -> DataFrame:
+                      order_type: str = R.B_ORDER_TYPE) -> DataFrame:
     """Service-B orders (merchant name contains ``word``, any status) of newly crossed customers."""
     o = _window_orders(orders, base, W).where(F.col("order_type") == order_type)
     o = name_contains(o, "merchant_name", word).select(*ORDER_COLS)

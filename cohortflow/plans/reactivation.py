@@ -48,7 +48,7 @@ class ReactivationSources:
 
 
 def lapsed_service_history(orders: DataFrame, merchants: DataFrame, W: ObservationWindow,
-                           cities=(1, 2), order_type: str = "shops") -> DataFrame:
+                           cities=R.LAPSED_SERVICE_CITIES, order_type: str = R.B_ORDER_TYPE) -> DataFrame:
     """S1 + F3 + J1: delivered orders of the lapsed service in ``[history_start, anchor)``."""
     o = orders.select("customer_id", "order_id", "line_no", "merchant_id", "order_status", "city_id", "order_type",
                       "order_received_timestamp", "day")
@@ -69,7 +69,8 @@ def lifetime_features(history: DataFrame, W: ObservationWindow) -> DataFrame:
         "lifetime_orders", "last_merchant")
 
 
-def lapsed_base(src: ReactivationSources, W: ObservationWindow, min_recency: int = 30, min_orders: int = 5) -> DataFrame:
+def lapsed_base(src: ReactivationSources, W: ObservationWindow, min_recency: int = R.LAPSE_MIN_DAYS,
+                min_orders: int = R.GRADUATED_MIN_ORDERS) -> DataFrame:
     """Lapsed, resident customers with at least ``min_orders`` delivered orders."""
     src = src.with_checked_merchants()
     life = lapsed(lifetime_features(lapsed_service_history(src.orders, src.merchants, W), W), "recency_days", min_recency)
@@ -80,7 +81,7 @@ def lapsed_base(src: ReactivationSources, W: ObservationWindow, min_recency: int
         "lifetime_orders", "last_merchant", "is_resident")
 
 
-def ride_value(trips: DataFrame, W: ObservationWindow, since=None, recent_days: int = 30) -> DataFrame:
+def ride_value(trips: DataFrame, W: ObservationWindow, since=None, recent_days: int = R.RECENT_DAYS) -> DataFrame:
     """S2 + A2c + A3: de-duplicated value trips over one range ``[since, anchor)`` (T10 fixed)."""
     t = valid_trips(scan_window(trips, "day", since or W.history_lo, W.anchor), VALUE_TRIP_RULES)
     # Plain distinct: its map-side partial step removes copies before the shuffle, so even a
@@ -93,7 +94,7 @@ def ride_value(trips: DataFrame, W: ObservationWindow, since=None, recent_days:
                "last": "last_ride_date"})
 
 
-def second_service_value(lines: DataFrame, W: ObservationWindow, recent_days: int = 30) -> DataFrame:
+def second_service_value(lines: DataFrame, W: ObservationWindow, recent_days: int = R.RECENT_DAYS) -> DataFrame:
     """A2a + A3: line-item value of the second service before the anchor (ages in whole 24 h)."""
     f = lines.where(F.col("order_received_timestamp") < F.lit(W.anchor).cast("timestamp_ntz"))
     return A.value_stats(
@@ -169,7 +170,8 @@ def value_features(spine: DataFrame, src: ReactivationSources, W: ObservationWin
     )
 
 
-def reactivation_targets(src: ReactivationSources, W: ObservationWindow, min_recency: int = 30, min_orders: int = 5,
+def reactivation_targets(src: ReactivationSources, W: ObservationWindow, min_recency: int = R.LAPSE_MIN_DAYS,
+                         min_orders: int = R.GRADUATED_MIN_ORDERS,
                          rides_since=None) -> DataFrame:
     """Lapsed customers with value features, membership and profile; residents with at least
     ``min_orders`` orders in the profit table."""
@@ -182,7 +184,7 @@ def reactivation_targets(src: ReactivationSources, W: ObservationWindow, min_rec
     return out.where((F.col("is_resident") == F.lit(True)) & (F.col("n_shop_orders") >= min_orders)).drop("blended_gppo")
 
 
-def anchor_day_lines(src: ReactivationSources, W: ObservationWindow, cities=(1, 2)) -> DataFrame:
+def anchor_day_lines(src: ReactivationSources, W: ObservationWindow, cities=R.LAPSED_SERVICE_CITIES) -> DataFrame:
     """Delivered order lines of the anchor day at allow-listed merchants (one day partition)."""
     o = src.orders.select("customer_id", "order_id", "line_no", "merchant_id", "order_status", "city_id", "order_type",
                           "order_received_timestamp", "day", "promo_code", "basket_amount", "promo_amount",
@@ -191,14 +193,14 @@ def anchor_day_lines(src: ReactivationSources, W: ObservationWindow, cities=(1,
     return o.join(src.merchants.select("merchant_id"), "merchant_id", "inner")
 
 
-def anchor_day_orders(src: ReactivationSources, W: ObservationWindow, cities=(1, 2)) -> DataFrame:
+def anchor_day_orders(src: ReactivationSources, W: ObservationWindow, cities=R.LAPSED_SERVICE_CITIES) -> DataFrame:
     """Orders of the anchor day with their sequence within the customer's day."""
     return rank_within(anchor_day_lines(src, W, cities), "customer_id",
                        [F.col("order_received_timestamp").asc_nulls_last(), F.col("order_id").asc_nulls_last(),
                         F.col("line_no").asc_nulls_last()], out="day_order_rn")
 
 
-def outcome_after(src: ReactivationSources, W: ObservationWindow, cities=(1,)) -> DataFrame:
+def outcome_after(src: ReactivationSources, W: ObservationWindow, cities=R.OUTCOME_CITIES) -> DataFrame:
     """A4: delivered orders in ``(anchor, end_date]``."""
     o = src.orders.select("customer_id", "order_id", "merchant_id", "order_status", "city_id", "order_type", "day",
                           "basket_amount", "promo_amount", "net_basket_amount_with_tax")
@@ -210,7 +212,7 @@ def outcome_after(src: ReactivationSources, W: ObservationWindow, cities=(1,)) -
                            "spend_after": "net_basket_amount_with_tax"})
 
 
-def reactivation_features(src: ReactivationSources, W: ObservationWindow, outcome_cities=(1,), with_city: bool = True,
+def reactivation_features(src: ReactivationSources, W: ObservationWindow, outcome_cities=R.OUTCOME_CITIES, with_city: bool = True,
                           with_blended: bool = False, rides_since=None) -> DataFrame:
     """One row per anchor-day order line with sequence, outcome, and history features.
 

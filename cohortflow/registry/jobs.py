@@ -34,13 +34,13 @@ def job_reactivation_targets(spark, sf_dir):
 
 @register("job_reactivation_features")
 def job_reactivation_features(spark, sf_dir):
-    return P.reactivation_features(_react(spark, sf_dir), T.ANCHOR_DAY_W, outcome_cities=(1,),
+    return P.reactivation_features(_react(spark, sf_dir), T.ANCHOR_DAY_W, outcome_cities=R.OUTCOME_CITIES,
                                    rides_since="1995-01-01")
 
 
 @register("job_reactivation_features_blended")
 def job_reactivation_features_blended(spark, sf_dir):
-    return P.reactivation_features(_react(spark, sf_dir), T.ANCHOR_DAY_W, outcome_cities=(1, 2), with_city=False,
+    return P.reactivation_features(_react(spark, sf_dir), T.ANCHOR_DAY_W, outcome_cities=R.OUTCOME_CITIES_ALL, with_city=False,
                                    with_blended=True, rides_since="1995-01-01")
 
 

@@ -220,10 +220,12 @@ def join_proximity_time(spark, d):
 @register("join_bridge_tags")
 def join_bridge_tags(spark, d):
     s = Sources(spark, d)
-    o = FL.delivered(s.orders, statuses=("delivered",), case_insensitive=False, city_col=None, order_type="food")
+    o = FL.delivered(s.orders, statuses=(R.DELIVERED_STATUS,), case_insensitive=False, city_col=None,
+                     order_type=R.A_ORDER_TYPE)
     j = J.join_bridge(o.select("order_id", "line_no", "merchant_id"), s.merchant_tags, s.tags, fact_key="merchant_id",
                       bridge_fact_key="merchant_id", bridge_dim_key="tag_id", dim_key="id",
-                      bridge_filter=F.lower("status") == "active", dim_filter=F.col("type") == "cuisine")
+                      bridge_filter=F.lower("status") == R.TAG_STATUS_ACTIVE,
+                      dim_filter=F.col("type") == R.TAG_TYPE_CUISINE)
     return j.select("order_id", "line_no", F.col("name").alias("cuisine"))
 
 
@@ -264,7 +266,7 @@ def agg_recent_distinct(spark, d):
 
 @register("agg_outcome_after")
 def agg_outcome_after(spark, d):
-    o = P.outcome_after(P.ReactivationSources.from_testbed(Sources(spark, d)), AW, (1, 2))
+    o = P.outcome_after(P.ReactivationSources.from_testbed(Sources(spark, d)), AW, R.OUTCOME_CITIES_ALL)
     return _money(o, {"basket_after", "promo_after", "spend_after"})
 
 

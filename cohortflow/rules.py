@@ -34,6 +34,22 @@ TIME_OF_DAY_RULES = [(6, 10, "Morning"), (10, 16, "Day"), (16, 20, "Evening")]
 TIME_OF_DAY_ELSE = "Night"
 TIME_OF_DAY_ORDER = ["Morning", "Day", "Evening", "Night"]
 
+# Record filters: service area, completed trip outcome, completed booking status, delivered orders.
+SERVICE_AREA_ID = 1
+TRIP_OUTCOME_COMPLETED = 3
+BOOKING_STATUS_COMPLETED = 6
+DELIVERED_STATUS = "delivered"
+LAPSED_SERVICE_CITIES = (1, 2)
+OUTCOME_CITIES = (1,)
+OUTCOME_CITIES_ALL = (1, 2)
+B_ORDER_TYPE = "shops"
+A_ORDER_TYPE = "food"
+TAG_STATUS_ACTIVE = "active"
+TAG_TYPE_CUISINE = "cuisine"
+RECENT_DAYS = 30
+LAPSE_MIN_DAYS = 30
+GRADUATED_MIN_ORDERS = 5
+
 # Services, places and the brand word of the second delivery service.
 BASE_SERVICES = ("ride_hailing", "limo")
 A_SERVICES = ("food",)
