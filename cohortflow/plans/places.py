@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cohortflow import rules as R
 from cohortflow.functions.bands import place_class
-from cohortflow.functions.geo import decode_point
+from cohortflow.functions.geo import with_decoded_point
 from cohortflow.functions.keys import norm_key
 from cohortflow.operators.aggregates import point_counts
 from cohortflow.operators.filters import completed_bookings, exclude_like
@@ -40,11 +40,10 @@ def saved_places(locations: DataFrame, coordinates: DataFrame, details: DataFram
     loc = restrict_to(loc, base, "sl_customer_id", "customer_id")
     ids = loc.select("location_id")
     loc = latest_by(loc, ["sl_customer_id", "location_id"], ["last_updated", "created_at"])
-    pt = decode_point("lng_lat")
-    coord = coordinates.select(norm_key("location_bookmark_id").alias("location_id"), "last_updated",
-                               pt.lat.alias("sl_lat"), pt.lon.alias("sl_lon"))
-    coord = latest_by(restrict_to(coord, ids, "location_id"), ["location_id"], ["last_updated", "sl_lat", "sl_lon"],
-                      ["sl_lat", "sl_lon"])
+    coord = coordinates.select(norm_key("location_bookmark_id").alias("location_id"), "last_updated", "lng_lat")
+    coord = restrict_to(coord, ids, "location_id")
+    coord = with_decoded_point(coord, "lng_lat", "sl_lat", "sl_lon").drop("lng_lat")
+    coord = latest_by(coord, ["location_id"], ["last_updated", "sl_lat", "sl_lon"], ["sl_lat", "sl_lon"])
     det = details.select(norm_key("location_bookmark_id").alias("location_id"), "last_updated",
                          F.col("saved_name").cast("string").alias("saved_name"),
                          F.col("address_type").cast("string").alias("address_type"),

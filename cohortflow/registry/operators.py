@@ -609,8 +609,7 @@ def measure_promo_override(spark, d):
 @register("geo_decode_point")
 def geo_decode_point(spark, d):
     c = Sources(spark, d).place_coordinates
-    p = G.decode_point("lng_lat")
-    return c.select("location_bookmark_id", "last_updated", p.lat.alias("lat"), p.lon.alias("lon"))
+    return G.with_decoded_point(c, "lng_lat").select("location_bookmark_id", "last_updated", "lat", "lon")
 
 
 @register("geo_haversine")

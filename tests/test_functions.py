@@ -189,3 +189,11 @@ def test_hex_cells_equal_area_across_latitudes(spark):
         return len(set(_col(spark, pts, "a double, b double", G.hex_cell("a", "b", R.HEX_EDGE_KM))))
     equator, north = cells(0.0, 1.0, 1.0), cells(60.0, 1.0, 2.0)  # 2 deg of longitude at 60N = 1 deg at 0
     assert equator > 250 and abs(equator - north) / equator < 0.15
+
+
+def test_staged_decode_equals_expression(spark):
+    rows = [(_ewkb(25.5, 55.25),), (_ewkb(-1.0, 2.0, srid=False),), ("junk",), (None,)]
+    df = spark.createDataFrame(rows, "h string")
+    staged = [(r.lat, r.lon) for r in G.with_decoded_point(df, "h").collect()]
+    expr = [(r.p.lat, r.p.lon) if r.p else (None, None) for r in df.select(G.decode_point("h").alias("p")).collect()]
+    assert staged == expr == [(25.5, 55.25), (-1.0, 2.0), (None, None), (None, None)]
