@@ -127,12 +127,20 @@ def near_join(events: DataFrame, places: DataFrame, *, key: str, ev_lat: str, ev
         return F.pmod(k, n)
 
     pk = place_key or key
-    p_band = F.floor(F.col(pl_lat) / F.lit(cell)).cast("long")
+    # Per place: its band, then for each of the three bands around it the number of cells and the
+    # place's cell index there (computed once, as columns), then the 3x3 neighbour keys.
+    staged = places.withColumn("__b", F.floor(F.col(pl_lat) / F.lit(cell)).cast("long"))
+    for d in (-1, 0, 1):
+        staged = staged.withColumn(f"__n{d + 1}", n_cells(F.col("__b") + d))
+    for d in (-1, 0, 1):
+        n = F.col(f"__n{d + 1}")
+        staged = staged.withColumn(f"__k{d + 1}", F.floor((F.col(pl_lon) + F.lit(180.0)) / (F.lit(360.0) / n)).cast("long"))
     neigh = F.explode(F.array_distinct(F.array(*[
-        F.struct((p_band + d).alias("__band"), lon_cell(F.col(pl_lon), p_band + d, e).alias("__cell"))
+        F.struct((F.col("__b") + d).alias("__band"),
+                 F.pmod(F.col(f"__k{d + 1}") + F.lit(e), F.col(f"__n{d + 1}")).alias("__cell"))
         for d in (-1, 0, 1) for e in (-1, 0, 1)
     ])))
-    p = places.select("*", neigh.alias("__nb")).select(
+    p = staged.select(*[F.col(c) for c in places.columns], neigh.alias("__nb")).select(
         [F.col(c) for c in places.columns] + [F.col("__nb.__band").alias("__pband"), F.col("__nb.__cell").alias("__pcell")])
     e_band = F.floor(F.col(ev_lat) / F.lit(cell)).cast("long")
     e = events.withColumn("__eband", e_band).withColumn("__ecell", lon_cell(F.col(ev_lon), F.col("__eband")))
