@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortflow.functions.measures import safe_ratio
 
@@ -31,15 +32,39 @@ def lifetime(df: DataFrame, *, key: str, day: str, order_id: str, anchor, last_v
     return out.withColumn(n["recency"], F.datediff(F.lit(anchor), F.col(n["last"])).cast("long"))
 
 
+def minor_units(df: DataFrame, amount: Column, scale: int) -> Column | None:
+    """``amount`` as an exact BIGINT count of 10^-scale units, when its type allows it (DECIMAL with
+    at most ``scale`` places, or an integer); None otherwise. Summing longs keeps the aggregation
+    buffer fixed-width (fast hash aggregate) where a wide DECIMAL sum falls back to BigDecimal."""
+    dt = df.select(amount.alias("__a")).schema["__a"].dataType
+    if isinstance(dt, T.DecimalType) and dt.scale <= scale:
+        return (amount * F.lit(10 ** scale)).cast("long")
+    if isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return amount.cast("long") * F.lit(10 ** scale)
+    return None
+
+
+def from_minor_units(total: Column, scale: int) -> Column:
+    """Exact DECIMAL back from a BIGINT count of 10^-scale units."""
+    return total.cast("decimal(38,0)") / F.lit(10 ** scale).cast("decimal(19,0)")
+
+
 def value_stats(df: DataFrame, *, key: str, order_id: str, gross: Column, margin: Column,
-                names: Mapping[str, str], recent: Column | None = None, last: str | None = None) -> DataFrame:
+                names: Mapping[str, str], recent: Column | None = None, last: str | None = None,
+                money_scale: int | None = 4) -> DataFrame:
     """A2a/A2b/A2c (+A3): distinct orders, recent distinct orders, gross, margin, margin per order,
     last activity. Money sums stay DECIMAL (exact, order-independent).
 
     Two-level aggregate instead of two ``count(DISTINCT)``: first per (key, order) - which also
     spreads a hot key over its orders - then per key, where the distinct counts are plain counts
     of order groups (with / without a recent row). No Expand, so no 3x row blow-up before the
-    shuffle."""
+    shuffle. Money is summed exactly: as BIGINT minor units when the amounts' types allow it
+    (``money_scale`` places), else as DECIMAL; the result is DECIMAL either way."""
+    g_units = minor_units(df, gross, money_scale) if money_scale is not None else None
+    m_units = minor_units(df, margin, money_scale) if money_scale is not None else None
+    in_units = g_units is not None and m_units is not None
+    if in_units:
+        gross, margin = g_units, m_units
     per_order = [F.sum(gross).alias("__g"), F.sum(margin).alias("__m")]
     if recent is not None:
         per_order.append(F.max(recent.cast("int")).alias("__r"))
@@ -52,6 +77,9 @@ def value_stats(df: DataFrame, *, key: str, order_id: str, gross: Column, margin
     if last is not None:
         aggs.append(F.max("__l").alias(names["last"]))
     out = o.groupBy(key).agg(*aggs)
+    if in_units:
+        out = (out.withColumn(names["gmv"], from_minor_units(F.col(names["gmv"]), money_scale))
+                  .withColumn(names["gp"], from_minor_units(F.col(names["gp"]), money_scale)))
     return out.withColumn(names["gppo"], safe_ratio(F.col(names["gp"]), F.col(names["n"])))
 
 
