@@ -20,15 +20,26 @@ MONEY_COLS = ["promo_amount", "basket_amount", "net_revenue", "net_basket_amount
               "member_discount"]
 
 
+def literal_frame(spark: SparkSession, rows, names) -> DataFrame:
+    """A small fixed lookup as a DataFrame built in the JVM (inline of literal structs; no Python
+    worker, unlike createDataFrame from a list)."""
+    structs = [F.struct(*[F.lit(v).alias(n) for v, n in zip(row, names)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def taxonomy_frame(spark: SparkSession, taxonomy=None) -> DataFrame:
     """C9 rule data as a DataFrame (name, group); a fixed ~150-row lookup."""
-    return spark.createDataFrame(R.taxonomy_rows(taxonomy), "tax_name string, cuisine_group string")
+    return literal_frame(spark, R.taxonomy_rows(taxonomy), ["tax_name", "cuisine_group"])
 
 
 def map_taxonomy(df: DataFrame, col: str, tax: DataFrame, out: str = "cuisine_group",
-                 default: str = R.CUISINE_DEFAULT) -> DataFrame:
-    """Broadcast left join on ``lower(name)`` (untrimmed, T26), default group for the rest."""
-    j = df.join(broadcast_if_small(tax, 10_000), F.lower(df[col]) == tax["tax_name"], "left")
+                 default: str = R.CUISINE_DEFAULT, known_rows: int | None = None) -> DataFrame:
+    """Broadcast left join on ``lower(name)`` (untrimmed, T26), default group for the rest.
+
+    ``known_rows`` is the size of a lookup built from rule data (a proven bound, no counting job);
+    any other lookup is size-checked first."""
+    small = F.broadcast(tax) if known_rows is not None and known_rows <= 10_000 else broadcast_if_small(tax, 10_000)
+    j = df.join(small, F.lower(df[col]) == tax["tax_name"], "left")
     return j.withColumn(out, F.coalesce(F.col("cuisine_group"), F.lit(default))).drop("tax_name", *(
         ["cuisine_group"] if out != "cuisine_group" else []))
 
@@ -57,7 +68,7 @@ def post_cross_tagged(orders: DataFrame, base: DataFrame, merchant_tags: DataFra
                     bridge_dim_key="tag_id", dim_key="id", bridge_filter=F.lower("status") == R.TAG_STATUS_ACTIVE,
                     dim_filter=F.col("type") == R.TAG_TYPE_CUISINE)
     j = j.select(*ORDER_COLS, F.col("name").alias("cuisine"), F.col("id").alias("cuisine_id"))
-    j = map_taxonomy(j, "cuisine", taxonomy_frame(spark, taxonomy))
+    j = map_taxonomy(j, "cuisine", taxonomy_frame(spark, taxonomy), known_rows=len(R.taxonomy_rows(taxonomy)))
     return _finish(j, W, "days_since_first_order", extra=["cuisine", "cuisine_id", "cuisine_group"])
 
 

@@ -388,7 +388,9 @@ DIETARY_TAG_IDS = (20, 21)
 
 def tags(spark: SparkSession, sf_dir: str | None = None) -> DataFrame:
     rows = [(i, n, "dietary" if i in DIETARY_TAG_IDS else "cuisine") for i, n in enumerate(TAG_NAMES)]
-    return spark.createDataFrame(rows, "id long, name string, type string")
+    structs = [F.struct(F.lit(i).cast("long").alias("id"), F.lit(n).alias("name"), F.lit(t).alias("type"))
+               for i, n, t in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
 
 
 def merchant_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
