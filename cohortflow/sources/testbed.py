@@ -91,13 +91,13 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_discount") >= 0.05, F.concat(F.lit("SAVE"), (F.col("l_orderkey") % 5).cast("string"))).alias("promo_code"),
         F.when(F.col("l_discount") >= 0.08, F.lit("percent")).when(F.col("l_discount") >= 0.05, F.lit("flat")).alias("promo_type"),
         F.col("l_discount").alias("promo_applied_value"),
-        _dec(F.col("l_extendedprice"), 18, 2).alias("basket_amount"),
-        _dec(price * disc, 18, 4).alias("promo_amount"),
-        _dec(price * _dec(F.lit(1) - disc, 4, 2) * _dec(F.lit(1) + tax, 4, 2), 18, 6).alias("net_basket_amount_with_tax"),
-        _dec(price * _dec(F.lit(1) - disc, 4, 2), 18, 4).alias("net_revenue"),
-        _dec(F.col("l_linenumber"), 18, 2).alias("delivery_fee"),
-        _dec(price * _dec(F.lit(1) + tax, 4, 2), 18, 4).alias("gmv"),
-        _dec(F.when(F.col("l_orderkey") % 7 == 0, F.lit(5)).otherwise(F.lit(0)), 18, 2).alias("member_discount"),
+        _dec(F.col("l_extendedprice"), 14, 2).alias("basket_amount"),
+        _dec(price * disc, 14, 4).alias("promo_amount"),
+        _dec(price * _dec(F.lit(1) - disc, 4, 2) * _dec(F.lit(1) + tax, 4, 2), 16, 6).alias("net_basket_amount_with_tax"),
+        _dec(price * _dec(F.lit(1) - disc, 4, 2), 14, 4).alias("net_revenue"),
+        _dec(F.col("l_linenumber"), 14, 2).alias("delivery_fee"),
+        _dec(price * _dec(F.lit(1) + tax, 4, 2), 14, 4).alias("gmv"),
+        _dec(F.when(F.col("l_orderkey") % 7 == 0, F.lit(5)).otherwise(F.lit(0)), 14, 2).alias("member_discount"),
     )
 
 
@@ -121,9 +121,9 @@ def value_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_custkey").alias("customer_id"),
         F.col("l_orderkey").alias("order_id"),
         _hours(F.col("l_shipdate"), (F.col("l_linenumber") * 3 + F.col("l_orderkey") % 3).cast("int")).alias("order_received_timestamp"),
-        _dec(F.col("l_extendedprice"), 18, 2).alias("gtv"),
-        _dec(price * _dec(F.lit(0.5), 4, 2), 18, 4).alias("cogs"),
-        _dec(price * _dec(F.col("l_tax"), 4, 2), 18, 4).alias("partner_share"),
+        _dec(F.col("l_extendedprice"), 14, 2).alias("gtv"),
+        _dec(price * _dec(F.lit(0.5), 4, 2), 14, 4).alias("cogs"),
+        _dec(price * _dec(F.col("l_tax"), 4, 2), 14, 4).alias("partner_share"),
     )
 
 
@@ -134,10 +134,10 @@ def order_level(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_custkey").alias("customer_id"),
         F.col("o_orderkey").alias("order_id"),
         F.col("o_orderdate").cast("date").alias("day"),
-        _dec(F.col("o_totalprice"), 18, 2).alias("gmv"),
-        _dec(_dec(F.col("o_totalprice"), 14, 2) * _dec(F.lit(0.2), 4, 2), 18, 4).alias("net_revenue"),
-        _dec(-(F.col("o_orderkey") % 10), 18, 2).alias("delivery_costs"),
-        _dec(-(F.col("o_custkey") % 3), 18, 2).alias("wastage"),
+        _dec(F.col("o_totalprice"), 14, 2).alias("gmv"),
+        _dec(_dec(F.col("o_totalprice"), 14, 2) * _dec(F.lit(0.2), 4, 2), 14, 4).alias("net_revenue"),
+        _dec(-(F.col("o_orderkey") % 10), 14, 2).alias("delivery_costs"),
+        _dec(-(F.col("o_custkey") % 3), 14, 2).alias("wastage"),
     )
 
 
@@ -172,13 +172,13 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(F.col("p_type")).alias("cct"),
         F.col("p_partkey").cast("int").alias("cct_id"),
         F.when(F.col("o_custkey") % 17 == 0, F.lit(OTHER_PLACE)).otherwise(F.lit(COUNTRY)).alias("country"),
-        _dec(F.col("l_extendedprice"), 18, 2).alias("revenue"),
-        _dec(price * _dec(F.col("l_discount"), 4, 2), 18, 4).alias("cogs"),
+        _dec(F.col("l_extendedprice"), 14, 2).alias("revenue"),
+        _dec(price * _dec(F.col("l_discount"), 4, 2), 14, 4).alias("cogs"),
         _hours(F.col("l_shipdate"), hours).alias("booking_date"),
         F.lit("app").alias("booking_platform"),
         (F.col("l_quantity") / F.lit(2.0)).alias("distance_travelled"),
         (F.col("l_quantity") * F.lit(0.75)).alias("duration_time"),
-        _dec(F.col("l_extendedprice"), 18, 2).alias("trip_price"),
+        _dec(F.col("l_extendedprice"), 14, 2).alias("trip_price"),
         F.when(F.col("o_orderkey") % 3 == 0, F.lit(" Card "))
          .when(F.col("o_orderkey") % 3 == 1, F.lit("CASH")).otherwise(F.lit("Wallet")).alias("customer_payment_selection"),
         F.when(F.col("l_discount") >= 0.06, F.concat(F.lit("RIDE"), F.col("l_linenumber").cast("string")))

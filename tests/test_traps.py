@@ -92,3 +92,14 @@ def test_missing_recency_defaults_to_365(spark):
     rows = queries()["measure_defaults"](spark, SF01).collect()
     no_rides = [r for r in rows if r.n_rides == 0]
     assert no_rides and all(r.ride_recency == R.MISSING_RECENCY_DAYS for r in no_rides)
+
+
+def test_minor_units_exact_on_both_paths(spark):
+    """Money sums via minor units: exact for small amounts (double path) and huge ones (decimal path)."""
+    from decimal import Decimal
+    rows = [(1, 1, Decimal("0.0001")), (1, 2, Decimal("123456.7891")), (2, 3, Decimal("99999999999999.9999")),
+            (2, 4, Decimal("-0.0003")), (2, 4, Decimal("1.0000"))]
+    df = spark.createDataFrame(rows, "k int, o int, a decimal(18,4)")
+    got = {r.k: r.gmv for r in A.value_stats(df, key="k", order_id="o", gross=F.col("a"), margin=F.col("a"),
+                                              names={"n": "n", "gmv": "gmv", "gp": "gp", "gppo": "gppo"}).collect()}
+    assert got == {1: Decimal("123456.7892"), 2: Decimal("99999999999999.9999") + Decimal("0.9997")}
