@@ -32,9 +32,14 @@ def main() -> None:
     qs["job_lapsed_base"](spark, sf_dir).write.format("noop").mode("overwrite").save()
 
     timings: dict[str, float] = {}
+    errors: dict[str, str] = {}
     for name in selected:
         t0 = time.perf_counter()
-        qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        try:
+            qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        except Exception as e:  # noqa: BLE001  (report and continue; one line of JSON is always printed)
+            errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
+            continue
         timings[name] = round(time.perf_counter() - t0, 3)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     out = {
@@ -45,6 +50,8 @@ def main() -> None:
         "sf": float(m.group(1)) if m else sf_dir,
         "cpus": int(cpus),
     }
+    if errors:
+        out["errors"] = errors
     print(json.dumps(out))
     spark.stop()
 
