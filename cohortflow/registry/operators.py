@@ -19,6 +19,7 @@ from cohortflow.plans import locations as L
 from cohortflow.plans import places as PL
 from cohortflow.plans import postcross as PC
 from cohortflow.plans import reactivation as P
+from cohortflow.plans import status as ST
 from cohortflow.registry import register
 from cohortflow.registry.jobs import TRIP_THRESHOLDS, cohort
 from cohortflow.sources import testbed as T
@@ -474,20 +475,12 @@ def band_recency(spark, d):
 
 @register("band_status_snapshot")
 def band_status_snapshot(spark, d):
-    s = S.latest_snapshot(Sources(spark, d).platform_status, "day", EW.anchor, 3)
-    s = s.where((F.col("granularity") == R.SNAPSHOT_GRANULARITY) & (F.col("city") == R.HOME_CITY))
-    age = F.datediff(F.col("day"), F.col("last_tx_date"))
-    return s.select("customer_id", "monthly_status", "all_time_tx",
-                    B.band("all_time_tx", R.TX_COUNT_BANDS).alias("tx_cohort"),
-                    B.band(age, R.LAST_SEEN_BANDS, R.LAST_SEEN_ELSE, R.LAST_SEEN_NULL).alias("last_seen_band")).distinct()
+    return ST.platform_status_bands(Sources(spark, d).platform_status, EW.anchor, lookback_days=3)
 
 
 @register("status_snapshot_distinct")
 def status_snapshot_distinct(spark, d):
-    s = S.exact_snapshot(Sources(spark, d).service_status, "day", EW.anchor)
-    s = s.where((F.col("granularity") == R.SNAPSHOT_GRANULARITY) & F.col("city").isin(R.HOME_CITY)
-                & (F.col("domain") == R.SNAPSHOT_DOMAIN) & (F.col("level") == R.SNAPSHOT_LEVEL))
-    return s.select("customer_id", "monthly_status", "last_order_date", "delivered_orders").distinct()
+    return ST.service_status_snapshot(Sources(spark, d).service_status, EW.anchor)
 
 
 @register("band_usage")
