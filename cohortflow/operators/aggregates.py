@@ -146,3 +146,47 @@ def dominant_bucket(pcts: Mapping[str, Column], labels: Mapping[str, str], else_
             cond = c if cond is None else cond & c
         expr = F.when(cond, F.lit(labels[b])) if expr is None else expr.when(cond, F.lit(labels[b]))
     return expr.otherwise(F.lit(else_label))
+
+
+def usage_summary(df: DataFrame, *, key: str, averages: Mapping[str, str], total: tuple[str, str] | None = None,
+                  count: str | None = None, age: str | None = None, age_names: tuple[str, str] = ("oldest_age", "newest_age"),
+                  decimals: int = 2) -> DataFrame:
+    """Per key, averages rounded to ``decimals`` (``{out: column}``), an optional total
+    ``(out, column)``, row count, and oldest / newest age."""
+    aggs = [F.round(F.avg(src), decimals).alias(out) for out, src in averages.items()]
+    if total:
+        aggs.append(F.sum(total[1]).alias(total[0]))
+    if count:
+        aggs.append(F.count(F.lit(1)).alias(count))
+    if age:
+        aggs += [F.max(age).alias(age_names[0]), F.min(age).alias(age_names[1])]
+    return df.groupBy(key).agg(*aggs)
+
+
+def decayed_count(df: DataFrame, *, key: str, age: str, taus: Sequence[float], prefix: str = "w_",
+                  decimals: int | None = None) -> DataFrame:
+    """``sum(exp(-age / tau))`` per key for each tau (age cast to double)."""
+    from cohortflow.functions.measures import decay_weight
+
+    def agg(tau):
+        s = F.sum(decay_weight(age, tau))
+        return (F.round(s, decimals) if decimals is not None else s).alias(f"{prefix}{tau}")
+    return df.groupBy(key).agg(*[agg(t) for t in taus])
+
+
+def share_pct(df: DataFrame, *, key: str, cond: Column, out: str) -> DataFrame:
+    """Percentage of a key's rows meeting ``cond`` (``count_if * 1.0 / count * 100``)."""
+    a = df.groupBy(key).agg(F.sum(cond.cast("long")).alias("__k"), F.count(F.lit(1)).alias("__n"))
+    return a.select(key, ((F.col("__k").cast("double") / F.col("__n").cast("double")) * F.lit(100.0)).alias(out))
+
+
+def category_share_flag(df: DataFrame, *, key: str, cat: str, values: Sequence[str], threshold: float,
+                        labels: tuple[str, str], out: str) -> DataFrame:
+    """Label when any listed category's share of the key's rows reaches ``threshold`` percent
+    (max over the listed categories, not their sum)."""
+    from cohortflow.operators.windows import share_of_total
+
+    shares = share_of_total(point_counts(df, [key, cat], "__c"), key, "__c", "__pct")
+    best = F.max(F.when(F.col(cat).isin(list(values)), F.col("__pct")).otherwise(F.lit(0.0)))
+    return shares.groupBy(key).agg(
+        F.when(best >= threshold, F.lit(labels[0])).otherwise(F.lit(labels[1])).alias(out))

@@ -292,13 +292,11 @@ def _window_trips(spark, d):
 
 @register("agg_usage_summary")
 def agg_usage_summary(spark, d):
-    t = _window_trips(spark, d)
-    return t.groupBy("customer_id").agg(
-        F.round(F.avg("distance_travelled"), 2).alias("avg_distance"),
-        F.round(F.avg("duration_time"), 2).alias("avg_duration"),
-        F.round(F.avg("revenue"), 2).cast("double").alias("avg_revenue"),
-        F.sum("revenue").cast("double").alias("total_gmv"), F.count(F.lit(1)).alias("trip_count"),
-        F.max("age").alias("oldest_age"), F.min("age").alias("newest_age"))
+    u = A.usage_summary(_window_trips(spark, d), key="customer_id",
+                        averages={"avg_distance": "distance_travelled", "avg_duration": "duration_time",
+                                  "avg_revenue": "revenue"},
+                        total=("total_gmv", "revenue"), count="trip_count", age="age")
+    return _money(u, {"avg_revenue", "total_gmv"})
 
 
 def _events(spark, d):
@@ -309,18 +307,15 @@ def _events(spark, d):
 def agg_decay_weights(spark, d):
     e = S.scan_window(_events(spark, d), "ts", None, F.lit(EW.anchor).cast("timestamp_ntz"))
     e = e.withColumn("age", M.elapsed_days("ts", EW.anchor))
-    return e.groupBy("user_id").agg(*[F.round(F.sum(M.decay_weight("age", tau)), 6).alias(f"w_{tau}")
-                                      for tau in R.DECAY_TAUS])
+    return A.decayed_count(e, key="user_id", age="age", taus=R.DECAY_TAUS, decimals=6)
 
 
 @register("agg_promo_share")
 def agg_promo_share(spark, d):
-    t = _window_trips(spark, d)
-    promo = (F.col("booking_promo_code").isNotNull() & (F.col("booking_promo_code") != "")).cast("long")
-    a = t.groupBy("customer_id").agg(F.sum(promo).alias("n_promo"), F.count(F.lit(1)).alias("n"))
-    pct = (F.col("n_promo").cast("double") / F.col("n").cast("double")) * F.lit(100.0)
-    return a.select("customer_id", pct.alias("promo_perc"),
-                    F.when(pct > TRIP_THRESHOLDS.promo_percent_threshold, F.lit(R.PROMO_LABELS[0]))
+    promo = F.col("booking_promo_code").isNotNull() & (F.col("booking_promo_code") != "")
+    a = A.share_pct(_window_trips(spark, d), key="customer_id", cond=promo, out="promo_perc")
+    return a.select("customer_id", "promo_perc",
+                    F.when(F.col("promo_perc") > TRIP_THRESHOLDS.promo_percent_threshold, F.lit(R.PROMO_LABELS[0]))
                      .otherwise(F.lit(R.PROMO_LABELS[1])).alias("promo_behaviour"))
 
 
@@ -331,12 +326,8 @@ def agg_ride_count(spark, d):
 
 @register("agg_category_share_flag")
 def agg_category_share_flag(spark, d):
-    t = _window_trips(spark, d)
-    shares = WN.share_of_total(A.point_counts(t, ["customer_id", "cct"], "cnt"), "customer_id", "cnt", "pct")
-    flag = F.max(F.when(F.col("cct").isin(R.CHILD_PRODUCTS), F.col("pct")).otherwise(F.lit(0.0)))
-    return shares.groupBy("customer_id").agg(
-        F.when(flag >= TRIP_THRESHOLDS.min_share_pct, F.lit(R.PARENT_LABELS[0]))
-         .otherwise(F.lit(R.PARENT_LABELS[1])).alias("parent_status"))
+    return A.category_share_flag(_window_trips(spark, d), key="customer_id", cat="cct", values=R.CHILD_PRODUCTS,
+                                 threshold=TRIP_THRESHOLDS.min_share_pct, labels=R.PARENT_LABELS, out="parent_status")
 
 
 @register("agg_distinct_rows")
