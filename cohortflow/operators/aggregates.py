@@ -190,3 +190,18 @@ def category_share_flag(df: DataFrame, *, key: str, cat: str, values: Sequence[s
     best = F.max(F.when(F.col(cat).isin(list(values)), F.col("__pct")).otherwise(F.lit(0.0)))
     return shares.groupBy(key).agg(
         F.when(best >= threshold, F.lit(labels[0])).otherwise(F.lit(labels[1])).alias(out))
+
+
+def dominant_bucket_of(df: DataFrame, *, key: str, bucket: str, order: Sequence[str], min_count: int,
+                       labels: Mapping[str, str], else_label: str, out: str) -> DataFrame:
+    """A16 end to end: share of each bucket in the key's rows, buckets under ``min_count`` rows
+    score 0, then the ordered strict comparison (ties to the later bucket). A key without any
+    bucket reaching the minimum has no row."""
+    from cohortflow.operators.windows import share_of_total
+
+    shares = share_of_total(point_counts(df, [key, bucket], "__c"), key, "__c", "__pct")
+    kept = shares.where(F.col("__c") >= min_count)
+    piv = kept.groupBy(key).agg(*[F.max(F.when(F.col(bucket) == b, F.col("__pct")).otherwise(F.lit(0.0))).alias(f"__b{i}")
+                                  for i, b in enumerate(order)])
+    pcts = {b: F.col(f"__b{i}") for i, b in enumerate(order)}
+    return piv.select(key, dominant_bucket(pcts, labels, else_label).alias(out))

@@ -375,12 +375,9 @@ def agg_argmax_cell(spark, d):
 def agg_dominant_bucket(spark, d):
     e = S.scan_window(_events(spark, d), "ts", None, F.lit(EW.anchor).cast("timestamp_ntz"))
     e = e.select("user_id", B.hour_bucket("ts", 4, R.TIME_OF_DAY_RULES, R.TIME_OF_DAY_ELSE).alias("tod"))
-    counts = WN.share_of_total(A.point_counts(e, ["user_id", "tod"], "cnt"), "user_id", "cnt", "pct")
-    kept = counts.where(F.col("cnt") >= 10)
-    piv = kept.groupBy("user_id").agg(*[F.max(F.when(F.col("tod") == b, F.col("pct")).otherwise(F.lit(0.0))).alias(b)
-                                        for b in R.TIME_OF_DAY_ORDER])
-    return piv.select("user_id", A.dominant_bucket({b: F.col(b) for b in R.TIME_OF_DAY_ORDER}, R.COMMUTER_LABELS,
-                                                   R.COMMUTER_LABELS["Night"]).alias("time_of_day_commuter"))
+    return A.dominant_bucket_of(e, key="user_id", bucket="tod", order=R.TIME_OF_DAY_ORDER, min_count=10,
+                                labels=R.COMMUTER_LABELS, else_label=R.COMMUTER_LABELS["Night"],
+                                out="time_of_day_commuter")
 
 
 # ---- 2.6 windows / 2.7 top-k, set ops --------------------------------------------------------
