@@ -219,3 +219,29 @@ def test_cli_cross_sell_on_parquet_tables(spark):
     back = spark.read.parquet(os.path.join(root, "out", "trip_features")).drop("anchor")
     ref = QUERIES["job_trip_features"](spark, SF001)
     assert compare(back.columns, [tuple(r) for r in back.collect()], ref.columns, [tuple(r) for r in ref.collect()]) == []
+
+
+def test_cli_reactivation_on_parquet_tables(spark):
+    import json
+
+    from cohortflow import cli
+    from cohortflow.sources import testbed as TB
+
+    root = tempfile.mkdtemp(prefix="cohortflow-cli-r-")
+    s = TB.Sources(spark, SF001)
+    names = ["orders", "merchants", "customers", "value_lines", "order_level", "trips", "subscription_events", "profile"]
+    mapping = {}
+    for name in names:
+        path = os.path.join(root, "in", name)
+        getattr(s, name).write.parquet(path)
+        mapping[name] = path
+    with open(os.path.join(root, "tables.json"), "w") as fh:
+        json.dump(mapping, fh)
+    W = TB.REACTIVATION_W
+    cli.main(["reactivation", "--tables", os.path.join(root, "tables.json"), "--anchor", str(W.anchor),
+              "--history-start", str(W.history_start), "--end", str(W.end_date), "--rides-since", "1995-01-01",
+              "--out", os.path.join(root, "out")])
+    back = spark.read.parquet(os.path.join(root, "out", "lapsed_base")).drop("anchor")
+    ref = P.lapsed_base(P.ReactivationSources.from_testbed(s), W)
+    assert compare(back.columns, [tuple(r) for r in back.collect()], ref.columns, [tuple(r) for r in ref.collect()]) == []
+    assert {"reactivation_features", "reactivation_targets"} <= set(os.listdir(os.path.join(root, "out")))
