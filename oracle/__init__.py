@@ -6,13 +6,9 @@ from oracle.bindings import with_bindings
 
 
 def all_sql() -> dict[str, str]:
-    from oracle import crosssell_sql, reactivation_sql
+    from oracle import crosssell_sql, more_sql, reactivation_sql
+
     out: dict[str, str] = {}
-    for mod in (reactivation_sql, crosssell_sql):
+    for mod in (reactivation_sql, crosssell_sql, more_sql):
         out.update(mod.SQL)
-    try:
-        from oracle import more_sql
-        out.update(more_sql.SQL)
-    except ImportError:
-        pass
     return {k: with_bindings(v) for k, v in out.items()}
