@@ -9,6 +9,7 @@ import os
 import tempfile
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from cohortflow import rules as R
@@ -246,3 +247,30 @@ def test_cli_reactivation_on_parquet_tables(spark):
     assert back.count() > 0
     assert compare(back.columns, [tuple(r) for r in back.collect()], ref.columns, [tuple(r) for r in ref.collect()]) == []
     assert {"reactivation_features", "reactivation_targets"} <= set(os.listdir(os.path.join(root, "out")))
+
+
+def test_proximity_inner_equals_left_after_exclusions(spark):
+    """SURVEY 5.3: the inner proximity join gives the same commute input as the upstream left
+    join followed by the best-match pick and the residential exclusions (T22)."""
+    from cohortflow import rules as RR
+    from cohortflow.operators import filters as FLT
+    from cohortflow.operators import joins as JN
+    from cohortflow.registry.jobs import cohort
+    from cohortflow.sources import testbed as TB
+
+    s = TB.Sources(spark, "/root/testdata/sf0.01")
+    base = cohort(spark, s.sf_dir)
+    drops = PL.completed_dropoffs(s.bookings, base, TB.EVENTS_W)
+    places = PL.saved_places(s.place_locations, s.place_coordinates, s.place_details, base)
+    inner = FLT.exclude_like(PL.matched_places(drops, places), RR.RESIDENTIAL_EXCLUSIONS, require_not_null=["sl_name"])
+    left = JN.near_join(drops, places, key="customer_id", place_key="sl_customer_id", ev_lat="drop_off_latitude",
+                        ev_lon="drop_off_longitude", pl_lat="sl_lat", pl_lon="sl_lon", metres=RR.PLACE_RADIUS_M,
+                        extra=F.col("pick_up_time") > F.col("created_at"), how="left")
+    left = left.select("customer_id", "booking_id", "location_id", "created_at", "last_updated",
+                       F.lower("saved_name").alias("sl_name"), F.lower("address_type").alias("sl_address_type"),
+                       F.lower("building_type").alias("sl_building_type"), F.lower("place_name").alias("sl_place_name"))
+    best = WN.latest_by(left, ["customer_id", "booking_id"], ["created_at", "last_updated", "location_id"])
+    left_kept = FLT.exclude_like(best, RR.RESIDENTIAL_EXCLUSIONS, require_not_null=["sl_name"])
+    key = ["customer_id", "booking_id", "location_id"]
+    assert sorted(map(tuple, inner.select(key).collect())) == sorted(map(tuple, left_kept.select(key).collect()))
+    assert left.select("booking_id").distinct().count() == drops.count()
