@@ -150,3 +150,13 @@ def near_join(events: DataFrame, places: DataFrame, *, key: str, ev_lat: str, ev
         cond = cond & extra
     out = e.join(p, cond, how)
     return out.drop("__eband", "__ecell", "__pband", "__pcell")
+
+
+def one_per_key(df: DataFrame, key: str) -> DataFrame:
+    """A dimension reduced to one row per key before it is joined, so duplicate keys cannot
+    fan out the fact rows. The kept row is the greatest by all other columns (deterministic); an
+    aggregate, so a key with many duplicates is pre-reduced map-side."""
+    from cohortflow.operators.windows import latest_by
+
+    others = [c for c in df.columns if c != key]
+    return latest_by(df, [key], others, others) if others else df.select(key).distinct()

@@ -14,7 +14,7 @@ from cohortflow.functions.bands import adoption_label, clean_category, threshold
 from cohortflow.functions.keys import norm_key
 from cohortflow.operators import aggregates as A
 from cohortflow.operators.filters import valid_trips
-from cohortflow.operators.joins import restrict_to
+from cohortflow.operators.joins import one_per_key, restrict_to
 from cohortflow.operators.scans import scan_window
 from cohortflow.params import ObservationWindow
 
@@ -96,4 +96,5 @@ def profile_features(profile: DataFrame, base: DataFrame) -> DataFrame:
     p = profile.select(norm_key("customer_id").alias("customer_id"), "nationality",
                        F.col("nationality_score").cast("double").alias("confidence"), "region", "sub_region",
                        "is_loyal", "is_resident", "services_used_60d")
-    return p.join(base.select("customer_id"), "customer_id", "inner")
+    p = one_per_key(restrict_to(p, base, "customer_id"), "customer_id")
+    return p

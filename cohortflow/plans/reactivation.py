@@ -18,7 +18,7 @@ from cohortflow.functions.keys import norm_key
 from cohortflow.functions.measures import blended_margin, calendar_days, elapsed_days, total_value
 from cohortflow.operators import aggregates as A
 from cohortflow.operators.filters import VALUE_TRIP_RULES, active_at, delivered, lapsed, valid_trips
-from cohortflow.operators.joins import DEFAULT_BROADCAST_ROWS, assemble, broadcast_if_small, restrict_to
+from cohortflow.operators.joins import DEFAULT_BROADCAST_ROWS, assemble, broadcast_if_small, one_per_key, restrict_to
 from cohortflow.operators.scans import scan_window
 from cohortflow.operators.windows import latest_by, rank_within
 from cohortflow.params import ObservationWindow
@@ -75,7 +75,7 @@ def lapsed_base(src: ReactivationSources, W: ObservationWindow, min_recency: int
     src = src.with_checked_merchants()
     life = lapsed(lifetime_features(lapsed_service_history(src.orders, src.merchants, W), W), "recency_days", min_recency)
     base = life.select(F.lit(W.anchor).alias("day"), *life.columns)
-    base = base.join(src.customers.select("customer_id", "is_resident"), "customer_id", "left")
+    base = base.join(residency(src.customers), "customer_id", "left")
     return base.where((F.col("is_resident") == F.lit(True)) & (F.col("lifetime_orders") >= min_orders)).select(
         "day", "customer_id", "recency_days", "first_order_date", "last_order_date", "order_cohort", "recency_band",
         "lifetime_orders", "last_merchant", "is_resident")
@@ -128,7 +128,14 @@ def latest_membership(subs: DataFrame, W: ObservationWindow) -> DataFrame:
 
 
 def profile_features(profile: DataFrame) -> DataFrame:
-    return profile.select(norm_key("customer_id").alias("customer_id"), "nationality", "region", "sub_region", "is_loyal")
+    """Profile columns, one row per customer (duplicates cannot fan out, T11)."""
+    return one_per_key(profile.select(norm_key("customer_id").alias("customer_id"), "nationality", "region",
+                                      "sub_region", "is_loyal"), "customer_id")
+
+
+def residency(customers: DataFrame) -> DataFrame:
+    """Residency flag, one row per customer."""
+    return one_per_key(customers.select("customer_id", "is_resident"), "customer_id")
 
 
 def value_features(spine: DataFrame, src: ReactivationSources, W: ObservationWindow, rides_since=None,
@@ -144,7 +151,7 @@ def value_features(spine: DataFrame, src: ReactivationSources, W: ObservationWin
         rides = restrict_to(rides, restrict, "customer_id")
         food = restrict_to(food, restrict, "customer_id")
         shop = restrict_to(shop, restrict, "customer_id")
-    j = assemble(spine, [rides, food, shop, src.customers.select("customer_id", "is_resident")], "customer_id")
+    j = assemble(spine, [rides, food, shop, residency(src.customers)], "customer_id")
     z = F.lit(0)
     return j.select(
         *spine.columns,

@@ -103,3 +103,13 @@ def test_minor_units_exact_on_both_paths(spark):
     got = {r.k: r.gmv for r in A.value_stats(df, key="k", order_id="o", gross=F.col("a"), margin=F.col("a"),
                                               names={"n": "n", "gmv": "gmv", "gp": "gp", "gppo": "gppo"}).collect()}
     assert got == {1: Decimal("123456.7892"), 2: Decimal("99999999999999.9999") + Decimal("0.9997")}
+
+
+def test_duplicate_dimension_keys_do_not_fan_out(spark):
+    """A profile / customer dimension with duplicate keys yields one row per customer."""
+    prof = spark.createDataFrame([("1", "A", "r", "s", True), ("1", "B", "r", "s", False), ("2", "C", "r", "s", True)],
+                                 "customer_id string, nationality string, region string, sub_region string, is_loyal boolean")
+    got = sorted(tuple(r) for r in P.profile_features(prof).collect())
+    assert got == [(1, "B", "r", "s", False), (2, "C", "r", "s", True)]  # deterministic: greatest other columns
+    cust = spark.createDataFrame([(1, True), (1, False), (2, True)], "customer_id long, is_resident boolean")
+    assert sorted(tuple(r) for r in P.residency(cust).collect()) == [(1, True), (2, True)]
