@@ -11,7 +11,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from cohortflow.params import ObservationWindow, TripThresholds
 from cohortflow.plans import crosssell as X
@@ -19,6 +18,7 @@ from cohortflow.plans import locations as L
 from cohortflow.plans import places as PL
 from cohortflow.plans import trips as TR
 from cohortflow.session import cut_lineage
+from cohortflow.sources.sinks import write_partitioned
 
 
 @dataclass(frozen=True)
@@ -79,8 +79,6 @@ def write_tables(tables: dict[str, DataFrame], root: str, anchor) -> dict[str, s
     paths = {}
     for name, df in tables.items():
         path = f"{root.rstrip('/')}/{name}"
-        (df.withColumn("anchor", F.lit(str(anchor)))
-           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy("anchor").parquet(path))
+        write_partitioned(df, path, {"anchor": anchor})
         paths[name] = path
     return paths

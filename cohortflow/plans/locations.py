@@ -20,6 +20,7 @@ from cohortflow.operators.filters import valid_trips
 from cohortflow.operators.joins import assemble, restrict_to
 from cohortflow.operators.scans import scan_window
 from cohortflow.params import ObservationWindow
+from cohortflow.sources.sinks import write_partitioned
 
 SIDES = {"dropoff": ("drop_off_latitude", "drop_off_longitude"), "pickup": ("pick_up_latitude", "pick_up_longitude")}
 
@@ -66,6 +67,4 @@ def write_scores(scores: DataFrame, path: str, line: str, anchor, side: str, mod
 
     Overwrite is dynamic: only the (line, anchor, side) partition being written is replaced, so
     both sides and many anchors share one table and a rerun is idempotent."""
-    (scores.withColumn("line", F.lit(line)).withColumn("anchor", F.lit(str(anchor))).withColumn("side", F.lit(side))
-           .write.mode(mode).option("partitionOverwriteMode", "dynamic")
-           .partitionBy("line", "anchor", "side").parquet(path))
+    write_partitioned(scores, path, {"line": line, "anchor": anchor, "side": side}, mode)

@@ -15,10 +15,10 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from cohortflow.params import ObservationWindow
 from cohortflow.plans import reactivation as P
+from cohortflow.sources.sinks import write_partitioned
 
 
 def window_for(anchor: dt.date, history_start: dt.date, outcome_days: int = 91) -> ObservationWindow:
@@ -28,9 +28,7 @@ def window_for(anchor: dt.date, history_start: dt.date, outcome_days: int = 91)
 
 
 def write_anchor(df: DataFrame, out_path: str, anchor: dt.date) -> None:
-    (df.withColumn("anchor", F.lit(anchor.isoformat()))
-       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy("anchor").parquet(out_path))
+    write_partitioned(df, out_path, {"anchor": anchor.isoformat()})
 
 
 def start_daily_reactivation(spark: SparkSession, orders_path: str, orders_schema, sources: Callable[[], P.ReactivationSources],
