@@ -36,8 +36,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # Fixture windows (dates of the driver's data: orders 1995-2001, events January 2024).
 REACTIVATION_W = ObservationWindow.of("1997-01-01", "2000-01-01", "2000-04-01", history_start="1997-01-01",
                                       end_date="2000-03-31")
-ANCHOR_DAY_W = ObservationWindow.of("1997-01-01", "1999-12-15", "2000-03-16", history_start="1997-01-01",
-                                    end_date="2000-03-15")
+ANCHOR_DAY_W = ObservationWindow.of("1997-01-01", "2000-01-21", "2000-04-22", history_start="1997-01-01",
+                                    end_date="2000-04-21")
 CROSS_SELL_W = ObservationWindow.of("1995-01-01", "1996-01-01", "1997-01-01")
 EVENTS_W = ObservationWindow.of("2024-01-01", "2024-01-21", "2024-01-31")
 

@@ -125,7 +125,7 @@ FROM feat s LEFT JOIN mem m ON m.customer_id = s.customer_id LEFT JOIN prof p ON
 WHERE s.is_resident = TRUE AND s.n_shop_orders >= {min_orders}"""
 
 
-def reactivation_features(anchor="1999-12-15", end="2000-03-15", since="1997-01-01", rides_since="1995-01-01",
+def reactivation_features(anchor="2000-01-21", end="2000-04-21", since="1997-01-01", rides_since="1995-01-01",
                           outcome_cities="1", with_city=True, with_blended=False) -> str:
     city = "t.city_id," if with_city else ""
     blended = "f.blended_gppo," if with_blended else ""
