@@ -274,3 +274,21 @@ def test_proximity_inner_equals_left_after_exclusions(spark):
     key = ["customer_id", "booking_id", "location_id"]
     assert sorted(map(tuple, inner.select(key).collect())) == sorted(map(tuple, left_kept.select(key).collect()))
     assert left.select("booking_id").distinct().count() == drops.count()
+
+
+@pytest.mark.parametrize("name", ["band_time_of_day", "measure_age_elapsed", "measure_age_calendar",
+                                  "job_trip_features", "job_reactivation_features", "latest_snapshot"])
+def test_results_do_not_depend_on_session_time_zone(spark, con, name):
+    """Timestamps are TIMESTAMP_NTZ end to end: a non-UTC session zone and ANSI off change nothing."""
+    old_tz = spark.conf.get("spark.sql.session.timeZone")
+    old_ansi = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        df = QUERIES[name](spark, SF001)
+        rows = [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old_tz)
+        spark.conf.set("spark.sql.ansi.enabled", old_ansi)
+    cur = con.execute(SQL[name])
+    assert compare(df.columns, rows, [d[0] for d in cur.description], cur.fetchall()) == []
