@@ -64,7 +64,8 @@ def wilson_lower(successes, n, confidence: float = 0.95) -> Column:
     k = _col(successes).cast("double")
     nn = _col(n).cast("double")
     p = k / nn
-    num = p + F.lit(z * z) / (F.lit(2.0) * nn) - F.lit(z) * F.sqrt((p * (F.lit(1.0) - p) + F.lit(z * z) / (F.lit(4.0) * nn)) / nn)
+    spread = F.sqrt((p * (F.lit(1.0) - p) + F.lit(z * z) / (F.lit(4.0) * nn)) / nn)
+    num = p + F.lit(z * z) / (F.lit(2.0) * nn) - F.lit(z) * spread
     den = F.lit(1.0) + F.lit(z * z) / nn
     return F.when(nn == 0, F.lit(0.0)).otherwise(num / den)
 

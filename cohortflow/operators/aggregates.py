@@ -149,7 +149,8 @@ def dominant_bucket(pcts: Mapping[str, Column], labels: Mapping[str, str], else_
 
 
 def usage_summary(df: DataFrame, *, key: str, averages: Mapping[str, str], total: tuple[str, str] | None = None,
-                  count: str | None = None, age: str | None = None, age_names: tuple[str, str] = ("oldest_age", "newest_age"),
+                  count: str | None = None, age: str | None = None,
+                  age_names: tuple[str, str] = ("oldest_age", "newest_age"),
                   decimals: int = 2) -> DataFrame:
     """Per key, averages rounded to ``decimals`` (``{out: column}``), an optional total
     ``(out, column)``, row count, and oldest / newest age."""

@@ -70,7 +70,8 @@ def membership_status(base: DataFrame, subs: DataFrame, W: ObservationWindow, th
     s = scan_window(subs, "day", W.source_start, W.anchor).select(norm_key("customer_id").alias("customer_id"), "day")
     days = A.active_days(restrict_to(s, base, "customer_id"), key="customer_id", day="day")
     out = base.select("customer_id").join(days, "customer_id", "left")
-    return out.select("customer_id", threshold_label("active_days", threshold, labels[0], labels[1]).alias("membership_status"))
+    label = threshold_label("active_days", threshold, labels[0], labels[1])
+    return out.select("customer_id", label.alias("membership_status"))
 
 
 def last_known_features(demo: DataFrame, base: DataFrame, W: ObservationWindow) -> DataFrame:

@@ -172,7 +172,8 @@ def value_features(spine: DataFrame, src: ReactivationSources, W: ObservationWin
         F.coalesce("shop_gppo", F.lit(0.0)).alias("shop_gppo"),
         F.coalesce("shop_gmv", z).cast(MONEY).alias("shop_gmv"),
         total_value("ride_gmv", "food_gmv", "shop_gmv").cast(MONEY).alias("total_gmv"),
-        blended_margin(["ride_gp", "food_gp", "shop_gp"], ["n_rides", "n_food_orders", "n_shop_orders"]).alias("blended_gppo"),
+        blended_margin(["ride_gp", "food_gp", "shop_gp"],
+                       ["n_rides", "n_food_orders", "n_shop_orders"]).alias("blended_gppo"),
         "is_resident",
     )
 
@@ -219,8 +220,8 @@ def outcome_after(src: ReactivationSources, W: ObservationWindow, cities=R.OUTCO
                            "spend_after": "net_basket_amount_with_tax"})
 
 
-def reactivation_features(src: ReactivationSources, W: ObservationWindow, outcome_cities=R.OUTCOME_CITIES, with_city: bool = True,
-                          with_blended: bool = False, rides_since=None) -> DataFrame:
+def reactivation_features(src: ReactivationSources, W: ObservationWindow, outcome_cities=R.OUTCOME_CITIES,
+                          with_city: bool = True, with_blended: bool = False, rides_since=None) -> DataFrame:
     """One row per anchor-day order line with sequence, outcome, and history features.
 
     All history sources are first cut to the anchor-day customers (a one-day key set, broadcast

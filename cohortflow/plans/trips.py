@@ -39,7 +39,8 @@ def prepared_trips(trips: DataFrame, base: DataFrame, credits: DataFrame, W: Obs
         elapsed_days("booking_date", W.anchor).alias("days_from_anchor"),
         "distance_travelled", "duration_time", F.col("trip_price").alias("revenue"),
         override_when("member_credit", "", "booking_promo_code").alias("booking_promo_code"),
-        F.when(F.col("member_credit"), F.lit(R.CREDIT_USAGE_LABELS[0])).otherwise(F.lit(R.CREDIT_USAGE_LABELS[1])).alias("cplus_promo_usage"),
+        F.when(F.col("member_credit"), F.lit(R.CREDIT_USAGE_LABELS[0]))
+         .otherwise(F.lit(R.CREDIT_USAGE_LABELS[1])).alias("cplus_promo_usage"),
     )
 
 
@@ -104,7 +105,8 @@ def trip_features(trips: DataFrame, base: DataFrame, credits: DataFrame, W: Obse
         share = n.cast("double") * F.lit(1.0) / F.col("total_rides").cast("double")
         return (F.round(share, 1) if legacy_decimal_scale else share) * F.lit(100.0)
 
-    tod_pct = {b: F.coalesce(F.when(F.col(f"tod_{b}") >= th.fav_commute_time_min_trip_cnt, pct(F.col(f"tod_{b}"))), F.lit(0.0))
+    tod_pct = {b: F.coalesce(F.when(F.col(f"tod_{b}") >= th.fav_commute_time_min_trip_cnt, pct(F.col(f"tod_{b}"))),
+                             F.lit(0.0))
                for b in R.TIME_OF_DAY_ORDER}
     any_tod = None
     for b in R.TIME_OF_DAY_ORDER:

@@ -40,8 +40,8 @@ def job_reactivation_features(spark, sf_dir):
 
 @register("job_reactivation_features_blended")
 def job_reactivation_features_blended(spark, sf_dir):
-    return P.reactivation_features(_react(spark, sf_dir), T.ANCHOR_DAY_W, outcome_cities=R.OUTCOME_CITIES_ALL, with_city=False,
-                                   with_blended=True, rides_since="1995-01-01")
+    return P.reactivation_features(_react(spark, sf_dir), T.ANCHOR_DAY_W, outcome_cities=R.OUTCOME_CITIES_ALL,
+                                   with_city=False, with_blended=True, rides_since="1995-01-01")
 
 
 # ---- cross-sell family -------------------------------------------------------------------

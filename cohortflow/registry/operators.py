@@ -500,7 +500,8 @@ def label_adoption(spark, d):
 @register("map_taxonomy")
 def map_taxonomy(spark, d):
     s = Sources(spark, d)
-    names = s.merchant_tags.join(s.tags, F.col("tag_id") == F.col("id")).select("merchant_id", F.col("name").alias("cuisine"))
+    names = (s.merchant_tags.join(s.tags, F.col("tag_id") == F.col("id"))
+             .select("merchant_id", F.col("name").alias("cuisine")))
     return PC.map_taxonomy(names, "cuisine", PC.taxonomy_frame(spark), known_rows=len(R.taxonomy_rows()))
 
 

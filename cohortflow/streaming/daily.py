@@ -31,7 +31,8 @@ def write_anchor(df: DataFrame, out_path: str, anchor: dt.date) -> None:
     write_partitioned(df, out_path, {"anchor": anchor.isoformat()})
 
 
-def start_daily_reactivation(spark: SparkSession, orders_path: str, orders_schema, sources: Callable[[], P.ReactivationSources],
+def start_daily_reactivation(spark: SparkSession, orders_path: str, orders_schema,
+                             sources: Callable[[], P.ReactivationSources],
                              out_path: str, checkpoint_location: str, history_start: dt.date,
                              outcome_days: int = 91, rides_since=None, available_now: bool = True,
                              max_files_per_trigger: int | None = None):
