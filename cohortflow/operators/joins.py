@@ -1,10 +1,12 @@
 """Joins (J1-J8).
 
 Broadcast is used only behind a size check: ``broadcast_if_small`` counts at most
-``max_rows + 1`` rows of the candidate side (a bounded job) and hints a broadcast only when
-the side is proven small. Everything else is left to the planner (sort-merge or shuffled hash
-join) and to AQE, which may still switch to a broadcast from runtime shuffle statistics and
-splits skewed partitions of a sort-merge join.
+``max_rows + 1`` rows of the candidate side (a bounded job; the row cap follows from a 64 MB
+budget and the schema's row width) and hints a broadcast only when the side is proven small.
+Everything else is left to the planner (sort-merge or shuffled hash join) and to AQE, which may
+still switch to a broadcast from runtime shuffle statistics and splits skewed partitions of a
+sort-merge join. Dimensions are reduced to one row per key (``one_per_key``) so duplicate keys
+cannot fan out facts, and the proximity join is an equi-join on grid cells (``near_join``).
 """
 
 from __future__ import annotations

@@ -4,9 +4,10 @@
   ``max_by(struct(values), struct(order..., tie...))``: partial aggregation runs map-side, so a hot
   key never lands whole in one task and no per-key sort is needed.
 * Ranks within a key (row_number / dense_rank) use a range-partitioned global sort: a hot key is
-  spread over several range partitions; each row's rank is its position inside its partition
-  plus the row count of the same key in earlier partitions (a table of at most
-  keys x partitions rows).
+  spread over several range partitions (a per-row salt as the last sort key splits even exact
+  copies); each row's rank is its position inside its partition plus the row count of the same
+  key in earlier partitions (a table of at most keys x partitions rows). The placed rows are
+  written once through a reliable checkpoint so both branches see one range partitioning.
 * Shares of a key total are an aggregate joined back on the key (AQE splits a skewed key).
 """
 
