@@ -13,7 +13,7 @@ from cohortflow.operators.aggregates import point_counts
 from cohortflow.operators.filters import completed_bookings, exclude_like
 from cohortflow.operators.joins import near_join, restrict_to
 from cohortflow.operators.scans import scan_window
-from cohortflow.operators.windows import latest_by, top1_by_count
+from cohortflow.operators.windows import latest_by, share_of_total, top1_by_count
 from cohortflow.params import ObservationWindow
 
 
@@ -68,16 +68,28 @@ def matched_places(bookings: DataFrame, places: DataFrame, metres: float = R.PLA
 
 
 def commute_place(bookings: DataFrame, locations: DataFrame, coordinates: DataFrame, details: DataFrame,
-                  base: DataFrame, W: ObservationWindow, min_count: int, metres: float = R.PLACE_RADIUS_M) -> DataFrame:
+                  base: DataFrame, W: ObservationWindow, min_count: int, metres: float = R.PLACE_RADIUS_M,
+                  legacy_decimal_scale: bool = False) -> DataFrame:
     """The place class a customer travels to most, when seen at least ``min_count`` times.
 
     Best match first (W6), residential exclusions after (F5, T22), class (C10), counts (A13),
-    top by share (W7)."""
+    top by share (W7). ``legacy_decimal_scale=True`` ranks by the share rounded to one decimal of
+    a fraction (10 % steps, the upstream decimal arithmetic, T3); ties then go to the smallest
+    class name instead of the larger count."""
     best = matched_places(completed_dropoffs(bookings, base, W), saved_places(locations, coordinates, details, base),
                           metres)
     kept = exclude_like(best, R.RESIDENTIAL_EXCLUSIONS, require_not_null=["sl_name"])
     classified = kept.select("customer_id",
                              place_class("sl_name", "sl_building_type", R.PLACE_CLASSES).alias("classified_location"))
     counts = point_counts(classified, ["customer_id", "classified_location"], out="location_count")
+    if legacy_decimal_scale:
+        shares = share_of_total(counts, "customer_id", "location_count", "__pct")
+        rank = F.round(F.col("__pct") / F.lit(100.0), 1)
+        best = F.min_by(F.struct(F.col("classified_location").alias("v"), F.col("location_count").alias("n")),
+                        F.struct((-rank).alias("r"), F.col("classified_location").alias("t")))
+        top = (shares.groupBy("customer_id").agg(best.alias("__b"))
+                     .select("customer_id", F.col("__b.v").alias("commute_type"), F.col("__b.n").alias("location_count"))
+                     .where(F.col("location_count") >= min_count))
+        return top
     top = top1_by_count(counts, "customer_id", "classified_location", "location_count", min_count, out="commute_type")
     return top.select("customer_id", "commute_type", "location_count")

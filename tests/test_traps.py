@@ -113,3 +113,20 @@ def test_duplicate_dimension_keys_do_not_fan_out(spark):
     assert got == [(1, "B", "r", "s", False), (2, "C", "r", "s", True)]  # deterministic: greatest other columns
     cust = spark.createDataFrame([(1, True), (1, False), (2, True)], "customer_id long, is_resident boolean")
     assert sorted(tuple(r) for r in P.residency(cust).collect()) == [(1, True), (2, True)]
+
+
+def test_commute_place_legacy_share_scale(spark):
+    """T3 option for P11: ranking by one-decimal shares picks, per customer, a class whose share
+    rounds to the best rounded share; the default exact ranking is unchanged."""
+    from cohortflow.plans import places as PL
+    from cohortflow.registry.jobs import PLACE_MIN_COUNT, cohort
+
+    s = Sources(spark, SF01)
+    args = (s.bookings, s.place_locations, s.place_coordinates, s.place_details, cohort(spark, SF01), T.EVENTS_W,
+            PLACE_MIN_COUNT)
+    exact = {r.customer_id: r for r in PL.commute_place(*args).collect()}
+    legacy = {r.customer_id: r for r in PL.commute_place(*args, legacy_decimal_scale=True).collect()}
+    assert set(legacy) == set(exact)
+    for k, r in legacy.items():
+        assert r.location_count >= PLACE_MIN_COUNT
+        assert r.location_count <= exact[k].location_count
