@@ -85,14 +85,15 @@ def rank_within(df: DataFrame, key: str, order: Sequence, out: str = "rank", den
             cond = cond & df[n].eqNullSafe(ranked[n])
         return df.join(ranked, cond, "inner").select(df["*"], ranked[out])
 
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # A per-row salt as the last sort key lets the range partitioner split exact copies (rows equal
     # on key and order), so a group of copies is spread over partitions too; ranks among copies
-    # are arbitrary, as with any row_number tie.
+    # are arbitrary, as with any row_number tie. Without an explicit count, AQE may coalesce
+    # adjacent ranges of a small input; merged ranges keep the key order the ranks rely on.
     sort_exprs = [F.col(key).asc_nulls_last()] + order_cols + [F.col("__salt").asc()]
-    placed = (df.withColumn("__salt", F.monotonically_increasing_id())
-                .repartitionByRange(n, *sort_exprs)
+    salted = df.withColumn("__salt", F.monotonically_increasing_id())
+    ranged = (salted.repartitionByRange(num_partitions, *sort_exprs) if num_partitions
+              else salted.repartitionByRange(*sort_exprs))
+    placed = (ranged
                 .sortWithinPartitions(*sort_exprs)
                 .withColumn("__pid", F.spark_partition_id())
                 .withColumn("__mid", F.monotonically_increasing_id()))

@@ -198,3 +198,14 @@ def test_rank_within_splits_a_group_of_copies(spark):
                 .repartitionByRange(8, "k", "ts", "__salt").where("k = 0")
                 .select(F.spark_partition_id().alias("p")).distinct().count())
     assert spread > 1
+
+
+def test_rank_within_automatic_partitions_on_skewed_key(spark):
+    """Without an explicit partition count AQE may merge adjacent ranges; ranks stay exact."""
+    rnd = random.Random(9)
+    rows = [(0, rnd.randint(0, 30), i) for i in range(2000)] + [(rnd.randint(1, 200), rnd.randint(0, 30), 5000 + i)
+                                                                 for i in range(2000)]
+    df = spark.createDataFrame(rows, "k int, ts int, id int").repartition(5)
+    got = WN.rank_within(df, "k", [F.col("ts").asc_nulls_last(), F.col("id").asc_nulls_last()], out="rn")
+    ref = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy("ts", "id")))
+    assert sorted(map(tuple, got.select("id", "rn").collect())) == sorted(map(tuple, ref.select("id", "rn").collect()))
