@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import cohortflow
 from cohortflow.session import cut_lineage
 
 #: The white space that separates words: space, tab, line feed, vertical tab, form feed, carriage return.
@@ -15,6 +20,18 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the Python workers (as --py-files would), once for each application."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _SHIPPED:
+        package = Path(cohortflow.__file__).parent
+        sc.addPyFile(shutil.make_archive(f"{tempfile.mkdtemp(prefix='cohortflow-')}/cohortflow", "zip", package.parent, package.name))
+        _SHIPPED.add(sc.applicationId)
+
+
 def stored(df: DataFrame) -> DataFrame:
     """The rows written to the shared checkpoint folder: computed once, and safe from lost executors."""
     return cut_lineage(df)

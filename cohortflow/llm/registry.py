@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortflow.llm import exact, shards
+from cohortflow.llm import exact, language, pieces, shards, sketches, toxicity
 from cohortflow.llm.common import read
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -16,12 +17,37 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(read(spark, sf_dir, "documents"))
 
 
+def tokenizer_model() -> str:
+    """The tokenizer's model file; TOKENIZER_MODEL names another place."""
+    if path := os.environ.get("TOKENIZER_MODEL"):
+        return path
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_decode(read(spark, sf_dir, "documents"), tokenizer_model())
+
+
+def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketches.fingerprints(read(spark, sf_dir, "documents"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard_table(read(spark, sf_dir, "documents"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(read(spark, sf_dir, "documents"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, QueryFn]:
-    return {f.__name__: f for f in (op2_exact_dedup, op8_sharding)}
+    return {f.__name__: f for f in (op2_exact_dedup, op5_sentencepiece, op7_document_fingerprints, op8_sharding, op9_language_id, op10_toxicity)}
 
 
 OP2_SQL = r"""
