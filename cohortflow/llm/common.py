@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import shutil
 import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import cohortflow
-from cohortflow.session import cut_lineage
+from cohortflow.session import ensure_checkpoint_dir
 
 #: The white space that separates words: space, tab, line feed, vertical tab, form feed, carriage return.
 WHITE = " \t\n\x0b\x0c\r"
@@ -33,8 +34,15 @@ def ship(spark: SparkSession) -> None:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """The rows written to the shared checkpoint folder: computed once, and safe from lost executors."""
-    return cut_lineage(df)
+    """The rows written as Parquet to the cluster's shared checkpoint folder and read again.
+
+    They are computed once, their size is known to the planner, and a lost executor takes nothing with it.
+    The folder is the cluster's to clean, as with checkpoint(), whose second pass over the rows this saves.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/cohortflow-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def text_of(col: str = "text") -> Column:
@@ -58,7 +66,7 @@ def only_marked(df: DataFrame, key: str, ids: DataFrame, words: int = 1 << 18) -
     the table is broadcast; with more ids than bits all rows stay, and the join that follows still decides.
     """
     h = lambda c: F.xxhash64(F.lit("mark"), c)
-    bit = lambda c: F.shiftleft(F.lit(1).cast("long"), F.pmod(F.shiftright(h(c), 40), F.lit(64)).cast("int"))
+    bit = lambda c: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.shiftright(h(c), 40), F.lit(64)).cast("int"))
     marks = (ids.select(F.pmod(h(F.col("key")), F.lit(words)).alias("__word"), bit(F.col("key")).alias("__bit"))
              .groupBy("__word").agg(F.bit_or("__bit").alias("__bits")))
     return (df.withColumn("__word", F.pmod(h(F.col(key)), F.lit(words)))

@@ -7,16 +7,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortflow.llm import exact, language, pieces, shards, sketches, toxicity
+from cohortflow.llm import exact, language, mixing, near, pieces, shards, sketches, toxicity
 from cohortflow.llm.common import read
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(read(spark, sf_dir, "documents"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_duplicates(read(spark, sf_dir, "documents"), words=2)
+
+
 def tokenizer_model() -> str:
     """The tokenizer's model file; TOKENIZER_MODEL names another place."""
     if path := os.environ.get("TOKENIZER_MODEL"):
@@ -47,7 +55,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, QueryFn]:
-    return {f.__name__: f for f in (op2_exact_dedup, op5_sentencepiece, op7_document_fingerprints, op8_sharding, op9_language_id, op10_toxicity)}
+    return {f.__name__: f for f in (op1_source_mixing, op2_exact_dedup, op4_minhash_near_dedup, op5_sentencepiece, op7_document_fingerprints, op8_sharding, op9_language_id, op10_toxicity)}
 
 
 OP2_SQL = r"""

@@ -24,10 +24,10 @@ from pyspark.sql import functions as F
 
 from cohortflow.llm.common import held_out, ship, text_of
 
-BUCKETS, SIZE = 1 << 18, 8
+BUCKETS, SIZE = 1 << 18, 4
 RUNS = (3, 4, 5)
-PER_LABEL = 3000
-STEPS, BATCH, RATE, DECAY = 500, 256, 0.05, 0.05
+PER_LABEL = 4000
+STEPS, BATCH, RATE, DECAY = 400, 256, 0.05, 0.6
 #: Subwords of fewer texts are not learned: they would only mark the texts they are in.
 LEAST_TEXTS = 5
 SEED = 10
@@ -181,7 +181,7 @@ def learn(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL):
         table, intercept = train(pdf["text"].tolist(), pdf["toxic"].tolist())
         return pd.DataFrame({"table": [table], "intercept": [intercept]})
 
-    model = sample.groupBy(F.lit(0)).applyInPandas(fitted, "table array<double>, intercept double").first()
+    model = sample.withColumn("model", F.lit(0)).groupBy("model").applyInPandas(fitted, "table array<double>, intercept double").first()
     return (np.asarray(model["table"], np.float32), model["intercept"]) if model else (np.zeros(BUCKETS, np.float32), -40.0)
 
 
