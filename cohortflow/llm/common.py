@@ -59,17 +59,23 @@ def held_out(col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(col).cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
-def only_marked(df: DataFrame, key: str, ids: DataFrame, words: int = 1 << 18) -> DataFrame:
-    """Rows of ``df`` whose 64-bit ``key`` may be among ``ids.key``: none that is there goes, few others stay.
+def marked(df: DataFrame, key: str, ids: DataFrame, flag: str, words: int = 1 << 18) -> DataFrame:
+    """``df`` with a boolean ``flag``: whether its 64-bit ``key`` may be among ``ids.key``. It is set for all that
+    are there and for few others.
 
     The ids set bits in a table of ``words`` 64-bit words. That bound (4 MB) holds for any number of ids, so
-    the table is broadcast; with more ids than bits all rows stay, and the join that follows still decides.
+    the table is broadcast; with more ids than bits all rows are flagged, and the join that follows decides.
     """
     h = lambda c: F.xxhash64(F.lit("mark"), c)
     bit = lambda c: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.shiftright(h(c), 40), F.lit(64)).cast("int"))
     marks = (ids.select(F.pmod(h(F.col("key")), F.lit(words)).alias("__word"), bit(F.col("key")).alias("__bit"))
              .groupBy("__word").agg(F.bit_or("__bit").alias("__bits")))
     return (df.withColumn("__word", F.pmod(h(F.col(key)), F.lit(words)))
-            .join(F.broadcast(marks), "__word")
-            .where(F.col("__bits").bitwiseAND(bit(F.col(key))) != 0)
+            .join(F.broadcast(marks), "__word", "left")
+            .withColumn(flag, F.coalesce(F.col("__bits").bitwiseAND(bit(F.col(key))) != 0, F.lit(False)))
             .drop("__word", "__bits"))
+
+
+def only_marked(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+    """The rows of ``df`` that ``marked`` flags."""
+    return marked(df, key, ids, "__may").where("__may").drop("__may")

@@ -11,13 +11,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortflow.llm.common import stored
+from cohortflow.llm.common import ship, stored
 
 #: Leaders of a bucket in each round; further rounds have the last number.
-LEADERS = (1, 8, 32, 128)
+LEADERS = (1, 64, 1024)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -27,56 +27,95 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         least = stored(
             both.join(known.select(F.col("id").alias("y"), "comp"), "y").select(F.col("x").alias("id"), "comp")
-            .unionByName(known.select("id", "comp")).groupBy("id").agg(F.min("comp").alias("comp")))
+            .unionByName(known).groupBy("id").agg(F.min("comp").alias("comp")))
         jumped = least.join(least.select(F.col("id").alias("comp"), F.col("comp").alias("far")), "comp").select("id", F.col("far").alias("comp"))
         after = stored(jumped.join(known.withColumnRenamed("comp", "was"), "id"))
-        if after.where("comp <> was").isEmpty():
-            return after.select("id", "comp")
         known = after.select("id", "comp")
+        if after.where("comp <> was").isEmpty():
+            return known
+
+
+def shared_only(members: DataFrame) -> DataFrame:
+    """The rows (bucket, id) of buckets with two ids at least; a bucket streams through its task, sorted."""
+    ship(members.sparkSession)
+
+    def runs(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        held = None  # the bucket that the last batch ended in, its first id, and whether it has another
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            bucket, ids = (batch.column(c).to_numpy() for c in ("bucket", "id"))
+            new = np.concatenate([[True], bucket[1:] != bucket[:-1]])
+            starts = np.flatnonzero(new)
+            run = np.cumsum(new) - 1
+            first = ids[starts]
+            going_on = held is not None and held[0] == bucket[0]
+            if going_on:
+                first[0] = held[1]
+            several = np.logical_or.reduceat(ids != first[run], starts)
+            late = going_on and several[0] and not held[2]  # the first id was held back
+            if going_on and held[2]:
+                several[0] = True
+            keep = several[run] & np.concatenate([[True], (ids[1:] != ids[:-1]) | new[1:]])
+            out_b, out_i = bucket[keep], ids[keep]
+            if late:
+                out_b, out_i = np.append(out_b, held[0]), np.append(out_i, held[1])
+            held = (int(bucket[-1]), int(first[-1]), bool(several[-1]))
+            yield pa.RecordBatch.from_arrays([pa.array(out_b), pa.array(out_i)], ["bucket", "id"])
+
+    return (members.select("bucket", "id").repartition("bucket").sortWithinPartitions("bucket", "id")
+            .mapInArrow(runs, "bucket long, id long"))
 
 
-def linked(members: DataFrame, linked_pairs: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def linked(members: DataFrame, signs: DataFrame, plausible: Callable[[Callable[[str], Column], Callable[[str], Column]], Column],
+           linked_pairs: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """id and comp (the least linked id) of all ids that share a bucket with another one.
 
-    ``members`` has bucket and id (both long); ``linked_pairs`` takes pairs (a, b; a < b) and returns those linked.
+    ``members`` has bucket and id (both long), ``signs`` more columns for each id. ``plausible`` tells from these,
+    given as functions from a column's name to it, whether a pair may be linked; ``linked_pairs`` takes the pairs
+    (a, b; a < b) that may and returns those that are.
     """
-    sizes = stored(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
-    live = stored(members.join(sizes, "bucket"))
+    more = [c for c in signs.columns if c != "id"]
+    live = stored(shared_only(members))
+    sizes = stored(live.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")))
     # those with many companions lead first: they are likely to be what the others are copies of
-    weight = stored(live.groupBy("id").agg(F.sum("n").alias("weight")))
-    live = stored(live.drop("n").join(weight, "id").withColumn("led", F.lit(False)))
+    weight = stored(live.join(sizes, "bucket").groupBy("id").agg(F.sum("n").alias("weight")).join(signs, "id"))
     comp = stored(weight.select("id", F.col("id").alias("comp")))
+    live = live.withColumn("led", F.lit(False))
     tried = None
     for turn in range(1 << 30):
         now = live.join(comp, "id")
-        if turn == 0:
-            lead = now.withColumn("mode", F.lit(None).cast("long"))
-        else:
+        if turn:
             now = stored(now)
             by = now.where(~F.col("led")).groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
             open_ = (by.groupBy("bucket").agg(F.max(F.struct("n", "comp"))["comp"].alias("mode"), F.count(F.lit(1)).alias("comps"))
                      .where("comps > 1").select("bucket", "mode"))
-            now = stored(now.join(open_, "bucket"))
-            if now.isEmpty():
-                return comp
-            lead = now.where(~F.col("led") & (F.col("comp") != F.col("mode")))
-        most = LEADERS[min(turn, len(LEADERS) - 1)]
+            now = now.join(open_, "bucket")
+        now = stored(now.join(weight, "id"))
+        if now.isEmpty():
+            return comp
+        lead = now.where(~F.col("led") & (F.col("comp") != F.col("mode"))) if turn else now
         first = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("weight"), "id"))
-        lead = stored(lead.withColumn("k", first).where(F.col("k") <= most)
-                      .select("bucket", F.col("id").alias("leader"), F.col("comp").alias("leader_comp")))
-        pairs = (now.select("bucket", "id", "comp").join(lead, "bucket").where(F.col("comp") != F.col("leader_comp"))
-                 .select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct())
+        lead = stored(lead.withColumn("k", first).where(F.col("k") <= LEADERS[min(turn, len(LEADERS) - 1)])
+                      .select("bucket", *(F.col(c).alias(f"lead_{c}") for c in ("id", "comp", *more))))
+        pairs = (now.join(lead, (now["bucket"] == lead["bucket"]) & (now["comp"] != lead["lead_comp"])
+                          & plausible(lambda c: now[c], lambda c: lead[f"lead_{c}"]))
+                 .select(F.least("id", "lead_id").alias("a"), F.greatest("id", "lead_id").alias("b")).distinct())
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = stored(pairs)
         tried = pairs if tried is None else tried.unionByName(pairs)
         links = stored(linked_pairs(pairs))
-        of = comp.withColumnRenamed("id", "a").withColumnRenamed("comp", "ca")
-        ends = links.join(of, "a").join(of.toDF("b", "cb"), "b").select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).distinct()
         if not links.isEmpty():
+            ends = (links.join(comp.toDF("a", "ca"), "a").join(comp.toDF("b", "cb"), "b")
+                    .select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).distinct())
             merged = components(ends).toDF("comp", "to")
             comp = stored(comp.join(merged, "comp", "left").select("id", F.coalesce("to", "comp").alias("comp")))
-        led = lead.select("bucket", F.col("leader").alias("id"), F.lit(True).alias("now_led"))
-        live = stored(live.join(led, ["bucket", "id"], "left").select(
-            "bucket", "id", "weight", (F.col("led") | F.coalesce("now_led", F.lit(False))).alias("led")))
+        led = lead.select("bucket", F.col("lead_id").alias("id"), F.lit(True).alias("now_led"))
+        # buckets that were done stay out
+        live = stored(now.select("bucket", "id", "led").join(led, ["bucket", "id"], "left").select(
+            "bucket", "id", (F.col("led") | F.coalesce("now_led", F.lit(False))).alias("led")))
     raise AssertionError("unreachable")

@@ -132,19 +132,19 @@ def near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
     classes = stored(some.groupBy("key").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"),
                                              F.first("bands").alias("bands"), F.first("sketch").alias("sketch")))
     members = classes.select(F.explode("bands").alias("bucket"), "id")
-    signs = stored(classes.select("id", "n", "sketch").dropDuplicates(["id"]))
+    signs = classes.select("id", "n", *(F.col("sketch")[k].alias(f"s{k}") for k in range(BITS // 64))).dropDuplicates(["id"])
+
+    def plausible(x, y):
+        bits = sum((F.bit_count(x(f"s{k}").bitwiseXOR(y(f"s{k}"))) for k in range(1, BITS // 64)), F.bit_count(x("s0").bitwiseXOR(y("s0"))))
+        return (den * F.least(x("n"), y("n")) >= num * F.greatest(x("n"), y("n"))) & (bits <= MOST_BITS)
 
     def linked_pairs(pairs: DataFrame) -> DataFrame:
-        a, b = (signs.toDF(x, f"n_{x}", f"s_{x}") for x in "ab")
-        bits = sum((F.bit_count(F.col("s_a")[k].bitwiseXOR(F.col("s_b")[k])) for k in range(BITS // 64)), F.lit(0))
-        near = stored(pairs.join(a, "a").join(b, "b")
-                      .where((den * F.least("n_a", "n_b") >= num * F.greatest("n_a", "n_b")) & (bits <= MOST_BITS)).select("a", "b"))
-        ids = near.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+        ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct())
         rows = docs.select(F.col("doc_id").cast("long").alias("id"), text_of().alias("text"))
-        texts = stored(only_marked(rows, "id", ids).join(ids.withColumnRenamed("key", "id"), "id").dropDuplicates(["id"]))
-        return confirmed(near, texts, words, num, den)
+        texts = stored(only_marked(rows, "id", ids).join(ids.toDF("id"), "id").dropDuplicates(["id"]))
+        return confirmed(pairs, texts, words, num, den)
 
-    comp = linked(members, linked_pairs)
+    comp = linked(members, signs, plausible, linked_pairs)
     to = stored(classes.select("key", "id").join(comp, "id", "left").select("key", F.coalesce("comp", "id").alias("comp")))
     f = feats.join(to, "key", "left")
     alone = (F.col("n_shingles") == 0) | F.col("doc_id").isNull()

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortflow.llm import exact, language, mixing, near, pieces, shards, sketches, toxicity
+from cohortflow.llm import exact, language, lines, mixing, near, pieces, shards, sketches, toxicity
 from cohortflow.llm.common import read
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,10 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_decode(read(spark, sf_dir, "documents"), tokenizer_model())
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_dedup(read(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_dropped", "text")
+
+
 def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketches.fingerprints(read(spark, sf_dir, "documents"))
 
@@ -55,7 +59,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, QueryFn]:
-    return {f.__name__: f for f in (op1_source_mixing, op2_exact_dedup, op4_minhash_near_dedup, op5_sentencepiece, op7_document_fingerprints, op8_sharding, op9_language_id, op10_toxicity)}
+    return {f.__name__: f for f in (op1_source_mixing, op2_exact_dedup, op4_minhash_near_dedup, op5_sentencepiece, op6_line_dedup, op7_document_fingerprints, op8_sharding, op9_language_id, op10_toxicity)}
 
 
 OP2_SQL = r"""
