@@ -136,7 +136,8 @@ def learn(docs: DataFrame, per_language: int = PER_LANGUAGE):
                 rows = unit(vectors(texts[part]))
                 for lang, row in zip(pdf["lang"].iloc[part], rows, strict=True):
                     total[lang] = row + total[lang] if lang in total else row
-        yield pd.DataFrame({"lang": list(total), "sum": [x.tolist() for x in total.values()]}, columns=["lang", "sum"])
+        if total:
+            yield pd.DataFrame({"lang": list(total), "sum": [x.tolist() for x in total.values()]})
 
     found: dict[str, object] = {}
     for r in sample.mapInPandas(sums, "lang string, sum array<double>").sort("lang").toLocalIterator():  # a vector for each task and language
