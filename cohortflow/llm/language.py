@@ -20,7 +20,7 @@ from functools import cache
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortflow.llm.common import held_out, ship, text_of
+from cohortflow.llm.common import held_out, only_marked, ship, stored, text_of
 
 SIZE = 1024
 PER_LANGUAGE = 600
@@ -123,8 +123,9 @@ def learn(docs: DataFrame, per_language: int = PER_LANGUAGE):
            .select("doc_id", F.xxhash64(F.lit(SEED), "doc_id").alias("h"), "lang")
            .withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id")))
            .where(F.col("n") <= per_language).select("doc_id").distinct())
-    sample = (docs.where(F.col("lang").isNotNull() & ~held_out()).select("doc_id", "lang", text_of().alias("text"))
-              .join(ids, "doc_id", "left_semi").select("lang", "text"))
+    ids = stored(ids)
+    rows = docs.where(F.col("lang").isNotNull() & ~held_out()).select("doc_id", "lang", text_of().alias("text"))
+    sample = only_marked(rows, "doc_id", ids.toDF("key")).join(ids, "doc_id", "left_semi").select("lang", "text")
 
     def sums(batches):
         import pandas as pd

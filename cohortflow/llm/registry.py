@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortflow.llm import exact, language, lines, mixing, near, pieces, shards, sketches, toxicity
+from cohortflow.llm import exact, language, lines, mixing, near, pieces, privacy, shards, sketches, toxicity
 from cohortflow.llm.common import read
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,10 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op3_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return privacy.pseudonymised(read(spark, sf_dir, "documents")).select("doc_id", "text", "n_entities")
+
+
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(read(spark, sf_dir, "documents"), words=2)
 
@@ -59,7 +63,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, QueryFn]:
-    return {f.__name__: f for f in (op1_source_mixing, op2_exact_dedup, op4_minhash_near_dedup, op5_sentencepiece, op6_line_dedup, op7_document_fingerprints, op8_sharding, op9_language_id, op10_toxicity)}
+    return {f.__name__: f for f in (op1_source_mixing, op2_exact_dedup, op3_pii_surrogates, op4_minhash_near_dedup, op5_sentencepiece, op6_line_dedup, op7_document_fingerprints, op8_sharding, op9_language_id, op10_toxicity)}
 
 
 OP2_SQL = r"""

@@ -22,7 +22,7 @@ from functools import cache
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortflow.llm.common import held_out, ship, text_of
+from cohortflow.llm.common import held_out, only_marked, ship, stored, text_of
 
 BUCKETS, SIZE = 1 << 18, 4
 RUNS = (3, 4, 5)
@@ -172,7 +172,9 @@ def learn(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL):
            .join(docs.select("doc_id"), "doc_id", "left_semi")
            .withColumn("n", F.row_number().over(Window.partitionBy("toxic").orderBy("h", "doc_id")))
            .where(F.col("n") <= per_label).select("doc_id", "toxic"))
-    sample = ids.join(docs.select("doc_id", text_of().alias("text")), "doc_id").select("text", "toxic")
+    ids = stored(ids)
+    rows = docs.select("doc_id", text_of().alias("text"))
+    sample = only_marked(rows, "doc_id", ids.select(F.col("doc_id").alias("key"))).join(ids, "doc_id").select("text", "toxic")
 
     def fitted(key, pdf):
         import pandas as pd
