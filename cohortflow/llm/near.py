@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortflow.llm import words as W
-from cohortflow.llm.common import only_marked, ship, stored, text_of
+from cohortflow.llm.common import marked, only_marked, ship, stored, text_of
 from cohortflow.llm.linking import linked
 
 BANDS, ROWS = 40, 6
@@ -150,3 +150,17 @@ def near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
     alone = (F.col("n_shingles") == 0) | F.col("doc_id").isNull()
     return (f.withColumn("component_id", F.when(alone, F.col("doc_id")).otherwise(F.col("comp")))
             .select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")))
+
+
+def one_of_each(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """The documents without those that another one stands for; of rows equal in id and text one stays."""
+    found = stored(near_duplicates(docs, words, num, den))
+    gone = stored(found.where("NOT kept").select(F.col("doc_id").alias("key")).distinct())
+    again = stored(found.where("n_shingles > 0 AND kept AND doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("key"))
+                   .agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"))
+    rows = marked(docs.withColumn("__id", F.col("doc_id").cast("long")), "__id", gone.unionByName(again), "__may")
+    may = rows.where("__may").drop("__may").join(gone.toDF("__id"), "__id", "left_anti")
+    single = may.join(again.toDF("__id"), "__id", "left_anti")
+    equal = may.join(again.toDF("__id"), "__id", "left_semi").dropDuplicates(["__id", "text"])
+    whole = rows.where(~F.col("__may")).drop("__may")
+    return whole.unionByName(single).unionByName(equal).drop("__id")

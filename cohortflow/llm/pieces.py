@@ -18,6 +18,7 @@ are ignored.
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 import struct
 from collections.abc import Iterable, Iterator
@@ -237,6 +238,15 @@ def _table(model: bytes) -> PrefixTable:
     return PrefixTable(read_model(model))
 
 
+def tokenizer_model() -> str:
+    """The tokenizer's model file; TOKENIZER_MODEL names another place."""
+    if path := os.environ.get("TOKENIZER_MODEL"):
+        return path
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def load(spark: SparkSession, path: str) -> bytes:
     """The model file (some hundred KB), from any place that the driver or Spark can read."""
     try:

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from cohortflow.llm import exact, language, lines, mixing, near, pieces, privacy, shards, sketches, toxicity
 from cohortflow.llm.common import read
 
@@ -29,17 +29,8 @@ def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(read(spark, sf_dir, "documents"), words=2)
 
 
-def tokenizer_model() -> str:
-    """The tokenizer's model file; TOKENIZER_MODEL names another place."""
-    if path := os.environ.get("TOKENIZER_MODEL"):
-        return path
-    import public_tokenizers
-
-    return public_tokenizers.path("piece_bpe_32k.model")
-
-
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pieces.encode_decode(read(spark, sf_dir, "documents"), tokenizer_model())
+    return pieces.encode_decode(read(spark, sf_dir, "documents"), pieces.tokenizer_model())
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,8 +53,12 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, QueryFn]:
-    return {f.__name__: f for f in (op1_source_mixing, op2_exact_dedup, op3_pii_surrogates, op4_minhash_near_dedup, op5_sentencepiece, op6_line_dedup, op7_document_fingerprints, op8_sharding, op9_language_id, op10_toxicity)}
+    return {f.__name__: f for f in (op1_source_mixing, op2_exact_dedup, op3_pii_surrogates, op4_minhash_near_dedup, op5_sentencepiece, op6_line_dedup, op7_document_fingerprints, op8_sharding, op9_language_id, op10_toxicity, pipeline)}
 
 
 OP2_SQL = r"""
@@ -79,4 +74,5 @@ FROM t
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": OP2_SQL}
+    more = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return {"op2_exact_dedup": OP2_SQL, **more}

@@ -207,3 +207,18 @@ def predict(docs: DataFrame, table, intercept: float) -> DataFrame:
 def score(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> DataFrame:
     """doc_id, held_out, score and predicted of each document."""
     return predict(docs, *learn(docs, labels, per_label))
+
+
+def clean(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> DataFrame:
+    """The documents, with all their columns, that are not predicted toxic."""
+    table, intercept = learn(docs, labels, per_label)
+    model = docs.sparkSession.sparkContext.broadcast((table, intercept))
+
+    def kept(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            found = scores([t or "" for t in batch.column("text").to_pylist()], *model.value)
+            yield batch.filter(pa.array([x < 0.5 for x in found], pa.bool_()))
+
+    return docs.mapInArrow(kept, docs.schema)
