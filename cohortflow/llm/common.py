@@ -5,6 +5,7 @@ from __future__ import annotations
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -50,6 +51,15 @@ def text_of(col: str = "text") -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
 
+def guarded(df: DataFrame, own: tuple[str, ...], drop: tuple[str, ...] = ()) -> tuple[DataFrame, Callable[..., DataFrame]]:
+    """``df`` with columns other than ``own`` under names that clash with none, and a function that gives a result's
+    columns their names and order back, with more columns (``drop`` names those of ``df`` that these replace)."""
+    names = [c for c in df.columns if c not in drop]
+    alias = {c: c if c in own else f"__other{i}" for i, c in enumerate(names)}
+    back = lambda out, *more: out.select(*(F.col(a).alias(c) for c, a in alias.items()), *more)
+    return df.select(*(F.col(f"`{c}`").alias(a) for c, a in alias.items())), back
+
+
 def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 

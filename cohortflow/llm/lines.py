@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortflow.llm import words as W
-from cohortflow.llm.common import marked, only_marked, ship, stored, text_of
+from cohortflow.llm.common import guarded, marked, only_marked, ship, stored, text_of
 from cohortflow.llm.linking import linked
 
 EDITS = 2
@@ -241,6 +241,7 @@ def dropped_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
 def line_dedup(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     """The documents with ``text`` cut, and n_lines and n_dropped; all other columns stay."""
     ship(docs.sparkSession)
+    docs, back = guarded(docs, ("doc_id", "text"), ("n_lines", "n_dropped"))
     gone = stored(dropped_lines(docs, edits))
     rows = docs.withColumns({"n_lines": F.size(F.split(text_of(), "\n", -1)).cast("long"), "__row": F.xxhash64(text_of())})
     rows = marked(rows, "__row", gone.select(F.col("row").alias("key")), "__may")
@@ -266,4 +267,4 @@ def line_dedup(docs: DataFrame, edits: int = EDITS) -> DataFrame:
             at = batch.schema.get_field_index("gone")
             yield batch.remove_column(at).append_column("n_dropped", pa.array(counts, pa.int64()))
 
-    return whole.unionByName(cut.mapInArrow(shortened, whole.schema))
+    return back(whole.unionByName(cut.mapInArrow(shortened, whole.schema)), "n_lines", "n_dropped")

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortflow.llm import words as W
-from cohortflow.llm.common import marked, only_marked, ship, stored, text_of
+from cohortflow.llm.common import guarded, marked, only_marked, ship, stored, text_of
 from cohortflow.llm.linking import linked
 
 BANDS, ROWS = 40, 6
@@ -154,6 +154,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
 
 def one_of_each(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """The documents without those that another one stands for; of rows equal in id and text one stays."""
+    docs, back = guarded(docs, ("doc_id", "text"))
     found = stored(near_duplicates(docs, words, num, den))
     gone = stored(found.where("NOT kept").select(F.col("doc_id").alias("key")).distinct())
     again = stored(found.where("n_shingles > 0 AND kept AND doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("key"))
@@ -163,4 +164,4 @@ def one_of_each(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100)
     single = may.join(again.toDF("__id"), "__id", "left_anti")
     equal = may.join(again.toDF("__id"), "__id", "left_semi").dropDuplicates(["__id", "text"])
     whole = rows.where(~F.col("__may")).drop("__may")
-    return whole.unionByName(single).unionByName(equal).drop("__id")
+    return back(whole.unionByName(single).unionByName(equal))

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortflow.llm.common import marked, stored
+from cohortflow.llm.common import guarded, marked, stored
 
 KEY = "surrogates-1"
 #: Titles by gender and script; a title with one or two capitalised words after it is a person.
@@ -187,6 +187,7 @@ def _written() -> Column:
 
 def pseudonymised(docs: DataFrame, key: str = KEY) -> DataFrame:
     """The documents with surrogates for all entities in ``text``, and n_entities."""
+    docs, back = guarded(docs, ("doc_id", "text"), ("n_entities",))
     found = stored(entities(docs))
     s = surrogates(found, key).alias("s")
     f = found.alias("f")
@@ -194,8 +195,8 @@ def pseudonymised(docs: DataFrame, key: str = KEY) -> DataFrame:
         "f.doc_id", "f.row", "f.pos", "f.found", "f.type", "s.surrogate")
     by = stored(written.select("doc_id", "row", "pos", _written().alias("new"), F.col("type").isNotNull().cast("long").alias("one")).distinct()
                 .groupBy("doc_id", "row").agg(F.array_sort(F.collect_list(F.struct("pos", "new"))).alias("new"), F.sum("one").alias("n")))
-    names = [c for c in docs.columns if c != "n_entities"]
-    rows = marked(docs.select(*names).withColumn("__row", F.xxhash64("text")), "__row", by.select(F.col("row").alias("key")), "__may")
+    names = docs.columns
+    rows = marked(docs.withColumn("__row", F.xxhash64("text")), "__row", by.select(F.col("row").alias("key")), "__may")
     whole = rows.where(~F.col("__may")).select(*names, F.lit(0).cast("long").alias("n_entities"))
     r, b = rows.where("__may").alias("r"), by.alias("b")
     pieces = F.split("r.text", PATTERN, -1)
@@ -203,4 +204,4 @@ def pseudonymised(docs: DataFrame, key: str = KEY) -> DataFrame:
     cut = (r.join(b, (F.col("r.__row") == F.col("b.row")) & F.col("r.doc_id").eqNullSafe(F.col("b.doc_id")), "left")
            .select(*(F.when(F.col("b.new").isNull(), F.col("r.text")).otherwise(text).alias(c) if c == "text" else F.col(f"r.{c}") for c in names),
                    F.coalesce("b.n", F.lit(0)).cast("long").alias("n_entities")))
-    return whole.unionByName(cut)
+    return back(whole.unionByName(cut), "n_entities")

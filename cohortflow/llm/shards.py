@@ -18,7 +18,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortflow.llm.common import stored, text_of
+from cohortflow.llm.common import guarded, stored, text_of
 
 SEED = 20_261_204
 SHARDS = 16
@@ -88,8 +88,9 @@ def shard_table(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, bucket_
 def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, seed: int = SEED,
                  bucket_bytes: int = BUCKET_BYTES) -> None:
     """Writes the shuffled documents with all their columns as Parquet, in folders by shard; in a file, rows are in slot order."""
+    docs, back = guarded(docs, ("doc_id", "text"), ("shard", "slot"))
     rows = docs.withColumns({"__size": (F.octet_length(text_of()) + 1).cast("long"), "__crc": F.crc32(text_of().cast("binary"))})
     n, size = totals(rows.select(F.col("__size").alias("size")))
     placed = external_shuffle(rows, n, size, ["doc_id", "__crc", "__size"], shards, seed, bucket_bytes)
-    (placed.drop("__crc", "__size").repartition("bucket", "shard").sortWithinPartitions("shard", "slot").drop("bucket")
+    (back(placed.repartition("bucket", "shard").sortWithinPartitions("shard", "slot"), "shard", "slot")
      .write.partitionBy("shard").parquet(path))
