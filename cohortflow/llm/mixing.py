@@ -71,7 +71,7 @@ def permuted(index, size, key):
         x, h, m = out[todo], half[todo], low[todo]
         left, right = x >> h, x & m
         for turn in range(4):
-            f = (right + np.uint64(turn + 1) * np.uint64(0x9E3779B97F4A7C15)) ^ key[todo]
+            f = (right + np.uint64((turn + 1) * 0x9E3779B97F4A7C15 % 2**64)) ^ key[todo]
             for by, times in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
                 f = (f ^ (f >> np.uint64(by))) * np.uint64(times)
             left, right = right, left ^ ((f >> np.uint64(31)) & m)
