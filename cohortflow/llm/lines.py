@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from cohortflow.llm import words as W
 from cohortflow.llm.common import guarded, marked, only_marked, ship, stored, text_of
-from cohortflow.llm.linking import linked
+from cohortflow.llm.linking import by_block, linked
 
 EDITS = 2
 LEAST, LEAST_EDITED = 10, 30
@@ -219,12 +219,37 @@ def near_lines(docs: DataFrame, seen: DataFrame, edits: int = EDITS) -> DataFram
                 near = [within(x, y, edits) for x, y in zip(batch.column("line_a").to_pylist(), batch.column("line_b").to_pylist(), strict=True)]
                 yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
 
-        ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct())
-        texts = stored(_texts(docs, ids))
+        texts = stored(_texts(docs, stored(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct())))
         return (pairs.join(texts.toDF("a", "line_a"), "a").join(texts.toDF("b", "line_b"), "b")
                 .select("a", "b", "line_a", "line_b").mapInArrow(verified, "a long, b long"))
 
-    return linked(_keyed(docs, edits), signs, plausible, linked_pairs)
+    def linked_blocks(rows: DataFrame) -> DataFrame:
+        texts = stored(_texts(docs, stored(rows.select(F.col("id").alias("key")).distinct())))
+        return (rows.join(signs, "id").join(texts, "id").repartition("block").sortWithinPartitions("block")
+                .mapInArrow(lambda batches: _block_links(batches, edits), "a long, b long"))
+
+    return linked(_keyed(docs, edits), signs, plausible, linked_pairs, linked_blocks)
+
+
+def _block_links(batches, edits: int):
+    """Links of the strays of each block, one for each component that a stray is linked with."""
+    import numpy as np
+    import pyarrow as pa
+
+    for t in by_block(batches):
+        ids, comp, n = (t.column(c).to_numpy() for c in ("id", "comp", "n"))
+        counts = np.stack([t.column(c).to_numpy() for c in ("s0", "s1")], axis=1).view(np.uint8)
+        stray, text = np.asarray(t.column("stray")), t.column("line").to_pylist()
+        rows, out = np.flatnonzero(~stray), []
+        for x in np.flatnonzero(stray):
+            apart = counts[rows] - counts[x]
+            near = (comp[rows] != comp[x]) & (abs(n[rows] - n[x]) <= edits) & (np.minimum(apart, -apart).sum(axis=1, dtype=int) <= 2 * edits)
+            joined = set()
+            for y in rows[near]:
+                if comp[y] not in joined and within(text[x], text[y], edits):
+                    joined.add(comp[y])
+                    out.append((min(ids[x], ids[y]), max(ids[x], ids[y])))
+        yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.int64()), pa.array([b for _, b in out], pa.int64())], ["a", "b"])
 
 
 def dropped_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:

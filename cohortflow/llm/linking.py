@@ -1,23 +1,23 @@
 """Connected components of verified links between the members of buckets, without all pairs of a bucket.
 
-Pairs are tried in rounds. In a round each bucket names a few of its members as leaders; a leader is tried with
-every member of the bucket that is not in its component yet. Links merge components, so a bucket whose members
-are alike is one component after a round or two, however large it is. Later leaders are members outside the
-bucket's largest component that have not led yet. A bucket is done when all members that have not led are in one
-component: every pair of the others has been tried or is connected. No pair is left out, and no bucket is capped.
+First each bucket names one member, that with the most companions, and tries it with all the others. Links merge
+components, so a bucket whose members are alike is one component now, however large it is. In buckets that are not,
+the members outside the largest component (strays) are then tried with every member of another component. In
+buckets of up to ``SMALL`` members these pairs are rows; in larger ones strays and members meet in blocks of up to
+about ``BLOCK`` each, and a task gives the links of its block alone. So every pair of a bucket has been tried or is
+connected, no bucket is capped, and no task or node has the pairs of a large one.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortflow.llm.common import ship, stored
 
-#: Leaders of a bucket in each round; further rounds have the last number.
-LEADERS = (1, 64, 1024)
+SMALL, BLOCK = 256, 1024
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -71,51 +71,81 @@ def shared_only(members: DataFrame) -> DataFrame:
 
 
 def linked(members: DataFrame, signs: DataFrame, plausible: Callable[[Callable[[str], Column], Callable[[str], Column]], Column],
-           linked_pairs: Callable[[DataFrame], DataFrame]) -> DataFrame:
+           linked_pairs: Callable[[DataFrame], DataFrame], linked_blocks: Callable[[DataFrame], DataFrame],
+           small: int = SMALL, block: int = BLOCK) -> DataFrame:
     """id and comp (the least linked id) of all ids that share a bucket with another one.
 
     ``members`` has bucket and id (both long), ``signs`` more columns for each id. ``plausible`` tells from these,
     given as functions from a column's name to it, whether a pair may be linked; ``linked_pairs`` takes the pairs
-    (a, b; a < b) that may and returns those that are.
+    (a, b; a < b) that may and returns those that are. ``linked_blocks`` takes rows (block, bucket, id, comp, stray)
+    and returns links (a, b) of strays and others of one block such that all linked components are connected.
     """
     more = [c for c in signs.columns if c != "id"]
     live = stored(shared_only(members))
-    sizes = stored(live.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")))
-    # those with many companions lead first: they are likely to be what the others are copies of
-    weight = stored(live.join(sizes, "bucket").groupBy("id").agg(F.sum("n").alias("weight")).join(signs, "id"))
-    comp = stored(weight.select("id", F.col("id").alias("comp")))
-    live = live.withColumn("led", F.lit(False))
-    tried = None
-    for turn in range(1 << 30):
-        now = live.join(comp, "id")
-        if turn:
-            now = stored(now)
-            by = now.where(~F.col("led")).groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
-            open_ = (by.groupBy("bucket").agg(F.max(F.struct("n", "comp"))["comp"].alias("mode"), F.count(F.lit(1)).alias("comps"))
-                     .where("comps > 1").select("bucket", "mode"))
-            now = now.join(open_, "bucket")
-        now = stored(now.join(weight, "id"))
-        if now.isEmpty():
-            return comp
-        lead = now.where(~F.col("led") & (F.col("comp") != F.col("mode"))) if turn else now
-        first = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("weight"), "id"))
-        lead = stored(lead.withColumn("k", first).where(F.col("k") <= LEADERS[min(turn, len(LEADERS) - 1)])
-                      .select("bucket", *(F.col(c).alias(f"lead_{c}") for c in ("id", "comp", *more))))
-        pairs = (now.join(lead, (now["bucket"] == lead["bucket"]) & (now["comp"] != lead["lead_comp"])
-                          & plausible(lambda c: now[c], lambda c: lead[f"lead_{c}"]))
-                 .select(F.least("id", "lead_id").alias("a"), F.greatest("id", "lead_id").alias("b")).distinct())
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = stored(pairs)
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        links = stored(linked_pairs(pairs))
-        if not links.isEmpty():
-            ends = (links.join(comp.toDF("a", "ca"), "a").join(comp.toDF("b", "cb"), "b")
-                    .select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).distinct())
-            merged = components(ends).toDF("comp", "to")
-            comp = stored(comp.join(merged, "comp", "left").select("id", F.coalesce("to", "comp").alias("comp")))
-        led = lead.select("bucket", F.col("lead_id").alias("id"), F.lit(True).alias("now_led"))
-        # buckets that were done stay out
-        live = stored(now.select("bucket", "id", "led").join(led, ["bucket", "id"], "left").select(
-            "bucket", "id", (F.col("led") | F.coalesce("now_led", F.lit(False))).alias("led")))
-    raise AssertionError("unreachable")
+    sizes = stored(live.groupBy("bucket").agg(F.count(F.lit(1)).alias("n_bucket")))
+    # those with many companions come first: they are likely to be what the others are copies of
+    weight = live.join(sizes, "bucket").groupBy("id").agg(F.sum("n_bucket").alias("weight"))
+    nodes = stored(weight.join(signs, "id"))
+    now = stored(live.join(nodes, "id"))
+    named = stored(now.select("bucket", F.struct(F.col("weight"), -F.col("id"), *(F.col(c).alias(f"o_{c}") for c in more)).alias("best"))
+                   .groupBy("bucket").agg(F.max("best").alias("best"))
+                   .select("bucket", (-F.col("best.col2")).alias("o_id"), *(F.col(f"best.o_{c}") for c in more)))
+    # one leader for each bucket: at most as many pairs as there are members
+    links = stored(linked_pairs(_pairs(now, named, plausible, F.lit(True))))
+    comp = stored(_merged(nodes.select("id", F.col("id").alias("comp")), links))
+
+    now = stored(now.join(comp, "id").join(named.select("bucket", F.col("o_id").alias("leader")), "bucket"))
+    rest = now.where(F.col("id") != F.col("leader"))  # leaders have been tried with all
+    by = rest.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("k"))
+    open_ = stored(by.groupBy("bucket").agg(F.max(F.struct("k", "comp"))["comp"].alias("most"), F.sum("k").alias("n_bucket"),
+                                            (F.sum("k") - F.max("k")).alias("strays")).where("strays > 0"))
+    rest = stored(rest.drop("leader").join(open_, "bucket").withColumn("stray", F.col("comp") != F.col("most")).drop("most"))
+    few, many = rest.where(F.col("n_bucket") <= small), rest.where(F.col("n_bucket") > small)
+    strays = stored(few.where("stray").select("bucket", *(F.col(c).alias(f"o_{c}") for c in ("id", "comp", *more))))
+    found = stored(linked_pairs(_pairs(few, strays, plausible, F.col("comp") != F.col("o_comp"))))
+    across, down = F.ceil(F.col("strays") / block).cast("int"), F.ceil(F.col("n_bucket") / block).cast("int")
+    row, column = F.pmod(F.xxhash64("id"), down).cast("int"), F.pmod(F.xxhash64("id", "bucket"), across).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    blocks = (many.select("bucket", "id", "comp", row.alias("i"), every(across).alias("j"), F.lit(False).alias("stray"))
+              .unionByName(many.where("stray").select("bucket", "id", "comp", every(down).alias("i"), column.alias("j"), F.lit(True).alias("stray")))
+              .select(F.xxhash64("bucket", "i", "j").alias("block"), "bucket", "id", "comp", "stray"))
+    found = found.unionByName(stored(linked_blocks(stored(blocks))))
+    return stored(_merged(comp, found))
+
+
+def _pairs(members: DataFrame, others: DataFrame, plausible, which: Column) -> DataFrame:
+    m, o = members.alias("m"), others.alias("o")
+    return stored(m.join(o, (F.col("m.bucket") == F.col("o.bucket")) & (F.col("id") != F.col("o_id")) & which
+                         & plausible(lambda c: F.col(f"m.{c}"), lambda c: F.col(f"o.o_{c}")))
+                  .select(F.least("id", "o_id").alias("a"), F.greatest("id", "o_id").alias("b")).distinct())
+
+
+def _merged(comp: DataFrame, links: DataFrame) -> DataFrame:
+    """The components with those joined that a link joins."""
+    ends = stored(links.join(comp.toDF("a", "ca"), "a").join(comp.toDF("b", "cb"), "b")
+                  .select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).where("a <> b").distinct())
+    if ends.isEmpty():
+        return comp
+    return comp.join(components(ends).toDF("comp", "to"), "comp", "left").select("id", F.coalesce("to", "comp").alias("comp"))
+
+
+def by_block(batches):
+    """The rows of each block as a table, from batches sorted by block; a block may go on in the next batch."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    held = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        t = pa.Table.from_batches([batch])
+        block = t.column("block").to_numpy()
+        starts = [0, *((block[1:] != block[:-1]).nonzero()[0] + 1).tolist(), len(block)]
+        for low, high in zip(starts, starts[1:], strict=False):
+            part = t.slice(low, high - low)
+            if held and pc.equal(held[0].column("block")[0], part.column("block")[0]).as_py() is False:
+                yield pa.concat_tables(held)
+                held = []
+            held.append(part)
+    if held:
+        yield pa.concat_tables(held)

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from cohortflow.llm import words as W
 from cohortflow.llm.common import guarded, marked, only_marked, ship, stored, text_of
-from cohortflow.llm.linking import linked
+from cohortflow.llm.linking import by_block, linked
 
 BANDS, ROWS = 40, 6
 BITS, MOST_BITS = 512, 150
@@ -125,6 +125,38 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int, num: int, den: int
             .select("a", "b", "text_a", "text_b").mapInArrow(links, "a long, b long"))
 
 
+def _block_links(batches, words: int, num: int, den: int):
+    """Links of the strays of each block, one for each component that a stray is linked with.
+
+    A pair that shares several buckets is tried in that of their first common band alone.
+    """
+    import numpy as np
+    import pyarrow as pa
+
+    for t in by_block(batches):
+        ids, comp, n = (t.column(c).to_numpy() for c in ("id", "comp", "n"))
+        sketch, band = (np.stack(t.column(c).to_numpy()) for c in ("sketch", "bands"))
+        stray = np.asarray(t.column("stray"))
+        bucket = t.column("bucket")[0].as_py()
+        sets = [W.shingle_set(x, words) for x in t.column("text").to_pylist()]
+        rows, out = np.flatnonzero(~stray), []
+        for x in np.flatnonzero(stray):
+            near = ((comp[rows] != comp[x]) & (den * np.minimum(n[rows], n[x]) >= num * np.maximum(n[rows], n[x]))
+                    & (np.bitwise_count(sketch[rows] ^ sketch[x]).sum(axis=1) <= MOST_BITS))
+            some = rows[near]
+            same = band[some] == band[x]
+            some = some[band[x][same.argmax(axis=1)] == bucket]
+            if not len(some):
+                continue
+            every = np.concatenate([sets[y] for y in some])
+            at = np.minimum(np.searchsorted(sets[x], every), len(sets[x]) - 1)
+            both = np.bincount(np.repeat(np.arange(len(some)), [len(sets[y]) for y in some]), sets[x][at] == every, len(some))
+            hit = some[den * both >= num * (n[some] + n[x] - both)]
+            for y in hit[np.unique(comp[hit], return_index=True)[1]]:
+                out.append((min(ids[x], ids[y]), max(ids[x], ids[y])))
+        yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.int64()), pa.array([b for _, b in out], pa.int64())], ["a", "b"])
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of each document: linked where den * intersection >= num * union."""
     feats = stored(features(docs, words))
@@ -138,13 +170,20 @@ def near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
         bits = sum((F.bit_count(x(f"s{k}").bitwiseXOR(y(f"s{k}"))) for k in range(1, BITS // 64)), F.bit_count(x("s0").bitwiseXOR(y("s0"))))
         return (den * F.least(x("n"), y("n")) >= num * F.greatest(x("n"), y("n"))) & (bits <= MOST_BITS)
 
-    def linked_pairs(pairs: DataFrame) -> DataFrame:
-        ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct())
+    def texts(ids: DataFrame) -> DataFrame:
+        ids = stored(ids.distinct())
         rows = docs.select(F.col("doc_id").cast("long").alias("id"), text_of().alias("text"))
-        texts = stored(only_marked(rows, "id", ids).join(ids.toDF("id"), "id").dropDuplicates(["id"]))
-        return confirmed(pairs, texts, words, num, den)
+        return stored(only_marked(rows, "id", ids).join(ids.toDF("id"), "id").dropDuplicates(["id"]))
+
+    def linked_pairs(pairs: DataFrame) -> DataFrame:
+        return confirmed(pairs, texts(pairs.select(F.explode(F.array("a", "b")).alias("key"))), words, num, den)
+
+    def linked_blocks(rows: DataFrame) -> DataFrame:
+        about = classes.select("id", "n", "sketch", "bands").dropDuplicates(["id"]).join(texts(rows.select(F.col("id").alias("key"))), "id")
+        return (rows.join(about, "id").repartition("block").sortWithinPartitions("block")
+                .mapInArrow(lambda batches: _block_links(batches, words, num, den), "a long, b long"))
 
-    comp = linked(members, signs, plausible, linked_pairs)
+    comp = linked(members, signs, plausible, linked_pairs, linked_blocks)
     to = stored(classes.select("key", "id").join(comp, "id", "left").select("key", F.coalesce("comp", "id").alias("comp")))
     f = feats.join(to, "key", "left")
     alone = (F.col("n_shingles") == 0) | F.col("doc_id").isNull()

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import re
 from collections import Counter, defaultdict
+from functools import partial
 
 import numpy as np
 import pytest
@@ -63,7 +64,9 @@ def test_near_duplicates_of_a_table(spark):
     assert Counter(map(tuple, near.near_duplicates(docs, 2).collect())) == expected_near(rows, 2)
 
 
-def test_chains_and_large_groups(spark):
+@pytest.mark.parametrize("small", [256, 2])
+def test_chains_and_large_groups(spark, monkeypatch, small):
+    monkeypatch.setattr(near, "linked", partial(linking.linked, small=small, block=7))
     # a hub whose copies differ from one another more than from it, and a chain
     rng = random.Random(7)
     hub = words(rng, 100).split()
@@ -184,6 +187,16 @@ def expected_lines(rows):
     return [[k for k, x in enumerate((t or "").split("\n")) if len(x) >= lines.LEAST and first[groups.find(x)] != [i is None, i or 0, k]] for i, t in rows]
 
 
+@pytest.mark.parametrize("small", [256, 1])
+def test_variants_of_a_line(spark, monkeypatch, small):
+    monkeypatch.setattr(lines, "linked", partial(linking.linked, small=small, block=5))
+    rng = random.Random(9)
+    base = words(rng, 12)
+    texts = [base, *(edited(rng, base, k % 7) for k in range(60))]
+    got = {r["doc_id"]: r["n_dropped"] for r in lines.line_dedup(plain(spark, texts)).collect()}
+    assert got == {i: len(x) for i, x in enumerate(expected_lines(list(enumerate(texts))))}
+
+
 def test_line_dedup_of_odd_rows(spark):
     rng = random.Random(8)
     base = words(rng, 12)
