@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from cohortflow.llm.common import ship, stored
 
-SMALL, BLOCK = 256, 1024
+SMALL, BLOCK = 64, 1024
 
 
 def components(edges: DataFrame) -> DataFrame:
