@@ -4,6 +4,8 @@
         --history-start 2021-11-01 --end 2024-04-20 --out /shared/out
     python -m cohortflow.cli cross-sell --tables tables.json --anchor 2024-01-21 \
         --source-start 2023-10-01 --target-end 2024-02-21 --out /shared/out
+    python -m cohortflow.cli post-cross --tables tables.json --anchor 2024-01-21 \
+        --source-start 2023-10-01 --target-end 2024-02-21 --out /shared/out
 
 ``tables.json`` maps the domain table names of README "Bringing your own tables" to Parquet
 paths (or table names with ``"table:"`` prefix). Results are written as Parquet partitioned by
@@ -18,6 +20,8 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cohortflow import rules as R
+
 
 def _load(spark: SparkSession, ref: str) -> DataFrame:
     return spark.table(ref[len("table:"):]) if ref.startswith("table:") else spark.read.parquet(ref)
@@ -25,40 +29,63 @@ def _load(spark: SparkSession, ref: str) -> DataFrame:
 
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="cohortflow")
-    ap.add_argument("job", choices=["reactivation", "cross-sell"])
+    ap.add_argument("job", choices=["reactivation", "cross-sell", "post-cross"])
     ap.add_argument("--tables", required=True, help="JSON file: domain table name -> Parquet path / table:<name>")
     ap.add_argument("--anchor", required=True)
     ap.add_argument("--out", required=True)
-    ap.add_argument("--history-start")
+    ap.add_argument("--history-start", help="first day of the order history (reactivation)")
     ap.add_argument("--end", help="inclusive outcome end (reactivation)")
-    ap.add_argument("--source-start")
-    ap.add_argument("--target-end")
-    ap.add_argument("--rides-since")
+    ap.add_argument("--source-start", help="first day of the observation window (cross-sell)")
+    ap.add_argument("--target-end", help="exclusive outcome end (cross-sell)")
+    ap.add_argument("--rides-since", help="first day of the ride history; without it all rides before the anchor count")
+    ap.add_argument("--blended", action="store_true", help="add the blended margin, drop the city (P2)")
+    ap.add_argument("--outcome-cities", type=lambda x: tuple(int(c) if c.isdigit() else c for c in x.split(",")))
+    ap.add_argument("--lapse-days", type=int, default=R.LAPSE_MIN_DAYS)
+    ap.add_argument("--min-orders", type=int, default=R.GRADUATED_MIN_ORDERS)
+    ap.add_argument("--base", choices=["adoption", "crossed_a", "crossed_b"], default="adoption")
+    ap.add_argument("--lines", default="food,shop", help="lines of the area scores")
+    ap.add_argument("--membership-days", type=int, default=18)
+    ap.add_argument("--place-min-count", type=int, default=1)
     args = ap.parse_args(argv)
+    needed = {"reactivation": ("history_start", "end"), "cross-sell": ("source_start", "target_end"),
+              "post-cross": ("source_start", "target_end")}[args.job]
+    if missing := [f"--{n.replace('_', '-')}" for n in needed if getattr(args, n) is None]:
+        ap.error(f"{args.job} needs {', '.join(missing)}")
 
     from cohortflow.params import ObservationWindow
     from cohortflow.plans import anchor_run, reactivation as P
+    from cohortflow.session import drop_intermediates
 
     spark = SparkSession.builder.appName(f"cohortflow-{args.job}").getOrCreate()
     with open(args.tables) as fh:
         tables = {name: _load(spark, ref) for name, ref in json.load(fh).items()}
 
-    if args.job == "reactivation":
-        W = ObservationWindow.of(args.history_start, args.anchor, args.end, history_start=args.history_start,
-                                 end_date=args.end)
-        src = P.ReactivationSources(tables["orders"], tables["merchants"], tables["customers"], tables["value_lines"],
-                                    tables["order_level"], tables["trips"], tables["subscription_events"],
-                                    tables["profile"])
-        out = {
-            "reactivation_features": P.reactivation_features(src, W, rides_since=args.rides_since),
-            "reactivation_targets": P.reactivation_targets(src, W, rides_since=args.rides_since),
-            "lapsed_base": P.lapsed_base(src, W),
-        }
-    else:
-        W = ObservationWindow.of(args.source_start, args.anchor, args.target_end)
-        src = anchor_run.CrossSellSources(**{f: tables[f] for f in anchor_run.CrossSellSources.__dataclass_fields__})
-        out = anchor_run.cross_sell_tables(src, W)
-    anchor_run.write_tables(out, args.out, W.anchor)
+    try:
+        if args.job == "reactivation":
+            W = ObservationWindow.of(args.history_start, args.anchor, args.end, history_start=args.history_start,
+                                     end_date=args.end)
+            src = P.ReactivationSources(tables["orders"], tables["merchants"], tables["customers"], tables["value_lines"],
+                                        tables["order_level"], tables["trips"], tables["subscription_events"],
+                                        tables["profile"])
+            cities = args.outcome_cities or (R.OUTCOME_CITIES_ALL if args.blended else R.OUTCOME_CITIES)
+            out = {
+                "reactivation_features": P.reactivation_features(
+                    src, W, cities, with_city=not args.blended, with_blended=args.blended, rides_since=args.rides_since),
+                "reactivation_targets": P.reactivation_targets(src, W, args.lapse_days, args.min_orders,
+                                                               rides_since=args.rides_since),
+                "lapsed_base": P.lapsed_base(src, W, args.lapse_days, args.min_orders),
+            }
+        else:
+            W = ObservationWindow.of(args.source_start, args.anchor, args.target_end)
+            src = anchor_run.CrossSellSources(**{f: tables.get(f) for f in anchor_run.CrossSellSources.__dataclass_fields__})
+            if args.job == "cross-sell":
+                out = anchor_run.cross_sell_tables(src, W, base=args.base, lines=tuple(args.lines.split(",")),
+                                                   membership_days=args.membership_days, place_min_count=args.place_min_count)
+            else:
+                out = anchor_run.post_cross_tables(src, tables["orders"], tables["merchant_tags"], tables["tags"], W)
+        anchor_run.write_tables(out, args.out, W.anchor)
+    finally:
+        drop_intermediates(spark)
 
 
 if __name__ == "__main__":

@@ -103,8 +103,3 @@ def hex_cell(lat, lon, edge_km: float, ref_lat: float | None = None, radius_km:
     fq = F.when((dq > dr) & (dq > ds), -rr - rs).otherwise(rq)
     fr = F.when((dq > dr) & (dq > ds), rr).when(dr > ds, -rq - rs).otherwise(rr)
     return F.concat(fq.cast("long").cast("string"), F.lit(":"), fr.cast("long").cast("string"))
-
-
-def grid_cells(lat, lon, cell_deg: float) -> tuple[Column, Column]:
-    """Square grid indices used to make the proximity join an equi-join."""
-    return F.floor(_col(lat) / F.lit(cell_deg)).cast("long"), F.floor(_col(lon) / F.lit(cell_deg)).cast("long")

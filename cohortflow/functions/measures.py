@@ -20,11 +20,6 @@ def safe_ratio(x, n) -> Column:
     return F.when(d != 0, _col(x).cast("double") / d)
 
 
-def fill_defaults(defaults: dict[str, object]) -> list[Column]:
-    """M2: ``coalesce(col, default)`` per column, keeping the column name."""
-    return [F.coalesce(F.col(c), F.lit(v)).alias(c) for c, v in defaults.items()]
-
-
 def total_value(*cols) -> Column:
     """M3: sum of values, missing as 0."""
     out = None

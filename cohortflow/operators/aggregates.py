@@ -32,18 +32,22 @@ def lifetime(df: DataFrame, *, key: str, day: str, order_id: str, anchor, last_v
     return out.withColumn(n["recency"], F.datediff(F.lit(anchor), F.col(n["last"])).cast("long"))
 
 
+#: Digits that a BIGINT count of minor units may have, so that a sum of hundreds still fits; wider types are summed as DECIMAL.
+MAX_UNIT_DIGITS = 16
+
+
 def minor_units(df: DataFrame, amount: Column, scale: int) -> Column | None:
     """``amount`` as an exact BIGINT count of 10^-scale units, when its type allows it (DECIMAL with
-    at most ``scale`` places, or an integer); None otherwise. Summing longs keeps the aggregation
+    at most ``scale`` places and ``MAX_UNIT_DIGITS`` digits, or an INT); None otherwise. Summing longs keeps the aggregation
     buffer fixed-width (fast hash aggregate) where a wide DECIMAL sum falls back to BigDecimal."""
     dt = df.select(amount.alias("__a")).schema["__a"].dataType
-    if isinstance(dt, T.DecimalType) and dt.scale <= scale:
+    if isinstance(dt, T.DecimalType) and dt.scale <= scale and dt.precision - dt.scale + scale <= MAX_UNIT_DIGITS:
         # Fast exact path: below 2^50 units, rint(double(x) * 10^s) is the exact count (the double
         # error stays under 0.25 of a unit); larger amounts take the exact DECIMAL product.
         fast = F.rint(amount.cast("double") * F.lit(float(10 ** scale))).cast("long")
         exact = (amount * F.lit(10 ** scale)).cast("long")
         return F.when(F.abs(amount) < F.lit(2.0 ** 50 / 10 ** scale), fast).otherwise(exact)
-    if isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+    if isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType)):
         return amount.cast("long") * F.lit(10 ** scale)
     return None
 
@@ -87,6 +91,13 @@ def value_stats(df: DataFrame, *, key: str, order_id: str, gross: Column, margin
     return out.withColumn(names["gppo"], safe_ratio(F.col(names["gp"]), F.col(names["n"])))
 
 
+def recent_distinct(df: DataFrame, *, key: str, order_id: str, recent: Column, names: Mapping[str, str]) -> DataFrame:
+    """A3: distinct orders and distinct orders with a recent row per key, in two levels (no Expand)."""
+    o = df.groupBy(key, order_id).agg(F.max(recent.cast("int")).alias("__r"))
+    return o.groupBy(key).agg(F.count(order_id).alias(names["n"]),
+                              F.count(F.when(F.col("__r") == 1, F.col(order_id))).alias(names["n_recent"]))
+
+
 def outcome(df: DataFrame, *, key: str, order_id: str, sums: Mapping[str, str], n_name: str) -> DataFrame:
     """A4: distinct orders and sums per key (the caller applies the outcome window)."""
     return df.groupBy(key).agg(F.count_distinct(order_id).alias(n_name),

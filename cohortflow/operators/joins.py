@@ -1,11 +1,8 @@
 """Joins (J1-J8).
 
-Broadcast is used only behind a size check: ``broadcast_if_small`` counts at most
-``max_rows + 1`` rows of the candidate side (a bounded job; the row cap follows from a 64 MB
-budget and the schema's row width) and hints a broadcast only when the side is proven small.
-Everything else is left to the planner (sort-merge or shuffled hash join) and to AQE, which may
-still switch to a broadcast from runtime shuffle statistics and splits skewed partitions of a
-sort-merge join. Dimensions are reduced to one row per key (``one_per_key``) so duplicate keys
+No join counts rows or hints a broadcast while a plan is built: the planner and AQE choose from
+measured sizes (a side is broadcast when its shuffle turns out small), and AQE splits skewed
+partitions of a sort-merge join. Dimensions are reduced to one row per key (``one_per_key``) so duplicate keys
 cannot fan out facts, and the proximity join is an equi-join on grid cells (``near_join``).
 """
 
@@ -16,54 +13,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from cohortflow.functions.geo import haversine_m
 from cohortflow.rules import EARTH_RADIUS_KM
 
-DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
-DEFAULT_BROADCAST_ROWS = None  # derived from DEFAULT_BROADCAST_BYTES and the row width
 
-
-def _width(dt: T.DataType) -> int:
-    """Rough in-memory width of a value (bytes) for the broadcast bound."""
-    if isinstance(dt, (T.StringType, T.BinaryType)):
-        return 32
-    if isinstance(dt, T.DecimalType):
-        return 16
-    if isinstance(dt, T.StructType):
-        return sum(_width(f.dataType) for f in dt.fields)
-    if isinstance(dt, (T.ArrayType, T.MapType)):
-        return 128
-    if isinstance(dt, (T.BooleanType, T.ByteType)):
-        return 1
-    if isinstance(dt, (T.ShortType, T.IntegerType, T.DateType, T.FloatType)):
-        return 4
-    return 8
-
-
-def row_bound(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> int:
-    """Row cap that keeps the broadcast side under ``max_bytes`` (plus per-row overhead)."""
-    per_row = 16 + sum(_width(f.dataType) for f in df.schema.fields)
-    return max(1, max_bytes // per_row)
-
-
-def is_small(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (bounded job: stops at max_rows + 1)."""
-    cap = max_rows if max_rows is not None else row_bound(df)
-    return df.limit(cap + 1).count() <= cap
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only for a side proven to fit the bound (row cap, default derived from a
-    64 MB budget and the schema's row width); otherwise the planner / AQE choose the join."""
-    return F.broadcast(df) if is_small(df, max_rows) else df
-
-
-def join_dim(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
-             max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def join_dim(fact: DataFrame, dim: DataFrame, on, how: str = "inner") -> DataFrame:
     """Equi-join a fact to a dimension (allow-list + enrichment)."""
-    return fact.join(broadcast_if_small(dim, max_broadcast_rows), on, how)
+    return fact.join(dim, on, how)
 
 
 def restrict_to(df: DataFrame, base: DataFrame, key: str, base_key: str | None = None) -> DataFrame:
@@ -94,12 +51,12 @@ def flag_exists(df: DataFrame, other: DataFrame, left_key: str, right_key: str,
 
 def join_bridge(fact: DataFrame, bridge: DataFrame, dim: DataFrame, *, fact_key: str, bridge_fact_key: str,
                 bridge_dim_key: str, dim_key: str, bridge_filter: Column | None = None,
-                dim_filter: Column | None = None, max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                dim_filter: Column | None = None) -> DataFrame:
     """Fact -> bridge -> dimension, inner (one output row per matching bridge row)."""
     b = bridge.where(bridge_filter) if bridge_filter is not None else bridge
     d = dim.where(dim_filter) if dim_filter is not None else dim
-    bd = b.join(broadcast_if_small(d, max_broadcast_rows), b[bridge_dim_key] == d[dim_key], "inner")
-    return fact.join(broadcast_if_small(bd, max_broadcast_rows), fact[fact_key] == bd[bridge_fact_key], "inner")
+    bd = b.join(d, b[bridge_dim_key] == d[dim_key], "inner")
+    return fact.join(bd, fact[fact_key] == bd[bridge_fact_key], "inner")
 
 
 def near_join(events: DataFrame, places: DataFrame, *, key: str, ev_lat: str, ev_lon: str, pl_lat: str,

@@ -2,7 +2,7 @@
 
 * Top-1 per key (latest row, preferred category, best match) is an aggregate
   ``max_by(struct(values), struct(order..., tie...))``: partial aggregation runs map-side, so a hot
-  key never lands whole in one task and no per-key sort is needed.
+  key never lands whole in one task (a sort aggregate, as the buffers are structs).
 * Ranks within a key (row_number / dense_rank) use a range-partitioned global sort: a hot key is
   spread over several range partitions (a per-row salt as the last sort key splits even exact
   copies); each row's rank is its position inside its partition plus the row count of the same
@@ -77,6 +77,9 @@ def rank_within(df: DataFrame, key: str, order: Sequence, out: str = "rank", den
         names = [o if isinstance(o, str) else None for o in order]
         if any(n is None for n in names):
             raise ValueError("dense rank needs plain column names in order (ascending, NULLS LAST)")
+        if materialize:
+            from cohortflow.session import cut_lineage
+            df = cut_lineage(df)  # the distinct values and the join back read it
         distinct = df.select(key, *names).distinct()
         ranked = rank_within(distinct, key, [F.col(n).asc_nulls_last() for n in names], out, False, num_partitions,
                              materialize)
@@ -122,6 +125,7 @@ def rank_within_window(df: DataFrame, key: str, order: Sequence, out: str = "ran
 def top_k(df: DataFrame, key: str, order: Sequence, k: int, out: str = "rank") -> DataFrame:
     """K1: the first ``k`` rows per key by ``order`` (include a tie column), with their rank.
 
-    Built on ``rank_within`` (range-partitioned), so a hot key is not sorted in one task. For
-    ``k == 1`` prefer ``latest_by`` / ``top1_by_count`` (pure aggregates)."""
-    return rank_within(df, key, order, out=out).where(F.col(out) <= k)
+    The filter on ``row_number`` becomes a group limit before the shuffle, so a task sends at most
+    ``k`` rows of a key, however hot. For ``k == 1`` prefer ``latest_by`` / ``top1_by_count``."""
+    w = Window.partitionBy(key).orderBy(*[_c(o) for o in order])
+    return df.withColumn(out, F.row_number().over(w).cast("long")).where(F.col(out) <= k)

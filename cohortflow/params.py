@@ -5,9 +5,6 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 
 def as_date(value: str | dt.date) -> dt.date:
     if isinstance(value, dt.datetime):
@@ -50,9 +47,6 @@ class ObservationWindow:
     def outcome_end_inclusive(self) -> dt.date:
         return self.end_date or (self.target_end - dt.timedelta(days=1))
 
-    def anchor_lit(self) -> Column:
-        return F.lit(self.anchor)
-
 
 @dataclass(frozen=True)
 class TripThresholds:

@@ -32,11 +32,11 @@ def service_first_dates(first_orders: DataFrame, users: DataFrame, city: str = R
     kept for customers of the base service who are valid users (J3)."""
     f = first_orders.where(F.col("city") == city).select(
         norm_key("userid").alias("customer_id"), "service", "first_order_date")
-    f = restrict_to(f, users, "customer_id")
     d = A.first_dates(f, key="customer_id", service_col="service", date_col="first_order_date",
                       services={"ride_first_order_date": BASE_SERVICES, "food_first_order_date": A_SERVICES,
                                 "shop_first_order_date": B_SERVICES})
-    return d.where(F.col("ride_first_order_date").isNotNull())
+    # the semi-join after the aggregate, whose partial step splits a hot customer
+    return restrict_to(d.where(F.col("ride_first_order_date").isNotNull()), users, "customer_id")
 
 
 def adoption_cohort(trips: DataFrame, first_orders: DataFrame, W: ObservationWindow,
@@ -68,7 +68,8 @@ def membership_status(base: DataFrame, subs: DataFrame, W: ObservationWindow, th
                       labels=R.MEMBERSHIP_STATUS_LABELS) -> DataFrame:
     """P10: A6 active days in the window, C12 Active/Inactive label (missing days = 0)."""
     s = scan_window(subs, "day", W.source_start, W.anchor).select(norm_key("customer_id").alias("customer_id"), "day")
-    days = A.active_days(restrict_to(s, base, "customer_id"), key="customer_id", day="day")
+    # distinct days first: the rows of a hot customer are reduced before they meet in the semi-join
+    days = A.active_days(restrict_to(s.distinct(), base, "customer_id"), key="customer_id", day="day")
     out = base.select("customer_id").join(days, "customer_id", "left")
     label = threshold_label("active_days", threshold, labels[0], labels[1])
     return out.select("customer_id", label.alias("membership_status"))
@@ -80,16 +81,16 @@ def last_known_features(demo: DataFrame, base: DataFrame, W: ObservationWindow)
     Each feature is ``max_by(value, ordering)`` where the ordering is NULL for rows that do not
     qualify (such rows are skipped), replacing three scans and three windows."""
     d = scan_window(demo, "day", W.source_start, W.anchor).withColumn("customer_id", norm_key("customer_id"))
-    d = restrict_to(d, base, "customer_id")
     order = F.struct("day", "updated_at", "event_id")
     gender = clean_category("sex_prediction", R.GENDER_VALUES)
     tourist = clean_category("tourist_flag", R.TOURIST_VALUES)
     sim = F.trim(F.lower("tourist_country_simcard"))
-    return d.groupBy("customer_id").agg(
+    found = d.groupBy("customer_id").agg(
         F.max_by(gender, F.when(gender.isNotNull(), order)).alias("gender"),
         F.max(F.when(tourist.isNotNull(), F.lit(1))).alias("is_tourist"),
         F.max_by(sim, F.when(F.col("tourist_country_simcard").isNotNull(), order)).alias("sim_country"),
     )
+    return restrict_to(found, base, "customer_id")  # after the aggregate, whose partial step splits a hot customer
 
 
 def profile_features(profile: DataFrame, base: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ whole chain is one lazy plan ending in a partitioned Parquet write.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortflow import rules as R
@@ -30,17 +30,19 @@ def point_counts(trips: DataFrame, base: DataFrame, W: ObservationWindow, side:
     """Trips per customer and rounded point."""
     lat, lon = SIDES[side]
     t = valid_trips(scan_window(trips, "day", W.source_start, W.anchor)).withColumn("customer_id", norm_key("customer_id"))
-    t = restrict_to(t, base, "customer_id")
     rlat, rlon = round_point(lat, lon, decimals)
     pts = t.select("customer_id", norm_key("booking_id").alias("booking_id"), rlat.alias("latitude"),
                    rlon.alias("longitude")).distinct()
-    return A.point_counts(pts, ["customer_id", "latitude", "longitude"], out="trip_cnts")
+    # The semi-join comes last: above it, the counts would put all trips of a hot customer into one task.
+    return restrict_to(A.point_counts(pts, ["customer_id", "latitude", "longitude"], out="trip_cnts"), base, "customer_id")
 
 
 def dominant_cell(points: DataFrame, edge_km: float = R.HEX_EDGE_KM, ref_lat: float | None = None,
-                  cell_col: str = "cell") -> DataFrame:
-    """The cell with the most trips per customer (G5 + A15; ties -> smallest cell id)."""
-    p = points.withColumn(cell_col, hex_cell("latitude", "longitude", edge_km, ref_lat))
+                  cell_col: str = "cell", cell_expr: Column | None = None) -> DataFrame:
+    """The cell with the most trips per customer (G5 + A15; ties -> smallest cell id).
+
+    ``cell_expr`` gives the cell of a point (columns latitude, longitude) in another grid."""
+    p = points.withColumn(cell_col, hex_cell("latitude", "longitude", edge_km, ref_lat) if cell_expr is None else cell_expr)
     return A.argmax_by(p, key="customer_id", cat=cell_col, value="trip_cnts", out_value="trip_loc_cnts")
 
 

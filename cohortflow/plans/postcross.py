@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cohortflow import rules as R
 from cohortflow.functions.measures import days_since
 from cohortflow.operators.filters import delivered, name_contains
-from cohortflow.operators.joins import broadcast_if_small, join_bridge, restrict_to
+from cohortflow.operators.joins import join_bridge, restrict_to
 from cohortflow.operators.scans import scan_window
 from cohortflow.operators.windows import rank_within
 from cohortflow.params import ObservationWindow
@@ -33,22 +33,17 @@ def taxonomy_frame(spark: SparkSession, taxonomy=None) -> DataFrame:
 
 
 def map_taxonomy(df: DataFrame, col: str, tax: DataFrame, out: str = "cuisine_group",
-                 default: str = R.CUISINE_DEFAULT, known_rows: int | None = None) -> DataFrame:
-    """Broadcast left join on ``lower(name)`` (untrimmed, T26), default group for the rest.
-
-    ``known_rows`` is the size of a lookup built from rule data (a proven bound, no counting job);
-    any other lookup is size-checked first."""
-    small = F.broadcast(tax) if known_rows is not None and known_rows <= 10_000 else broadcast_if_small(tax, 10_000)
-    j = df.join(small, F.lower(df[col]) == tax["tax_name"], "left")
+                 default: str = R.CUISINE_DEFAULT) -> DataFrame:
+    """Left join on ``lower(name)`` (untrimmed, T26), default group for the rest."""
+    j = df.join(tax, F.lower(df[col]) == tax["tax_name"], "left")
     return j.withColumn(out, F.coalesce(F.col("cuisine_group"), F.lit(default))).drop("tax_name", *(
         ["cuisine_group"] if out != "cuisine_group" else []))
 
 
 def _window_orders(orders: DataFrame, base: DataFrame, W: ObservationWindow) -> DataFrame:
-    """Orders in ``[anchor, target_end)`` of the crossed cohort. The cohort (first order on one
-    day) is broadcast when its size check passes, so the order scan is filtered map-side."""
+    """Orders in ``[anchor, target_end)`` of the crossed cohort."""
     o = scan_window(orders, "day", W.anchor, W.target_end)
-    return restrict_to(o, broadcast_if_small(base.select("customer_id")), "customer_id")
+    return restrict_to(o, base, "customer_id")
 
 
 def _finish(o: DataFrame, W: ObservationWindow, days_col: str, extra=()) -> DataFrame:
@@ -68,7 +63,7 @@ def post_cross_tagged(orders: DataFrame, base: DataFrame, merchant_tags: DataFra
                     bridge_dim_key="tag_id", dim_key="id", bridge_filter=F.lower("status") == R.TAG_STATUS_ACTIVE,
                     dim_filter=F.col("type") == R.TAG_TYPE_CUISINE)
     j = j.select(*ORDER_COLS, F.col("name").alias("cuisine"), F.col("id").alias("cuisine_id"))
-    j = map_taxonomy(j, "cuisine", taxonomy_frame(spark, taxonomy), known_rows=len(R.taxonomy_rows(taxonomy)))
+    j = map_taxonomy(j, "cuisine", taxonomy_frame(spark, taxonomy))
     return _finish(j, W, "days_since_first_order", extra=["cuisine", "cuisine_id", "cuisine_group"])
 
 

@@ -7,7 +7,7 @@ Service roles are parameters (``lapsed`` = the service customers lapsed from, ``
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,7 +18,7 @@ from cohortflow.functions.keys import norm_key
 from cohortflow.functions.measures import blended_margin, calendar_days, elapsed_days, total_value
 from cohortflow.operators import aggregates as A
 from cohortflow.operators.filters import VALUE_TRIP_RULES, active_at, delivered, lapsed, valid_trips
-from cohortflow.operators.joins import DEFAULT_BROADCAST_ROWS, assemble, broadcast_if_small, one_per_key, restrict_to
+from cohortflow.operators.joins import assemble, one_per_key, restrict_to
 from cohortflow.operators.scans import scan_window
 from cohortflow.operators.windows import latest_by, rank_within
 from cohortflow.params import ObservationWindow
@@ -42,10 +42,6 @@ class ReactivationSources:
         return ReactivationSources(src.orders, src.merchants, src.customers, src.value_lines, src.order_level,
                                    src.trips, src.subscription_events, src.profile)
 
-    def with_checked_merchants(self, max_rows: int | None = DEFAULT_BROADCAST_ROWS) -> "ReactivationSources":
-        """Size-check the merchant dimension once; joins then reuse the (hinted) frame."""
-        return replace(self, merchants=broadcast_if_small(self.merchants, max_rows))
-
 
 def lapsed_service_history(orders: DataFrame, merchants: DataFrame, W: ObservationWindow,
                            cities=R.LAPSED_SERVICE_CITIES, order_type: str = R.B_ORDER_TYPE) -> DataFrame:
@@ -72,7 +68,6 @@ def lifetime_features(history: DataFrame, W: ObservationWindow) -> DataFrame:
 def lapsed_base(src: ReactivationSources, W: ObservationWindow, min_recency: int = R.LAPSE_MIN_DAYS,
                 min_orders: int = R.GRADUATED_MIN_ORDERS) -> DataFrame:
     """Lapsed, resident customers with at least ``min_orders`` delivered orders."""
-    src = src.with_checked_merchants()
     life = lapsed(lifetime_features(lapsed_service_history(src.orders, src.merchants, W), W), "recency_days", min_recency)
     base = life.select(F.lit(W.anchor).alias("day"), *life.columns)
     base = base.join(residency(src.customers), "customer_id", "left")
@@ -82,8 +77,11 @@ def lapsed_base(src: ReactivationSources, W: ObservationWindow, min_recency: int
 
 
 def ride_value(trips: DataFrame, W: ObservationWindow, since=None, recent_days: int = R.RECENT_DAYS) -> DataFrame:
-    """S2 + A2c + A3: de-duplicated value trips over one range ``[since, anchor)`` (T10 fixed)."""
-    t = valid_trips(scan_window(trips, "day", since or W.history_lo, W.anchor), VALUE_TRIP_RULES)
+    """S2 + A2c + A3: de-duplicated value trips before the anchor, over one range (T10 fixed).
+
+    ``since`` is a lower bound of the day; None has none: the ride history is longer than the order
+    history, whose start does not cut it."""
+    t = valid_trips(scan_window(trips, "day", since, W.anchor), VALUE_TRIP_RULES)
     # Plain distinct: its map-side partial step removes copies before the shuffle, so even a
     # group of copies holding a third of all rows never reaches one task whole.
     t = t.select("day", norm_key("customer_id").alias("customer_id"), "trip_id", "revenue", "cogs").distinct()
@@ -147,11 +145,13 @@ def value_features(spine: DataFrame, src: ReactivationSources, W: ObservationWin
     rides = ride_value(trips, W, rides_since)
     food = second_service_value(lines, W)
     shop = lapsed_service_value(order_level, W)
+    resident = residency(src.customers)
     if restrict is not None:
+        resident = restrict_to(resident, restrict, "customer_id")
         rides = restrict_to(rides, restrict, "customer_id")
         food = restrict_to(food, restrict, "customer_id")
         shop = restrict_to(shop, restrict, "customer_id")
-    j = assemble(spine, [rides, food, shop, residency(src.customers)], "customer_id")
+    j = assemble(spine, [rides, food, shop, resident], "customer_id")
     z = F.lit(0)
     return j.select(
         *spine.columns,
@@ -183,7 +183,6 @@ def reactivation_targets(src: ReactivationSources, W: ObservationWindow, min_rec
                          rides_since=None) -> DataFrame:
     """Lapsed customers with value features, membership and profile; residents with at least
     ``min_orders`` orders in the profit table."""
-    src = src.with_checked_merchants()
     life = lapsed(lifetime_features(lapsed_service_history(src.orders, src.merchants, W), W), "recency_days", min_recency)
     spine = life.select(F.lit(W.anchor).alias("day"), *life.columns)
     feats = value_features(spine, src, W, rides_since)
@@ -208,12 +207,15 @@ def anchor_day_orders(src: ReactivationSources, W: ObservationWindow, cities=R.L
                         F.col("line_no").asc_nulls_last()], out="day_order_rn")
 
 
-def outcome_after(src: ReactivationSources, W: ObservationWindow, cities=R.OUTCOME_CITIES) -> DataFrame:
-    """A4: delivered orders in ``(anchor, end_date]``."""
+def outcome_after(src: ReactivationSources, W: ObservationWindow, cities=R.OUTCOME_CITIES,
+                  restrict: DataFrame | None = None) -> DataFrame:
+    """A4: delivered orders in ``(anchor, end_date]``, with ``restrict`` of those customers."""
     o = src.orders.select("customer_id", "order_id", "merchant_id", "order_status", "city_id", "order_type", "day",
                           "basket_amount", "promo_amount", "net_basket_amount_with_tax")
     o = delivered(scan_window(o, "day", W.anchor, W.outcome_end_inclusive, lo_inclusive=False, hi_inclusive=True),
                   cities=cities)
+    if restrict is not None:
+        o = restrict_to(o, restrict, "customer_id")
     o = o.join(src.merchants.select("merchant_id"), "merchant_id", "inner")
     return A.outcome(o, key="customer_id", order_id="order_id", n_name="n_orders_after",
                      sums={"basket_after": "basket_amount", "promo_after": "promo_amount",
@@ -224,15 +226,14 @@ def reactivation_features(src: ReactivationSources, W: ObservationWindow, outcom
                           with_city: bool = True, with_blended: bool = False, rides_since=None) -> DataFrame:
     """One row per anchor-day order line with sequence, outcome, and history features.
 
-    All history sources are first cut to the anchor-day customers (a one-day key set, broadcast
-    after a size check), so the long scans aggregate only the customers that matter."""
-    src = src.with_checked_merchants()
-    keys = broadcast_if_small(anchor_day_lines(src, W).select("customer_id").distinct())
+    The ranked anchor day is materialised once (``rank_within``); its customers are the key set to
+    which every other source is cut before it is aggregated."""
     today = anchor_day_orders(src, W)
+    keys = today.select("customer_id").distinct()
     history = restrict_to(lapsed_service_history(src.orders, src.merchants, W), keys, "customer_id")
     life = lifetime_features(history, W)
     feats = value_features(life, src, W, rides_since, restrict=keys)
-    out = assemble(today, [outcome_after(src, W, outcome_cities), feats,
+    out = assemble(today, [outcome_after(src, W, outcome_cities, keys), feats,
                            restrict_to(latest_membership(src.subscriptions, W), keys, "customer_id"),
                            restrict_to(profile_features(src.profile), keys, "customer_id")], "customer_id")
     cols = ["customer_id"] + (["city_id"] if with_city else []) + [

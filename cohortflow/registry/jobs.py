@@ -49,52 +49,33 @@ def job_reactivation_features_blended(spark, sf_dir):
 TRIP_THRESHOLDS = TripThresholds(fav_cct_min_trip_cnt=3, fav_commute_time_min_trip_cnt=2, fav_payment_min_trip_cnt=3,
                                  min_share_pct=20.0, promo_percent_threshold=50.0)
 MEMBERSHIP_DAYS = 18
-PLACE_MIN_COUNT = 1
-
-
-_BASES: dict[tuple, DataFrame] = {}
-
-
-def shared_base(spark, sf_dir, name: str, build) -> DataFrame:
-    """A cohort that several feature jobs read is built once per run and written to the
-    checkpoint directory (reliable: survives executor loss, cuts the lineage), instead of being
-    re-derived inside every job."""
-    from cohortflow.session import cut_lineage, session_key
-
-    key = (session_key(spark), sf_dir, name)
-    if key not in _BASES:
-        _BASES[key] = cut_lineage(build())
-    return _BASES[key]
+PLACE_MIN_COUNT = 2
 
 
 def cohort(spark, sf_dir):
-    """P5 adoption cohort: the customer base of the cross-sell features (built once per run)."""
+    """P5 adoption cohort: the customer base of the cross-sell features."""
     s = Sources(spark, sf_dir)
-    return shared_base(spark, sf_dir, "adoption", lambda: X.adoption_cohort(s.trips, s.first_orders, T.CROSS_SELL_W))
+    return X.adoption_cohort(s.trips, s.first_orders, T.CROSS_SELL_W)
 
 
 @register("job_adoption_cohort")
 def job_adoption_cohort(spark, sf_dir):
-    s = Sources(spark, sf_dir)
-    return X.adoption_cohort(s.trips, s.first_orders, T.CROSS_SELL_W)
+    return cohort(spark, sf_dir)
 
 
 def crossed_base(spark, sf_dir, service: str):
     s = Sources(spark, sf_dir)
-    return shared_base(spark, sf_dir, f"crossed_{service}",
-                       lambda: X.crossed_on(s.trips, s.first_orders, T.CROSS_SELL_W, service))
+    return X.crossed_on(s.trips, s.first_orders, T.CROSS_SELL_W, service)
 
 
 @register("job_crossed_on_a")
 def job_crossed_on_a(spark, sf_dir):
-    s = Sources(spark, sf_dir)
-    return X.crossed_on(s.trips, s.first_orders, T.CROSS_SELL_W, "a")
+    return crossed_base(spark, sf_dir, "a")
 
 
 @register("job_crossed_on_b")
 def job_crossed_on_b(spark, sf_dir):
-    s = Sources(spark, sf_dir)
-    return X.crossed_on(s.trips, s.first_orders, T.CROSS_SELL_W, "b")
+    return crossed_base(spark, sf_dir, "b")
 
 
 @register("job_base_stamped")
@@ -148,11 +129,11 @@ def job_dominant_cell(spark, sf_dir):
     return L.dominant_cell(job_dropoff_points(spark, sf_dir))
 
 
-def _area_frame(spark, sf_dir):
+def _area_frame(spark, sf_dir, line="food"):
     trips, base = Sources(spark, sf_dir).trips, cohort(spark, sf_dir)
     drop = L.dominant_cell(L.point_counts(trips, base, T.CROSS_SELL_W, "dropoff"))
     pick = L.dominant_cell(L.point_counts(trips, base, T.CROSS_SELL_W, "pickup"))
-    return L.area_frame(base, drop, pick, "food_first_order_date")
+    return L.area_frame(base, drop, pick, f"{line}_first_order_date")
 
 
 @register("job_area_scores_dropoff")
@@ -169,6 +150,13 @@ def job_area_scores_pickup(spark, sf_dir):
                          start=W.source_start, end=W.anchor)
 
 
+@register("job_area_scores_shop_dropoff")
+def job_area_scores_shop_dropoff(spark, sf_dir):
+    W = T.CROSS_SELL_W
+    return L.area_scores(_area_frame(spark, sf_dir, "shop"), area="cell_dropoff", first_col="shop_first_order_date",
+                         start=W.source_start, end=W.anchor)
+
+
 @register("job_post_cross_tagged")
 def job_post_cross_tagged(spark, sf_dir):
     s = Sources(spark, sf_dir)

@@ -74,12 +74,7 @@ def scan_history_distinct(spark, d):
 def union_disjoint_ranges(spark, d):
     ranges = [("1995-01-01", "1995-12-31", True), ("1996-01-01", "1997-12-31", True),
               ("1998-01-01", "1998-12-31", True), ("1999-01-01", RW.anchor, False)]
-    t = _value_trips(spark, d)
-    parts = [S.scan_window(t, "day", lo, hi, True, inc).distinct() for lo, hi, inc in ranges]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return S.union_ranges(_value_trips(spark, d), "day", ranges).distinct()
 
 
 @register("latest_snapshot")
@@ -260,9 +255,8 @@ def agg_value_trips(spark, d):
 @register("agg_recent_distinct")
 def agg_recent_distinct(spark, d):
     t = S.scan_window(_value_trips(spark, d), "day", RIDES_SINCE, RW.anchor)
-    return t.groupBy("customer_id").agg(
-        F.count_distinct("trip_id").alias("n_trips"),
-        F.count_distinct(F.when(M.calendar_days("day", RW.anchor) <= 30, F.col("trip_id"))).alias("n_trips_30"))
+    return A.recent_distinct(t, key="customer_id", order_id="trip_id", recent=M.calendar_days("day", RW.anchor) <= 30,
+                             names={"n": "n_trips", "n_recent": "n_trips_30"})
 
 
 @register("agg_outcome_after")
@@ -395,7 +389,7 @@ def win_latest_membership(spark, d):
 
 
 def _multi_day_orders(spark, d):
-    o = FL.delivered(S.scan_window(Sources(spark, d).orders, "day", "1999-12-01", AW.anchor))
+    o = FL.delivered(Sources(spark, d).orders)
     return o.select("customer_id", "order_id", "line_no", "order_received_timestamp")
 
 
@@ -502,7 +496,7 @@ def map_taxonomy(spark, d):
     s = Sources(spark, d)
     names = (s.merchant_tags.join(s.tags, F.col("tag_id") == F.col("id"))
              .select("merchant_id", F.col("name").alias("cuisine")))
-    return PC.map_taxonomy(names, "cuisine", PC.taxonomy_frame(spark), known_rows=len(R.taxonomy_rows()))
+    return PC.map_taxonomy(names, "cuisine", PC.taxonomy_frame(spark))
 
 
 @register("classify_place")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,7 +29,7 @@ def local_session(cpus: int | str = "*", app: str = "cohortflow", shuffle_partit
 
 
 def session_key(spark: SparkSession) -> tuple:
-    """Identity of a running application (for per-run memo caches)."""
+    """Identity of a running application."""
     try:
         return (id(spark), spark.sparkContext.applicationId)
     except Exception:  # noqa: BLE001  (no SparkContext on a remote session)
@@ -49,7 +50,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return conf
 
 
+_WRITTEN: dict[str, list[str]] = {}
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint directory (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """The rows written as Parquet to the shared checkpoint folder and read again.
+
+    They are computed once (an eager ``checkpoint`` computes them twice), their size is known to the
+    planner, and a lost executor takes nothing with it. ``drop_intermediates`` removes them."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/cohortflow-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_intermediates(spark: SparkSession) -> int:
+    """Delete what ``cut_lineage`` wrote in this application; call it when no frame made from it is
+    needed any more. Returns the number of folders."""
+    paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
+    jvm = spark.sparkContext._jvm
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return len(paths)

@@ -1,12 +1,15 @@
 """Incremental daily runs of the reactivation features (P1) with Structured Streaming.
 
 Upstream, P1 is a template re-run for every anchor day. Here a file stream over the
-day-partitioned order table detects which days have arrived; ``foreachBatch`` runs the batch job
-for each of those anchor days over the full (static) sources and overwrites exactly that anchor's
-output partition. The stream checkpoint records which files were handled, and a replayed
-micro-batch rewrites the same partitions, so reruns are idempotent.
+day-partitioned order table detects which days have arrived. An anchor is run when its outcome
+window has closed, that is when the newest day that has arrived is its last outcome day or later;
+``foreachBatch`` then runs the batch job over the full sources and overwrites exactly that anchor's
+output partition. A day that arrives late reruns every closed anchor that reads it: those whose
+outcome window holds it and those after it, for which it is history. The stream checkpoint records
+which files were handled, and a replayed micro-batch rewrites the same partitions, so reruns are
+idempotent.
 
-Only the distinct new days of a micro-batch (a handful of dates) reach the driver.
+Only distinct days reach the driver.
 """
 
 from __future__ import annotations
@@ -27,6 +30,13 @@ def window_for(anchor: dt.date, history_start: dt.date, outcome_days: int = 91)
                                 end_date=end)
 
 
+def closed_anchors(there: list[dt.date], new: list[dt.date], outcome_days: int) -> list[dt.date]:
+    """The anchors to run when the days ``new`` have arrived: those of the days ``there`` whose outcome
+    window has closed and that read a new day, as outcome or as history."""
+    span = dt.timedelta(days=outcome_days)
+    return [d for d in sorted(there) if new and d + span <= max(there) and d + span >= new[0]]
+
+
 def write_anchor(df: DataFrame, out_path: str, anchor: dt.date) -> None:
     write_partitioned(df, out_path, {"anchor": anchor.isoformat()})
 
@@ -39,18 +49,19 @@ def start_daily_reactivation(spark: SparkSession, orders_path: str, orders_schem
     """Start the stream; returns the ``StreamingQuery``.
 
     ``orders_path`` is the day-partitioned order table (``day=YYYY-MM-DD`` directories or a ``day``
-    column); ``sources()`` builds the static sources the job reads (called per micro-batch so new
-    files are visible)."""
+    column); ``sources()`` builds the sources the job reads, orders included, as far as they have
+    arrived (called for each anchor, so new files are visible)."""
     reader = spark.readStream.schema(orders_schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.parquet(orders_path)
 
     def run(batch: DataFrame, epoch_id: int) -> None:
-        days = sorted(r["day"] for r in batch.select("day").distinct().collect())
-        for day in days:
-            W = window_for(day, history_start, outcome_days)
-            write_anchor(P.reactivation_features(sources(), W, rides_since=rides_since), out_path, day)
+        new = sorted(r["day"] for r in batch.select("day").distinct().collect())
+        there = [r["day"] for r in spark.read.schema(orders_schema).parquet(orders_path).select("day").distinct().collect()]
+        for anchor in closed_anchors(there, new, outcome_days):
+            W = window_for(anchor, history_start, outcome_days)
+            write_anchor(P.reactivation_features(sources(), W, rides_since=rides_since), out_path, anchor)
 
     writer = stream.select("day").writeStream.foreachBatch(run).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 hour")
