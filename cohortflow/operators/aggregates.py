@@ -32,29 +32,24 @@ def lifetime(df: DataFrame, *, key: str, day: str, order_id: str, anchor, last_v
     return out.withColumn(n["recency"], F.datediff(F.lit(anchor), F.col(n["last"])).cast("long"))
 
 
-#: Digits that a BIGINT count of minor units may have, so that a sum of hundreds still fits; wider types are summed as DECIMAL.
-MAX_UNIT_DIGITS = 16
-
-
-def minor_units(df: DataFrame, amount: Column, scale: int) -> Column | None:
-    """``amount`` as an exact BIGINT count of 10^-scale units, when its type allows it (DECIMAL with
-    at most ``scale`` places and ``MAX_UNIT_DIGITS`` digits, or an INT); None otherwise. Summing longs keeps the aggregation
-    buffer fixed-width (fast hash aggregate) where a wide DECIMAL sum falls back to BigDecimal."""
+def minor_units(df: DataFrame, amount: Column, scale: int) -> tuple[Column, Column] | None:
+    """``amount`` in two parts that add up to it: a BIGINT count of 10^-scale units, and the amounts too
+    large for it as DECIMAL (else NULL). None when its type has neither (DECIMAL with more than ``scale``
+    places, or no exact type). Summing longs keeps the aggregation fast; below 2^50 units
+    rint(double(x) * 10^s) is the exact count (the double error stays under 0.25 of a unit), and sums of
+    thousands of such counts fit a BIGINT."""
     dt = df.select(amount.alias("__a")).schema["__a"].dataType
-    if isinstance(dt, T.DecimalType) and dt.scale <= scale and dt.precision - dt.scale + scale <= MAX_UNIT_DIGITS:
-        # Fast exact path: below 2^50 units, rint(double(x) * 10^s) is the exact count (the double
-        # error stays under 0.25 of a unit); larger amounts take the exact DECIMAL product.
-        fast = F.rint(amount.cast("double") * F.lit(float(10 ** scale))).cast("long")
-        exact = (amount * F.lit(10 ** scale)).cast("long")
-        return F.when(F.abs(amount) < F.lit(2.0 ** 50 / 10 ** scale), fast).otherwise(exact)
+    if isinstance(dt, T.DecimalType) and dt.scale <= scale:
+        small = F.abs(amount) < F.lit(2.0 ** 50 / 10 ** scale)
+        return F.when(small, F.rint(amount.cast("double") * F.lit(float(10 ** scale))).cast("long")), F.when(~small, amount)
     if isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType)):
-        return amount.cast("long") * F.lit(10 ** scale)
+        return amount.cast("long") * F.lit(10 ** scale), F.lit(None).cast("decimal(38,4)")
     return None
 
 
 def from_minor_units(total: Column, scale: int) -> Column:
     """Exact DECIMAL back from a BIGINT count of 10^-scale units."""
-    return total.cast("decimal(38,0)") / F.lit(10 ** scale).cast("decimal(19,0)")
+    return (total.cast("decimal(28,0)") / F.lit(10 ** scale).cast("decimal(9,0)")).cast("decimal(38,4)")
 
 
 def value_stats(df: DataFrame, *, key: str, order_id: str, gross: Column, margin: Column,
@@ -71,23 +66,32 @@ def value_stats(df: DataFrame, *, key: str, order_id: str, gross: Column, margin
     g_units = minor_units(df, gross, money_scale) if money_scale is not None else None
     m_units = minor_units(df, margin, money_scale) if money_scale is not None else None
     in_units = g_units is not None and m_units is not None
+    sums = {"__g": gross, "__m": margin}
     if in_units:
-        gross, margin = g_units, m_units
-    per_order = [F.sum(gross).alias("__g"), F.sum(margin).alias("__m")]
+        sums = dict(zip(("__g", "__gl", "__m", "__ml"), (*g_units, *m_units), strict=True))
+    per_order = [F.sum(c).alias(n) for n, c in sums.items()]
     if recent is not None:
         per_order.append(F.max(recent.cast("int")).alias("__r"))
     if last is not None:
         per_order.append(F.max(last).alias("__l"))
     o = df.groupBy(key, order_id).agg(*per_order)  # a NULL order id forms its own group: summed, not counted
-    aggs = [F.count(order_id).alias(names["n"]), F.sum("__g").alias(names["gmv"]), F.sum("__m").alias(names["gp"])]
+    aggs = [F.count(order_id).alias(names["n"]), *(F.sum(n).alias(n) for n in sums)]
     if recent is not None:
         aggs.append(F.count(F.when(F.col("__r") == 1, F.col(order_id))).alias(names["n_recent"]))
     if last is not None:
         aggs.append(F.max("__l").alias(names["last"]))
     out = o.groupBy(key).agg(*aggs)
-    if in_units:
-        out = (out.withColumn(names["gmv"], from_minor_units(F.col(names["gmv"]), money_scale))
-                  .withColumn(names["gp"], from_minor_units(F.col(names["gp"]), money_scale)))
+
+    def total(n: str) -> Column:
+        if not in_units:
+            return F.col(n)
+        zero = F.lit(0).cast("decimal(38,4)")
+        both = from_minor_units(F.coalesce(F.col(n), F.lit(0)), money_scale) + F.coalesce(F.col(f"{n}l").cast("decimal(38,4)"), zero)
+        return F.when(F.col(n).isNotNull() | F.col(f"{n}l").isNotNull(), both)
+
+    extra = [names[k] for k in ("n_recent", "last") if k in names]
+    out = out.select(key, names["n"], total("__g").alias(names["gmv"]), total("__m").alias(names["gp"]),
+                     *(c for c in extra if c in out.columns))
     return out.withColumn(names["gppo"], safe_ratio(F.col(names["gp"]), F.col(names["n"])))
 
 
