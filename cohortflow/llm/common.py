@@ -46,6 +46,13 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def slices(batches, rows: int = 1000):
+    """The Arrow batches in slices of so many rows, so that a worker holds few texts as Python objects at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def text_of(col: str = "text") -> Column:
     """A text column with null as the empty text."""
     return F.coalesce(F.col(col).cast("string"), F.lit(""))

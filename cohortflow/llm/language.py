@@ -20,7 +20,7 @@ from functools import cache
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortflow.llm.common import held_out, only_marked, ship, stored, text_of
+from cohortflow.llm.common import held_out, only_marked, ship, slices, stored, text_of
 
 SIZE = 1024
 PER_LANGUAGE = 600
@@ -157,7 +157,7 @@ def predict(docs: DataFrame, langs: list[str], prototypes) -> DataFrame:
         import pyarrow as pa
 
         names, rows = model.value
-        for batch in batches:
+        for batch in slices(batches):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             langs, scores = [], []
             for part in _together(texts):

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortflow.llm import words as W
-from cohortflow.llm.common import guarded, marked, only_marked, ship, stored, text_of
+from cohortflow.llm.common import guarded, marked, only_marked, ship, slices, stored, text_of
 from cohortflow.llm.linking import by_block, linked
 
 EDITS = 2
@@ -150,7 +150,7 @@ def occurrences(docs: DataFrame) -> DataFrame:
         import numpy as np
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in slices(batches):
             of, at, texts = [], [], []
             for k, text in enumerate(batch.column("text").to_pylist()):
                 for i, x in _lines(text):
@@ -176,7 +176,7 @@ def _keyed(docs: DataFrame, edits: int) -> DataFrame:
     def found(batches):
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in slices(batches, 2000):
             texts = list({x: None for t in batch.column("text").to_pylist() for _, x in _lines(t) if len(x) >= LEAST_EDITED})
             b, i = keys(texts, _ids(texts), edits)
             for low in range(0, max(1, len(b)), 1 << 18):
@@ -191,7 +191,7 @@ def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
     def found(batches):
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in slices(batches, 2000):
             texts = list({x: None for t in batch.column("text").to_pylist() for _, x in _lines(t) if len(x) >= LEAST_EDITED})
             yield pa.RecordBatch.from_arrays([pa.array(_ids(texts), pa.int64()), pa.array(texts, pa.string())], ["id", "line"])
 
@@ -279,7 +279,7 @@ def line_dedup(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     def shortened(batches):
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in slices(batches):
             texts, counts = [], []
             for text, gone in zip(batch.column("text").to_pylist(), batch.column("gone").to_pylist(), strict=True):
                 if gone:

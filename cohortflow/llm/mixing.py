@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortflow.llm.common import partitions, ship, stored, text_of
+from cohortflow.llm.common import partitions, ship, slices, stored, text_of
 
 BLOCK = 128
 SHARDS = 256
@@ -210,7 +210,7 @@ def mixed_documents(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) ->
         import pyarrow as pa
 
         word = re.compile(WORD)
-        for batch in batches:
+        for batch in slices(batches):
             schema = pa.schema([*(batch.schema.field(c) for c in names[:4]), pa.field("n_chars", pa.int64())])
             out = []
             for r in batch.to_pylist():

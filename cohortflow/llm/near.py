@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortflow.llm import words as W
-from cohortflow.llm.common import guarded, marked, only_marked, ship, stored, text_of
+from cohortflow.llm.common import guarded, marked, only_marked, ship, slices, stored, text_of
 from cohortflow.llm.linking import by_block, linked
 
 BANDS, ROWS = 40, 6
@@ -81,7 +81,7 @@ def features(docs: DataFrame, words: int) -> DataFrame:
         import pyarrow as pa
         import xxhash
 
-        for batch in batches:
+        for batch in slices(batches):
             keys, sizes, of, sketches = [], [], [], []
             for text in batch.column("text").to_pylist():
                 s = W.shingle_set(text, words)
@@ -106,7 +106,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int, num: int, den: int
         import pyarrow as pa
 
         last: dict[int, object] = {}
-        for batch in batches:
+        for batch in slices(batches):
             keep = []
             for a, b, text_a, text_b in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "text_a", "text_b")), strict=True):
                 sets = []

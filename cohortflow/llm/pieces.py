@@ -27,12 +27,12 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortflow.llm.common import ship, text_of
+from cohortflow.llm.common import ship, slices, text_of
 
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Parts of texts that a worker keeps with their ids.
-KEPT = 1_000_000
+KEPT = 400_000
 OUT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -196,6 +196,11 @@ class PrefixTable:
             texts += parts
         return ",".join(found), "".join(texts).replace(SPACE, " ").removeprefix(" ")
 
+    def forget(self) -> None:
+        """Frees what has been kept: a worker may live on for other work."""
+        self.__dict__.pop("_known", None)
+        self._fit.clear()
+
     @property
     def known(self) -> _Known:
         if "_known" not in self.__dict__:
@@ -266,7 +271,7 @@ def encode_decode(docs: DataFrame, model_path: str) -> DataFrame:
         import pyarrow as pa
 
         table = _table(model.value)
-        for batch in batches:
+        for batch in slices(batches):
             counts, ids, texts = [], [], []
             for text in batch.column(1).to_pylist():
                 joined, back = table.digestible(text)
@@ -275,6 +280,7 @@ def encode_decode(docs: DataFrame, model_path: str) -> DataFrame:
                 texts.append(hashlib.sha256(back.encode()).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(texts, pa.string())],
                                              ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        table.forget()
 
     return docs.select(F.col("doc_id").cast("long"), text_of().alias("text")).mapInArrow(digests, OUT)
 
@@ -289,8 +295,9 @@ def encode_ids(docs: DataFrame, model_path: str) -> DataFrame:
         import pyarrow as pa
 
         table = _table(model.value)
-        for batch in batches:
+        for batch in slices(batches):
             ids = pa.array([table.encode(t) for t in batch.column(1).to_pylist()], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], ["doc_id", "ids"])
+        table.forget()
 
     return docs.select("doc_id", text_of().alias("text")).mapInArrow(encoded, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids array<int>")

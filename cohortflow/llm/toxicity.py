@@ -22,7 +22,7 @@ from functools import cache
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortflow.llm.common import held_out, only_marked, ship, stored, text_of
+from cohortflow.llm.common import held_out, only_marked, ship, slices, stored, text_of
 
 BUCKETS, SIZE = 1 << 18, 4
 RUNS = (3, 4, 5)
@@ -100,8 +100,11 @@ def train(texts: list[str], labels: list[int]) -> tuple[list[float], float]:
         total = np.bincount(at, weight)
         d, b = key // BUCKETS, key % BUCKETS
         for i, (low, high) in enumerate(zip(np.searchsorted(d, np.arange(len(words))), np.searchsorted(d, np.arange(len(words)), "right"), strict=True)):
-            rows.append((b[low:high], (total[low:high] / max(1, words[i])).astype(np.float32)))
-    common = np.bincount(np.concatenate([b for b, _ in rows]), minlength=BUCKETS) >= LEAST_TEXTS
+            rows.append((b[low:high].astype(np.int32), (total[low:high] / max(1, words[i])).astype(np.float32)))
+    common = np.zeros(BUCKETS, np.int32)
+    for b, _ in rows:
+        common[b] += 1  # equal buckets have been added up
+    common = common >= LEAST_TEXTS
     rows = [(b[common[b]], w[common[b]]) for b, w in rows]
     rng = np.random.default_rng(SEED)
     table = rng.normal(0, 0.05, (BUCKETS, SIZE)).astype(np.float32) * common[:, None]
@@ -196,7 +199,7 @@ def predict(docs: DataFrame, table, intercept: float) -> DataFrame:
         import pyarrow as pa
 
         table, intercept = model.value
-        for batch in batches:
+        for batch in slices(batches):
             found = scores([t or "" for t in batch.column("text").to_pylist()], table, intercept)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(found, pa.float64()),
                                               pa.array([int(x >= 0.5) for x in found], pa.int32())], ["doc_id", "held_out", "score", "predicted"])
@@ -217,7 +220,7 @@ def clean(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Dat
     def kept(batches):
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in slices(batches):
             found = scores([t or "" for t in batch.column("text").to_pylist()], *model.value)
             yield batch.filter(pa.array([x < 0.5 for x in found], pa.bool_()))
 
