@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import shutil
 import tempfile
-import uuid
 from collections.abc import Callable
 from pathlib import Path
 
@@ -12,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import cohortflow
-from cohortflow.session import ensure_checkpoint_dir
+from cohortflow.session import cut_lineage
 
 #: The white space that separates words: space, tab, line feed, vertical tab, form feed, carriage return.
 WHITE = " \t\n\x0b\x0c\r"
@@ -38,24 +37,9 @@ def stored(df: DataFrame) -> DataFrame:
     """The rows written as Parquet to the cluster's shared checkpoint folder and read again.
 
     They are computed once, their size is known to the planner, and a lost executor takes nothing with it.
-    The folder is the cluster's to clean, as with checkpoint(), whose second pass over the rows this saves.
+    ``session.drop_intermediates`` removes the folders.
     """
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/cohortflow-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def slices(batches, rows: int = 1000):
-    """The Arrow batches in slices of so many rows, so that a worker holds few texts as Python objects at a time."""
-    for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
-
-
-def text_of(col: str = "text") -> Column:
-    """A text column with null as the empty text."""
-    return F.coalesce(F.col(col).cast("string"), F.lit(""))
+    return cut_lineage(df)
 
 
 def guarded(df: DataFrame, own: tuple[str, ...], drop: tuple[str, ...] = ()) -> tuple[DataFrame, Callable[..., DataFrame]]:
