@@ -13,8 +13,6 @@ from pyspark.sql import functions as F
 import cohortflow
 from cohortflow.session import cut_lineage
 
-#: The white space that separates words: space, tab, line feed, vertical tab, form feed, carriage return.
-WHITE = " \t\n\x0b\x0c\r"
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
