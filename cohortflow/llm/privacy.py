@@ -5,7 +5,9 @@ from a keyed hash: digits stand for digits and letters for letters of the same c
 numbers keep their check digit right, names keep their gender (by title and ending) and script, e-mail goes to
 reserved domains and IPv4 to the private range 10/8. The surrogate depends on the entity alone, so all its mentions,
 however they are written, agree in all documents. Surrogates are checked: two entities of one type must not share
-one, and none may be an entity of the table; those that fail are hashed again until all are distinct.
+one, and none may be an entity of the table; those that fail are hashed again until all are distinct. Within secrets
+every character is replaced, signs and other scripts too. After ``WIDEN`` attempts surrogates become longer, or come
+from a larger range, so that there are always enough of them, however few characters an entity has.
 
 Defined results: null text stays null; empty texts and texts without entities stay as they are; null and repeated
 ids are allowed, rows equal in id and text are treated alike; an empty table gives an empty result; other columns
@@ -38,6 +40,11 @@ TYPES = {
 }
 PATTERN = "|".join(f"(?:{p})" for p in TYPES.values())
 _LOWER, _UPPER, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+#: What stands for characters of other kinds: their class and its alphabet; the last class holds all that are left.
+_OTHERS = {"[а-яё]": "абвгдежзийклмнопрстуфхцчшщъыьэюя", "[А-ЯЁ]": "АБВГДЕЖЗИЙКЛМНОПРСТУФХЦЧШЩЪЫЬЭЮЯ", r"\p{Ll}": _LOWER, r"\p{Lu}": _UPPER,
+           r"\p{N}": _DIGITS, r"\p{L}": "天地玄黃宇宙洪荒日月盈昃辰宿列張寒來暑往秋收冬藏閏餘成歲律呂調陽", ".": "!#$%&*+-./:=?@^_~"}
+#: Attempts after which surrogates are drawn from a larger space.
+WIDEN = 4
 #: What names are made of, by script; the endings by gender.
 SYLLABLES = {"latin": "ba be bo da de do fa fe ga ka ke la le lo ma me mo na ne no ra re ro sa so ta te to va ve vo za",
              "cyrillic": "ба бе бо да де до фа фе га ка ке ла ле ло ма ме мо на не но ра ре ро са со та те то ва ве во за"}
@@ -63,7 +70,7 @@ def _type(found: Column) -> Column:
     return out
 
 
-_SECRET = r"\A(.*?[=:]\s{0,3}[\"']?)([^\s\"',;]+)\z"
+_SECRET = r"(?s)\A(.*?[=:]\s{0,3}[\"']?)([^\s\"',;]+)\z"
 _TITLE = rf"\A({'|'.join(TITLES.values())})\.? "
 
 
@@ -104,15 +111,25 @@ def _pick(alphabet: str, i: Column) -> Column:
     return F.substring(F.lit(alphabet), (_number(i) % len(alphabet)) + 1, F.lit(1))
 
 
-def _like(text: Column, hexadecimal: Column | None = None, first: int = 0) -> Column:
-    """Other characters of the same kinds. The first digit is not 0 or 1."""
+def _like(text: Column, hexadecimal: Column | None = None, first: int = 0, signs: bool = False) -> Column:
+    """Other characters of the same kinds; with ``signs`` those of other scripts, signs and symbols too, else they
+    stay. The first digit is not 0 or 1."""
     def other(x: Column, i: Column) -> Column:
         lower = _pick(_LOWER, i) if hexadecimal is None else F.when(hexadecimal, _pick("abcdef", i)).otherwise(_pick(_LOWER, i))
-        return (F.when(i < first, x).when(x.rlike("[0-9]"), F.when(i == first, _pick("23456789", i)).otherwise(_pick(_DIGITS, i)))
-                .when(x.rlike("[a-z]"), lower).when(x.rlike("[A-Z]"), _pick(_UPPER, i)).otherwise(x))
+        out = (F.when(i < first, x).when(x.rlike("[0-9]"), F.when(i == first, _pick("23456789", i)).otherwise(_pick(_DIGITS, i)))
+               .when(x.rlike("[a-z]"), lower).when(x.rlike("[A-Z]"), _pick(_UPPER, i)))
+        for kind, alphabet in _OTHERS.items() if signs else ():
+            out = out.when(x.rlike(f"(?s){kind}"), _pick(alphabet, i))
+        return out.otherwise(x)
     return F.concat_ws("", F.transform(_chars(text), other))
 
 
+def _more(digits: bool = False) -> Column:
+    """What makes a surrogate longer after ``WIDEN`` attempts: 12 hexadecimal digits, or 8 decimal ones."""
+    more = F.concat(*(_pick(_DIGITS, F.lit(40 + i)) for i in range(8))) if digits else F.substring(F.col("stream"), 201, 12)
+    return F.when(F.col("attempt") >= WIDEN, more).otherwise("")
+
+
 def _named() -> Column:
     """A name for each word of a name; gender and script are the first word of the entity."""
     parts = F.split("entity", " ")
@@ -125,7 +142,8 @@ def _named() -> Column:
         def syllable(k: int) -> Column:
             at = _number(i * 16 + k) % 32
             return F.when(kind.endswith("cyrillic"), F.split(F.lit(SYLLABLES["cyrillic"]), " ")[at]).otherwise(F.split(F.lit(SYLLABLES["latin"]), " ")[at])
-        return F.initcap(F.concat(*(syllable(k) for k in range(4)), ending))
+        longer = F.when(F.col("attempt") >= WIDEN, F.concat(*(syllable(k) for k in range(4, 12)))).otherwise("")
+        return F.initcap(F.concat(*(syllable(k) for k in range(4)), longer, ending))
 
     return F.concat_ws(" ", F.transform(F.slice(parts, 2, 100), lambda _, i: word(i)))
 
@@ -135,20 +153,29 @@ def _surrogate() -> Column:
     hexadecimal = e.rlike(r"\A[0-9a-f]+\z")
     labels = F.split(F.substring_index(e, "@", -1), r"\.")
     n = F.size(labels)
+    # a local part of signs alone gets letters; too few locals of one top-level domain get a host label each
+    local = F.substring_index(e, "@", 1)
+    local = F.when(local.rlike("[a-z0-9]"), _like(local)).otherwise(_like(F.regexp_replace(local, ".", "a")))
+    widened = F.when(F.col("attempt") >= WIDEN, F.concat(F.lit("h"), _more(), F.lit("."))).otherwise("")
     host = F.concat_ws(".", F.transform(labels, lambda x, i: F.when(i == n - 1, x).when(i == n - 2, "example").otherwise(
         F.concat(F.lit("h"), F.substring(F.col("stream"), 1, F.lit(6))))))
-    body = _like(F.concat(F.substring(e, 1, 1), F.expr("substring(entity, 2, length(entity) - 2)")), first=1)
+    body = F.concat(_like(F.concat(F.substring(e, 1, 1), F.expr("substring(entity, 2, length(entity) - 2)")), first=1), _more(True))
     check = F.concat(body, ((10 - _luhn(body, 1) % 10) % 10).cast("string"))
     country = F.greatest(F.length(e) - 10, F.lit(0))
-    return (F.when(t == "email", F.concat(_like(F.substring_index(e, "@", 1)), F.lit("@"), host))
+    octets = [(_number(F.lit(i)) % 254 + 1).cast("string") for i in range(3)]
+    # 10/8, then the reserved range 240/4, then an IPv6 range for documentation
+    private = (F.when(F.col("attempt") < WIDEN, F.concat_ws(".", F.lit("10"), *octets))
+               .when(F.col("attempt") < 2 * WIDEN, F.concat_ws(".", (_number(F.lit(3)) % 15 + 240).cast("string"), *octets))
+               .otherwise(F.concat_ws(":", F.lit("2001:db8"), *(F.substring(F.col("stream"), 4 * i + 1, 4) for i in range(6)))))
+    return (F.when(t == "email", F.concat(local, F.lit("@"), widened, host))
             .when(t == "access_key", F.concat(F.lit("AKIA"), _like(F.expr("substring(entity, 5)"))))
-            .when(t == "ipv4", F.concat_ws(".", F.lit("10"), *((_number(F.lit(i)) % 254 + 1).cast("string") for i in range(3))))
+            .when(t == "ipv4", private)
             .when(t == "phone", F.concat(F.expr("substring(entity, 1, greatest(length(entity) - 10, 0))"),
-                                         _like(F.substring(e, country + 1, F.lit(10)))))
-            .when(t == "ssn", F.concat(F.lit("9"), _like(F.expr("substring(entity, 2)"))))
+                                         _like(F.substring(e, country + 1, F.lit(10))), _more(True)))
+            .when(t == "ssn", F.concat(F.lit("9"), _like(F.expr("substring(entity, 2)")), _more(True)))
             .when(t == "card", check)
             .when(t == "person", _named())
-            .otherwise(_like(e, hexadecimal)))
+            .otherwise(F.concat(_like(e, hexadecimal, signs=True), _more())))
 
 
 def surrogates(found: DataFrame, key: str = KEY) -> DataFrame:
@@ -176,6 +203,7 @@ def _written() -> Column:
     # the k-th digit of the mention becomes the k-th of the surrogate
     digit = lambda i: F.size(F.filter(F.slice(chars, 1, i + 1), lambda x: x.rlike("[0-9]")))
     filled = F.concat_ws("", F.transform(chars, lambda x, i: F.when(x.rlike("[0-9]"), F.substring(s, digit(i), F.lit(1))).otherwise(x)))
+    filled = F.concat(filled, F.substring(s, F.length(F.regexp_replace("found", r"\D", "")) + 1, F.length(s)))  # a longer surrogate
     name = F.regexp_replace("found", _TITLE, "")
     cased = F.when((name == F.upper(name)) & (F.length(name) > 2), F.upper(s)).otherwise(s)
     return (F.when(t.isin("phone", "card", "ssn"), filled)

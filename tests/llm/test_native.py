@@ -133,3 +133,13 @@ def test_surrogates_of_odd_rows_leave_clean_texts(spark):
     rows = odd_rows()
     got = privacy.pseudonymised(documents(spark))
     assert Counter((r["doc_id"], r["text"], r["__row"]) for r in got.collect()) == Counter((r[0], r[1], r[9]) for r in rows)
+
+
+def test_surrogates_of_signs_other_scripts_and_small_spaces_end(spark):
+    texts = ["password: ********", "token: ......", "password=парольчик", "pwd=漢字漢字漢字", "write _@example.com", "secret\n= abcdef"]
+    texts += [f"{c}@mail.com" for c in "abcdefghijklmnopqrstuvwxyz0123"]
+    got = {r["doc_id"]: r["text"] for r in privacy.pseudonymised(plain(spark, texts)).collect()}
+    assert all(got[i] != t for i, t in enumerate(texts)) and len(set(got.values())) == len(texts)
+    assert not {"********", "......", "парольчик", "漢字漢字漢字", "abcdef"} & {re.split(r"[=:]\s*", got[i], maxsplit=1)[-1] for i in range(6)}
+    assert all(re.fullmatch(r"[a-z0-9]@(h[0-9a-f]{12}\.)?example\.com", got[i]) for i in range(6, 36))
+    assert re.fullmatch(r"secret\n= [a-f]{6}", got[5])
