@@ -2,8 +2,9 @@
 
 Addresses, numbers, secrets and titled names are found by one pattern. Each entity gets a surrogate of its own type
 from a keyed hash: digits stand for digits and letters for letters of the same case, punctuation stays, card
-numbers keep their check digit right, names keep their gender (by title and ending) and script, e-mail goes to
-reserved domains and IPv4 to the private range 10/8. The surrogate depends on the entity alone, so all its mentions,
+numbers keep their check digit right, names keep their gender (by title and ending) and script, phone numbers
+their country code, e-mail goes to reserved domains, IPv4 to the private range 10/8 and IPv6 to 2001:db8::/32. A name's
+words get their surrogates one by one, by gender and script, so that "Mr John Smith" and "Mr Smith" agree. The surrogate depends on the entity alone, so all its mentions,
 however they are written, agree in all documents. Surrogates are checked: two entities of one type must not share
 one, and none may be an entity of the table; those that fail are hashed again until all are distinct. Within secrets
 every character is replaced, signs and other scripts too. After ``WIDEN`` attempts surrogates become longer, or come
@@ -27,18 +28,29 @@ TITLES = {("m", "latin"): "Mr|Herr|Monsieur|Señor|Sr", ("f", "latin"): "Mrs|Ms|
           ("m", "cyrillic"): "г-н|господин", ("f", "cyrillic"): "г-жа|госпожа"}
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 _WORD = r"\p{Lu}[\p{L}\-]*+"
+_HEX = "[0-9A-Fa-f]{1,4}"
+#: The countries of each length of IBAN.
+IBANS = {15: "NO", 16: "BE", 18: "DK|FI|FK|FO|GL|NL|SD", 19: "MK|SI", 20: "AT|BA|EE|KZ|LT|LU|MN|XK", 21: "CH|HR|LI|LV", 22: "BG|BH|CR|DE|GB|GE|IE|ME|RS|VA",
+         23: "AE|GI|IL|IQ|OM|SO|TL", 24: "AD|CZ|ES|MD|PK|RO|SA|SE|SK|TN|VG", 25: "LY|PT|ST", 26: "IS|TR", 27: "BI|DJ|FR|GR|IT|MC|MR|SM",
+         28: "AL|AZ|BY|CY|DO|GT|HU|LB|NI|PL|SV", 29: "BR|EG|PS|QA|UA", 30: "JO|KW|MU|YE", 31: "MT|SC", 32: "LC", 33: "RU"}
+#: Country codes of the telephone of one and two digits; all others have three.
+_CALLING = r"\A\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
 #: Each type's pattern; none has a group. The first that fits at a place counts.
 TYPES = {
     "email": r"(?<![\w.%+\-])[A-Za-z0-9._%+\-]++@[A-Za-z0-9\-]++(?:\.[A-Za-z0-9\-]++)+",
-    "secret": r"(?<!\w)(?:password|passwd|pwd|secret|token|api[_\-]?key)\s{0,3}[=:]\s{0,3}[\"']?[^\s\"',;]{6,}+",
+    "secret": r"(?<!\w)(?=[pstaPSTA])(?i:password|passwd|pwd|secret|token|api[_\-]?key)\s{0,3}[=:]\s{0,3}[\"']?[^\s\"',;]{6,}+",
     "access_key": r"(?<!\w)AKIA[0-9A-Z]{16}(?!\w)",
     "ipv4": rf"(?<![\w.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?\w)",
-    "phone": r"(?<![\w+])(?:\+\d{1,3}[ .\-]?)?(?:\(\d{2,4}\) ?|\d{3}[.\-])\d{3}[ .\-]?\d{4}(?!\w)",
+    "ipv6": rf"(?<![\w:.])(?={_HEX}:)(?:(?:{_HEX}:){{7}}{_HEX}|(?=[A-Fa-f:]*+\d){_HEX}(?::{_HEX}){{0,5}}::{_HEX}(?::{_HEX}){{0,5}})(?![\w:]|\.\d)",
+    "iban": rf"(?<!\w)(?=[A-Z]{{2}}\d\d)(?:{'|'.join(rf'(?:{c})(?: ?[A-Z0-9]){{{n - 2}}}' for n, c in IBANS.items())})(?!\w)",
+    "phone": r"(?<![\w+])(?:(?:\+\d{1,3}[ .\-]?)?(?:\(\d{2,4}\) ?|\d{3}[.\-])\d{3}[ .\-]?\d{4}|(?:1[ .\-])?\d{3} \d{3}[ .\-]?\d{4}"
+             r"|1[ .\-]\d{3}[.\-]\d{3}[.\-]\d{4}|[2-9]\d{9}|\+[1-9](?:[ .\-]?\(?\d\)?){7,14})(?!\w)",
     "ssn": r"(?<![\w\-])\d{3}-\d{2}-\d{4}(?![\w\-])",
     "card": r"(?<![\w\-])\d(?:[ \-]?\d){12,18}(?![\w\-])",
-    "person": rf"(?<!\w)(?:{'|'.join(TITLES.values())})\.? {_WORD}(?: {_WORD})?",
+    "person": rf"(?<!\w)(?=[MHFSг])(?:{'|'.join(TITLES.values())})\.? {_WORD}(?: {_WORD})?",
 }
-PATTERN = "|".join(f"(?:{p})" for p in TYPES.values())
+#: No type begins within a word; one look at the character before keeps the types from being tried there.
+PATTERN = rf"(?<!\w)(?:{'|'.join(TYPES.values())})"
 _LOWER, _UPPER, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 #: What stands for characters of other kinds: their class and its alphabet; the last class holds all that are left.
 _OTHERS = {"[а-яё]": "абвгдежзийклмнопрстуфхцчшщъыьэюя", "[А-ЯЁ]": "АБВГДЕЖЗИЙКЛМНОПРСТУФХЦЧШЩЪЫЬЭЮЯ", r"\p{Ll}": _LOWER, r"\p{Lu}": _UPPER,
@@ -63,6 +75,20 @@ def _luhn(digits: Column, extra: int = 0) -> Column:
     return F.aggregate(each, F.lit(0), lambda a, x: a + x)
 
 
+def _mod97(chars: Column) -> Column:
+    """The rest modulo 97 of the number that an IBAN's characters spell, letters as 10 to 35."""
+    value = lambda x: F.when(x.rlike("[A-Z]"), F.ascii(x) - 55).otherwise(x.cast("int"))
+    return F.aggregate(chars, F.lit(0), lambda a, x: (a * F.when(x.rlike("[A-Z]"), 100).otherwise(10) + value(x)) % 97)
+
+
+def _groups(address: Column) -> Column:
+    """An IPv6 address in full: eight groups of four hexadecimal digits."""
+    of = lambda c: F.filter(F.split(c, ":"), lambda x: x != "")
+    left, right = of(F.substring_index(address, "::", 1)), of(F.when(address.contains("::"), F.substring_index(address, "::", -1)).otherwise(""))
+    zeros = F.array_repeat(F.lit("0"), 8 - F.size(left) - F.size(right))
+    return F.concat_ws(":", F.transform(F.concat(left, zeros, right), lambda x: F.lpad(x, 4, "0")))
+
+
 def _type(found: Column) -> Column:
     out = F.lit(None).cast("string")
     for name, pattern in reversed(TYPES.items()):
@@ -75,25 +101,36 @@ _TITLE = rf"\A({'|'.join(TITLES.values())})\.? "
 
 
 def entities(docs: DataFrame) -> DataFrame:
-    """doc_id, row (hash of the text), pos, found, type and entity (the same for all spellings of one entity).
+    """doc_id, row (hash of the text), pos, part, found, type and entity (the same for all spellings of one entity).
 
-    What the pattern finds but a type's own test refuses (check digit) has type null.
+    What the pattern finds but a type's own test refuses (check digit) has type null. A person has a row (``part``)
+    for each word, the first with the title; ``found`` of the parts in a row is the mention.
     """
     found = docs.select("doc_id", F.xxhash64("text").alias("row"),
                         F.posexplode(F.regexp_extract_all("text", F.lit(PATTERN), 0)).alias("pos", "found"))
     found = found.withColumn("type", _type(F.col("found"))).withColumn("digits", F.regexp_replace("found", r"\D", ""))
     t = F.col("type")
-    found = found.withColumn("type", F.when((t == "card") & (_luhn(F.col("digits")) % 10 != 0), F.lit(None)).otherwise(t))
+    signs = F.regexp_replace("found", " ", "")
+    iban = _chars(F.concat(F.expr("substring(replace(found, ' ', ''), 5)"), F.substring(signs, 1, 4)))
+    found = found.withColumn("type", F.when((t == "card") & (_luhn(F.col("digits")) % 10 != 0), F.lit(None))
+                             .when((t == "iban") & (_mod97(iban) != 1), F.lit(None)).otherwise(t))
     gender = F.lit("m-latin")
     for (g, script), titles in TITLES.items():
         gender = F.when(F.col("found").rlike(rf"\A(?:{titles})\.? "), f"{g}-{script}").otherwise(gender)
-    name = F.lower(F.regexp_replace("found", _TITLE, ""))
+    title, names = F.regexp_extract("found", _TITLE, 0), F.split(F.regexp_replace("found", _TITLE, ""), " ")
+    mention = F.transform(names, lambda x, i: F.concat(F.when(i == 0, title).otherwise(" "), x))
+    found = found.withColumn("kind", gender).select(
+        "doc_id", "row", "pos", F.posexplode(F.when(t == "person", mention).otherwise(F.array("found"))).alias("part", "found"), "type", "digits", "kind")
+    name = F.lower(F.trim(F.regexp_replace("found", _TITLE, "")))
     entity = (F.when(t == "email", F.lower("found"))
               .when(t == "secret", F.regexp_extract("found", _SECRET, 2))
+              .when((t == "phone") & F.col("found").startswith("+"), F.concat(F.lit("+"), "digits"))
               .when(t.isin("phone", "card", "ssn"), F.col("digits"))
-              .when(t == "person", F.concat_ws(" ", gender, name))
+              .when(t == "person", F.concat_ws(" ", "kind", name))
+              .when(t == "ipv6", _groups(F.lower("found")))
+              .when(t == "iban", F.regexp_replace("found", " ", ""))
               .otherwise(F.col("found")))
-    return found.withColumn("entity", entity).drop("digits")
+    return found.withColumn("entity", entity).drop("digits", "kind")
 
 
 def _stream(key: str) -> Column:
@@ -161,17 +198,22 @@ def _surrogate() -> Column:
         F.concat(F.lit("h"), F.substring(F.col("stream"), 1, F.lit(6))))))
     body = F.concat(_like(F.concat(F.substring(e, 1, 1), F.expr("substring(entity, 2, length(entity) - 2)")), first=1), _more(True))
     check = F.concat(body, ((10 - _luhn(body, 1) % 10) % 10).cast("string"))
-    country = F.greatest(F.length(e) - 10, F.lit(0))
+    code = F.regexp_extract(e, _CALLING, 0)
+    code = F.when(code == "", F.substring(e, F.lit(1), F.greatest(F.length(e) - 10, F.lit(0)))).otherwise(code)
+    bank = _like(F.expr("substring(entity, 5)"))
+    checked = F.lpad((98 - _mod97(_chars(F.concat(bank, F.substring(e, 1, 2), F.lit("00"))))).cast("string"), 2, "0")
+    documented = F.concat_ws(":", F.lit("2001:db8"), *(F.substring(F.col("stream"), 4 * i + 1, 4) for i in range(6)))
     octets = [(_number(F.lit(i)) % 254 + 1).cast("string") for i in range(3)]
     # 10/8, then the reserved range 240/4, then an IPv6 range for documentation
     private = (F.when(F.col("attempt") < WIDEN, F.concat_ws(".", F.lit("10"), *octets))
                .when(F.col("attempt") < 2 * WIDEN, F.concat_ws(".", (_number(F.lit(3)) % 15 + 240).cast("string"), *octets))
-               .otherwise(F.concat_ws(":", F.lit("2001:db8"), *(F.substring(F.col("stream"), 4 * i + 1, 4) for i in range(6)))))
+               .otherwise(documented))
     return (F.when(t == "email", F.concat(local, F.lit("@"), widened, host))
             .when(t == "access_key", F.concat(F.lit("AKIA"), _like(F.expr("substring(entity, 5)"))))
             .when(t == "ipv4", private)
-            .when(t == "phone", F.concat(F.expr("substring(entity, 1, greatest(length(entity) - 10, 0))"),
-                                         _like(F.substring(e, country + 1, F.lit(10))), _more(True)))
+            .when(t == "ipv6", documented)
+            .when(t == "iban", F.concat(F.substring(e, 1, 2), checked, bank))
+            .when(t == "phone", F.concat(code, _like(F.substring(e, F.length(code) + 1, F.length(e))), _more(True)))
             .when(t == "ssn", F.concat(F.lit("9"), _like(F.expr("substring(entity, 2)")), _more(True)))
             .when(t == "card", check)
             .when(t == "person", _named())
@@ -198,18 +240,22 @@ def surrogates(found: DataFrame, key: str = KEY) -> DataFrame:
 
 def _written() -> Column:
     """The surrogate in the way the mention is written."""
-    t, s = F.col("type"), F.col("surrogate")
+    t, s = F.col("type"), F.regexp_replace("surrogate", r"\A\+", "")
     chars = _chars(F.col("found"))
     # the k-th digit of the mention becomes the k-th of the surrogate
     digit = lambda i: F.size(F.filter(F.slice(chars, 1, i + 1), lambda x: x.rlike("[0-9]")))
     filled = F.concat_ws("", F.transform(chars, lambda x, i: F.when(x.rlike("[0-9]"), F.substring(s, digit(i), F.lit(1))).otherwise(x)))
     filled = F.concat(filled, F.substring(s, F.length(F.regexp_replace("found", r"\D", "")) + 1, F.length(s)))  # a longer surrogate
-    name = F.regexp_replace("found", _TITLE, "")
+    letter = lambda i: F.size(F.filter(F.slice(chars, 1, i + 1), lambda x: x != " "))
+    spaced = F.concat_ws("", F.transform(chars, lambda x, i: F.when(x == " ", x).otherwise(F.substring(s, letter(i), F.lit(1)))))
+    before = F.coalesce(F.nullif(F.regexp_extract("found", _TITLE, 0), F.lit("")), F.regexp_extract("found", r"\A ", 0))
+    name = F.trim(F.regexp_replace("found", _TITLE, ""))
     cased = F.when((name == F.upper(name)) & (F.length(name) > 2), F.upper(s)).otherwise(s)
     return (F.when(t.isin("phone", "card", "ssn"), filled)
             .when(t == "secret", F.concat(F.regexp_extract("found", _SECRET, 1), s))
-            .when(t == "person", F.concat(F.regexp_extract("found", _TITLE, 0), cased))
-            .when((t == "email") & (F.col("found") == F.upper("found")), F.upper(s))
+            .when(t == "person", F.concat(before, cased))
+            .when(t == "iban", spaced)
+            .when(t.isin("email", "ipv6") & (F.col("found") == F.upper("found")) & (F.col("found") != F.lower("found")), F.upper(s))
             .otherwise(F.coalesce(s, F.col("found"))))
 
 
@@ -220,8 +266,10 @@ def pseudonymised(docs: DataFrame, key: str = KEY) -> DataFrame:
     s = surrogates(found, key).alias("s")
     f = found.alias("f")
     written = f.join(s, (F.col("f.type") == F.col("s.type")) & (F.col("f.entity") == F.col("s.entity")), "left").select(
-        "f.doc_id", "f.row", "f.pos", "f.found", "f.type", "s.surrogate")
-    by = stored(written.select("doc_id", "row", "pos", _written().alias("new"), F.col("type").isNotNull().cast("long").alias("one")).distinct()
+        "f.doc_id", "f.row", "f.pos", "f.part", "f.found", "f.type", "s.surrogate")
+    by = stored(written.select("doc_id", "row", "pos", "part", _written().alias("new"), F.col("type").isNotNull().cast("long").alias("one"))
+                .groupBy("doc_id", "row", "pos").agg(F.array_sort(F.collect_set(F.struct("part", "new"))).alias("new"), F.max("one").alias("one"))
+                .withColumn("new", F.concat_ws("", "new.new"))
                 .groupBy("doc_id", "row").agg(F.array_sort(F.collect_list(F.struct("pos", "new"))).alias("new"), F.sum("one").alias("n")))
     names = docs.columns
     rows = marked(docs.withColumn("__row", F.xxhash64("text")), "__row", by.select(F.col("row").alias("key")), "__may")

@@ -143,3 +143,23 @@ def test_surrogates_of_signs_other_scripts_and_small_spaces_end(spark):
     assert not {"********", "......", "парольчик", "漢字漢字漢字", "abcdef"} & {re.split(r"[=:]\s*", got[i], maxsplit=1)[-1] for i in range(6)}
     assert all(re.fullmatch(r"[a-z0-9]@(h[0-9a-f]{12}\.)?example\.com", got[i]) for i in range(6, 36))
     assert re.fullmatch(r"secret\n= [a-f]{6}", got[5])
+
+
+def test_common_formats_are_found(spark):
+    phones = ["555 123 4567", "+1 555 123 4567", "+44 20 7946 0958", "+49 30 1234567", "+33 1 23 45 67 89", "5551234567", "1-555-123-4567"]
+    more = ["Password: Abc123xyz", "PASSWORD=Abc123xyz", "2001:db8:0:0:0:0:0:7", "2001:DB8::7", "GB29 NWBK 6016 1331 9268 19", "GB29NWBK60161331926819", "fe80::1:2"]
+    plain_ones = ["GB29 NWBK 6016 1331 9268 18", "std::vector", "at 12:34:56", "aa:bb:cc:dd:ee:ff", "tokens are 1700000000"]
+    texts = [f"x {t} y" for t in phones + more + plain_ones] + ["Mr John Smith met Mr Smith, MR and Mr SMITH"]
+    got = {r["doc_id"]: r for r in privacy.pseudonymised(plain(spark, texts)).collect()}
+    new, n = [got[i]["text"][2:-2] for i in range(len(texts) - 1)], len(phones)
+    assert [got[i]["n_entities"] for i in range(len(texts))] == [1] * (n + len(more)) + [0] * len(plain_ones) + [3]
+    for old, text in zip(phones, new, strict=False):
+        assert text != old and re.sub(r"\d", "0", text) == re.sub(r"\d", "0", old)
+    assert [new[k][:3] for k in (1, 2, 3, 4)] == ["+1 ", "+44", "+49", "+33"]
+    a, b, six, six_upper, spaced, joined, local = new[n:n + len(more)]
+    assert a.removeprefix("Password: ") == b.removeprefix("PASSWORD=") != "Abc123xyz"
+    assert six_upper == six.upper() and re.fullmatch(r"2001:db8(:[0-9a-f]{4}){6}", six) and local != "fe80::1:2"
+    assert spaced.replace(" ", "") == joined != "GB29NWBK60161331926819" and int("".join(str(int(c, 36)) for c in joined[4:] + joined[:4])) % 97 == 1
+    assert new[n + len(more):] == plain_ones
+    whole = re.fullmatch(r"Mr (\w+) (\w+) met Mr (\w+), MR and Mr (\w+)", got[len(texts) - 1]["text"])
+    assert whole[2] == whole[3] != whole[1] and whole[4] == whole[2].upper() and "Smith" not in whole[0]
