@@ -5,6 +5,9 @@ into the order of a Fisher-Yates permutation (Spark's ``shuffle`` function, one
 The buckets in a row are one random order of all records; it is cut into shards whose counts differ by one
 at most (law ``rows``), so a shard is a run of whole buckets but for its ends.
 
+The registered query moves whole documents: it writes the shards to the shared folder and reads from them what it
+returns. Records are shuffled once, by bucket; counts, permutations and offsets have a row for each bucket.
+
 Defined results: null text has no bytes and CRC 0; a null id is hashed as null; rows equal in id and text are
 interchangeable, each gets its own place; an empty table gives an empty result; other columns are carried
 along untouched by ``external_shuffle`` and ignored by ``shard_table``. Columns that start with ``__`` are
@@ -14,10 +17,12 @@ the operator's own.
 from __future__ import annotations
 
 import math
+import uuid
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortflow import session
 from cohortflow.llm.common import guarded, stored, text_of
 
 SEED = 20_261_204
@@ -27,12 +32,6 @@ BUCKET_BYTES = 32 << 20
 RUN = 1024
 
 
-def measured(docs: DataFrame) -> DataFrame:
-    """doc_id, size (UTF-8 bytes of the text and 1) and text_crc32 of each row."""
-    return docs.select("doc_id", (F.octet_length(text_of()) + 1).cast("long").alias("size"),
-                       F.crc32(text_of().cast("binary")).alias("text_crc32"))
-
-
 def external_shuffle(rows: DataFrame, rows_total: int, bytes_total: int, keys: list[str], shards: int = SHARDS,
                      seed: int = SEED, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """``rows`` with shard (int), slot (long, gapless from 0 in each shard) and bucket (long).
@@ -49,8 +48,9 @@ def external_shuffle(rows: DataFrame, rows_total: int, bytes_total: int, keys: l
     # pass 2: one permutation for each bucket; range() gives each bucket a partition, and so a generator, of its own
     order = spark.range(0, buckets, 1, buckets).select(
         F.col("id").alias("bucket"), F.expr(f"shuffle(sequence(0L, {largest - 1}L), {seed}L)").alias("__perm"))
-    order = (order.join(counts, "bucket")
-             .select("bucket", F.posexplode(F.filter("__perm", lambda v: v < F.col("__n"))).alias("__place", "__rank")))
+    # the place of each rank
+    at = F.array_sort(F.transform(F.filter("__perm", lambda v: v < F.col("__n")), lambda v, i: F.struct(v.alias("rank"), i.alias("place"))))
+    order = order.join(counts, "bucket").select("bucket", at["place"].alias("__places"))
     ranked = scattered.withColumn(
         "__rank", F.row_number().over(Window.partitionBy("bucket").orderBy("__h", *keys)).cast("long") - 1)
     # where each bucket begins: sums within runs of buckets, then over the runs
@@ -60,8 +60,8 @@ def external_shuffle(rows: DataFrame, rows_total: int, bytes_total: int, keys: l
     runs = (counts.groupBy(run.alias("__run")).agg(F.sum("__n").alias("__sum"))
             .select("__run", before(Window.orderBy("__run"), "__sum").alias("__before")))
     begins = in_run.join(runs, "__run").select("bucket", (F.col("__in") + F.col("__before")).alias("__begin"))
-    placed = (ranked.join(order, ["bucket", "__rank"]).join(begins, "bucket")
-              .withColumn("__p", F.col("__begin") + F.col("__place")))
+    placed = (ranked.join(order.join(begins, "bucket"), "bucket")
+              .withColumn("__p", F.col("__begin") + F.get("__places", F.col("__rank").cast("int"))).drop("__places"))
     # the first `more` shards have one row more than the others
     least, more = divmod(rows_total, shards)
     edge = more * (least + 1)
@@ -69,7 +69,7 @@ def external_shuffle(rows: DataFrame, rows_total: int, bytes_total: int, keys: l
     return (placed
             .withColumn("shard", F.when(low, F.floor(p / (least + 1))).otherwise(more + F.floor((p - edge) / max(1, least))).cast("int"))
             .withColumn("slot", F.when(low, p % (least + 1)).otherwise((p - edge) % max(1, least)).cast("long"))
-            .drop("__h", "__rank", "__place", "__begin", "__p"))
+            .drop("__h", "__rank", "__begin", "__p"))
 
 
 def totals(rows: DataFrame) -> tuple[int, int]:
@@ -78,19 +78,24 @@ def totals(rows: DataFrame) -> tuple[int, int]:
 
 
 def shard_table(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """The place of each document: doc_id, size, text_crc32, law, shard, slot, grown_shard, bucket."""
-    rows = stored(measured(docs))
-    placed = external_shuffle(rows, *totals(rows), ["doc_id", "text_crc32", "size"], shards, seed, bucket_bytes)
-    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
-                         F.lit(None).cast("int").alias("grown_shard"), "bucket")
+    """What the written shards hold of each document: doc_id, size, text_crc32, law, shard, slot, grown_shard, bucket."""
+    spark = docs.sparkSession
+    path = f"{session.ensure_checkpoint_dir(spark)}/cohortflow-{uuid.uuid4().hex}"
+    session._WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    write_shards(docs, path, shards, seed, bucket_bytes, buckets=True)
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text string, slot long, __bucket long, shard int"
+    return spark.read.schema(schema).parquet(path).select(
+        "doc_id", (F.octet_length(text_of()) + 1).cast("long").alias("size"), F.crc32(text_of().cast("binary")).alias("text_crc32"),
+        F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), F.col("__bucket").alias("bucket"))
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, seed: int = SEED,
-                 bucket_bytes: int = BUCKET_BYTES) -> None:
-    """Writes the shuffled documents with all their columns as Parquet, in folders by shard; in a file, rows are in slot order."""
+                 bucket_bytes: int = BUCKET_BYTES, buckets: bool = False) -> None:
+    """Writes the shuffled documents with all their columns (and __bucket) as Parquet, in folders by shard; in a file, rows are in slot order."""
     docs, back = guarded(docs, ("doc_id", "text"), ("shard", "slot"))
     rows = docs.withColumns({"__size": (F.octet_length(text_of()) + 1).cast("long"), "__crc": F.crc32(text_of().cast("binary"))})
     n, size = totals(rows.select(F.col("__size").alias("size")))
     placed = external_shuffle(rows, n, size, ["doc_id", "__crc", "__size"], shards, seed, bucket_bytes)
-    (back(placed.repartition("bucket", "shard").sortWithinPartitions("shard", "slot"), "shard", "slot")
+    more = [F.col("bucket").alias("__bucket")] if buckets else []
+    (back(placed.sortWithinPartitions("shard", "slot"), "shard", "slot", *more)
      .write.partitionBy("shard").parquet(path))

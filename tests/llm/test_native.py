@@ -163,3 +163,13 @@ def test_common_formats_are_found(spark):
     assert new[n + len(more):] == plain_ones
     whole = re.fullmatch(r"Mr (\w+) (\w+) met Mr (\w+), MR and Mr (\w+)", got[len(texts) - 1]["text"])
     assert whole[2] == whole[3] != whole[1] and whole[4] == whole[2].upper() and "Smith" not in whole[0]
+
+
+def test_the_table_is_read_from_whole_shards(spark, monkeypatch):
+    texts = ["short"] * 40 + ["x" * 300_000, None, "漢字"] + [f"text {i}" for i in range(60)]
+    paths, write = [], shards.write_shards
+    monkeypatch.setattr(shards, "write_shards", lambda docs, path, *a, **k: (paths.append(path), write(docs, path, *a, **k)))
+    got = {r["doc_id"]: r for r in shards.shard_table(plain(spark, texts), 4, bucket_bytes=500).collect()}
+    rows = spark.read.parquet(paths[0]).collect()
+    assert Counter((r["doc_id"], r["text"], r["lang"], r["source"]) for r in rows) == Counter((i, t, "en", "a") for i, t in enumerate(texts))
+    assert all((got[r["doc_id"]]["shard"], got[r["doc_id"]]["slot"]) == (r["shard"], r["slot"]) for r in rows)
