@@ -116,6 +116,18 @@ def test_sketches_merge_and_contain():
     assert abs(sketches.likeness(half, one) - 0.5) < 0.1
 
 
+def test_short_texts_are_contained_in_long_ones():
+    rng = random.Random(6)
+    for size in [16, 20, *range(50, 201, 10)] * 5:
+        long = words(rng, 400)
+        at = rng.randrange(len(long) - size)
+        short, other = long[at:at + size].encode(), words(rng, 400).encode()
+        assert sketches.compared(short, sketches.sketch(short), long.encode(), sketches.sketch(long.encode()))[1] == 1
+        assert sketches.compared(short, sketches.sketch(short), other, sketches.sketch(other))[1] < 0.1
+        row = sketches._compared(1, short.decode(), sketches.sketch(short), long, sketches.sketch(long.encode()))
+        assert row[8] == 1 and (size < 50 or row[5] > 0)
+
+
 def test_fingerprints_without_rows(spark):
     assert sketches.fingerprints(documents(spark, [])).count() == 0
 
