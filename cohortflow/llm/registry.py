@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators, each over its whole table, and their SQL where SQL can say it."""
+"""The registered queries of the operators, each over its whole table, and their SQL where SQL can say it."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from cohortflow.llm import exact, language, lines, mixing, near, pieces, privacy, shards, sketches, toxicity
+from cohortflow.llm import exact, language, lines, merkle, mixing, near, pieces, privacy, quality, shards, sketches, sql, toxicity
 from cohortflow.llm.common import read
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -53,26 +53,23 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(read(spark, sf_dir, "documents"))
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(read(spark, sf_dir, "documents"), quality.trusted_ids(read(spark, sf_dir, "labels")))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
 def queries() -> dict[str, QueryFn]:
-    return {f.__name__: f for f in (op1_source_mixing, op2_exact_dedup, op3_pii_surrogates, op4_minhash_near_dedup, op5_sentencepiece, op6_line_dedup, op7_document_fingerprints, op8_sharding, op9_language_id, op10_toxicity, pipeline)}
-
-
-OP2_SQL = r"""
-WITH t AS (SELECT doc_id, length(coalesce(text, '')) AS n,
-                  regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g') AS x FROM documents)
-SELECT doc_id,
-       first_value(doc_id) OVER (PARTITION BY x ORDER BY n DESC, doc_id NULLS LAST) AS keep_id,
-       count(*) OVER (PARTITION BY x) AS group_size,
-       doc_id IS NOT DISTINCT FROM first_value(doc_id) OVER (PARTITION BY x ORDER BY n DESC, doc_id NULLS LAST) AS kept,
-       sha256(x) AS text_sha256
-FROM t
-"""
+    return {f.__name__: f for f in (op1_source_mixing, op2_exact_dedup, op3_pii_surrogates, op4_minhash_near_dedup, op5_sentencepiece, op6_line_dedup, op7_document_fingerprints, op8_sharding, op9_language_id, op10_toxicity,
+                                op12_merkle_manifest, op13_quality_rules, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
     more = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
-    return {"op2_exact_dedup": OP2_SQL, **more}
+    return {"op2_exact_dedup": sql.OP2_SQL, "op12_merkle_manifest": sql.OP12_SQL, "op13_quality_rules": sql.OP13_SQL, **more}
