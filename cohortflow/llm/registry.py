@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from cohortflow.llm import exact, language, lines, merkle, mixing, near, pieces, privacy, quality, shards, sketches, sql, toxicity
+from cohortflow.llm import collocations, exact, language, lines, merkle, mixing, near, pieces, privacy, quality, shards, sketches, sql, toxicity
 from cohortflow.llm.common import read
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(read(spark, sf_dir, "documents"))
 
@@ -67,9 +71,10 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, QueryFn]:
     return {f.__name__: f for f in (op1_source_mixing, op2_exact_dedup, op3_pii_surrogates, op4_minhash_near_dedup, op5_sentencepiece, op6_line_dedup, op7_document_fingerprints, op8_sharding, op9_language_id, op10_toxicity,
-                                op12_merkle_manifest, op13_quality_rules, pipeline)}
+                                op11_phrase_collocations, op12_merkle_manifest, op13_quality_rules, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
     more = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
-    return {"op2_exact_dedup": sql.OP2_SQL, "op12_merkle_manifest": sql.OP12_SQL, "op13_quality_rules": sql.OP13_SQL, **more}
+    return {"op2_exact_dedup": sql.OP2_SQL, "op11_phrase_collocations": sql.OP11_SQL,
+            "op12_merkle_manifest": sql.OP12_SQL, "op13_quality_rules": sql.OP13_SQL, **more}

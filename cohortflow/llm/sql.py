@@ -95,3 +95,24 @@ SELECT doc_id, leaf, s.h AS subroot, (SELECT h FROM top WHERE n = 1) AS root, sh
        f.h = (SELECT h FROM top WHERE n = 1) AS verified
 FROM leaves JOIN sub s USING (tree) JOIN folded f USING (tree, i) LEFT JOIN proof USING (tree, i)
 """
+
+OP11_SQL = r"""
+WITH t AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS x FROM documents),
+piece AS (SELECT lang, unnest(regexp_split_to_array(x, '[.,;:!?\x0A-\x0D]')) AS p FROM t),
+run AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM piece),
+total AS (SELECT lang, sum(len(w))::BIGINT AS n FROM run GROUP BY 1),
+size AS (SELECT unnest([1, 2, 3, 4]) AS m),
+gram AS (SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase
+         FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM run, size)),
+freq AS (SELECT lang, phrase, m, count(*) AS f FROM gram GROUP BY ALL HAVING count(*) >= 30),
+cut AS (SELECT lang, phrase, f AS a, k, array_to_string(string_split(phrase, ' ')[1:k], ' ') AS head, array_to_string(string_split(phrase, ' ')[k + 1:m], ' ') AS rest
+        FROM (SELECT *, unnest(range(1, m)) AS k FROM freq WHERE m > 1)),
+best AS (SELECT c.lang, c.phrase, c.a, x.f AS l, y.f AS r, (2000000::HUGEINT * c.a) // (x.f + y.f) AS score
+         FROM cut c JOIN freq x ON x.lang = c.lang AND x.phrase = c.head JOIN freq y ON y.lang = c.lang AND y.phrase = c.rest
+         QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY (2000000::HUGEINT * c.a) // (x.f + y.f), k) = 1),
+longer AS (SELECT lang, array_to_string(string_split(phrase, ' ')[i:i + s - 1], ' ') AS phrase, max(f) AS top
+           FROM (SELECT *, unnest(range(1, m - s + 2)) AS i FROM (SELECT *, unnest(range(2, m)) AS s FROM freq WHERE m > 2)) GROUP BY ALL),
+kept AS (SELECT b.* FROM best b LEFT JOIN longer o USING (lang, phrase) WHERE o.top IS NULL OR 100::HUGEINT * o.top < 80::HUGEINT * b.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""
