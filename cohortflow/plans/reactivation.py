@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortflow import rules as R
@@ -18,10 +18,12 @@ from cohortflow.functions.keys import norm_key
 from cohortflow.functions.measures import blended_margin, calendar_days, elapsed_days, total_value
 from cohortflow.operators import aggregates as A
 from cohortflow.operators.filters import VALUE_TRIP_RULES, active_at, delivered, lapsed, valid_trips
-from cohortflow.operators.joins import assemble, one_per_key, restrict_to
+from cohortflow.operators.joins import assemble, one_per_key
+from cohortflow.operators.keysets import KeySet
 from cohortflow.operators.scans import scan_window
 from cohortflow.operators.windows import latest_by, rank_within
 from cohortflow.params import ObservationWindow
+from cohortflow.session import cut_lineage
 
 MONEY = "double"
 
@@ -112,21 +114,32 @@ def lapsed_service_value(order_level: DataFrame, W: ObservationWindow) -> DataFr
         names={"n": "n_shop_orders", "gmv": "shop_gmv", "gp": "shop_gp", "gppo": "shop_gppo"})
 
 
-def latest_membership(subs: DataFrame, W: ObservationWindow) -> DataFrame:
-    """W1m + C11 + F7: membership type from the latest started subscription active at the anchor."""
+def memberships(subs: DataFrame, keys: KeySet | None = None) -> DataFrame:
+    """Started subscriptions of the membership areas."""
     s = subs.where((F.lower("eventtype") == R.MEMBERSHIP_EVENT) & F.col("serviceareaid").isin(R.MEMBERSHIP_AREAS))
-    s = active_at(s, "startedat", "expiresat", W.anchor)
-    s = s.select(norm_key("userid", 5).alias("customer_id"), "day", "event_seq",
-                 membership_type("subscriptiontype", "planid", "invoiceid",
-                                 paid_types=R.PAID_SUBSCRIPTION_TYPES, paid_plans=R.PAID_PLAN_IDS,
-                                 free_renewal=R.FREE_RENEWAL_PATTERN, trial_commitment=R.TRIAL_COMMITMENT_PATTERN,
-                                 trial=R.TRIAL_PATTERN).alias("member_type"))
-    latest = latest_by(s, ["customer_id"], ["day", "event_seq"], ["member_type"])
+    return s if keys is None else keys.likely(with_key(s, "userid", 5), "__key")
+
+
+def latest_membership(subs: DataFrame, W: ObservationWindow, keys: KeySet | None = None) -> DataFrame:
+    """W1m + C11 + F7: membership type from the latest started subscription active at the anchor."""
+    s = active_at(memberships(subs, keys), "startedat", "expiresat", W.anchor)
+    latest = latest_by(typed_memberships(s), ["customer_id"], ["day", "event_seq"], ["member_type"])
     return latest.select("customer_id", F.lit(1).alias("member_flag"), "member_type")
 
 
-def profile_features(profile: DataFrame) -> DataFrame:
+def typed_memberships(s: DataFrame, *more: str) -> DataFrame:
+    """C11: customer_id, day, event_seq and member_type of subscriptions, and the columns ``more``."""
+    return s.select(norm_key("userid", 5).alias("customer_id"), "day", "event_seq", *more,
+                    membership_type("subscriptiontype", "planid", "invoiceid",
+                                    paid_types=R.PAID_SUBSCRIPTION_TYPES, paid_plans=R.PAID_PLAN_IDS,
+                                    free_renewal=R.FREE_RENEWAL_PATTERN, trial_commitment=R.TRIAL_COMMITMENT_PATTERN,
+                                    trial=R.TRIAL_PATTERN).alias("member_type"))
+
+
+def profile_features(profile: DataFrame, keys: KeySet | None = None) -> DataFrame:
     """Profile columns, one row per customer (duplicates cannot fan out, T11)."""
+    if keys is not None:
+        profile = keys.likely(with_key(profile), "__key")
     return one_per_key(profile.select(norm_key("customer_id").alias("customer_id"), "nationality", "region",
                                       "sub_region", "is_loyal"), "customer_id")
 
@@ -136,31 +149,22 @@ def residency(customers: DataFrame) -> DataFrame:
     return one_per_key(customers.select("customer_id", "is_resident"), "customer_id")
 
 
-def value_features(spine: DataFrame, src: ReactivationSources, W: ObservationWindow, rides_since=None,
-                   restrict: DataFrame | None = None) -> DataFrame:
-    """Cross-service value and recency features with the 0 / 365 defaults (M2, M3) on a spine.
+def with_key(df: DataFrame, col: str = "customer_id", prefix_len: int = 0) -> DataFrame:
+    """``df`` with the normalised id beside it, for a key set (its own column keeps its form)."""
+    return df.withColumn("__key", norm_key(col, prefix_len))
 
-    With ``restrict`` the sources are first cut to those customers (semi-join)."""
-    trips, lines, order_level = src.trips, src.value_lines, src.order_level
-    rides = ride_value(trips, W, rides_since)
-    food = second_service_value(lines, W)
-    shop = lapsed_service_value(order_level, W)
-    resident = residency(src.customers)
-    if restrict is not None:
-        resident = restrict_to(resident, restrict, "customer_id")
-        rides = restrict_to(rides, restrict, "customer_id")
-        food = restrict_to(food, restrict, "customer_id")
-        shop = restrict_to(shop, restrict, "customer_id")
-    j = assemble(spine, [rides, food, shop, resident], "customer_id")
+
+def value_columns(anchor) -> list[Column]:
+    """The value and recency columns with their defaults (M2-M6) from joined value statistics; ``anchor`` is a date
+    or a column of dates."""
     z = F.lit(0)
-    return j.select(
-        *spine.columns,
+    return [
         F.coalesce("n_food_orders_30", z).alias("n_food_orders_30"),
         F.coalesce("food_gmv", z).cast(MONEY).alias("food_gmv"),
         F.coalesce("n_rides_30", z).alias("n_rides_30"),
         F.coalesce("ride_gmv", z).cast(MONEY).alias("ride_gmv"),
-        F.coalesce(elapsed_days("last_food_order_ts", W.anchor), F.lit(R.MISSING_RECENCY_DAYS)).alias("food_recency"),
-        F.coalesce(calendar_days("last_ride_date", W.anchor), F.lit(R.MISSING_RECENCY_DAYS)).alias("ride_recency"),
+        F.coalesce(elapsed_days("last_food_order_ts", anchor), F.lit(R.MISSING_RECENCY_DAYS)).alias("food_recency"),
+        F.coalesce(calendar_days("last_ride_date", anchor), F.lit(R.MISSING_RECENCY_DAYS)).alias("ride_recency"),
         F.coalesce("n_rides", z).alias("n_rides"),
         F.coalesce("ride_gp", z).cast(MONEY).alias("ride_gp"),
         F.coalesce("ride_gppo", F.lit(0.0)).alias("ride_gppo"),
@@ -174,19 +178,38 @@ def value_features(spine: DataFrame, src: ReactivationSources, W: ObservationWin
         total_value("ride_gmv", "food_gmv", "shop_gmv").cast(MONEY).alias("total_gmv"),
         blended_margin(["ride_gp", "food_gp", "shop_gp"],
                        ["n_rides", "n_food_orders", "n_shop_orders"]).alias("blended_gppo"),
-        "is_resident",
-    )
+    ]
+
+
+def value_features(spine: DataFrame, src: ReactivationSources, W: ObservationWindow, rides_since=None,
+                   restrict: KeySet | None = None) -> DataFrame:
+    """Cross-service value and recency features with the 0 / 365 defaults (M2, M3) on a spine.
+
+    With ``restrict`` the histories are cut to those customers at the scan, by the key set's bits, so other customers
+    do not reach the shuffle; the left joins with the spine then drop the few that the bits let through."""
+    trips, lines, order_level, people = src.trips, src.value_lines, src.order_level, src.customers
+    if restrict is not None:
+        trips, lines, order_level, people = (restrict.likely(x, k) for x, k in (
+            (with_key(trips), "__key"), (lines, "customer_id"), (order_level, "customer_id"), (people, "customer_id")))
+    rides = ride_value(trips, W, rides_since)
+    food = second_service_value(lines, W)
+    shop = lapsed_service_value(order_level, W)
+    resident = residency(people)
+    j = assemble(spine, [rides, food, shop, resident], "customer_id")
+    return j.select(*spine.columns, *value_columns(W.anchor), "is_resident")
 
 
 def reactivation_targets(src: ReactivationSources, W: ObservationWindow, min_recency: int = R.LAPSE_MIN_DAYS,
                          min_orders: int = R.GRADUATED_MIN_ORDERS,
                          rides_since=None) -> DataFrame:
     """Lapsed customers with value features, membership and profile; residents with at least
-    ``min_orders`` orders in the profit table."""
+    ``min_orders`` orders in the profit table. The lapsed customers are materialised once: they are the key set that
+    cuts every other history at its scan."""
     life = lapsed(lifetime_features(lapsed_service_history(src.orders, src.merchants, W), W), "recency_days", min_recency)
-    spine = life.select(F.lit(W.anchor).alias("day"), *life.columns)
-    feats = value_features(spine, src, W, rides_since)
-    feats = assemble(feats, [latest_membership(src.subscriptions, W), profile_features(src.profile)], "customer_id")
+    spine = cut_lineage(life.select(F.lit(W.anchor).alias("day"), *life.columns))  # read by each key filter
+    keys = KeySet(spine)
+    feats = value_features(spine, src, W, rides_since, restrict=keys)
+    feats = assemble(feats, [latest_membership(src.subscriptions, W, keys), profile_features(src.profile, keys)], "customer_id")
     out = feats.withColumn("member_flag", F.coalesce("member_flag", F.lit(0)))
     return out.where((F.col("is_resident") == F.lit(True)) & (F.col("n_shop_orders") >= min_orders)).drop("blended_gppo")
 
@@ -208,14 +231,14 @@ def anchor_day_orders(src: ReactivationSources, W: ObservationWindow, cities=R.L
 
 
 def outcome_after(src: ReactivationSources, W: ObservationWindow, cities=R.OUTCOME_CITIES,
-                  restrict: DataFrame | None = None) -> DataFrame:
-    """A4: delivered orders in ``(anchor, end_date]``, with ``restrict`` of those customers."""
+                  restrict: KeySet | None = None) -> DataFrame:
+    """A4: delivered orders in ``(anchor, end_date]``; ``restrict`` cuts other customers at the scan."""
     o = src.orders.select("customer_id", "order_id", "merchant_id", "order_status", "city_id", "order_type", "day",
                           "basket_amount", "promo_amount", "net_basket_amount_with_tax")
     o = delivered(scan_window(o, "day", W.anchor, W.outcome_end_inclusive, lo_inclusive=False, hi_inclusive=True),
                   cities=cities)
     if restrict is not None:
-        o = restrict_to(o, restrict, "customer_id")
+        o = restrict.likely(o)
     o = o.join(src.merchants.select("merchant_id"), "merchant_id", "inner")
     return A.outcome(o, key="customer_id", order_id="order_id", n_name="n_orders_after",
                      sums={"basket_after": "basket_amount", "promo_after": "promo_amount",
@@ -229,14 +252,18 @@ def reactivation_features(src: ReactivationSources, W: ObservationWindow, outcom
     The ranked anchor day is materialised once (``rank_within``); its customers are the key set to
     which every other source is cut before it is aggregated."""
     today = anchor_day_orders(src, W)
-    keys = today.select("customer_id").distinct()
-    history = restrict_to(lapsed_service_history(src.orders, src.merchants, W), keys, "customer_id")
+    keys = KeySet(today)
+    history = lapsed_service_history(keys.likely(src.orders), src.merchants, W)
     life = lifetime_features(history, W)
     feats = value_features(life, src, W, rides_since, restrict=keys)
-    out = assemble(today, [outcome_after(src, W, outcome_cities, keys), feats,
-                           restrict_to(latest_membership(src.subscriptions, W), keys, "customer_id"),
-                           restrict_to(profile_features(src.profile), keys, "customer_id")], "customer_id")
-    cols = ["customer_id"] + (["city_id"] if with_city else []) + [
+    out = assemble(today, [outcome_after(src, W, outcome_cities, keys), feats, latest_membership(src.subscriptions, W, keys),
+                           profile_features(src.profile, keys)], "customer_id")
+    return out.select(*feature_columns(with_city, with_blended))
+
+
+def feature_columns(with_city: bool = True, with_blended: bool = False) -> list:
+    """The columns of P1 / P2 in order."""
+    return ["customer_id"] + (["city_id"] if with_city else []) + [
         "day_order_rn", "promo_code",
         F.col("basket_amount").cast(MONEY).alias("basket_amount"),
         F.col("promo_amount").cast(MONEY).alias("promo_amount"),
@@ -253,4 +280,3 @@ def reactivation_features(src: ReactivationSources, W: ObservationWindow, outcom
         ["blended_gppo"] if with_blended else []) + [
         "is_resident", F.coalesce("member_flag", F.lit(0)).alias("member_flag"), "member_type",
         "nationality", "region", "sub_region", "is_loyal"]
-    return out.select(*cols)

@@ -8,6 +8,7 @@ from cohortflow import rules as R
 from cohortflow.params import TripThresholds
 from cohortflow.plans import crosssell as X
 from cohortflow.plans import locations as L
+from cohortflow.plans import many_anchors as MA
 from cohortflow.plans import places as PL
 from cohortflow.plans import postcross as PC
 from cohortflow.plans import reactivation as P
@@ -44,6 +45,12 @@ def job_reactivation_features_blended(spark, sf_dir):
                                    with_city=False, with_blended=True, rides_since="1995-01-01")
 
 
+@register("job_reactivation_features_many")
+def job_reactivation_features_many(spark, sf_dir):
+    return MA.reactivation_features(_react(spark, sf_dir), T.ANCHOR_DAYS, T.ANCHOR_DAY_W.history_start, outcome_days=91,
+                                    rides_since="1995-01-01")
+
+
 # ---- cross-sell family -------------------------------------------------------------------
 
 TRIP_THRESHOLDS = TripThresholds(fav_cct_min_trip_cnt=3, fav_commute_time_min_trip_cnt=2, fav_payment_min_trip_cnt=3,
