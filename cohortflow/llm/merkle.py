@@ -51,33 +51,27 @@ def leaf_digest(columns: Sequence[Column]) -> Column:
 
 
 def _grown(base: DataFrame) -> DataFrame:
-    """(tree, level, i, children) of every inner node, from the nodes (tree, i, h) of level 0.
+    """(n, tree, level, i, children) of every inner node, from the nodes (tree, n, i, h) of level 0.
 
-    ``children`` are the digests of the run below, in order. A tree grows until one node is left, so a tree of one
-    node has no inner node.
+    ``n`` is the number of nodes that the tree has on the level, ``children`` are the digests of the run below, in
+    order. A tree grows until one node is left, so a tree of one node has no inner node.
     """
-    nodes = base.select("tree", F.lit(0).alias("level"), "i", "h")
-    largest = nodes.groupBy("tree").agg(F.count(F.lit(1)).alias("n"))
-    most, level, out = largest.agg(F.max("n")).first()[0] or 0, 0, None
-    alive = largest.where("n > 1")
+    nodes, level, out = base.select("tree", "n", F.lit(0).alias("level"), "i", "h"), 0, None
+    most = base.agg(F.max("n")).first()[0] or 0
     while most > 1:
-        runs = (nodes.join(alive.select("tree"), "tree", "left_semi")
-                .groupBy("tree", F.lit(level + 1).alias("level"), F.floor(F.col("i") / FAN).alias("i"))
-                .agg(F.sort_array(F.collect_list(F.struct("i", "h"))).alias("run"))
-                .select(*NODE, F.col("run.h").alias("children")))
-        runs = stored(runs)
+        runs = stored(nodes.where("n > 1").groupBy("tree", F.ceil(F.col("n") / FAN).alias("n"), F.lit(level + 1).alias("level"), F.floor(F.col("i") / FAN).alias("i"))
+                      .agg(F.sort_array(F.collect_list(F.struct("i", "h"))).alias("run"))
+                      .select("n", *NODE, F.col("run.h").alias("children")))
         out = runs if out is None else out.unionByName(runs)
-        nodes = runs.select(*NODE, digest(F.array_join("children", "")).alias("h"))
+        nodes = runs.select("n", *NODE, digest(F.array_join("children", "")).alias("h"))
         most, level = -(-most // FAN), level + 1
-        alive = alive.select("tree", F.ceil(F.col("n") / FAN).alias("n")).where("n > 1")
-    return out if out is not None else nodes.select(*NODE, F.array("h").alias("children")).limit(0)
+    return out if out is not None else nodes.select("n", *NODE, F.array("h").alias("children")).limit(0)
 
 
 def _tops(grown: DataFrame, base: DataFrame) -> DataFrame:
     """(tree, level, h) of the last node of each tree."""
-    lone = base.groupBy("tree").agg(F.count(F.lit(1)).alias("n"), F.min("h").alias("h")).where("n = 1").select("tree", F.lit(0).alias("level"), "h")
-    last = grown.groupBy("tree").agg(F.max("level").alias("level"))
-    return lone.unionByName(grown.join(last, ["tree", "level"]).select("tree", "level", digest(F.array_join("children", "")).alias("h")))
+    lone = base.where("n = 1").select("tree", F.lit(0).alias("level"), "h")
+    return lone.unionByName(grown.where("n = 1").select("tree", "level", digest(F.array_join("children", "")).alias("h")))
 
 
 def _children(runs: DataFrame) -> DataFrame:
@@ -114,15 +108,15 @@ def manifest(docs: DataFrame) -> DataFrame:
         F.when(change, leaf_digest(list(lowered.values()))).alias("tampered"))
     # ranks within a language, dealt by ranges of (language, id, digest)
     ranked = stored(rank_within(leaves, "lang", [F.col("doc_id").asc_nulls_last(), F.col("leaf")], "i").withColumn("i", F.col("i") - 1))
-    langs = ranked.select("lang").distinct().withColumn("all", F.lit(0))
-    trees = stored(rank_within(langs, "all", [F.col("lang").asc_nulls_first()], "tree").select("lang", (F.col("tree") - 1).alias("tree")))
+    langs = ranked.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).withColumn("all", F.lit(0))
+    trees = stored(rank_within(langs, "all", [F.col("lang").asc_nulls_first()], "tree").select("lang", "n", (F.col("tree") - 1).alias("tree")))
     t = trees.alias("t")
-    ranked = ranked.join(t, ranked["lang"].eqNullSafe(F.col("t.lang"))).select(ranked["*"], "t.tree")
+    ranked = ranked.join(t, ranked["lang"].eqNullSafe(F.col("t.lang"))).select(ranked["*"], "t.tree", "t.n")
 
-    base = ranked.select("tree", "i", F.col("leaf").alias("h"))
+    base = ranked.select("tree", "n", "i", F.col("leaf").alias("h"))
     grown = _grown(base)
     subroots = stored(_tops(grown, base))
-    top_base = subroots.select(F.lit(TOP).cast("long").alias("tree"), F.col("tree").alias("i"), "h")
+    top_base = subroots.select(F.lit(TOP).cast("long").alias("tree"), F.lit(subroots.count()).cast("long").alias("n"), F.col("tree").alias("i"), "h")
     top = _grown(top_base)
     root = _tops(top, top_base).select(F.col("h").alias("root"))
 
