@@ -43,7 +43,7 @@ class KeySet:
     def likely(self, df: DataFrame, key: str | None = None) -> DataFrame:
         """The rows of ``df`` whose key is in the set, and a few others; rows with a null key go."""
         word, bit = _place(F.col(key or self.key).cast(self.keys.schema[self.key].dataType), self.words)
-        return (df.withColumn("__word", word).join(F.broadcast(self.marks()), "__word", "inner")
+        return (df.where(F.col(key or self.key).isNotNull()).withColumn("__word", word).join(F.broadcast(self.marks()), "__word", "inner")
                 .where(F.col("__bits").bitwiseAND(bit) != 0).select(*(df[c] for c in df.columns)))
 
     def exactly(self, df: DataFrame, key: str | None = None) -> DataFrame:

@@ -20,3 +20,8 @@ def write_partitioned(df: DataFrame, path: str, partitions: Mapping[str, object]
         out = out.withColumn(name, F.lit(str(value)))
     (out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partitions.keys()).parquet(path))
+
+
+def write_by(df: DataFrame, path: str, *keys: str) -> None:
+    """Write Parquet partitioned by columns of ``df``; only the partitions that it has rows of are replaced."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)

@@ -38,7 +38,7 @@ REACTIVATION_W = ObservationWindow.of("1997-01-01", "2000-01-01", "2000-04-01",
                                       end_date="2000-03-31")
 ANCHOR_DAY_W = ObservationWindow.of("1997-01-01", "2000-01-21", "2000-04-22", history_start="1997-01-01",
                                     end_date="2000-04-21")
-ANCHOR_DAYS = [as_date(d) for d in ("2000-01-21", "2000-01-24", "2000-02-28", "2000-09-01")]  # outcomes overlap, lie apart and run out
+ANCHOR_DAYS = [as_date(d) for d in ("1999-05-12", "1999-05-13", "2000-01-21", "2000-06-26", "2001-09-17")]  # outcomes overlap, lie apart and run out
 CROSS_SELL_W = ObservationWindow.of("1995-01-01", "1996-01-01", "1997-01-01")
 EVENTS_W = ObservationWindow.of("2024-01-01", "2024-01-21", "2024-01-31")
 

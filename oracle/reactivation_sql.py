@@ -162,7 +162,7 @@ FROM today t LEFT JOIN after a ON a.customer_id = t.customer_id LEFT JOIN feat f
 LEFT JOIN mem m ON m.customer_id = t.customer_id LEFT JOIN prof p ON p.customer_id = t.customer_id"""
 
 
-def many_anchors(days=("2000-01-21", "2000-01-24", "2000-02-28", "2000-09-01"), outcome_days=91) -> str:
+def many_anchors(days=("1999-05-12", "1999-05-13", "2000-01-21", "2000-06-26", "2001-09-17"), outcome_days=91) -> str:
     one = lambda d: f"SELECT DATE '{d}' AS anchor, * FROM ({reactivation_features(d, str(date.fromisoformat(d) + timedelta(outcome_days)))})"
     return " UNION ALL ".join(map(one, days))
 
