@@ -7,7 +7,9 @@ and a walk backwards from the end reads the ids. Two tokens go together if no me
 have come before the merges that made them.
 
 Texts are cut where no merge can reach across: between two characters that no piece holds side by side. Equal
-parts are then encoded once for each worker, in a store of at most ``KEPT`` parts.
+parts are then encoded once for each worker, in a store that lives as long as the worker and holds ``KEPT`` bytes.
+Each part is kept with its ids and with the text decoded from these; as no byte of a character is in another part,
+the decoded texts of the parts, one after the other, are the text decoded from all ids.
 
 Defined results: null text counts as empty; an empty text has no ids, the digest of the empty text, and
 decodes to the empty text; characters without a piece become their UTF-8 bytes; U+2581 in a text encodes as a
@@ -31,8 +33,8 @@ from cohortflow.llm.common import ship, slices, text_of
 
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-#: Parts of texts that a worker keeps with their ids.
-KEPT = 400_000
+#: Bytes that a worker's store may take, as far as they can be estimated, and pairs of tokens that it keeps.
+KEPT, PAIRS = 48 << 20, 200_000
 OUT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -140,7 +142,7 @@ class PrefixTable:
             start = end - sizes[token]
             if start >= 0 and (before := last[start]) >= 0:
                 if (ok := fit.get(pair := before << 20 | token)) is None:
-                    if len(fit) >= KEPT:
+                    if len(fit) >= PAIRS:
                         fit.clear()
                     ok = fit[pair] = self._go_together(self.piece[before], self.piece[token])
                 if not ok:
@@ -181,11 +183,10 @@ class PrefixTable:
         """The ids joined by commas, and the text decoded from them."""
         if not text:
             return "", ""
-        known, found, texts = self.known, [], []
+        known, found = self.known, []
         for n, line in enumerate(text.split("\n")):  # no piece holds a line feed, or a character before a space
             if n:
                 found.append(known["\n"])
-                texts.append("\n")
             if SPACE in line or "  " in line or line[:1] == " " or line[-1:] == " " or not line:
                 parts = _PARTS.findall((" " * (not n) + line).replace(" ", SPACE))
             else:
@@ -193,13 +194,7 @@ class PrefixTable:
                 if not n:
                     del parts[0]
             found += map(known.__getitem__, parts)
-            texts += parts
-        return ",".join(found), "".join(texts).replace(SPACE, " ").removeprefix(" ")
-
-    def forget(self) -> None:
-        """Frees what has been kept: a worker may live on for other work."""
-        self.__dict__.pop("_known", None)
-        self._fit.clear()
+        return ",".join([ids for ids, _ in found]), "".join([back for _, back in found]).removeprefix(" ")
 
     @property
     def known(self) -> _Known:
@@ -215,24 +210,23 @@ _CUT = "\n" + SPACE
 
 
 class _Known(dict):
-    """The joined ids of parts; made where missing. The parts of the last but one generation can go.
+    """The joined ids of parts and the text that they decode to; made where missing.
 
-    Decoding is checked part by part: the ids of a part give back the part, so those of a text give back its parts.
+    When half of the bytes are taken, the parts become the old generation, and those of the one before can go.
     """
 
     def __init__(self, table: PrefixTable):
         super().__init__()
-        self.table, self.old = table, {}
+        self.table, self.old, self.bytes = table, {}, 0
 
-    def __missing__(self, part: str) -> str:
+    def __missing__(self, part: str) -> tuple[str, str]:
         if (found := self.old.get(part)) is None:
             ids = self.table.ids(part)
-            if self.table.text(ids) != part.replace(SPACE, " "):
-                raise ValueError(f"the ids of {part!r} do not give it back")
-            found = ",".join(map(str, ids))
+            found = ",".join(map(str, ids)), self.table.text(ids)
         if len(part) <= 64:
-            if 2 * len(self) >= KEPT:
-                self.old = dict(self)
+            self.bytes += 300 + 3 * len(part) + len(found[0])
+            if 2 * self.bytes >= KEPT:
+                self.old, self.bytes = dict(self), 0
                 self.clear()
             self[part] = found
         return found
@@ -280,7 +274,6 @@ def encode_decode(docs: DataFrame, model_path: str) -> DataFrame:
                 texts.append(hashlib.sha256(back.encode()).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(texts, pa.string())],
                                              ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-        table.forget()
 
     return docs.select(F.col("doc_id").cast("long"), text_of().alias("text")).mapInArrow(digests, OUT)
 
@@ -298,6 +291,5 @@ def encode_ids(docs: DataFrame, model_path: str) -> DataFrame:
         for batch in slices(batches):
             ids = pa.array([table.encode(t) for t in batch.column(1).to_pylist()], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], ["doc_id", "ids"])
-        table.forget()
 
     return docs.select("doc_id", text_of().alias("text")).mapInArrow(encoded, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids array<int>")

@@ -6,8 +6,10 @@ misspelling shares most of its subwords' vectors with the word. A word's vector
 a text's the mean of its words'. Embeddings and softmax are learned together by gradient steps (Adam).
 
 Learning takes up to ``PER_LABEL`` texts of each label (the documented bound), those with the smallest hash of
-their id, whole, in one executor task. Since mean and softmax are linear, a text's score is computed from one
-number for each bucket.
+their id, whole. Tasks turn them into buckets and weights, so no whole text reaches the fit. Only buckets that are in
+clearly more texts of one label than of the other (``LEAST_Z`` standard errors) are learned: the others would only
+mark the texts they are in. The gradient steps then run on these few numbers in one task. Since mean and softmax are
+linear, a text's score is computed from one number for each bucket.
 
 Defined results: null text counts as empty; a text without a letter has the score of the intercept alone;
 labels of null id or null value are not learned from, a document with several labels takes part with each;
@@ -19,7 +21,7 @@ from __future__ import annotations
 
 from functools import cache
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortflow.llm.common import held_out, only_marked, ship, slices, stored, text_of
@@ -27,13 +29,17 @@ from cohortflow.llm.common import held_out, only_marked, ship, slices, stored, t
 BUCKETS, SIZE = 1 << 18, 4
 RUNS = (3, 4, 5)
 PER_LABEL = 4000
-STEPS, BATCH, RATE, DECAY = 400, 256, 0.05, 0.6
-#: Subwords of fewer texts are not learned: they would only mark the texts they are in.
-LEAST_TEXTS = 5
+#: A label's texts are ranked in so many parts first.
+PARTS = 64
+STEPS, RATE, MOMENTUM = 300, 50.0, 0.9
+#: Subwords of fewer texts, or with a smaller contrast between the labels, are not learned.
+LEAST_TEXTS, LEAST_Z = 5, 4.0
+#: Means over hundreds of words are small: they are multiplied by this before the softmax.
+SCALE = 20.0
 SEED = 10
 OUT = "doc_id long, held_out boolean, score double, predicted int"
 #: Texts read at once: so many code points, or one text. A longer text is read in stretches of so many.
-TOGETHER = 1 << 19
+TOGETHER = 1 << 17
 
 
 @cache
@@ -43,14 +49,14 @@ def _letters():
 
     import numpy as np
 
-    return np.array([c if chr(c).isalpha() else 0 for c in range(sys.maxunicode + 1)], np.uint64)
+    return np.fromiter((c if chr(c).isalpha() else 0 for c in range(sys.maxunicode + 1)), np.uint32, sys.maxunicode + 1)
 
 
 def subwords(texts: list[str]):
     """Text, bucket and weight of each subword; the weights of a text add up to the number of its words. Words by text."""
     import numpy as np
 
-    code = _letters()[np.frombuffer((" ".join(["", *texts, ""])).lower().encode("utf-32-le", "surrogatepass"), np.uint32)] if len(texts) else np.empty(0, np.uint64)
+    code = _letters()[np.frombuffer((" ".join(["", *texts, ""])).lower().encode("utf-32-le", "surrogatepass"), np.uint32)] if len(texts) else np.empty(0, np.uint32)
     lower = [len(t.lower()) + 1 for t in texts]
     doc = np.repeat(np.arange(len(texts)), lower)  # of positions from 1 on; each text is followed by a space
     letter = code > 0
@@ -86,63 +92,59 @@ def _together(texts: list[str]):
         yield slice(start, len(texts))
 
 
-def train(texts: list[str], labels: list[int]) -> tuple[list[float], float]:
-    """One number for each bucket, and the intercept: the log odds of label 1 are their mean over words, and it."""
+def features(texts: list[str]):
+    """The buckets of each text and their weights, which add up to 1 (nothing for a text without a letter)."""
     import numpy as np
 
-    y = np.asarray(labels)
-    if len(set(labels)) < 2:
-        return [0.0] * BUCKETS, (40.0 if 1 in labels else -40.0)
-    rows = []  # buckets and weights of each text, equal buckets added up
     for part in _together(texts):
+        if len(texts[part]) == 1 and len(t := texts[part][0]) > TOGETHER:  # a long text, stretch by stretch
+            total, n = np.zeros(BUCKETS), 0
+            for at in range(0, len(t), TOGETHER):
+                _, bucket, weight, words = subwords([t[at:at + TOGETHER]])
+                total += np.bincount(bucket, weight, BUCKETS)
+                n += int(words[0])
+            there = np.flatnonzero(total)
+            yield there.astype(np.int32), (total[there] / max(1, n)).astype(np.float32)
+            continue
         doc, bucket, weight, words = subwords(texts[part])
         key, at = np.unique(doc * BUCKETS + bucket, return_inverse=True)
         total = np.bincount(at, weight)
-        d, b = key // BUCKETS, key % BUCKETS
-        for i, (low, high) in enumerate(zip(np.searchsorted(d, np.arange(len(words))), np.searchsorted(d, np.arange(len(words)), "right"), strict=True)):
-            rows.append((b[low:high].astype(np.int32), (total[low:high] / max(1, words[i])).astype(np.float32)))
-    common = np.zeros(BUCKETS, np.int32)
-    for b, _ in rows:
-        common[b] += 1  # equal buckets have been added up
-    common = common >= LEAST_TEXTS
-    rows = [(b[common[b]], w[common[b]]) for b, w in rows]
-    rng = np.random.default_rng(SEED)
-    table = rng.normal(0, 0.05, (BUCKETS, SIZE)).astype(np.float32) * common[:, None]
-    out, bias = np.zeros((SIZE, 2), np.float32), np.zeros(2, np.float32)
-    out[:, 1] = rng.normal(0, 0.5, SIZE)
-    out[:, 0] = -out[:, 1]
-    m_t, v_t = np.zeros_like(table), np.zeros((BUCKETS, 1), np.float32)
-    state = [[np.zeros_like(x), np.zeros_like(x)] for x in (out, bias)]
-    ones, zeros = np.flatnonzero(y == 1), np.flatnonzero(y != 1)
-    for step in range(1, STEPS + 1):
-        some = np.concatenate([rng.choice(ones, BATCH // 4), rng.choice(zeros, BATCH - BATCH // 4)])
-        doc = np.repeat(np.arange(len(some)), [len(rows[i][0]) for i in some])
-        bucket, weight = np.concatenate([rows[i][0] for i in some]), np.concatenate([rows[i][1] for i in some])
-        used, at = np.unique(bucket, return_inverse=True)
-        # a matrix of texts by used buckets would be large: sums by text, one dimension at a time
-        near = table[used]
-        bag = np.stack([np.bincount(doc, weight * near[at, k], len(some)) for k in range(SIZE)], 1).astype(np.float32) * SCALE
-        odds = bag @ out + bias
-        odds -= odds.max(axis=1, keepdims=True)
-        p = np.exp(odds)
-        p /= p.sum(axis=1, keepdims=True)
-        p[np.arange(len(some)), (y[some] == 1).astype(int)] -= 1
-        p /= len(some)
-        back = (p @ out.T) * SCALE
-        grad = np.stack([np.bincount(at, weight * back[doc, k], len(used)) for k in range(SIZE)], 1).astype(np.float32)
-        rate = RATE * (1 - step / (STEPS + 1))
-        m_t[used] = 0.9 * m_t[used] + 0.1 * grad
-        v_t[used] = 0.99 * v_t[used] + 0.01 * (grad**2).mean(axis=1, keepdims=True)
-        table[used] -= rate * (m_t[used] / (np.sqrt(v_t[used]) + 1e-6) + DECAY * table[used])
-        for x, g, s in ((out, bag.T @ p, state[0]), (bias, p.sum(axis=0), state[1])):
-            s[0][:] = 0.9 * s[0] + 0.1 * g
-            s[1][:] = 0.99 * s[1] + 0.01 * g**2
-            x -= rate * s[0] / (np.sqrt(s[1]) + 1e-6)
-    return (table @ (out[:, 1] - out[:, 0]) * SCALE).astype(np.float64).tolist(), float(bias[1] - bias[0])
+        ends = np.searchsorted(key, np.arange(len(words) + 1) * BUCKETS)
+        for i, (low, high) in enumerate(zip(ends, ends[1:], strict=False)):
+            yield (key[low:high] % BUCKETS).astype(np.int32), (total[low:high] / max(1, words[i])).astype(np.float32)
 
 
-#: Means over hundreds of words are small: they are multiplied by this before the softmax.
-SCALE = 20.0
+def contrast(one: Column, zero: Column, ones: Column, zeros: Column) -> Column:
+    """How many standard errors the shares of the two labels' texts that have a bucket lie apart."""
+    share = (one + zero) / (ones + zeros)
+    return F.abs(one / ones - zero / zeros) / F.sqrt(F.greatest(share * (1 - share) * (1 / ones + 1 / zeros), F.lit(1e-12)))
+
+
+def fit(doc, bucket, weight, y):
+    """One number for each bucket, and the intercept: the log odds of label 1 are their mean over words, and it.
+
+    ``doc``, ``bucket`` and ``weight`` are the learned subwords of the texts, ``y`` the texts' labels (both occur).
+    Embeddings and softmax take joint gradient steps with momentum over all texts; both labels weigh the same.
+    """
+    import numpy as np
+
+    used, b = np.unique(bucket, return_inverse=True)
+    rng = np.random.default_rng(SEED)
+    table, out, bias = rng.normal(0, 0.01, (len(used), SIZE)), rng.normal(0, 1, SIZE), 0.0
+    out /= np.linalg.norm(out)  # of the two classes of a softmax only the difference matters
+    m_table, m_out, m_bias = np.zeros_like(table), np.zeros_like(out), 0.0
+    each = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y != 1).sum()))
+    for _ in range(STEPS):
+        bag = np.stack([np.bincount(doc, weight * table[b, k], len(y)) for k in range(SIZE)], 1) * SCALE
+        error = (1 / (1 + np.exp(-np.clip(bag @ out + bias, -30, 30))) - y) * each
+        back = np.bincount(b, weight * error[doc], len(used)) * SCALE
+        m_table = MOMENTUM * m_table - RATE * np.outer(back, out)
+        m_out = MOMENTUM * m_out - RATE / 1000 * (bag.T @ error)
+        m_bias = MOMENTUM * m_bias - RATE / 100 * error.sum()
+        table, out, bias = table + m_table, out + m_out, bias + m_bias
+    model = np.zeros(BUCKETS)
+    model[used] = table @ out * SCALE
+    return model, float(bias)
 
 
 def scores(texts: list[str], table, intercept: float) -> list[float]:
@@ -165,29 +167,69 @@ def scores(texts: list[str], table, intercept: float) -> list[float]:
     return out
 
 
+def sampled(docs: DataFrame, labels: DataFrame, per_label: int) -> DataFrame:
+    """doc_id and toxic of the texts to learn from. A label is ranked in parts first, so no task meets all its rows."""
+    ids = (labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
+           .select("doc_id", F.col("toxic").cast("int").alias("toxic"), F.xxhash64(F.lit(SEED), "doc_id").alias("h")).distinct()
+           .join(docs.select("doc_id"), "doc_id", "left_semi").withColumn("part", F.pmod("h", F.lit(PARTS))))
+    for key in (["toxic", "part"], ["toxic"]):
+        ids = ids.withColumn("n", F.row_number().over(Window.partitionBy(*key).orderBy("h", "doc_id"))).where(F.col("n") <= per_label)
+    return ids.select("doc_id", "toxic")
+
+
 def learn(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL):
     """The model: one number for each bucket, and the intercept."""
     import numpy as np
 
-    ship(docs.sparkSession)
-    ids = (labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
-           .select("doc_id", F.col("toxic").cast("int").alias("toxic"), F.xxhash64(F.lit(SEED), "doc_id").alias("h")).distinct()
-           .join(docs.select("doc_id"), "doc_id", "left_semi")
-           .withColumn("n", F.row_number().over(Window.partitionBy("toxic").orderBy("h", "doc_id")))
-           .where(F.col("n") <= per_label).select("doc_id", "toxic"))
-    ids = stored(ids)
+    spark = docs.sparkSession
+    ship(spark)
+    ids = stored(sampled(docs, labels, per_label))
     rows = docs.select("doc_id", text_of().alias("text"))
-    sample = only_marked(rows, "doc_id", ids.select(F.col("doc_id").alias("key"))).join(ids, "doc_id").select("text", "toxic")
+    sample = only_marked(rows, "doc_id", ids.select(F.col("doc_id").alias("key"))).join(ids, "doc_id").select("doc_id", "text", "toxic")
+
+    def described(batches):
+        import pyarrow as pa
+
+        for batch in slices(batches, 100):
+            found = list(features([t or "" for t in batch.column("text").to_pylist()]))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), pa.array([b for b, _ in found], pa.list_(pa.int32())),
+                                              pa.array([w for _, w in found], pa.list_(pa.float32()))], ["doc_id", "toxic", "buckets", "weights"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    texts = stored(sample.mapInArrow(described, f"doc_id {kind}, toxic int, buckets array<int>, weights array<float>"))
+    totals = texts.agg(*(F.coalesce(F.sum((F.col("toxic") == k).cast("long")), F.lit(0)) for k in (1, 0))).first()
+    if not min(totals):
+        return np.zeros(BUCKETS, np.float32), (40.0 if totals[0] else -40.0)
+    ones, zeros = (F.lit(float(n)) for n in totals)
+    count = lambda k: F.sum((F.col("toxic") == k).cast("double"))
+    counts = texts.select("toxic", F.explode("buckets").alias("bucket")).groupBy("bucket").agg(count(1).alias("one"), count(0).alias("zero"))
+    chosen = counts.where((F.col("one") + F.col("zero") >= LEAST_TEXTS) & (contrast(F.col("one"), F.col("zero"), ones, zeros) >= LEAST_Z))
+    chosen = np.sort(np.asarray(chosen.select("bucket").toArrow().column(0)))  # at most BUCKETS
+    flags = np.zeros(BUCKETS, bool)
+    flags[chosen] = True
+    mark = spark.sparkContext.broadcast(flags)
+
+    def cut(batches):
+        import pyarrow as pa
+
+        for batch in slices(batches, 100):
+            rows = [(b.values.to_numpy(), w.values.to_numpy()) for b, w in zip(batch.column("buckets"), batch.column("weights"), strict=True)]
+            rows = [(b[mark.value[b]], w[mark.value[b]]) for b, w in rows]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), pa.array([b for b, _ in rows], pa.list_(pa.int32())),
+                                              pa.array([w for _, w in rows], pa.list_(pa.float32()))], ["doc_id", "toxic", "buckets", "weights"])
 
     def fitted(key, pdf):
         import pandas as pd
 
-        pdf = pdf.sort_values(["toxic", "text"])
-        table, intercept = train(pdf["text"].tolist(), pdf["toxic"].tolist())
+        pdf = pdf.sort_values(["doc_id", "toxic"])
+        doc = np.repeat(np.arange(len(pdf)), pdf["buckets"].map(len))
+        table, intercept = fit(doc, np.concatenate(pdf["buckets"].tolist()).astype(int), np.concatenate(pdf["weights"].tolist()),
+                               (pdf["toxic"].to_numpy() == 1).astype(int))
         return pd.DataFrame({"table": [table], "intercept": [intercept]})
 
-    model = sample.withColumn("model", F.lit(0)).groupBy("model").applyInPandas(fitted, "table array<double>, intercept double").first()
-    return (np.asarray(model["table"], np.float32), model["intercept"]) if model else (np.zeros(BUCKETS, np.float32), -40.0)
+    few = texts.mapInArrow(cut, texts.schema)
+    model = few.withColumn("model", F.lit(0)).groupBy("model").applyInPandas(fitted, "table array<double>, intercept double").first()
+    return np.asarray(model["table"], np.float32), model["intercept"]
 
 
 def predict(docs: DataFrame, table, intercept: float) -> DataFrame:

@@ -53,10 +53,16 @@ def test_seams_agree_with_whole_encodings(table):
 
 
 def test_parts_are_forgotten(table, monkeypatch):
-    monkeypatch.setattr(pieces, "KEPT", 8)
+    monkeypatch.setattr(pieces, "KEPT", 4000)
     fresh = pieces._Known(table)
     for i in range(100):
-        assert fresh[f"▁w{i}"] == ",".join(map(str, table.ids(f"▁w{i}"))) and len(fresh) <= 8
+        assert fresh[f"▁w{i}"] == (",".join(map(str, table.ids(f"▁w{i}"))), f" w{i}") and len(fresh) + len(fresh.old) <= 14
+
+
+def test_the_decoded_text_is_that_of_the_ids(table):
+    for text in ["a b", " x", "é🙂 \x00", "▁▁ a", "line\nline  two\n"]:
+        ids, back = table.digestible(text)
+        assert back == table.decode([int(x) for x in ids.split(",")])
 
 
 def test_other_models_are_refused():
@@ -207,6 +213,28 @@ def test_toxicity_shares_subwords_with_misspellings(spark):
     assert got[400]["score"] > got[401]["score"]
 
 
+def test_features_of_a_long_text_are_those_of_its_stretches(monkeypatch):
+    rng = random.Random(8)
+    monkeypatch.setattr(toxicity, "TOGETHER", 700)
+    texts = [words(rng, 30), "", words(rng, 900), "12 !", words(rng, 50), "x"]
+    for t, (buckets, weights) in zip(texts, toxicity.features(texts), strict=True):
+        assert len(set(buckets.tolist())) == len(buckets) and abs(weights.sum() - bool(brute_subwords(t))) < 1e-4
+    whole = Counter()
+    for b, w in zip(*toxicity.features([texts[4]]).__next__(), strict=True):
+        whole[int(b)] += w
+    _, bucket, weight, n = toxicity.subwords([texts[4]])
+    assert np.allclose(np.bincount(bucket, weight, toxicity.BUCKETS)[list(whole)] / n[0], list(whole.values()))
+
+
+def test_toxicity_finds_held_out_documents(spark):
+    """Recall and precision on labelled rows that were not learned from (a twentieth of the labels is wrong)."""
+    d = SF001.replace("0.001", "0.1")
+    labels = read(spark, d, "labels")
+    got = toxicity.score(read(spark, d, "documents"), labels).where("held_out").join(labels.where("toxic IS NOT NULL"), "doc_id").collect()
+    caught = sum(r["predicted"] and r["toxic"] for r in got)
+    assert len(got) > 500 and caught >= 0.9 * sum(r["toxic"] for r in got) and caught >= 0.85 * sum(r["predicted"] for r in got)
+
+
 def test_toxicity_of_odd_rows(spark):
     labels = spark.createDataFrame([(1, 1), (1, 0), (2, 0), (None, 1), (3, None), (99, 1), (10, 1)], "doc_id long, toxic int")
     got = toxicity.score(documents(spark), labels).collect()
