@@ -8,16 +8,17 @@ high similarities precisely, so pairs of a bucket that differ in more than ``MOS
 not with a chance of one in a billion) need no further look. The others are confirmed on their full sets.
 Buckets of any size are worked through by ``linking``, without all pairs and without a cap.
 
-Defined results: null text, empty text and text without a word have an empty set, linked with nothing; rows of
-one id are one document, and the whole of them stays or goes by its class; a null id links with nothing and its
-component is null; equal texts are always linked; an empty table gives an empty result; other columns are ignored.
+Defined results: null text, empty text and text without a word have an empty set, linked with nothing; rows of one id
+with different sets are different documents; rows equal in id and set go the same way in ``near_duplicates``, and
+``one_of_each`` leaves one of them; a null id links with nothing, its component is null and its row stays; equal
+texts are always linked; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
 from functools import cache
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortflow.llm import words as W
@@ -74,7 +75,7 @@ def odd_sketch(least):
 
 
 def features(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, key (of the set), n_shingles, bands and sketch of each document."""
+    """doc_id, row (hash of id and text), key (of the set), n_shingles, bands and sketch of each document."""
     ship(docs.sparkSession)
 
     def made(batches):
@@ -91,11 +92,19 @@ def features(docs: DataFrame, words: int) -> DataFrame:
                 of.append(bands(least) if len(s) else [])
                 sketches.append(odd_sketch(least) if len(s) else [])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(of, pa.list_(pa.int64())),
-                 pa.array(sketches, pa.list_(pa.int64()))], ["doc_id", "key", "n_shingles", "bands", "sketch"])
+                [batch.column("doc_id"), batch.column("row"), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(of, pa.list_(pa.int64())),
+                 pa.array(sketches, pa.list_(pa.int64()))], ["doc_id", "row", "key", "n_shingles", "bands", "sketch"])
 
-    return docs.select(F.col("doc_id").cast("long"), text_of().alias("text")).mapInArrow(
-        made, "doc_id long, key binary, n_shingles long, bands array<long>, sketch array<long>")
+    return _rows(docs).mapInArrow(made, "doc_id long, row long, key binary, n_shingles long, bands array<long>, sketch array<long>")
+
+
+def _row() -> Column:
+    """A hash of id and text, which tells rows apart."""
+    return F.xxhash64(F.col("doc_id").cast("long"), text_of())
+
+
+def _rows(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long"), _row().alias("row"), text_of().alias("text"))
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, words: int, num: int, den: int) -> DataFrame:
@@ -157,50 +166,61 @@ def _block_links(batches, words: int, num: int, den: int):
         yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.int64()), pa.array([b for _, b in out], pa.int64())], ["a", "b"])
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of each document: linked where den * intersection >= num * union."""
+def _classed(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
+    """doc_id, row, n_shingles, component_id and comp (a number of the component; null without a set or id) of each document."""
     feats = stored(features(docs, words))
     some = feats.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = stored(some.groupBy("key").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"),
-                                             F.first("bands").alias("bands"), F.first("sketch").alias("sketch")))
+    # each class gets a number; the row of its least id stands for it
+    classes = stored(some.groupBy("key").agg(F.min(F.struct("doc_id", "row")).alias("rep"), F.first("n_shingles").alias("n"),
+                                             F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+                     .select("key", "rep.doc_id", "rep.row", "n", "bands", "sketch", F.monotonically_increasing_id().alias("id")))
     members = classes.select(F.explode("bands").alias("bucket"), "id")
-    signs = classes.select("id", "n", *(F.col("sketch")[k].alias(f"s{k}") for k in range(BITS // 64))).dropDuplicates(["id"])
+    signs = classes.select("id", "n", *(F.col("sketch")[k].alias(f"s{k}") for k in range(BITS // 64)))
 
     def plausible(x, y):
         bits = sum((F.bit_count(x(f"s{k}").bitwiseXOR(y(f"s{k}"))) for k in range(1, BITS // 64)), F.bit_count(x("s0").bitwiseXOR(y("s0"))))
         return (den * F.least(x("n"), y("n")) >= num * F.greatest(x("n"), y("n"))) & (bits <= MOST_BITS)
 
     def texts(ids: DataFrame) -> DataFrame:
-        ids = stored(ids.distinct())
-        rows = docs.select(F.col("doc_id").cast("long").alias("id"), text_of().alias("text"))
-        return stored(only_marked(rows, "id", ids).join(ids.toDF("id"), "id").dropDuplicates(["id"]))
+        wanted = stored(classes.select("id", "row").join(ids.distinct(), "id"))
+        rows = only_marked(_rows(docs).select("row", "text"), "row", wanted.select(F.col("row").alias("key")))
+        return stored(rows.join(wanted, "row").select("id", "text").dropDuplicates(["id"]))
 
     def linked_pairs(pairs: DataFrame) -> DataFrame:
-        return confirmed(pairs, texts(pairs.select(F.explode(F.array("a", "b")).alias("key"))), words, num, den)
+        return confirmed(pairs, texts(pairs.select(F.explode(F.array("a", "b")).alias("id"))), words, num, den)
 
     def linked_blocks(rows: DataFrame) -> DataFrame:
-        about = classes.select("id", "n", "sketch", "bands").dropDuplicates(["id"]).join(texts(rows.select(F.col("id").alias("key"))), "id")
+        about = classes.select("id", "n", "sketch", "bands").join(texts(rows.select("id")), "id")
         return (rows.join(about, "id").repartition("block").sortWithinPartitions("block")
                 .mapInArrow(lambda batches: _block_links(batches, words, num, den), "a long, b long"))
 
     comp = linked(members, signs, plausible, linked_pairs, linked_blocks)
-    to = stored(classes.select("key", "id").join(comp, "id", "left").select("key", F.coalesce("comp", "id").alias("comp")))
-    f = feats.join(to, "key", "left")
+    to = stored(classes.select("key", "id", "doc_id").join(comp, "id", "left").select("key", "doc_id", F.coalesce("comp", "id").alias("comp")))
+    least = to.groupBy("comp").agg(F.min("doc_id").alias("least"))
+    of = stored(to.select("key", "comp").join(least, "comp"))
+    f = feats.select("doc_id", "row", "key", "n_shingles").join(of, "key", "left")
     alone = (F.col("n_shingles") == 0) | F.col("doc_id").isNull()
-    return (f.withColumn("component_id", F.when(alone, F.col("doc_id")).otherwise(F.col("comp")))
-            .select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")))
+    return f.select("doc_id", "row", "n_shingles", F.when(alone, F.col("doc_id")).otherwise(F.col("least")).alias("component_id"),
+                    F.when(~alone, F.col("comp")).alias("comp"))
+
+
+def near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept of each document: linked where den * intersection >= num * union."""
+    return _classed(docs, words, num, den).select(
+        "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def one_of_each(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """The documents without those that another one stands for; of rows equal in id and text one stays."""
+    """The documents without those that another one stands for: of each component the row with the least id stays."""
     docs, back = guarded(docs, ("doc_id", "text"))
-    found = stored(near_duplicates(docs, words, num, den))
-    gone = stored(found.where("NOT kept").select(F.col("doc_id").alias("key")).distinct())
-    again = stored(found.where("n_shingles > 0 AND kept AND doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("key"))
-                   .agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"))
-    rows = marked(docs.withColumn("__id", F.col("doc_id").cast("long")), "__id", gone.unionByName(again), "__may")
-    may = rows.where("__may").drop("__may").join(gone.toDF("__id"), "__id", "left_anti")
-    single = may.join(again.toDF("__id"), "__id", "left_anti")
-    equal = may.join(again.toDF("__id"), "__id", "left_semi").dropDuplicates(["__id", "text"])
+    found = stored(_classed(docs, words, num, den).where("comp IS NOT NULL").groupBy("comp", "doc_id", "row").agg(F.count(F.lit(1)).alias("n")))
+    first = found.groupBy("comp").agg(F.min(F.struct("doc_id", "row"))["row"].alias("first"), F.sum("n").alias("n"))
+    several = stored(first.where("n > 1"))
+    # of the documents of such components those go that are not the first; of rows equal to the first one stays
+    gone = stored(found.select("comp", "row").join(several, "comp").select("row", (F.col("row") == F.col("first")).alias("stays")))
+    rows = marked(docs.withColumn("__row", _row()), "__row", gone.select(F.col("row").alias("key")), "__may")
+    may = rows.where("__may").drop("__may")
+    others = may.join(gone.select(F.col("row").alias("__row")), "__row", "left_anti")
+    firsts = may.join(gone.where("stays").select(F.col("row").alias("__row")), "__row", "left_semi").dropDuplicates(["__row"])
     whole = rows.where(~F.col("__may")).drop("__may")
-    return back(whole.unionByName(single).unionByName(equal))
+    return back(whole.unionByName(others).unionByName(firsts))

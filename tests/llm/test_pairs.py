@@ -39,21 +39,27 @@ def shingles(text, k):
 
 
 def expected_near(rows, k):
-    sets = {i: shingles(t, k) for i, t in rows if i is not None}
-    groups = Sets(sets)
-    ids = sorted(sets)
-    for x, a in enumerate(ids):
-        for b in ids[x + 1:]:
-            both = len(sets[a] & sets[b])
-            if sets[a] and sets[b] and 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both):
-                groups.join(a, b)
-    return Counter((i, len(shingles(t, k)), None if i is None else groups.find(i), i is None or groups.find(i) == i) for i, t in rows)
+    """Rows of one id with different sets are different documents."""
+    docs = sorted({(i, shingles(t, k)) for i, t in rows if i is not None}, key=lambda d: (d[0], sorted(d[1])))
+    groups = Sets(range(len(docs)))
+    for x, (_, a) in enumerate(docs):
+        for y in range(x + 1, len(docs)):
+            b = docs[y][1]
+            both = len(a & b)
+            if a and b and 100 * both >= 80 * (len(a) + len(b) - both):
+                groups.join(x, y)
+    comp = {d: docs[groups.find(x)][0] for x, d in enumerate(docs)}  # the first of a group has its least id
+    out = Counter()
+    for i, t in rows:
+        s = shingles(t, k)
+        out[i, len(s), comp.get((i, s)), i is None or comp[i, s] == i] += 1
+    return out
 
 
 @pytest.mark.parametrize("k", [2, 5])
 def test_near_duplicates_of_odd_rows(spark, k):
-    rows = [(i, t) for i, t, *_ in odd_rows() if i != 14]  # 14 has two texts
-    got = near.near_duplicates(documents(spark).where("doc_id IS NULL OR doc_id <> 14"), k).collect()
+    rows = [(i, t) for i, t, *_ in odd_rows()]
+    got = near.near_duplicates(documents(spark), k).collect()
     assert Counter(map(tuple, got)) == expected_near(rows, k)
     assert near.near_duplicates(documents(spark, [])).count() == 0
 
@@ -90,6 +96,18 @@ def test_one_of_each_keeps_one_row(spark):
     assert {r["size"] for r in got} == {-1} and ids[5] == ids[6] == ids[7] == 1
 
 
+def test_texts_of_one_id_are_kept_apart(spark):
+    rng = random.Random(9)
+    a, b, c = (words(rng, 60) for _ in "abc")
+    near_c = c.replace(c.split(" ")[0], "other")
+    rows = [(5, a), (3, b), (5, b), (7, a), (5, b), (9, c), (9, near_c), (9, c), (2, ""), (2, ""), (None, a)]
+    docs = spark.createDataFrame([(*r, k) for k, r in enumerate(rows)], "doc_id long, text string, row int")
+    assert Counter(map(tuple, near.near_duplicates(docs, 2).collect())) == expected_near(rows, 2)
+    got = Counter((r["doc_id"], r["text"]) for r in near.one_of_each(docs, 2).collect())
+    assert (got.pop((9, c), 0), got.pop((9, near_c), 0)) in ((1, 0), (0, 1))
+    assert got == Counter({(5, a): 1, (3, b): 1, (2, ""): 2, (None, a): 1})
+
+
 def test_odd_sketches_tell_high_similarity():
     rng = np.random.default_rng(3)
     for j in (1.0, 0.9, 0.8, 0.4, 0.1):
