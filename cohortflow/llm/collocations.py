@@ -9,10 +9,11 @@ made longer. So the sample decides how many passes there are (at most one for ea
 
 The border is never listed. A pass takes the phrases whose parts have their bits set in a table of ``BITS_WORDS``
 64-bit words; that bound holds for any number of phrases, so the table is broadcast. Where bits coincide, more phrases
-are counted, as exactly as the others; counts are by the phrase itself, never by its hash alone.
+are counted, as exactly as the others. These passes count 64-bit names. Phrases that share a name are counted together,
+so no frequent one is lost; a last pass counts the phrases behind the frequent names by their words.
 
 Frequent phrases of two words and more are then scored by their worst cut, those that a longer phrase accounts for are
-dropped, and the best of each language are ranked in two steps, so that no task sorts a whole language.
+dropped, and the best of each language are ranked by ranges, so that no task sorts a whole language.
 
 Defined results: null text counts as empty, null language as ``und``; ids may be null or repeated, each row counts; a
 text of any length is worked through in stretches that overlap by three words; an empty table or one without
@@ -30,13 +31,16 @@ from pyspark.sql import functions as F
 
 from cohortflow.llm import words as W
 from cohortflow.llm.common import ship, slices, stored, text_of
+from cohortflow.operators.windows import rank_within
 
 LONGEST, LEAST, MOST = 4, 30, 2000
 #: A longer phrase with so many percent of a phrase's occurrences accounts for it.
 COVERED = 80
 #: One in so many documents is in the sample; a phrase that occurs so often there is proposed.
-SAMPLE_PART, SAMPLE_LEAST = 8, 2
+SAMPLE_PART, SAMPLE_LEAST = 4, 5
 BITS_WORDS = 1 << 19
+#: Counts that a task holds before it adds them up and sends them on.
+HELD = 1 << 20
 #: Bytes that are worked through at once; a word is never cut.
 TOGETHER = 1 << 20
 #: Parts that a language is ranked in first.
@@ -106,7 +110,9 @@ class Grams:
         self.n = 1
 
     def ids(self):
-        return W.mixed(self.sums[0] + np_uint(self.n))
+        import numpy as np
+
+        return W.mixed(self.sums[0] + np.uint64(self.n * _STEP[0] % 2**64))
 
     def longer(self):
         """Goes from the phrases of n words to those of n + 1."""
@@ -147,12 +153,6 @@ class Grams:
         return pa.Array.from_buffers(pa.string(), len(at), [None, pa.py_buffer(np.append(0, ends).astype(np.int32)), pa.py_buffer(out)])
 
 
-def np_uint(x: int):
-    import numpy as np
-
-    return np.uint64(x * _STEP[0] % 2**64)
-
-
 def _seed(lang: str) -> int:
     import xxhash
 
@@ -174,27 +174,58 @@ def _input(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), text_of().cast("binary").alias("text"))
 
 
-def proposed(docs: DataFrame, part: int = SAMPLE_PART, least: int = SAMPLE_LEAST) -> DataFrame:
-    """The ids of the phrases that occur often enough in the sample."""
-    some = docs.where(F.pmod(F.xxhash64(F.lit("sample"), F.col("doc_id")), F.lit(part)) == 0)
+class Held:
+    """Counts of names and lengths, added up whenever ``HELD`` of them have come together."""
 
-    def counts(batches):
+    def __init__(self):
+        self.parts, self.size = [], 0
+
+    def add(self, ids, n: int):
+        """Takes the names of phrases of n words; gives batches to send on."""
+        import numpy as np
+
+        if len(ids):
+            id_, f = np.unique(ids, return_counts=True)
+            self.parts.append((id_, np.full(len(f), n, np.int8), f))
+            self.size += len(f)
+            if self.size >= HELD:
+                yield from self.rest()
+
+    def rest(self):
         import numpy as np
         import pyarrow as pa
 
+        if self.parts:
+            id_, n, f = (np.concatenate(x) for x in zip(*self.parts, strict=True))
+            order = np.argsort(id_)
+            id_, first = np.unique(id_[order], return_index=True)
+            f = np.add.reduceat(f[order], first)
+            yield pa.RecordBatch.from_arrays([pa.array(id_.view(np.int64)), pa.array(n[order][first]), pa.array(f.astype(np.int64))], ["id", "n", "f"])
+        self.parts, self.size = [], 0
+
+
+NAMES = "id long, n byte, f long"
+
+
+def _frequent_names(docs: DataFrame, counts, least: int) -> DataFrame:
+    return _input(docs).mapInArrow(counts, NAMES).groupBy("id", "n").agg(F.sum("f").alias("f")).where(F.col("f") >= least).select("id", "n")
+
+
+def proposed(docs: DataFrame, part: int = SAMPLE_PART, least: int = SAMPLE_LEAST) -> DataFrame:
+    """id (name) and n (words) of the phrases that occur often enough in the sample."""
+    some = docs.where(F.pmod(F.xxhash64(F.lit("sample"), F.col("doc_id")), F.lit(part)) == 0)
+
+    def counts(batches):
+        held = Held()
         for lang, stretch, own in _by_language(batches):
             g = Grams(stretch, own, _seed(lang))
-            if not g.count:
-                continue
-            for n in range(1, LONGEST + 1):
+            for n in range(1, min(LONGEST, g.count) + 1):
                 if n > 1:
-                    if g.count < n:
-                        break
                     g.longer()
-                id_, k = np.unique(g.ids()[g.valid()], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(id_.view(np.int64)), pa.array(k, pa.int64())], ["id", "k"])
+                yield from held.add(g.ids()[g.valid()], n)
+        yield from held.rest()
 
-    return (_input(some).mapInArrow(counts, "id long, k long").groupBy("id").agg(F.sum("k").alias("k")).where(F.col("k") >= least).select("id"))
+    return _frequent_names(some, counts, least)
 
 
 def bits(ids: DataFrame, words: int = BITS_WORDS):
@@ -215,33 +246,21 @@ def _has(table, ids):
 
 
 def full_pass(docs: DataFrame, parts, new=None, least: int = LEAST) -> DataFrame:
-    """lang, phrase, n, id and f of the frequent phrases whose two parts have bits in ``parts``.
+    """id and n of the frequent phrases whose two parts have bits in ``parts``.
 
-    The first pass also counts all words (and, as n = 0, their number in each language); a further one, with the
-    bits of the phrases ``new`` since, takes those of which at least one part is new.
+    The first pass also counts all words; a further one, with the bits of the phrases ``new`` since, takes those
+    phrases of which at least one part is new.
     """
-    sc = docs.sparkSession.sparkContext
-    tables = sc.broadcast((parts, new))
+    tables = docs.sparkSession.sparkContext.broadcast((parts, new))
 
     def counts(batches):
-        import numpy as np
-        import pyarrow as pa
-
         parts, new = tables.value
+        held = Held()
         for lang, stretch, own in _by_language(batches):
             g = Grams(stretch, own, _seed(lang))
-            if not g.count:
-                continue
-            row = lambda phrase, n, id_, f: pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(f), pa.string()), phrase, pa.array(np.full(len(f), n, np.int32)), pa.array(id_.view(np.int64)), pa.array(f, pa.int64())],
-                ["lang", "phrase", "n", "id", "f"])
-            if new is None and g.own:
-                yield row(pa.array([""]), 0, np.zeros(1, np.uint64), [g.own])
             below = None
-            for n in range(1, LONGEST + 1):
+            for n in range(1, min(LONGEST, g.count) + 1):
                 if n > 1:
-                    if g.count < n:
-                        break
                     g.longer()
                 ids, take = g.ids(), g.valid()
                 if n > 1:
@@ -250,16 +269,42 @@ def full_pass(docs: DataFrame, parts, new=None, least: int = LEAST) -> DataFrame
                     if new is not None:
                         fresh = _has(new, below)
                         take &= fresh[:-1] | fresh[1:]
-                elif new is not None:
-                    take[:] = False
+                if n > 1 or new is None:
+                    yield from held.add(ids[take], n)
                 below = ids
-                at = np.flatnonzero(take)
+        yield from held.rest()
+
+    return _frequent_names(docs, counts, least)
+
+
+def by_words(docs: DataFrame, names, least: int = LEAST) -> DataFrame:
+    """lang, phrase, n and f of the frequent phrases with bits in ``names``, and as n = 0 the words of each language."""
+    table = docs.sparkSession.sparkContext.broadcast(names)
+
+    def counts(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        row = lambda lang, phrase, n, f: pa.RecordBatch.from_arrays(
+            [pa.array([lang] * len(f), pa.string()), phrase, pa.array(np.full(len(f), n, np.int32)), pa.array(f, pa.int64())], ["lang", "phrase", "n", "f"])
+        words: dict[str, int] = {}
+        for lang, stretch, own in _by_language(batches):
+            g = Grams(stretch, own, _seed(lang))
+            if g.count:
+                words[lang] = words.get(lang, 0) + g.own
+            for n in range(1, min(LONGEST, g.count) + 1):
+                if n > 1:
+                    g.longer()
+                ids = g.ids()
+                at = np.flatnonzero(g.valid() & _has(table.value, ids))
                 if len(at):
                     at, f = g.counted(ids, at)
-                    yield row(g.phrases(at), n, ids[at], f)
+                    yield row(lang, g.phrases(at), n, f)
+        for lang, n in words.items():
+            yield row(lang, pa.array([""]), 0, [n])
 
-    return (_input(docs).mapInArrow(counts, "lang string, phrase string, n int, id long, f long")
-            .groupBy("lang", "phrase", "n", "id").agg(F.sum("f").alias("f")).where((F.col("f") >= least) | (F.col("n") == 0)))
+    return (_input(docs).mapInArrow(counts, "lang string, phrase string, n int, f long")
+            .groupBy("lang", "phrase", "n").agg(F.sum("f").alias("f")).where((F.col("f") >= least) | (F.col("n") == 0)))
 
 
 def frequent_phrases(docs: DataFrame, least: int = LEAST, part: int = SAMPLE_PART, sample_least: int = SAMPLE_LEAST,
@@ -268,13 +313,12 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, part: int = SAMPLE_PAR
     ship(docs.sparkSession)
     candidates = stored(proposed(docs, part, sample_least))
     found = stored(full_pass(docs, bits(candidates, words), None, least))
-    new = stored(found.where("n > 0").join(candidates, "id", "left_anti"))  # the border's failures
+    new = stored(found.join(candidates.select("id"), "id", "left_anti"))  # the border's failures
     while not new.where(F.col("n") < LONGEST).isEmpty():
-        known = found.where("n > 0")
-        more = full_pass(docs, bits(known.select("id"), words), bits(new.select("id"), words), least)
-        new = stored(more.join(known.select("lang", "phrase"), ["lang", "phrase"], "left_anti"))
+        more = full_pass(docs, bits(found, words), bits(new, words), least)
+        new = stored(more.join(found.select("id"), "id", "left_anti"))
         found = found.unionByName(new)
-    return found.select("lang", "phrase", "n", "f")
+    return by_words(docs, bits(found, words), least)
 
 
 def _exact(x: Column) -> Column:
@@ -300,8 +344,8 @@ def collocations(docs: DataFrame, least: int = LEAST, most: int = MOST, covered:
             .where(F.col("top").isNull() | (_exact(F.lit(100)) * _exact(F.col("top")) < _exact(F.lit(covered)) * _exact(F.col("a")))))
     rows = kept.select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score", F.pmod(F.xxhash64("phrase"), F.lit(PARTS)).alias("part"))
     order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
-    for key in (["lang", "part"], ["lang"]):
-        rows = rows.withColumn("rank", F.row_number().over(Window.partitionBy(*key).orderBy(*order))).where(F.col("rank") <= most)
-    totals = frequent.where("n = 0").select("lang", F.col("f").alias("total"))
-    return rows.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", F.col("total").alias("n"),
-                                            F.col("score").cast("long").alias("score"))
+    best = rows.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))).where(F.col("rank") <= most)
+    ranked = rank_within(best.drop("rank"), "lang", order, "rank").where(F.col("rank") <= most)
+    totals = stored(frequent.where("n = 0").select("lang", F.col("f").alias("total")))
+    return ranked.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", F.col("total").alias("n"),
+                                              F.col("score").cast("long").alias("score"))
