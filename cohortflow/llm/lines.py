@@ -1,14 +1,16 @@
 """Operator 6, line dedup: segment-partition edit join.
 
-Lines within ``EDITS`` edits of one another are linked, and of linked lines the first occurrence, by doc_id and
-place, stays. If a line is cut into EDITS + 1 segments, a line within that many edits has one of them unchanged,
-at a place that is off by little. So each line is put under its own segments and under the substrings of it that
-can be a segment of a line as long or up to EDITS shorter (the multi-match-aware places). Pairs under one key
-whose lengths and character counts allow it are verified by a banded bit-parallel edit distance. Keys of any
-number of lines are worked through by ``linking``, without all pairs and without a cap.
-
-Lines shorter than ``LEAST`` code points (blank ones above all) are left alone; those shorter than
-``LEAST_EDITED`` are linked with equal lines only. Lines are told apart by a 64-bit hash.
+Lines within so many edits of one another are linked: one for each ``PER_EDIT`` code points of the shorter line, up to
+``EDITS``. Of linked lines the first occurrence, by doc_id and place, stays. If a line is cut into one segment more than
+it has edits, a line within these edits has one of the segments unchanged, at a place that is off by little. So each
+line is put under its own segments and under the substrings of it that can be a segment of a line as long or a few
+edits shorter (the multi-match-aware places). Pairs under one key whose lengths and character counts allow it are
+verified by a banded bit-parallel edit distance. Keys of any number of lines are worked through by ``linking``, without
+all pairs and without a cap.
+
+All lines with a character that is not white space take part; those of less than ``PER_EDIT`` code points are linked
+with equal lines only. Blank lines are left alone. Keys and character counts are made once for each different line.
+Lines are told apart by a 64-bit hash.
 
 Defined results: null text counts as empty and stays as it is given; a text ends as its remaining lines joined by
 line feeds, and may become empty, but its row stays; null ids come last in the order; rows equal in id and text
@@ -24,8 +26,8 @@ from cohortflow.llm import words as W
 from cohortflow.llm.common import guarded, marked, only_marked, ship, slices, stored, text_of
 from cohortflow.llm.linking import by_block, linked
 
-EDITS = 2
-LEAST, LEAST_EDITED = 10, 30
+EDITS, PER_EDIT = 2, 10
+SOME = r"[^ \t\n\x0B\f\r]"
 #: Lines hashed at once: so many code points, or one line.
 TOGETHER = 1 << 20
 _BASE = 0x5851F42D4C957F2D
@@ -40,13 +42,22 @@ def segments(size, edits: int):
         yield i * short + extra * (extra > 0), short + (extra >= 0)
 
 
+def allowed(size, edits: int):
+    """The edits by which a line may differ from a longer one (a number, or an array of them)."""
+    import numpy as np
+
+    return np.minimum(edits, size // PER_EDIT)
+
+
 def places(size, edits: int):
     """For lines of these sizes: length of the partner, number of the segment, and start and length of the
     substring that could be that segment; with a mask of the lines that have it."""
-    for less in range(edits + 1):
-        for i, (start, width) in enumerate(segments(size - less, edits)):
-            for off in range(max(-i, less - (edits - i)), min(i, less + edits - i) + 1):
-                yield size - less, i, start + off, width, (start + off >= 0) & (start + off + width <= size)
+    for e in range(1, edits + 1):
+        for less in range(e + 1):
+            fits = allowed(size - less, edits) == e
+            for i, (start, width) in enumerate(segments(size - less, e)):
+                for off in range(max(-i, less - (e - i)), min(i, less + e - i) + 1):
+                    yield size - less, i, start + off, width, fits & (start + off >= 0) & (start + off + width <= size)
 
 
 def within(a: str, b: str, edits: int) -> bool:
@@ -133,74 +144,47 @@ def signature(lines: list[str]):
     return np.concatenate(out)
 
 
-def _ids(lines: list[str]):
-    import xxhash
+def _split(docs: DataFrame) -> DataFrame:
+    """doc_id, row (hash of the text), line (its number) and x of each line that is not blank."""
+    rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64(text_of()).alias("row"), F.posexplode(F.split(text_of(), "\n", -1)).alias("line", "x"))
+    return rows.where(F.col("x").rlike(SOME))
+
 
-    return [h - (1 << 64) if (h := xxhash.xxh3_64_intdigest(x.encode("utf-8", "surrogatepass"))) >= 1 << 63 else h for x in lines]
+def occurrences(docs: DataFrame) -> DataFrame:
+    """doc_id, row, line and id of each line that is not blank."""
+    return _split(docs).select("doc_id", "row", "line", F.xxhash64("x").alias("id"))
 
 
-def _lines(text: str) -> list[tuple[int, str]]:
-    return [(i, x) for i, x in enumerate(text.split("\n")) if len(x) >= LEAST]
+def different_lines(docs: DataFrame) -> DataFrame:
+    """id and x of each different line that may be linked with another one."""
+    return _split(docs).where(F.length("x") >= PER_EDIT).select(F.xxhash64("x").alias("id"), "x").distinct()
 
 
-def occurrences(docs: DataFrame) -> DataFrame:
-    """doc_id, row (hash of the text), line, id, n (code points) and s0, s1 (signature) of each line that is looked at."""
+def described(different: DataFrame, edits: int) -> DataFrame:
+    """id, n (code points), s0 and s1 (signature) and buckets of each line."""
 
     def found(batches):
         import numpy as np
         import pyarrow as pa
 
-        for batch in slices(batches):
-            of, at, texts = [], [], []
-            for k, text in enumerate(batch.column("text").to_pylist()):
-                for i, x in _lines(text):
-                    of.append(k)
-                    at.append(i)
-                    texts.append(x)
+        for batch in slices(batches, 5000):
+            texts = batch.column("x").to_pylist()
             signs = signature(texts)
+            bucket, of = keys(texts, np.arange(len(texts)), edits)
+            order = np.argsort(of, kind="stable")
+            ends = np.searchsorted(of[order], np.arange(len(texts) + 1))
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c).take(pa.array(of, pa.int64())) for c in ("doc_id", "row")), pa.array(at, pa.int32()), pa.array(_ids(texts), pa.int64()),
-                 pa.array(np.fromiter(map(len, texts), np.int32, len(texts))), pa.array(signs[:, 0]), pa.array(signs[:, 1])],
-                ["doc_id", "row", "line", "id", "n", "s0", "s1"])
-
-    return _input(docs).mapInArrow(found, "doc_id long, row long, line int, id long, n int, s0 long, s1 long")
+                [batch.column("id"), pa.array(np.fromiter(map(len, texts), np.int32, len(texts))), pa.array(signs[:, 0]), pa.array(signs[:, 1]),
+                 pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(bucket[order]))], ["id", "n", "s0", "s1", "buckets"])
 
+    return different.mapInArrow(found, "id long, n int, s0 long, s1 long, buckets array<long>")
 
-def _input(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long"), F.xxhash64(text_of()).alias("row"), text_of().alias("text"))
 
-
-def _keyed(docs: DataFrame, edits: int) -> DataFrame:
-    """bucket and id of the lines' substrings; a line that occurs again in a batch comes once."""
-
-    def found(batches):
-        import pyarrow as pa
-
-        for batch in slices(batches, 2000):
-            texts = list({x: None for t in batch.column("text").to_pylist() for _, x in _lines(t) if len(x) >= LEAST_EDITED})
-            b, i = keys(texts, _ids(texts), edits)
-            for low in range(0, max(1, len(b)), 1 << 18):
-                yield pa.RecordBatch.from_arrays([pa.array(b[low:low + (1 << 18)]), pa.array(i[low:low + (1 << 18)])], ["bucket", "id"])
-
-    return _input(docs).mapInArrow(found, "bucket long, id long")
-
-
-def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """id and line of the given ids (key)."""
-
-    def found(batches):
-        import pyarrow as pa
-
-        for batch in slices(batches, 2000):
-            texts = list({x: None for t in batch.column("text").to_pylist() for _, x in _lines(t) if len(x) >= LEAST_EDITED})
-            yield pa.RecordBatch.from_arrays([pa.array(_ids(texts), pa.int64()), pa.array(texts, pa.string())], ["id", "line"])
-
-    return only_marked(_input(docs).mapInArrow(found, "id long, line string"), "id", ids).join(ids.toDF("id"), "id").dropDuplicates(["id"])
-
-
-def near_lines(docs: DataFrame, seen: DataFrame, edits: int = EDITS) -> DataFrame:
-    """id and comp of the lines that may have a partner within the edits. ``seen`` are the occurrences."""
-    signs = stored(seen.where(F.col("n") >= LEAST_EDITED).groupBy("id").agg(*(F.min(c).alias(c) for c in ("n", "s0", "s1"))))
+def near_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
+    """id and comp of the lines that may have a partner within the edits."""
+    different = stored(different_lines(docs))
+    about = stored(described(different, edits))
+    signs = about.drop("buckets")
 
     def plausible(x, y):
         # each edit changes two counts by one at most; counts are modulo 256
@@ -209,26 +193,32 @@ def near_lines(docs: DataFrame, seen: DataFrame, edits: int = EDITS) -> DataFram
             for k in range(0, 64, 8):
                 d = F.abs(F.shiftrightunsigned(x(s), k).bitwiseAND(F.lit(255)) - F.shiftrightunsigned(y(s), k).bitwiseAND(F.lit(255)))
                 apart = apart + F.least(d, 256 - d)
-        return (F.abs(x("n") - y("n")) <= edits) & (apart <= 2 * edits)
+        most = F.least(F.lit(edits), F.floor(F.least(x("n"), y("n")) / PER_EDIT))
+        return (F.abs(x("n") - y("n")) <= most) & (apart <= 2 * most)
+
+    def texts(ids: DataFrame) -> DataFrame:
+        ids = stored(ids.distinct())
+        return stored(only_marked(different, "id", ids).join(ids.toDF("id"), "id").select("id", "x"))
 
     def linked_pairs(pairs: DataFrame) -> DataFrame:
         def verified(batches):
             import pyarrow as pa
 
             for batch in batches:
-                near = [within(x, y, edits) for x, y in zip(batch.column("line_a").to_pylist(), batch.column("line_b").to_pylist(), strict=True)]
+                near = [within(x, y, int(allowed(min(len(x), len(y)), edits)))
+                        for x, y in zip(batch.column("line_a").to_pylist(), batch.column("line_b").to_pylist(), strict=True)]
                 yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
 
-        texts = stored(_texts(docs, stored(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct())))
-        return (pairs.join(texts.toDF("a", "line_a"), "a").join(texts.toDF("b", "line_b"), "b")
+        lines = texts(pairs.select(F.explode(F.array("a", "b")).alias("key")))
+        return (pairs.join(lines.toDF("a", "line_a"), "a").join(lines.toDF("b", "line_b"), "b")
                 .select("a", "b", "line_a", "line_b").mapInArrow(verified, "a long, b long"))
 
     def linked_blocks(rows: DataFrame) -> DataFrame:
-        texts = stored(_texts(docs, stored(rows.select(F.col("id").alias("key")).distinct())))
-        return (rows.join(signs, "id").join(texts, "id").repartition("block").sortWithinPartitions("block")
+        lines = texts(rows.select(F.col("id").alias("key")))
+        return (rows.join(signs, "id").join(lines.withColumnRenamed("x", "line"), "id").repartition("block").sortWithinPartitions("block")
                 .mapInArrow(lambda batches: _block_links(batches, edits), "a long, b long"))
 
-    return linked(_keyed(docs, edits), signs, plausible, linked_pairs, linked_blocks)
+    return linked(about.select(F.explode("buckets").alias("bucket"), "id"), signs, plausible, linked_pairs, linked_blocks)
 
 
 def _block_links(batches, edits: int):
@@ -243,10 +233,11 @@ def _block_links(batches, edits: int):
         rows, out = np.flatnonzero(~stray), []
         for x in np.flatnonzero(stray):
             apart = counts[rows] - counts[x]
-            near = (comp[rows] != comp[x]) & (abs(n[rows] - n[x]) <= edits) & (np.minimum(apart, -apart).sum(axis=1, dtype=int) <= 2 * edits)
+            most = allowed(np.minimum(n[rows], n[x]), edits)
+            near = (comp[rows] != comp[x]) & (abs(n[rows] - n[x]) <= most) & (np.minimum(apart, -apart).sum(axis=1, dtype=int) <= 2 * most)
             joined = set()
-            for y in rows[near]:
-                if comp[y] not in joined and within(text[x], text[y], edits):
+            for y, e in zip(rows[near], most[near].tolist(), strict=True):
+                if comp[y] not in joined and within(text[x], text[y], e):
                     joined.add(comp[y])
                     out.append((min(ids[x], ids[y]), max(ids[x], ids[y])))
         yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.int64()), pa.array([b for _, b in out], pa.int64())], ["a", "b"])
@@ -255,7 +246,7 @@ def _block_links(batches, edits: int):
 def dropped_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     """doc_id, row and gone (numbers of the lines that go) of each document that loses lines."""
     seen = stored(occurrences(docs))
-    comp = near_lines(docs, seen, edits).toDF("id", "comp")
+    comp = near_lines(docs, edits)
     place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("line"))
     lines = stored(seen.join(comp, "id", "left").select("doc_id", "row", "line", F.coalesce("comp", "id").alias("comp")))
     several = stored(lines.groupBy("comp").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
