@@ -107,8 +107,9 @@ def exclude_like(df: DataFrame, patterns: Mapping[str, Sequence[str]], require_n
 
 
 def active_at(df: DataFrame, start_col: str, end_col: str, anchor) -> DataFrame:
-    """interval contains the anchor: ends on/after it and started before it."""
-    return df.where((F.col(end_col).cast("date") >= F.lit(anchor)) & (F.col(start_col).cast("date") < F.lit(anchor)))
+    """interval contains the anchor: ends on/after it and started before it. As with ids (F6), a date that
+    cannot be cast is NULL and does not fail the job; its row drops out."""
+    return df.where((F.col(end_col).try_cast("date") >= F.lit(anchor)) & (F.col(start_col).try_cast("date") < F.lit(anchor)))
 
 
 def lapsed(df: DataFrame, recency_col: str, min_days: int) -> DataFrame:

@@ -6,13 +6,16 @@ it with a left-semi join before any aggregation.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortflow import rules as R
 from cohortflow.functions.bands import adoption_label, clean_category, threshold_label
 from cohortflow.functions.keys import norm_key
 from cohortflow.operators import aggregates as A
+from cohortflow.operators import daybits as D
 from cohortflow.operators.filters import valid_trips
 from cohortflow.operators.joins import one_per_key, restrict_to
 from cohortflow.operators.scans import scan_window
@@ -59,6 +62,46 @@ def crossed_on(trips: DataFrame, first_orders: DataFrame, W: ObservationWindow,
                     F.when(F.col(other) == F.lit(W.anchor), F.col(other)).alias(other))
 
 
+SERVICES = {"ride_first_order_date": BASE_SERVICES, "food_first_order_date": A_SERVICES, "shop_first_order_date": B_SERVICES}
+
+
+def cohort_table(trips: DataFrame, first_orders: DataFrame, city: str = R.HOME_CITY) -> tuple[DataFrame, DataFrame]:
+    """What the cohorts of every anchor are made of: the first date of each service by customer (customers of the base
+    service), and the days with a valid trip as bitmaps. Both are one small row or a few for each customer, merge with
+    those of new days (least date, ``daybits.merged``), and hold no anchor."""
+    f = first_orders.where(F.col("city") == city).select(norm_key("userid").alias("customer_id"), "service", "first_order_date")
+    d = A.first_dates(f, key="customer_id", service_col="service", date_col="first_order_date", services=SERVICES)
+    t = valid_trips(trips).select(norm_key("customer_id").alias("customer_id"), "day")
+    return d.where(F.col("ride_first_order_date").isNotNull()), D.day_words(t, ["customer_id"], "day")
+
+
+def valid_at(words: DataFrame, anchors: DataFrame) -> DataFrame:
+    """customer_id and the columns of ``anchors`` (source_start, anchor, target_end) for each anchor in whose window the
+    customer has a valid trip. Anchors are a bounded list; each word of days meets those whose window it touches."""
+    every = anchors.select(F.collect_list(F.struct(*anchors.columns))).scalar()
+    w = words.withColumn("__all", every)
+    first = F.col(D.WORD) * 64
+    touched = F.filter("__all", lambda a: (F.unix_date(a["source_start"]) < first + 64) & (F.unix_date(a["anchor"]) > first))
+    rows = w.select("customer_id", D.WORD, D.BITS, F.explode(touched).alias("a")).select("customer_id", D.WORD, D.BITS, "a.*")
+    return D.within(rows, F.col("source_start"), F.col("anchor")).select("customer_id", *anchors.columns).distinct()
+
+
+def cohorts(first: DataFrame, words: DataFrame, anchors: DataFrame, labels=R.ADOPTION_LABELS) -> DataFrame:
+    """P5-P8 for all anchors: one row for each (anchor, customer of P5), with the adoption label (P5), the anchor stamp
+    (P8) and whether service A or B was first used on the anchor (P6, P7)."""
+    d = first.join(valid_at(words, anchors), "customer_id")
+    food, shop = F.col("food_first_order_date"), F.col("shop_first_order_date")
+    return d.select(F.col("anchor").alias("anchor_date"), "customer_id", "ride_first_order_date", "food_first_order_date", "shop_first_order_date",
+                    adoption_label("ride_first_order_date", "food_first_order_date", "shop_first_order_date", F.col("anchor"), F.col("target_end"), labels).alias("service"),
+                    F.coalesce(food == F.col("anchor"), F.lit(False)).alias("crossed_a"), F.coalesce(shop == F.col("anchor"), F.lit(False)).alias("crossed_b"))
+
+
+def anchor_windows(spark: SparkSession, windows: Sequence[ObservationWindow]) -> DataFrame:
+    """The windows as rows, built without a Python worker."""
+    rows = [F.struct(F.lit(w.source_start).alias("source_start"), F.lit(w.anchor).alias("anchor"), F.lit(w.target_end).alias("target_end")) for w in windows]
+    return spark.range(1).select(F.inline(F.array(*rows)))
+
+
 def stamp_anchor(base: DataFrame, W: ObservationWindow) -> DataFrame:
     """Cohort plus a literal anchor-date column."""
     return base.withColumn("anchor_date", F.lit(W.anchor))
@@ -68,8 +111,8 @@ def membership_status(base: DataFrame, subs: DataFrame, W: ObservationWindow, th
                       labels=R.MEMBERSHIP_STATUS_LABELS) -> DataFrame:
     """P10: A6 active days in the window, C12 Active/Inactive label (missing days = 0)."""
     s = scan_window(subs, "day", W.source_start, W.anchor).select(norm_key("customer_id").alias("customer_id"), "day")
-    # distinct days first: the rows of a hot customer are reduced before they meet in the semi-join
-    days = A.active_days(restrict_to(s.distinct(), base, "customer_id"), key="customer_id", day="day")
+    # days as bitmaps: a hot customer is a few words before its rows meet
+    days = D.count_days(D.day_words(s, ["customer_id"], "day"), ["customer_id"])
     out = base.select("customer_id").join(days, "customer_id", "left")
     label = threshold_label("active_days", threshold, labels[0], labels[1])
     return out.select("customer_id", label.alias("membership_status"))

@@ -118,7 +118,7 @@ def states(src: P.ReactivationSources, keys: KeySet, anchors: Sequence[dt.date],
 
 def memberships_at(subs: DataFrame, keys: KeySet, anchors: Sequence[dt.date]) -> DataFrame:
     """W1m + C11 + F7 for each anchor: the latest started subscription that is active then."""
-    s = P.typed_memberships(P.memberships(subs, keys), F.col("startedat").cast("date").alias("lo"), F.col("expiresat").cast("date").alias("hi"))
+    s = P.typed_memberships(P.memberships(subs, keys), F.col("startedat").try_cast("date").alias("lo"), F.col("expiresat").try_cast("date").alias("hi"))
     active = F.filter(F.array(*(F.lit(a) for a in anchors)), lambda a: (F.col("hi") >= a) & (F.col("lo") < a))
     s = s.select("customer_id", "day", "event_seq", "member_type", F.explode(active).alias("anchor"))
     latest = latest_by(s, ["customer_id", "anchor"], ["day", "event_seq"], ["member_type"])

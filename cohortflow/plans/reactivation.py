@@ -181,21 +181,23 @@ def value_columns(anchor) -> list[Column]:
     ]
 
 
-def value_features(spine: DataFrame, src: ReactivationSources, W: ObservationWindow, rides_since=None,
-                   restrict: KeySet | None = None) -> DataFrame:
-    """Cross-service value and recency features with the 0 / 365 defaults (M2, M3) on a spine.
+def value_tables(src: ReactivationSources, W: ObservationWindow, rides_since=None, restrict: KeySet | None = None) -> dict[str, DataFrame]:
+    """Value statistics of rides, food and shop and the residency, a row for each customer.
 
     With ``restrict`` the histories are cut to those customers at the scan, by the key set's bits, so other customers
-    do not reach the shuffle; the left joins with the spine then drop the few that the bits let through."""
+    do not reach the shuffle; the few that the bits let through go in the join with the spine."""
     trips, lines, order_level, people = src.trips, src.value_lines, src.order_level, src.customers
     if restrict is not None:
         trips, lines, order_level, people = (restrict.likely(x, k) for x, k in (
             (with_key(trips), "__key"), (lines, "customer_id"), (order_level, "customer_id"), (people, "customer_id")))
-    rides = ride_value(trips, W, rides_since)
-    food = second_service_value(lines, W)
-    shop = lapsed_service_value(order_level, W)
-    resident = residency(people)
-    j = assemble(spine, [rides, food, shop, resident], "customer_id")
+    return {"rides": ride_value(trips, W, rides_since), "food": second_service_value(lines, W), "shop": lapsed_service_value(order_level, W),
+            "resident": residency(people)}
+
+
+def value_features(spine: DataFrame, src: ReactivationSources, W: ObservationWindow, rides_since=None,
+                   restrict: KeySet | None = None) -> DataFrame:
+    """Cross-service value and recency features with the 0 / 365 defaults (M2, M3) on a spine."""
+    j = assemble(spine, list(value_tables(src, W, rides_since, restrict).values()), "customer_id")
     return j.select(*spine.columns, *value_columns(W.anchor), "is_resident")
 
 

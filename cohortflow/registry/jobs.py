@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from cohortflow import rules as R
 from cohortflow.params import TripThresholds
 from cohortflow.plans import crosssell as X
+from cohortflow.plans import feature_store as FS
 from cohortflow.plans import locations as L
 from cohortflow.plans import many_anchors as MA
 from cohortflow.plans import places as PL
@@ -14,6 +15,7 @@ from cohortflow.plans import postcross as PC
 from cohortflow.plans import reactivation as P
 from cohortflow.plans import trips as TR
 from cohortflow.registry import register
+from cohortflow.session import ensure_checkpoint_dir
 from cohortflow.sources import testbed as T
 from cohortflow.sources.testbed import Sources
 
@@ -51,6 +53,14 @@ def job_reactivation_features_many(spark, sf_dir):
                                     rides_since="1995-01-01")
 
 
+@register("job_reactivation_features_stored")
+def job_reactivation_features_stored(spark, sf_dir):
+    """P1 from feature tables in buckets: the joins shuffle nothing."""
+    store = FS.FeatureStore(spark, ensure_checkpoint_dir(spark), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    FS.store_reactivation(store, _react(spark, sf_dir), T.ANCHOR_DAY_W, rides_since="1995-01-01")
+    return FS.reactivation_from(store, T.ANCHOR_DAY_W)
+
+
 # ---- cross-sell family -------------------------------------------------------------------
 
 TRIP_THRESHOLDS = TripThresholds(fav_cct_min_trip_cnt=3, fav_commute_time_min_trip_cnt=2, fav_payment_min_trip_cnt=3,
@@ -90,6 +100,13 @@ def job_base_stamped(spark, sf_dir):
     return X.stamp_anchor(cohort(spark, sf_dir), T.CROSS_SELL_W)
 
 
+@register("job_cohorts_many")
+def job_cohorts_many(spark, sf_dir):
+    """P5-P8 for several anchors from one table of first dates and day bitmaps."""
+    s = Sources(spark, sf_dir)
+    return X.cohorts(*X.cohort_table(s.trips, s.first_orders), X.anchor_windows(spark, T.COHORT_WINDOWS))
+
+
 @register("job_trip_features")
 def job_trip_features(spark, sf_dir):
     s = Sources(spark, sf_dir)

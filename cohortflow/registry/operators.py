@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
+
 from pyspark.sql import functions as F
 
 from cohortflow import rules as R
@@ -10,6 +13,7 @@ from cohortflow.functions import geo as G
 from cohortflow.functions import measures as M
 from cohortflow.functions.keys import norm_key
 from cohortflow.operators import aggregates as A
+from cohortflow.operators import daybits as D
 from cohortflow.operators import filters as FL
 from cohortflow.operators import joins as J
 from cohortflow.operators import scans as S
@@ -22,7 +26,10 @@ from cohortflow.plans import reactivation as P
 from cohortflow.plans import status as ST
 from cohortflow.registry import register
 from cohortflow.registry.jobs import TRIP_THRESHOLDS, cohort
+from cohortflow.session import ensure_checkpoint_dir
 from cohortflow.sources import testbed as T
+from cohortflow.sources.rejects import rejected_ids
+from cohortflow.sources.sinks import write_days
 from cohortflow.sources.testbed import Sources
 
 CW, RW, AW, EW = T.CROSS_SELL_W, T.REACTIVATION_W, T.ANCHOR_DAY_W, T.EVENTS_W
@@ -89,6 +96,27 @@ def exact_snapshot(spark, d):
     return s.select("customer_id", "monthly_status", "all_time_tx", "last_tx_date", "day")
 
 
+def by_day(spark, d, name):
+    """A binding laid out by day in the shared folder, as the upstream tables are."""
+    path = f"{ensure_checkpoint_dir(spark)}/by-day-{name}-{uuid.uuid4().hex}"
+    df = getattr(Sources(spark, d), name)
+    write_days(df, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@register("latest_snapshot_by_day")
+def latest_snapshot_by_day(spark, d):
+    """S3 over a table laid out by day: one folder is read."""
+    s = S.latest_snapshot(by_day(spark, d, "platform_status"), "day", EW.anchor, 3)
+    return s.select("customer_id", "monthly_status", "all_time_tx", "last_tx_date", "day")
+
+
+@register("scan_window_by_day")
+def scan_window_by_day(spark, d):
+    """S1 over a table laid out by day."""
+    return S.scan_window(by_day(spark, d, "trips"), "day", CW.source_start, CW.anchor).select("trip_id", "customer_id", "day")
+
+
 # ---- 2.3 filters -----------------------------------------------------------------------------
 
 @register("filter_valid_trips")
@@ -130,6 +158,14 @@ def norm_key_q(spark, d):
     return a.unionByName(b).distinct()
 
 
+@register("norm_key_rejects")
+def norm_key_rejects(spark, d):
+    """F6 with its rejects counted: ids as text, some with a prefix that is not taken off."""
+    s = Sources(spark, d)
+    return rejected_ids({"subscription_events": (s.subscription_events, "userid", 5), "profile": (s.profile, "customer_id", 0),
+                         "subscription_events, prefix left on": (s.subscription_events, "userid", 0), "trips": (s.trips, "captain_id", 0)})
+
+
 @register("filter_active_at")
 def filter_active_at(spark, d):
     s = FL.active_at(Sources(spark, d).subscription_events, "startedat", "expiresat", AW.anchor)
@@ -277,6 +313,25 @@ def agg_active_days(spark, d):
     return A.active_days(a.select(norm_key("customer_id").alias("customer_id"), "day"), key="customer_id", day="day")
 
 
+@register("agg_active_days_merged")
+def agg_active_days_merged(spark, d):
+    """A6 as bitmaps: the words of two overlapping periods, merged, count each day once."""
+    a = Sources(spark, d).active_subs.select(norm_key("customer_id").alias("customer_id"), "day")
+    mid = EW.source_start + (EW.anchor - EW.source_start) // 2
+    early = D.day_words(S.scan_window(a, "day", EW.source_start, mid + dt.timedelta(days=2)), ["customer_id"], "day")
+    late = D.within(D.day_words(a, ["customer_id"], "day"), mid, EW.anchor)
+    return D.count_days(D.merged(early.unionByName(late), ["customer_id"]), ["customer_id"])
+
+
+@register("agg_active_days_anchors")
+def agg_active_days_anchors(spark, d):
+    """A3 / A6 for many anchors: the active days in the ten days before each anchor."""
+    words = D.day_words(Sources(spark, d).active_subs.select(norm_key("customer_id").alias("customer_id"), "day"), ["customer_id"], "day")
+    anchors = words.select("customer_id").distinct().select(
+        "customer_id", F.explode(F.array(*(F.lit(EW.source_start + dt.timedelta(days=k)) for k in (5, 12, 20)))).alias("anchor"))
+    return D.active_at_anchors(words, "customer_id", anchors, 10)
+
+
 def _window_trips(spark, d):
     t = FL.valid_trips(S.scan_window(Sources(spark, d).trips, "day", CW.source_start, CW.anchor))
     return t.select(norm_key("customer_id").alias("customer_id"), "booking_id", F.lower("cct").alias("cct"),

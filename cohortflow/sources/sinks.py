@@ -25,3 +25,19 @@ def write_partitioned(df: DataFrame, path: str, partitions: Mapping[str, object]
 def write_by(df: DataFrame, path: str, *keys: str) -> None:
     """Write Parquet partitioned by columns of ``df``; only the partitions that it has rows of are replaced."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
+
+
+def write_days(df: DataFrame, path: str, day: str = "day") -> None:
+    """Lay a table out by day, as the windowed scans (S1-S4) read it. Rows are dealt out by day before the write, so a
+    day is a few files and not one for each task; AQE splits a large day over several."""
+    write_by(df.hint("rebalance", day), path, day)
+
+
+def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str | None = None) -> DataFrame:
+    """Store a feature table in buckets by its key, sorted within them, and read it back.
+
+    Tables of one key and one number of buckets join without a shuffle or sort (J2): see ``plans.feature_store``. The
+    rows are dealt out by the key first, so each bucket is one file and not one for each task."""
+    w = df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+    (w.option("path", path) if path else w).format("parquet").saveAsTable(table)
+    return df.sparkSession.table(table)

@@ -40,6 +40,8 @@ ANCHOR_DAY_W = ObservationWindow.of("1997-01-01", "2000-01-21", "2000-04-22", hi
                                     end_date="2000-04-21")
 ANCHOR_DAYS = [as_date(d) for d in ("1999-05-12", "1999-05-13", "2000-01-21", "2000-06-26", "2001-09-17")]  # outcomes overlap, lie apart and run out
 CROSS_SELL_W = ObservationWindow.of("1995-01-01", "1996-01-01", "1997-01-01")
+COHORT_WINDOWS = [ObservationWindow.of(*w) for w in (("1995-01-01", "1996-01-01", "1997-01-01"), ("1995-03-01", "1996-03-01", "1996-09-01"),
+                                                     ("1996-01-01", "1996-02-01", "1996-03-01"), ("1998-06-15", "1999-01-01", "1999-01-02"))]
 EVENTS_W = ObservationWindow.of("2024-01-01", "2024-01-21", "2024-01-31")
 
 STEP_2_12 = 2.0 ** -12  # grid step of saved places / bookings, exact in binary

@@ -174,4 +174,5 @@ SQL = {
     "job_reactivation_features_blended": reactivation_features(outcome_cities="1, 2", with_city=False,
                                                                with_blended=True),
     "job_reactivation_features_many": many_anchors(),
+    "job_reactivation_features_stored": reactivation_features(),
 }
