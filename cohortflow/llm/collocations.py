@@ -204,6 +204,38 @@ class Held:
         self.parts, self.size = [], 0
 
 
+class Phrases:
+    """Counts of one language's phrases with their texts, added up before they are sent on."""
+
+    def __init__(self, lang: str):
+        self.lang, self.parts, self.size, self.words = lang, [], 0, 0
+
+    def add(self, g: Grams, ids, at):
+        import numpy as np
+
+        at, f = g.counted(ids, at)
+        self.parts.append((ids[at], g.sums[1][at], np.full(len(at), g.n, np.int32), f, g.phrases(at)))
+        self.size += len(at)
+
+    def rest(self):
+        import numpy as np
+        import pyarrow as pa
+
+        parts, text = [p[:4] for p in self.parts], [p[4] for p in self.parts]
+        if self.words:  # as a phrase of no word
+            parts.append((np.zeros(1, np.uint64), np.zeros(1, np.uint64), np.zeros(1, np.int32), np.array([self.words])))
+            text.append(pa.array([""]))
+        if parts:
+            id_, other, n, f = (np.concatenate(x) for x in zip(*parts, strict=True))
+            order = np.lexsort((n, other, id_))
+            k = [x[order] for x in (id_, other, n)]
+            first = np.flatnonzero(np.concatenate([[True], np.any([x[1:] != x[:-1] for x in k], axis=0)]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([self.lang] * len(first), pa.string()), pa.concat_arrays(text).take(pa.array(order[first])), pa.array(n[order][first]),
+                 pa.array(np.add.reduceat(f[order], first).astype(np.int64))], ["lang", "phrase", "n", "f"])
+        self.parts, self.size, self.words = [], 0, 0
+
+
 NAMES = "id long, n byte, f long"
 
 
@@ -283,25 +315,26 @@ def by_words(docs: DataFrame, names, least: int = LEAST) -> DataFrame:
 
     def counts(batches):
         import numpy as np
-        import pyarrow as pa
 
-        row = lambda lang, phrase, n, f: pa.RecordBatch.from_arrays(
-            [pa.array([lang] * len(f), pa.string()), phrase, pa.array(np.full(len(f), n, np.int32)), pa.array(f, pa.int64())], ["lang", "phrase", "n", "f"])
-        words: dict[str, int] = {}
+        held: dict[str, Phrases] = {}
         for lang, stretch, own in _by_language(batches):
             g = Grams(stretch, own, _seed(lang))
-            if g.count:
-                words[lang] = words.get(lang, 0) + g.own
+            if not g.count:
+                continue
+            of = held.setdefault(lang, Phrases(lang))
+            of.words += g.own
             for n in range(1, min(LONGEST, g.count) + 1):
                 if n > 1:
                     g.longer()
                 ids = g.ids()
                 at = np.flatnonzero(g.valid() & _has(table.value, ids))
                 if len(at):
-                    at, f = g.counted(ids, at)
-                    yield row(lang, g.phrases(at), n, f)
-        for lang, n in words.items():
-            yield row(lang, pa.array([""]), 0, [n])
+                    of.add(g, ids, at)
+            if sum(p.size for p in held.values()) >= HELD // 4:
+                for p in held.values():
+                    yield from p.rest()
+        for p in held.values():
+            yield from p.rest()
 
     return (_input(docs).mapInArrow(counts, "lang string, phrase string, n int, f long")
             .groupBy("lang", "phrase", "n").agg(F.sum("f").alias("f")).where((F.col("f") >= least) | (F.col("n") == 0)))
