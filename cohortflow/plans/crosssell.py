@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortflow import rules as R
@@ -75,33 +75,27 @@ def cohort_table(trips: DataFrame, first_orders: DataFrame, city: str = R.HOME_C
     return d.where(F.col("ride_first_order_date").isNotNull()), D.day_words(t, ["customer_id"], "day")
 
 
-def valid_at(words: DataFrame, anchors: DataFrame) -> DataFrame:
-    """customer_id and the columns of ``anchors`` (source_start, anchor, target_end) for each anchor in whose window the
-    customer has a valid trip. Anchors are a bounded list; each word of days meets those whose window it touches."""
-    every = anchors.select(F.collect_list(F.struct(*anchors.columns))).scalar()
-    w = words.withColumn("__all", every)
+def valid_at(words: DataFrame, windows: Sequence[ObservationWindow]) -> DataFrame:
+    """customer_id, source_start, anchor and target_end for each window in which the customer has a valid trip before
+    the anchor. The windows are a literal in the plan; each word of days meets those that touch it."""
+    every = F.array(*(F.struct(F.lit(w.source_start).alias("source_start"), F.lit(w.anchor).alias("anchor"), F.lit(w.target_end).alias("target_end"))
+                      for w in windows))
     first = F.col(D.WORD) * 64
-    touched = F.filter("__all", lambda a: (F.unix_date(a["source_start"]) < first + 64) & (F.unix_date(a["anchor"]) > first))
-    rows = w.select("customer_id", D.WORD, D.BITS, F.explode(touched).alias("a")).select("customer_id", D.WORD, D.BITS, "a.*")
-    return D.within(rows, F.col("source_start"), F.col("anchor")).select("customer_id", *anchors.columns).distinct()
+    touched = F.filter(every, lambda a: (F.unix_date(a["source_start"]) < first + 64) & (F.unix_date(a["anchor"]) > first))
+    rows = words.select("customer_id", D.WORD, D.BITS, F.explode(touched).alias("a")).select("customer_id", D.WORD, D.BITS, "a.*")
+    return D.within(rows, F.col("source_start"), F.col("anchor")).select("customer_id", "source_start", "anchor", "target_end").distinct()
 
 
-def cohorts(first: DataFrame, words: DataFrame, anchors: DataFrame, labels=R.ADOPTION_LABELS) -> DataFrame:
+def cohorts(first: DataFrame, words: DataFrame, windows: Sequence[ObservationWindow], labels=R.ADOPTION_LABELS) -> DataFrame:
     """P5-P8 for all anchors: one row for each (anchor, customer of P5), with the adoption label (P5), the anchor stamp
     (P8) and whether service A or B was first used on the anchor (P6, P7)."""
-    d = first.join(valid_at(words, anchors), "customer_id")
+    d = first.join(valid_at(words, windows), "customer_id")
     food, shop = F.col("food_first_order_date"), F.col("shop_first_order_date")
     return d.select(F.col("anchor").alias("anchor_date"), "customer_id", "ride_first_order_date", "food_first_order_date", "shop_first_order_date",
                     adoption_label("ride_first_order_date", "food_first_order_date", "shop_first_order_date", F.col("anchor"), F.col("target_end"), labels).alias("service"),
                     F.coalesce(food == F.col("anchor"), F.lit(False)).alias("crossed_a"), F.coalesce(shop == F.col("anchor"), F.lit(False)).alias("crossed_b"))
 
 
-def anchor_windows(spark: SparkSession, windows: Sequence[ObservationWindow]) -> DataFrame:
-    """The windows as rows, built without a Python worker."""
-    rows = [F.struct(F.lit(w.source_start).alias("source_start"), F.lit(w.anchor).alias("anchor"), F.lit(w.target_end).alias("target_end")) for w in windows]
-    return spark.range(1).select(F.inline(F.array(*rows)))
-
-
 def stamp_anchor(base: DataFrame, W: ObservationWindow) -> DataFrame:
     """Cohort plus a literal anchor-date column."""
     return base.withColumn("anchor_date", F.lit(W.anchor))

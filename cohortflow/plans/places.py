@@ -12,9 +12,11 @@ from cohortflow.functions.keys import norm_key
 from cohortflow.operators.aggregates import point_counts
 from cohortflow.operators.filters import completed_bookings, exclude_like
 from cohortflow.operators.joins import near_join, restrict_to
+from cohortflow.operators.keysets import KeySet
 from cohortflow.operators.scans import scan_window
 from cohortflow.operators.windows import latest_by, share_of_total, top1_by_count
 from cohortflow.params import ObservationWindow
+from cohortflow.session import cut_lineage
 
 
 def completed_dropoffs(bookings: DataFrame, base: DataFrame, W: ObservationWindow) -> DataFrame:
@@ -31,17 +33,17 @@ def completed_dropoffs(bookings: DataFrame, base: DataFrame, W: ObservationWindo
 def saved_places(locations: DataFrame, coordinates: DataFrame, details: DataFrame, base: DataFrame) -> DataFrame:
     """Latest version of the place, its coordinates and its address details, inner-joined.
 
-    Each latest-version pick is a ``max_by`` aggregate (W1) with all value columns as tie. The
-    coordinate and detail tables are first cut to the cohort's location ids, so their version
-    aggregates only see the places that can match."""
+    Each latest-version pick is a ``max_by`` aggregate (W1) with all value columns as tie. The cohort's
+    places are materialised once: the coordinate and detail tables are cut to their ids at the scan, so the
+    version aggregates only see the places that can match."""
     loc = locations.select(norm_key("user_id").alias("sl_customer_id"), norm_key("id").alias("location_id"),
                            F.col("created_at").cast("timestamp_ntz").alias("created_at"),
                            F.col("last_updated").cast("timestamp_ntz").alias("last_updated"))
     loc = restrict_to(loc, base, "sl_customer_id", "customer_id")
-    ids = loc.select("location_id")
-    loc = latest_by(loc, ["sl_customer_id", "location_id"], ["last_updated", "created_at"])
+    loc = cut_lineage(latest_by(loc, ["sl_customer_id", "location_id"], ["last_updated", "created_at"]))
+    ids = KeySet(loc, "location_id")
     coord = coordinates.select(norm_key("location_bookmark_id").alias("location_id"), "last_updated", "lng_lat")
-    coord = restrict_to(coord, ids, "location_id")
+    coord = ids.likely(coord)
     coord = with_decoded_point(coord, "lng_lat", "sl_lat", "sl_lon").drop("lng_lat")
     coord = latest_by(coord, ["location_id"], ["last_updated", "sl_lat", "sl_lon"], ["sl_lat", "sl_lon"])
     det = details.select(norm_key("location_bookmark_id").alias("location_id"), "last_updated",
@@ -49,7 +51,7 @@ def saved_places(locations: DataFrame, coordinates: DataFrame, details: DataFram
                          F.col("address_type").cast("string").alias("address_type"),
                          F.col("building_type").cast("string").alias("building_type"),
                          F.col("place_name").cast("string").alias("place_name"))
-    det = latest_by(restrict_to(det, ids, "location_id"), ["location_id"],
+    det = latest_by(ids.likely(det), ["location_id"],
                     ["last_updated", "saved_name", "address_type", "building_type", "place_name"],
                     ["saved_name", "address_type", "building_type", "place_name"])
     return loc.join(coord, "location_id", "inner").join(det, "location_id", "inner")

@@ -1,11 +1,10 @@
 """Trip habit features (P9) in a single pass over the trips.
 
-Upstream computes nine CTEs that each re-read the trip set. Here one ``explode`` turns every
-trip into four (kind, value) rows - the whole trip, its product, its payment type and its
-hour bucket - and one ``groupBy(customer, kind, value)`` builds all counts and sums with a
-map-side partial aggregate. A second, small aggregate per customer pivots the counts into
-preferences (W4), shares (W5), the dominant hour bucket (A16) and the child-product share
-(A11). One scan, one wide shuffle.
+Upstream computes nine CTEs that each re-read the trip set. Here one ``groupBy(customer, product,
+payment type, hour bucket)`` builds a cube of counts and sums with a map-side partial aggregate, so
+a trip is one row in one wide shuffle. A second aggregate brings the cells of a customer together,
+at most one for each product, payment type and bucket, and the margins are read from them:
+preferences (W4), shares (W5), the dominant hour bucket (A16) and the child-product share (A11).
 """
 
 from __future__ import annotations
@@ -44,6 +43,19 @@ def prepared_trips(trips: DataFrame, base: DataFrame, credits: DataFrame, W: Obs
     )
 
 
+def _rides(cells: Column) -> Column:
+    return F.aggregate(cells, F.lit(0).cast("long"), lambda total, c: total + c["n"])
+
+
+def _in_bucket(bucket: str):
+    return lambda c: c["time_of_day"] == bucket
+
+
+def _first(counts: Column) -> Column:
+    """The value with the most rides (ties: the smallest) and their number."""
+    return F.transform(F.slice(counts, 1, 1), lambda x: F.struct(x["v"].alias("v"), (-x["nn"]).alias("n")))[0]
+
+
 def _decay(tau: float, legacy: bool) -> Column:
     if not legacy:
         return decay_weight("days_from_anchor", tau)
@@ -59,47 +71,26 @@ def trip_features(trips: DataFrame, base: DataFrame, credits: DataFrame, W: Obse
     upstream dialect's decimal arithmetic instead (T3): ``count * 1.0 / total`` and
     ``-days / 90.0`` carry one decimal place (rounded half up), so shares move in 10 % steps."""
     t = prepared_trips(trips, base, credits, W, th)
-    is_all = F.col("kind") == "all"
-
-    def on_all(c: Column) -> Column:
-        return F.when(is_all, c)
-
-    long = t.select("*", F.explode(F.array(
-        F.struct(F.lit("all").alias("kind"), F.lit(None).cast("string").alias("value")),
-        F.struct(F.lit("cct").alias("kind"), F.col("cct").alias("value")),
-        F.struct(F.lit("pay").alias("kind"), F.col("payment_type").alias("value")),
-        F.struct(F.lit("tod").alias("kind"), F.col("time_of_day").alias("value")),
-    )).alias("kv")).select("*", "kv.kind", "kv.value").drop("kv")
     promo = (F.col("booking_promo_code").isNotNull() & (F.col("booking_promo_code") != "")).cast("long")
-    per_value = long.groupBy("customer_id", "kind", "value").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(on_all(promo)).alias("promo_n"),
-        F.avg(on_all(F.col("distance_travelled"))).alias("avg_d"),
-        F.avg(on_all(F.col("duration_time"))).alias("avg_t"),
-        F.avg(on_all(F.col("revenue"))).alias("avg_r"),
-        F.sum(on_all(F.col("revenue"))).alias("gmv"),
-        F.max(on_all(F.col("days_from_anchor"))).alias("age_max"),
-        F.min(on_all(F.col("days_from_anchor"))).alias("age_min"),
-        *[F.sum(on_all(_decay(tau, legacy_decimal_scale))).alias(f"w{tau}") for tau in R.DECAY_TAUS],
-    )
-
-    def of_kind(kind: str, c: Column) -> Column:
-        return F.when(F.col("kind") == kind, c)
-
-    def top(kind: str) -> Column:
-        return F.min_by(F.struct(F.col("value").alias("v"), F.col("n").alias("n")),
-                        of_kind(kind, F.struct((-F.col("n")).alias("nn"), F.col("value").alias("t"))))
-
-    total = F.max(of_kind("all", F.col("n")))
-    cust = per_value.groupBy("customer_id").agg(
-        total.alias("total_rides"),
-        top("cct").alias("top_cct"),
-        top("pay").alias("top_pay"),
-        *[F.max(of_kind("tod", F.when(F.col("value") == b, F.col("n")))).alias(f"tod_{b}") for b in R.TIME_OF_DAY_ORDER],
-        F.max(of_kind("cct", F.when(F.col("value").isin(R.CHILD_PRODUCTS), F.col("n")))).alias("child_n"),
-        *[F.max(of_kind("all", F.col(c))).alias(c) for c in
-          ["promo_n", "avg_d", "avg_t", "avg_r", "gmv", "age_max", "age_min"] + [f"w{tau}" for tau in R.DECAY_TAUS]],
-    )
+    measures = {"d": "distance_travelled", "t": "duration_time", "r": "revenue"}
+    cube = t.groupBy("customer_id", "cct", "payment_type", "time_of_day").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(promo).alias("promo_n"),
+        *(F.sum(c).alias(f"sum_{m}") for m, c in measures.items()), *(F.count(c).alias(f"n_{m}") for m, c in measures.items()),
+        F.max("days_from_anchor").alias("age_max"), F.min("days_from_anchor").alias("age_min"),
+        *(F.sum(_decay(tau, legacy_decimal_scale)).alias(f"w{tau}") for tau in R.DECAY_TAUS))
+    mean = lambda m: F.sum(f"sum_{m}") / F.sum(f"n_{m}")
+    cust = cube.groupBy("customer_id").agg(
+        F.sum("n").alias("total_rides"), F.sum("promo_n").alias("promo_n"), mean("d").alias("avg_d"), mean("t").alias("avg_t"),
+        mean("r").cast("decimal(38,6)").alias("avg_r"), F.sum("sum_r").alias("gmv"),
+        F.max("age_max").alias("age_max"), F.min("age_min").alias("age_min"), *(F.sum(f"w{tau}").alias(f"w{tau}") for tau in R.DECAY_TAUS),
+        F.collect_list(F.struct("cct", "payment_type", "time_of_day", "n")).alias("cells"))
+    counts = lambda field: F.sort_array(F.transform(
+        F.array_distinct(F.transform("cells", lambda c: c[field])),
+        lambda v: F.struct((-_rides(F.filter("cells", lambda c: c[field].eqNullSafe(v)))).alias("nn"), v.alias("v"))))
+    cust = cust.withColumns({"top_cct": _first(counts("cct")), "top_pay": _first(counts("payment_type"))})
+    of = lambda cond: F.when(F.exists("cells", cond), _rides(F.filter("cells", cond)))
+    best_child = F.array_max(F.transform(F.array(*(F.lit(p) for p in R.CHILD_PRODUCTS)), lambda p: of(lambda c: c["cct"] == p)))
+    cust = cust.withColumns({**{f"tod_{b}": of(_in_bucket(b)) for b in R.TIME_OF_DAY_ORDER}, "child_n": best_child})
 
     def pct(n: Column) -> Column:
         share = n.cast("double") * F.lit(1.0) / F.col("total_rides").cast("double")

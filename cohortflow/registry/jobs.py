@@ -15,7 +15,7 @@ from cohortflow.plans import postcross as PC
 from cohortflow.plans import reactivation as P
 from cohortflow.plans import trips as TR
 from cohortflow.registry import register
-from cohortflow.session import ensure_checkpoint_dir
+from cohortflow.session import cut_lineage, ensure_checkpoint_dir
 from cohortflow.sources import testbed as T
 from cohortflow.sources.testbed import Sources
 
@@ -104,7 +104,7 @@ def job_base_stamped(spark, sf_dir):
 def job_cohorts_many(spark, sf_dir):
     """P5-P8 for several anchors from one table of first dates and day bitmaps."""
     s = Sources(spark, sf_dir)
-    return X.cohorts(*X.cohort_table(s.trips, s.first_orders), X.anchor_windows(spark, T.COHORT_WINDOWS))
+    return X.cohorts(*X.cohort_table(s.trips, s.first_orders), T.COHORT_WINDOWS)
 
 
 @register("job_trip_features")
@@ -123,7 +123,7 @@ def job_membership_status(spark, sf_dir):
 def job_commute_place(spark, sf_dir):
     s = Sources(spark, sf_dir)
     return PL.commute_place(s.bookings, s.place_locations, s.place_coordinates, s.place_details,
-                            cohort(spark, sf_dir), T.EVENTS_W, PLACE_MIN_COUNT)
+                            cut_lineage(cohort(spark, sf_dir)), T.EVENTS_W, PLACE_MIN_COUNT)
 
 
 @register("job_last_known_features")
@@ -154,7 +154,7 @@ def job_dominant_cell(spark, sf_dir):
 
 
 def _area_frame(spark, sf_dir, line="food"):
-    trips, base = Sources(spark, sf_dir).trips, cohort(spark, sf_dir)
+    trips, base = Sources(spark, sf_dir).trips, cut_lineage(cohort(spark, sf_dir))
     drop = L.dominant_cell(L.point_counts(trips, base, T.CROSS_SELL_W, "dropoff"))
     pick = L.dominant_cell(L.point_counts(trips, base, T.CROSS_SELL_W, "pickup"))
     return L.area_frame(base, drop, pick, f"{line}_first_order_date")

@@ -114,7 +114,7 @@ def latest_snapshot_by_day(spark, d):
 @register("scan_window_by_day")
 def scan_window_by_day(spark, d):
     """S1 over a table laid out by day."""
-    return S.scan_window(by_day(spark, d, "trips"), "day", CW.source_start, CW.anchor).select("trip_id", "customer_id", "day")
+    return S.scan_window(by_day(spark, d, "bookings"), "day", EW.source_start, EW.anchor).select("booking_id", "customer_id", "day")
 
 
 # ---- 2.3 filters -----------------------------------------------------------------------------

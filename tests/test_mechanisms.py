@@ -193,7 +193,7 @@ def test_stored_features_join_without_an_exchange(spark):
 
 def test_cohorts_of_each_anchor_equal_the_single_jobs(spark):
     s, windows = Sources(spark, SF01), T.COHORT_WINDOWS
-    many = X.cohorts(*X.cohort_table(s.trips, s.first_orders), X.anchor_windows(spark, windows)).cache()
+    many = X.cohorts(*X.cohort_table(s.trips, s.first_orders), windows).cache()
     for W in windows:
         of = many.where(F.col("anchor_date") == W.anchor)
         ref = X.stamp_anchor(X.adoption_cohort(s.trips, s.first_orders, W), W)
@@ -212,7 +212,7 @@ def test_cohort_states_of_new_days_merge(spark):
     cut = dt.date(1995, 6, 1)
     parts = [X.cohort_table(s.trips.where(c), s.first_orders) for c in (F.col("day") < cut, F.col("day") >= cut)]
     words = D.merged(parts[0][1].unionByName(parts[1][1]), ["customer_id"])
-    a = X.anchor_windows(spark, windows)
+    a = windows
     assert sorted(rows(X.cohorts(parts[0][0], words, a)), key=str) == sorted(rows(X.cohorts(*X.cohort_table(s.trips, s.first_orders), a)), key=str)
 
 
