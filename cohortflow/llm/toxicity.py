@@ -24,7 +24,7 @@ from functools import cache
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortflow.llm.common import held_out, only_marked, ship, slices, stored, text_of
+from cohortflow.llm.common import held_out, only_marked, partitions, ship, slices, stored, text_of
 
 BUCKETS, SIZE = 1 << 18, 4
 RUNS = (3, 4, 5)
@@ -196,7 +196,8 @@ def learn(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL):
                                               pa.array([w for _, w in found], pa.list_(pa.float32()))], ["doc_id", "toxic", "buckets", "weights"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    texts = stored(sample.mapInArrow(described, f"doc_id {kind}, toxic int, buckets array<int>, weights array<float>"))
+    # few texts, but long work: dealt out to a fixed number of tasks, which are not put together again
+    texts = stored(sample.repartition(partitions(docs), "doc_id").mapInArrow(described, f"doc_id {kind}, toxic int, buckets array<int>, weights array<float>"))
     totals = texts.agg(*(F.coalesce(F.sum((F.col("toxic") == k).cast("long")), F.lit(0)) for k in (1, 0))).first()
     if not min(totals):
         return np.zeros(BUCKETS, np.float32), (40.0 if totals[0] else -40.0)
