@@ -61,7 +61,7 @@ def join_bridge(fact: DataFrame, bridge: DataFrame, dim: DataFrame, *, fact_key:
 
 def near_join(events: DataFrame, places: DataFrame, *, key: str, ev_lat: str, ev_lon: str, pl_lat: str,
               pl_lon: str, metres: float, radius_km: float = EARTH_RADIUS_KM, extra: Column | None = None,
-              how: str = "inner", place_key: str | None = None) -> DataFrame:
+              how: str = "inner", place_key: str | None = None, heavy_rows: int | None = None, salts: int = 64) -> DataFrame:
     """Same key, place within ``metres`` of the event (haversine), plus an ``extra`` condition.
 
     Made an equi-join on ``(key, lat band, lon cell)``: each place is written into the 3x3 grid
@@ -71,6 +71,11 @@ def near_join(events: DataFrame, places: DataFrame, *, key: str, ev_lat: str, ev
     around the antimeridian (cell index modulo the cells per band); bands touching a pole have
     one cell. So no match within ``metres`` is lost anywhere; the exact distance is the residual
     condition.
+
+    With ``heavy_rows`` the events of each (key, cell) are counted first. Those of cells with more are dealt out over
+    ``salts`` tasks by a hash of the row, and the places of these cells alone are replicated to all of them, so a key
+    and cell with a third of all events is no single task's work, whether or not AQE can split it. The heavy cells
+    are marked in a table of bounded size (``KeySet``), which both sides read: they agree on it by construction.
     """
     cell = math.degrees(metres / (1000.0 * radius_km)) * 1.05
 
@@ -103,12 +108,24 @@ def near_join(events: DataFrame, places: DataFrame, *, key: str, ev_lat: str, ev
         [F.col(c) for c in places.columns] + [F.col("__nb.__band").alias("__pband"), F.col("__nb.__cell").alias("__pcell")])
     e_band = F.floor(F.col(ev_lat) / F.lit(cell)).cast("long")
     e = events.withColumn("__eband", e_band).withColumn("__ecell", lon_cell(F.col(ev_lon), F.col("__eband")))
-    cond = ((e[key] == p[pk]) & (e["__eband"] == p["__pband"]) & (e["__ecell"] == p["__pcell"])
+    salted = F.lit(True)
+    if heavy_rows is not None:
+        from cohortflow.operators.keysets import KeySet
+
+        place = lambda k, band, c: F.xxhash64(F.col(k).cast("string"), F.col(band), F.col(c))
+        e, p = e.withColumn("__cell_key", place(key, "__eband", "__ecell")), p.withColumn("__cell_key", place(pk, "__pband", "__pcell"))
+        heavy = KeySet(e.groupBy("__cell_key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > heavy_rows), "__cell_key")
+        row = F.pmod(F.xxhash64(*(F.col(c) for c in events.columns), F.monotonically_increasing_id()), F.lit(salts)).cast("int")
+        e = heavy.flagged(e, "__heavy").withColumn("__esalt", F.when(F.col("__heavy"), row).otherwise(0)).drop("__heavy", "__cell_key")
+        every = F.when(F.col("__heavy"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+        p = heavy.flagged(p, "__heavy").withColumn("__psalt", F.explode(every)).drop("__heavy", "__cell_key")
+        salted = e["__esalt"] == p["__psalt"]
+    cond = (salted & (e[key] == p[pk]) & (e["__eband"] == p["__pband"]) & (e["__ecell"] == p["__pcell"])
             & (haversine_m(e[ev_lat], e[ev_lon], p[pl_lat], p[pl_lon], radius_km) < F.lit(metres)))
     if extra is not None:
         cond = cond & extra
     out = e.join(p, cond, how)
-    return out.drop("__eband", "__ecell", "__pband", "__pcell")
+    return out.drop("__eband", "__ecell", "__pband", "__pcell", "__esalt", "__psalt")
 
 
 def one_per_key(df: DataFrame, key: str) -> DataFrame:

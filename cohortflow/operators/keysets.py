@@ -14,8 +14,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortflow.operators.joins import restrict_to
-
 WORDS = 1 << 18
 
 
@@ -46,6 +44,13 @@ class KeySet:
         return (df.where(F.col(key or self.key).isNotNull()).withColumn("__word", word).join(F.broadcast(self.marks()), "__word", "inner")
                 .where(F.col("__bits").bitwiseAND(bit) != 0).select(*(df[c] for c in df.columns)))
 
+    def flagged(self, df: DataFrame, flag: str, key: str | None = None) -> DataFrame:
+        """``df`` with a boolean: true for all rows whose key is in the set, and for a few others."""
+        word, bit = _place(F.col(key or self.key).cast(self.keys.schema[self.key].dataType), self.words)
+        found = F.coalesce((F.col("__bits").bitwiseAND(bit) != 0) & F.col(key or self.key).isNotNull(), F.lit(False))
+        return df.withColumn("__word", word).join(F.broadcast(self.marks()), "__word", "left").select(*(df[c] for c in df.columns), found.alias(flag))
+
     def exactly(self, df: DataFrame, key: str | None = None) -> DataFrame:
         """The rows of ``df`` whose key is in the set (for aggregates: one row for each key)."""
-        return restrict_to(df, self.keys, key or self.key, self.key)
+        k = self.keys.select(F.col(self.key).alias("__k"))
+        return df.join(k, df[key or self.key] == k["__k"], "left_semi")

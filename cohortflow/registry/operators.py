@@ -17,6 +17,7 @@ from cohortflow.operators import daybits as D
 from cohortflow.operators import filters as FL
 from cohortflow.operators import joins as J
 from cohortflow.operators import scans as S
+from cohortflow.operators import versions as V
 from cohortflow.operators import windows as WN
 from cohortflow.plans import crosssell as X
 from cohortflow.plans import locations as L
@@ -26,7 +27,7 @@ from cohortflow.plans import reactivation as P
 from cohortflow.plans import status as ST
 from cohortflow.registry import register
 from cohortflow.registry.jobs import TRIP_THRESHOLDS, cohort
-from cohortflow.session import ensure_checkpoint_dir
+from cohortflow.session import cut_lineage, ensure_checkpoint_dir
 from cohortflow.sources import testbed as T
 from cohortflow.sources.rejects import rejected_ids
 from cohortflow.sources.sinks import write_days
@@ -249,6 +250,17 @@ def join_proximity_time(spark, d):
                     F.round(G.haversine_m("drop_off_latitude", "drop_off_longitude", "sl_lat", "sl_lon"), 3).alias("metres"))
 
 
+@register("join_proximity_salted")
+def join_proximity_salted(spark, d):
+    """J6 with the events of cells of more than ten spread over eight tasks."""
+    b = cut_lineage(PL.completed_dropoffs(Sources(spark, d).bookings, cohort(spark, d), EW))
+    j = J.near_join(b, _places(spark, d), key="customer_id", place_key="sl_customer_id", ev_lat="drop_off_latitude",
+                    ev_lon="drop_off_longitude", pl_lat="sl_lat", pl_lon="sl_lon", metres=R.PLACE_RADIUS_M,
+                    extra=F.col("pick_up_time") > F.col("created_at"), how="left", heavy_rows=10, salts=8)
+    return j.select("customer_id", "booking_id", "location_id",
+                    F.round(G.haversine_m("drop_off_latitude", "drop_off_longitude", "sl_lat", "sl_lon"), 3).alias("metres"))
+
+
 @register("join_bridge_tags")
 def join_bridge_tags(spark, d):
     s = Sources(spark, d)
@@ -438,6 +450,17 @@ def win_latest_row(spark, d):
                         ["day", "sex_prediction", "tourist_flag", "tourist_country_simcard"])
 
 
+@register("win_latest_merged")
+def win_latest_merged(spark, d):
+    """W1 kept up by merging: the log arrives in three pieces, the middle one last."""
+    demo = Sources(spark, d).demographics
+    path = f"{ensure_checkpoint_dir(spark)}/latest-{uuid.uuid4().hex}"
+    a, b = EW.source_start + dt.timedelta(days=7), EW.source_start + dt.timedelta(days=15)
+    for piece in (F.col("day") < a, F.col("day") >= b, (F.col("day") >= a) & (F.col("day") < b)):
+        table = V.merge_latest(path, demo.where(piece), ["customer_id"], ["day", "updated_at", "event_id"], V.key_hash(["customer_id"], 4))
+    return table.select("customer_id", "day", "sex_prediction", "tourist_flag", "tourist_country_simcard")
+
+
 @register("win_latest_membership")
 def win_latest_membership(spark, d):
     return P.latest_membership(Sources(spark, d).subscription_events, RW)

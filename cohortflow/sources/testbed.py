@@ -193,10 +193,11 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 def credits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wallet credit rows per booking (duplicates per booking exist)."""
     li = read_table(spark, sf_dir, "lineitem")
-    return li.where(F.col("l_returnflag") != "N").select(
+    return li.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("booking_id"),
         F.col("l_shipdate").cast("date").alias("day"),
-        F.when(F.col("l_partkey") % 3 == 0, F.lit("Marketing Credits")).otherwise(F.lit("Refund")).alias("credit_title"),
+        F.when(F.col("l_returnflag") == "N", F.lit("Voucher"))
+         .when(F.col("l_partkey") % 3 == 0, F.lit("Marketing Credits")).otherwise(F.lit("Refund")).alias("credit_title"),
         F.when(F.col("l_suppkey") % 4 == 0, F.lit(CREDIT_TYPES[0]))
          .when(F.col("l_suppkey") % 4 == 1, F.lit(CREDIT_TYPES[1]))
          .when(F.col("l_suppkey") % 4 == 2, F.lit("cashback"))
@@ -207,7 +208,7 @@ def credits(spark: SparkSession, sf_dir: str) -> DataFrame:
 def first_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First-order-date rows per user and service (several rows per user; the job takes the min)."""
     p = read_table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_size")
-    j = _lines(spark, sf_dir).join(p, F.col("l_partkey") == F.col("p_partkey"), "inner").where(F.col("p_size") > 25)
+    j = _lines(spark, sf_dir).join(p, F.col("l_partkey") == F.col("p_partkey"), "inner")
     return j.select(
         F.col("o_custkey").cast("string").alias("userid"),
         F.trunc(F.col("o_orderdate").cast("date"), "month").alias("first_order_date"),
@@ -215,7 +216,7 @@ def first_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
          .when(F.col("p_type") == "SMALL", F.lit(R.B_SERVICES[0]))
          .when(F.col("p_type") == "LARGE", F.lit(R.BASE_SERVICES[1]))
          .otherwise(F.lit(R.BASE_SERVICES[0])).alias("service"),
-        F.when(F.col("l_suppkey") % 10 == 0, F.lit(OTHER_PLACE)).otherwise(F.lit(R.HOME_CITY)).alias("city"),
+        F.when((F.col("l_suppkey") % 10 == 0) | (F.col("p_size") <= 25), F.lit(OTHER_PLACE)).otherwise(F.lit(R.HOME_CITY)).alias("city"),
     )
 
 

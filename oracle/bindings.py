@@ -105,16 +105,16 @@ SELECT CAST(l.l_shipdate AS DATE) AS day, CAST(o.o_custkey AS VARCHAR) AS custom
 FROM {LINES} JOIN part p ON l.l_partkey = p.p_partkey""",
     "b_credits": f"""
 SELECT l_orderkey * 10 + l_linenumber AS booking_id, CAST(l_shipdate AS DATE) AS day,
-       CASE WHEN l_partkey % 3 = 0 THEN 'Marketing Credits' ELSE 'Refund' END AS credit_title,
+       CASE WHEN l_returnflag = 'N' THEN 'Voucher' WHEN l_partkey % 3 = 0 THEN 'Marketing Credits' ELSE 'Refund' END AS credit_title,
        CASE l_suppkey % 4 WHEN 0 THEN '{CREDIT_TYPES[0]}' WHEN 1 THEN '{CREDIT_TYPES[1]}' WHEN 2 THEN 'cashback'
             ELSE '{CREDIT_TYPES[2]}' END AS credit_type
-FROM lineitem WHERE l_returnflag <> 'N'""",
+FROM lineitem""",
     "b_first_orders": f"""
 SELECT CAST(o.o_custkey AS VARCHAR) AS userid, CAST(date_trunc('month', o.o_orderdate) AS DATE) AS first_order_date,
        CASE p.p_type WHEN 'PROMO' THEN '{R.A_SERVICES[0]}' WHEN 'SMALL' THEN '{R.B_SERVICES[0]}'
             WHEN 'LARGE' THEN '{R.BASE_SERVICES[1]}' ELSE '{R.BASE_SERVICES[0]}' END AS service,
-       CASE WHEN l.l_suppkey % 10 = 0 THEN '{OTHER_PLACE}' ELSE '{R.HOME_CITY}' END AS city
-FROM {LINES} JOIN part p ON l.l_partkey = p.p_partkey WHERE p.p_size > 25""",
+       CASE WHEN l.l_suppkey % 10 = 0 OR p.p_size <= 25 THEN '{OTHER_PLACE}' ELSE '{R.HOME_CITY}' END AS city
+FROM {LINES} JOIN part p ON l.l_partkey = p.p_partkey""",
     "b_subscription_events": """
 SELECT 'CPLS-' || CAST(o_custkey AS VARCHAR) AS userid,
        CASE o_orderpriority WHEN '1-URGENT' THEN 'Regular' WHEN '2-HIGH' THEN 'Free Trial'

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import glob
+import os
 import random
 import re
 import tempfile
@@ -11,7 +13,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortflow.operators import daybits as D
+from cohortflow.operators import joins as J
 from cohortflow.operators import scans as S
+from cohortflow.operators import versions as V
+from cohortflow.operators.windows import latest_by
 from cohortflow.plans import crosssell as X
 from cohortflow.plans import feature_store as FS
 from cohortflow.plans import reactivation as P
@@ -106,6 +111,57 @@ def test_dirty_dates_do_not_fail_the_job(spark):
     assert active_at(df, "a", "b", dt.date(2024, 2, 1)).count() == 1
 
 
+# ---- heavy cells of the proximity join
+
+def test_a_heavy_cell_is_spread_and_loses_no_match(spark):
+    rng = random.Random(2)
+    point = lambda: (25 + rng.random() / 300, 55 + rng.random() / 300)
+    events = [(1, i, 25.0001, 55.0001) for i in range(900)] + [(rng.randint(1, 40), 1000 + i, *point()) for i in range(1800)] + [(None, 9000, 25.0, 55.0)]
+    places = [(rng.choice([1, *range(1, 45)]), i, *point()) for i in range(300)]
+    ev = spark.createDataFrame(events + events[:5], "k long, e long, lat double, lon double").repartition(6)
+    pl = spark.createDataFrame(places, "k long, p long, plat double, plon double").withColumnRenamed("k", "pk")
+    args = dict(key="k", place_key="pk", ev_lat="lat", ev_lon="lon", pl_lat="plat", pl_lon="plon", metres=100.0)
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    old = {c: spark.conf.get(c) for c in conf}
+    for c, v in conf.items():
+        spark.conf.set(c, v)
+    try:
+        for how in ("inner", "left"):
+            plain = J.near_join(ev, pl, how=how, **args)
+            got = J.near_join(ev, pl, how=how, heavy_rows=50, salts=16, **args)
+            assert got.columns == plain.columns and sorted(rows(got), key=str) == sorted(rows(plain), key=str)
+        none = J.near_join(ev, pl.limit(0), how="left", heavy_rows=50, salts=16, **args)
+        sizes = [r[0] for r in none.groupBy(F.spark_partition_id()).count().select("count").collect()]
+        assert max(sizes) < len(events) / 4 and sum(sizes) == len(events) + 5
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
+
+
+# ---- latest versions kept up by merging
+
+def test_merged_versions_equal_the_whole_log(spark):
+    rng = random.Random(6)
+    log = [(rng.choice([1, 1, *range(2, 60), None]), rng.randint(0, 30), rng.choice("abc")) for _ in range(500)]
+    df = lambda data: spark.createDataFrame(data, "k long, v long, x string")
+    for part in (V.key_range("k", 10), V.key_hash(["k"], 3)):
+        path = tempfile.mkdtemp(prefix="cohortflow-latest-") + "/t"
+        pieces = [log[i::4] for i in range(4)]
+        for piece in (*pieces, pieces[0], []):
+            table = V.merge_latest(path, df(piece), ["k"], ["v"], part)
+        assert sorted(rows(table), key=str) == sorted(rows(latest_by(df(log), ["k"], ["v", "x"])), key=str)
+
+
+def test_a_merge_replaces_only_the_parts_it_touches(spark):
+    path = tempfile.mkdtemp(prefix="cohortflow-latest-") + "/t"
+    V.merge_latest(path, spark.range(100).select(F.col("id").alias("k"), F.lit(1).alias("v")), ["k"], ["v"], V.key_range("k", 10))
+    before = {f: os.path.getmtime(f) for f in glob.glob(path + "/*/*.parquet")}
+    V.merge_latest(path, spark.createDataFrame([(42, 5), (43, 0)], "k long, v int"), ["k"], ["v"], V.key_range("k", 10))
+    after = {f: os.path.getmtime(f) for f in glob.glob(path + "/*/*.parquet")}
+    assert {f.split("/")[-2] for f in set(before) - set(after)} == {"part=4"} and len(set(before) & set(after)) >= 9
+    assert rows(spark.read.parquet(path).where("k IN (42, 43)").select("k", "v").orderBy("k")) == [(42, 5), (43, 1)]
+
+
 # ---- tables laid out by day
 
 @pytest.fixture(scope="module")
@@ -218,4 +274,4 @@ def test_cohort_states_of_new_days_merge(spark):
 
 def test_queries_are_registered():
     assert {"job_cohorts_many", "job_reactivation_features_many", "job_reactivation_features_stored", "latest_snapshot_by_day", "scan_window_by_day",
-            "agg_active_days_merged", "agg_active_days_anchors", "norm_key_rejects"} <= set(queries())
+            "agg_active_days_merged", "agg_active_days_anchors", "norm_key_rejects", "win_latest_merged", "join_proximity_salted"} <= set(queries())
