@@ -39,8 +39,20 @@ def stored(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
-def slices(batches, rows: int = 1000):
-    """The Arrow batches in slices of so many rows, so that a worker holds few texts as Python objects at a time."""
+#: What workers hold beyond a task, by operator, with what frees it.
+_HELD: dict[str, Callable[[], None]] = {}
+
+
+def hold(name: str, free: Callable[[], None]) -> None:
+    """Notes that an operator keeps something in this worker; a task of another operator frees it."""
+    _HELD[name] = free
+
+
+def slices(batches, rows: int = 1000, name: str = ""):
+    """The Arrow batches in slices of so many rows, so that a worker holds few texts as Python objects at a time.
+    What operators other than ``name`` hold in this worker is freed first."""
+    for other in [n for n in _HELD if n != name]:
+        _HELD.pop(other)()
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)

@@ -56,7 +56,17 @@ def test_parts_are_forgotten(table, monkeypatch):
     monkeypatch.setattr(pieces, "KEPT", 4000)
     fresh = pieces._Known(table)
     for i in range(100):
-        assert fresh[f"▁w{i}"] == (",".join(map(str, table.ids(f"▁w{i}"))), f" w{i}") and len(fresh) + len(fresh.old) <= 14
+        assert fresh[f"▁w{i}"] == ",".join(map(str, table.ids(f"▁w{i}"))) and len(fresh) + len(fresh.old) <= 20
+
+
+def test_another_operators_task_frees_the_store(table):
+    from cohortflow.llm import common
+
+    table.digestible("some words")
+    common.hold("pieces", table.forget)
+    assert list(common.slices([], name="pieces")) == [] and "_known" in table.__dict__
+    assert list(common.slices([])) == [] and "_known" not in table.__dict__
+    assert table.digestible("some words")[1] == "some words"
 
 
 def test_the_decoded_text_is_that_of_the_ids(table):
