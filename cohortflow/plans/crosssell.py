@@ -18,6 +18,7 @@ from cohortflow.operators import aggregates as A
 from cohortflow.operators import daybits as D
 from cohortflow.operators.filters import valid_trips
 from cohortflow.operators.joins import one_per_key, restrict_to
+from cohortflow.operators.keysets import KeySet
 from cohortflow.operators.scans import scan_window
 from cohortflow.params import ObservationWindow
 
@@ -116,8 +117,9 @@ def last_known_features(demo: DataFrame, base: DataFrame, W: ObservationWindow)
     """Last known gender, tourist flag and SIM country per customer, in one aggregate.
 
     Each feature is ``max_by(value, ordering)`` where the ordering is NULL for rows that do not
-    qualify (such rows are skipped), replacing three scans and three windows."""
+    qualify (such rows are skipped), replacing three scans and three windows. ``base`` is read twice: materialise it."""
     d = scan_window(demo, "day", W.source_start, W.anchor).withColumn("customer_id", norm_key("customer_id"))
+    d = KeySet(base).likely(d)  # other customers end at the scan
     order = F.struct("day", "updated_at", "event_id")
     gender = clean_category("sex_prediction", R.GENDER_VALUES)
     tourist = clean_category("tourist_flag", R.TOURIST_VALUES)

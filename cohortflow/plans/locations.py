@@ -18,6 +18,7 @@ from cohortflow.functions.measures import wilson_lower
 from cohortflow.operators import aggregates as A
 from cohortflow.operators.filters import valid_trips
 from cohortflow.operators.joins import assemble, restrict_to
+from cohortflow.operators.keysets import KeySet
 from cohortflow.operators.scans import scan_window
 from cohortflow.params import ObservationWindow
 from cohortflow.sources.sinks import write_partitioned
@@ -27,9 +28,10 @@ SIDES = {"dropoff": ("drop_off_latitude", "drop_off_longitude"), "pickup": ("pic
 
 def point_counts(trips: DataFrame, base: DataFrame, W: ObservationWindow, side: str = "dropoff",
                  decimals: int = 3) -> DataFrame:
-    """Trips per customer and rounded point."""
+    """Trips per customer and rounded point (G3, A12, A13). ``base`` is read twice: materialise it."""
     lat, lon = SIDES[side]
     t = valid_trips(scan_window(trips, "day", W.source_start, W.anchor)).withColumn("customer_id", norm_key("customer_id"))
+    t = KeySet(base).likely(t)  # other customers end at the scan
     rlat, rlon = round_point(lat, lon, decimals)
     pts = t.select("customer_id", norm_key("booking_id").alias("booking_id"), rlat.alias("latitude"),
                    rlon.alias("longitude")).distinct()

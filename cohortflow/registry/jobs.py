@@ -75,6 +75,11 @@ def cohort(spark, sf_dir):
     return X.adoption_cohort(s.trips, s.first_orders, T.CROSS_SELL_W)
 
 
+def stored_cohort(spark, sf_dir):
+    """The cohort materialised once, as ``anchor_run`` does: its key set cuts the histories and its rows join the result."""
+    return cut_lineage(cohort(spark, sf_dir))
+
+
 @register("job_adoption_cohort")
 def job_adoption_cohort(spark, sf_dir):
     return cohort(spark, sf_dir)
@@ -123,13 +128,13 @@ def job_membership_status(spark, sf_dir):
 def job_commute_place(spark, sf_dir):
     s = Sources(spark, sf_dir)
     return PL.commute_place(s.bookings, s.place_locations, s.place_coordinates, s.place_details,
-                            cut_lineage(cohort(spark, sf_dir)), T.EVENTS_W, PLACE_MIN_COUNT)
+                            stored_cohort(spark, sf_dir), T.EVENTS_W, PLACE_MIN_COUNT)
 
 
 @register("job_last_known_features")
 def job_last_known_features(spark, sf_dir):
     s = Sources(spark, sf_dir)
-    return X.last_known_features(s.demographics, cohort(spark, sf_dir), T.EVENTS_W)
+    return X.last_known_features(s.demographics, stored_cohort(spark, sf_dir), T.EVENTS_W)
 
 
 @register("job_profile_features")
@@ -140,12 +145,12 @@ def job_profile_features(spark, sf_dir):
 
 @register("job_dropoff_points")
 def job_dropoff_points(spark, sf_dir):
-    return L.point_counts(Sources(spark, sf_dir).trips, cohort(spark, sf_dir), T.CROSS_SELL_W, "dropoff")
+    return L.point_counts(Sources(spark, sf_dir).trips, stored_cohort(spark, sf_dir), T.CROSS_SELL_W, "dropoff")
 
 
 @register("job_pickup_points")
 def job_pickup_points(spark, sf_dir):
-    return L.point_counts(Sources(spark, sf_dir).trips, cohort(spark, sf_dir), T.CROSS_SELL_W, "pickup")
+    return L.point_counts(Sources(spark, sf_dir).trips, stored_cohort(spark, sf_dir), T.CROSS_SELL_W, "pickup")
 
 
 @register("job_dominant_cell")
@@ -154,7 +159,7 @@ def job_dominant_cell(spark, sf_dir):
 
 
 def _area_frame(spark, sf_dir, line="food"):
-    trips, base = Sources(spark, sf_dir).trips, cut_lineage(cohort(spark, sf_dir))
+    trips, base = Sources(spark, sf_dir).trips, stored_cohort(spark, sf_dir)
     drop = L.dominant_cell(L.point_counts(trips, base, T.CROSS_SELL_W, "dropoff"))
     pick = L.dominant_cell(L.point_counts(trips, base, T.CROSS_SELL_W, "pickup"))
     return L.area_frame(base, drop, pick, f"{line}_first_order_date")

@@ -1,40 +1,30 @@
 """A count of rejected ids beside the result.
 
-Ids come as text and are cast; one that cannot be cast becomes NULL and leaves every join without a trace. ``Rejects``
-puts an observation on each source: while the job runs, Spark counts the rows, the rows without an id and the rows
-whose id the cast rejected, in the same pass. The counts are read after an action on the result; no extra job runs.
+Ids come as text and are cast; one that cannot be cast becomes NULL and leaves every join without a trace. ``rejected_ids``
+counts them for each source, in a pass of its own over the id column alone: an observation inside the job would count in
+the same pass, but filters do not go below it, so the job would read every day of the source.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortflow.functions.keys import norm_key
 
+#: By job the sources with ids as text: the id column and the length of its prefix.
+ID_COLUMNS = {
+    "reactivation": {"trips": ("customer_id", 0), "subscription_events": ("userid", 5), "profile": ("customer_id", 0)},
+    "cross-sell": {"trips": ("customer_id", 0), "first_orders": ("userid", 0), "profile": ("customer_id", 0), "active_subs": ("customer_id", 0),
+                   "demographics": ("customer_id", 0), "bookings": ("customer_id", 0), "place_locations": ("user_id", 0)},
+    "post-cross": {"trips": ("customer_id", 0), "first_orders": ("userid", 0)},
+}
 
-@dataclass
-class Rejects:
-    """Observations by source name. A source that a plan reads several times is counted by one of its scans."""
 
-    seen: dict[str, Observation] = field(default_factory=dict)
-
-    def watch(self, df: DataFrame, source: str, *ids: str, prefix_len: int = 0) -> DataFrame:
-        """``df`` unchanged, its id columns counted under ``source``."""
-        o = self.seen[source] = Observation(f"rejects-{source}-{id(self)}")
-        bad = [F.sum((F.col(c).isNotNull() & norm_key(c, prefix_len).isNull()).cast("long")).alias(f"rejected_{c}") for c in ids]
-        missing = [F.sum(F.col(c).isNull().cast("long")).alias(f"missing_{c}") for c in ids]
-        return df.observe(o, F.count(F.lit(1)).alias("rows"), *bad, *missing)
-
-    def counts(self) -> dict[str, dict[str, int]]:
-        """Source, measure and count, after an action on what was made of the sources."""
-        return {s: {k: v or 0 for k, v in o.get.items()} for s, o in self.seen.items()}
-
-
-def rejected_ids(sources: dict[str, tuple[DataFrame, str, int]]) -> DataFrame:
-    """As a table: source, n_rows, n_missing and n_rejected of each (frame, id column, prefix length)."""
+def rejected_ids(sources: Mapping[str, tuple[DataFrame, str, int]]) -> DataFrame:
+    """source, n_rows, n_missing and n_rejected of each (frame, id column, prefix length)."""
     out = None
     for name, (df, col, prefix_len) in sources.items():
         bad = F.col(col).isNotNull() & norm_key(col, prefix_len).isNull()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import glob
+import json
 import os
 import random
 import re
@@ -12,6 +13,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
+from cohortflow import cli
 from cohortflow.operators import daybits as D
 from cohortflow.operators import joins as J
 from cohortflow.operators import scans as S
@@ -23,10 +25,11 @@ from cohortflow.plans import reactivation as P
 from cohortflow.registry import queries
 from cohortflow.session import ensure_checkpoint_dir
 from cohortflow.sources import testbed as T
-from cohortflow.sources.rejects import Rejects
+from cohortflow.sources.rejects import rejected_ids
 from cohortflow.sources.sinks import write_days
 from cohortflow.sources.tables import partition_days
 from cohortflow.sources.testbed import Sources
+from cohortflow.streaming.daily import window_for
 from oracle.compare import compare
 from tests.conftest import SF01
 
@@ -86,22 +89,29 @@ def test_a_hot_key_is_a_few_words_before_the_shuffle(spark):
 
 # ---- rejects
 
-def test_rejected_ids_are_counted_beside_the_result(spark):
+def test_rejected_ids_are_counted(spark):
     df = spark.createDataFrame([("CPLS-1", "1"), ("CPLS-x", "2"), (None, "no"), ("CPLS-", None), ("CPLS- 7", "3")], "userid string, other string")
-    r = Rejects()
-    out = r.watch(r.watch(df, "subs", "userid", prefix_len=5), "other", "other")
-    assert out.columns == df.columns and out.count() == 5
-    assert r.counts() == {"subs": {"rows": 5, "rejected_userid": 2, "missing_userid": 1}, "other": {"rows": 5, "rejected_other": 1, "missing_other": 1}}
-
-
-def test_rejects_of_a_job(spark):
-    src = P.ReactivationSources.from_testbed(Sources(spark, SF01))
-    dirty = src.subscriptions.withColumn("userid", F.when(F.col("event_seq") % 7 == 0, F.lit("CPLS-n/a")).otherwise(F.col("userid")))
-    r = Rejects()
-    watched = r.watch(dirty, "subscriptions", "userid", prefix_len=5)
-    P.latest_membership(watched, T.ANCHOR_DAY_W).write.format("noop").mode("overwrite").save()
-    seen = r.counts()["subscriptions"]
-    assert seen["rows"] == dirty.count() and seen["rejected_userid"] == dirty.where("event_seq % 7 = 0").count() > 0
+    got = rejected_ids({"subs": (df, "userid", 5), "other": (df, "other", 0), "none": (df.limit(0), "other", 0)})
+    assert sorted(rows(got)) == [("none", 0, 0, 0), ("other", 5, 1, 1), ("subs", 5, 1, 2)]
+
+
+def test_command_line_over_many_anchors_counts_rejects(spark):
+    root = tempfile.mkdtemp(prefix="cohortflow-cli-many-")
+    s, mapping = Sources(spark, SF01), {}
+    for name in ["orders", "merchants", "customers", "value_lines", "order_level", "trips", "subscription_events", "profile"]:
+        mapping[name] = os.path.join(root, "in", name)
+        getattr(s, name).write.parquet(mapping[name])
+    with open(os.path.join(root, "tables.json"), "w") as fh:
+        json.dump(mapping, fh)
+    cli.main(["reactivation", "--tables", os.path.join(root, "tables.json"), "--anchor", "1999-05-12", "--through", "1999-05-13", "--history-start",
+              "1997-01-01", "--end", "1999-06-01", "--out", os.path.join(root, "out"), "--count-rejects"])
+    got = spark.read.parquet(os.path.join(root, "out", "reactivation_features"))
+    src = P.ReactivationSources.from_testbed(s)
+    for d in (dt.date(1999, 5, 12), dt.date(1999, 5, 13)):
+        ref, of = P.reactivation_features(src, window_for(d, dt.date(1997, 1, 1), 20)), got.where(F.col("anchor").cast("date") == d).drop("anchor")
+        assert compare(of.columns, rows(of), ref.columns, rows(ref)) == []
+    seen = spark.read.parquet(os.path.join(root, "out", "rejected_ids")).drop("anchor").collect()
+    assert {r["source"]: (r["n_missing"], r["n_rejected"]) for r in seen} == {n: (0, 0) for n in ("trips", "subscription_events", "profile")}
 
 
 def test_dirty_dates_do_not_fail_the_job(spark):

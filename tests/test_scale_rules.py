@@ -28,7 +28,8 @@ RANKED = {"win_order_sequence", "win_dense_rank", "job_post_cross_tagged", "job_
           "job_reactivation_features_blended", "job_reactivation_features_many"}
 #: These store what they then read several times, or read tables laid out by day or in buckets.
 STORED = {"job_reactivation_targets", "job_reactivation_features_stored", "latest_snapshot_by_day", "scan_window_by_day", "win_latest_merged", "join_proximity_salted",
-          "job_commute_place", "join_latest_versions", "win_best_match", "job_area_scores_dropoff", "job_area_scores_pickup", "job_area_scores_shop_dropoff"}
+          "job_commute_place", "join_latest_versions", "win_best_match", "job_area_scores_dropoff", "job_area_scores_pickup", "job_area_scores_shop_dropoff",
+          "job_last_known_features", "job_dropoff_points", "job_pickup_points", "job_dominant_cell"}
 
 
 def with_old_ride(src, spark):
