@@ -2,6 +2,13 @@
 
 Each stage takes documents (doc_id, text, lang, source, n_chars) and returns documents, the last one a row of
 token figures for each. ``run`` writes each stage's rows as Parquet to the shared folder and reads them again.
+
+Defined results: columns other than the five are dropped, whatever their names. Null text counts as empty in every
+stage; an empty or null text is never toxic by its words, has no lines to lose, is near to nothing, and ends in the mixing, which
+takes words. Null languages and sources are kept; a null source is a source of its own. Rows with a null id are
+never learned from and never near duplicates, and are mixed like others. Equal rows stay through toxicity and line dedup (cut alike),
+and one of them through near-dedup; ties are broken by id and text. Texts of any length are worked through whole. An
+empty table gives empty stages.
 """
 
 from __future__ import annotations
