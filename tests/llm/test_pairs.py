@@ -335,3 +335,17 @@ def test_pipeline(spark):
     assert {i for (i, _, _, kept) in expected_near(second, 5) if kept} == {r["doc_id"] for r in by["near-dedup"]}
     assert all(n <= 2 for n in Counter(r["doc_id"] for r in by["mixing"]).values())
     assert len(by["tokens"]) == len(by["mixing"]) and all(r["n_tokens"] > 0 for r in by["tokens"])
+
+
+def test_pipeline_of_odd_and_no_rows(spark):
+    for rows in (odd_rows(), []):
+        state, before = documents(spark, rows), None
+        for name, stage in corpus_pipeline.STAGES:
+            before, state = state, corpus_pipeline.stored(stage(spark, state, SF001))
+            if name != "tokens":
+                assert state.columns == corpus_pipeline.COLUMNS
+            if name == "near-dedup":
+                texts = [r["text"] for r in state.collect()]
+                assert all(texts.count(t) == 1 for t in set(texts) if t and t.strip() and "tie" not in t) or not rows
+        assert state.count() == before.count() and (state.count() > 0) == bool(rows)
+        assert state.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
