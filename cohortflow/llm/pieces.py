@@ -8,7 +8,8 @@ have come before the merges that made them.
 
 Texts are cut where no merge can reach across: between two characters that no piece holds side by side. Equal
 parts are then encoded once for each worker, in a store of ``KEPT`` bytes that lives until a task of another operator
-takes the worker. The text is decoded from the ids of the whole document.
+takes the worker. Each part is kept with its ids and with the text decoded from these; as no byte of a character is in
+another part, the decoded texts of the parts, one after the other, are the text decoded from all ids.
 
 Defined results: null text counts as empty; an empty text has no ids, the digest of the empty text, and
 decodes to the empty text; characters without a piece become their UTF-8 bytes; U+2581 in a text encodes as a
@@ -23,7 +24,7 @@ import os
 import re
 import struct
 from collections.abc import Iterable, Iterator
-from functools import cache, cached_property
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,7 +34,7 @@ from cohortflow.llm.common import hold, ship, slices, text_of
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Bytes that a worker's store may take, as far as they can be estimated, and pairs of tokens that it keeps.
-KEPT, PAIRS = 96 << 20, 200_000
+KEPT, PAIRS = 112 << 20, 400_000
 OUT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -193,17 +194,7 @@ class PrefixTable:
                 if not n:
                     del parts[0]
             found += map(known.__getitem__, parts)
-        joined = ",".join(found)
-        try:
-            back = "".join(map(self.plain.__getitem__, joined.split(",")))
-        except KeyError:  # there are bytes among the ids
-            back = self.text(map(int, joined.split(",")))
-        return joined, back.removeprefix(" ")
-
-    @cached_property
-    def plain(self) -> dict[str, str]:
-        """The text of each id, written as a number, that is not a byte."""
-        return {str(i): p.replace(SPACE, " ") for i, p in enumerate(self.piece) if i not in self.byte_of}
+        return ",".join([ids for ids, _ in found]), "".join([back for _, back in found]).removeprefix(" ")
 
     def forget(self) -> None:
         """Frees what has been kept."""
@@ -224,7 +215,7 @@ _CUT = "\n" + SPACE
 
 
 class _Known(dict):
-    """The joined ids of parts; made where missing.
+    """The joined ids of parts and the text that they decode to; made where missing.
 
     When half of the bytes are taken, the parts become the old generation, and those of the one before can go.
     """
@@ -233,11 +224,12 @@ class _Known(dict):
         super().__init__()
         self.table, self.old, self.bytes = table, {}, 0
 
-    def __missing__(self, part: str) -> str:
+    def __missing__(self, part: str) -> tuple[str, str]:
         if (found := self.old.get(part)) is None:
-            found = ",".join(map(str, self.table.ids(part)))
+            ids = self.table.ids(part)
+            found = ",".join(map(str, ids)), self.table.text(ids)
         if len(part) <= 64:
-            self.bytes += 200 + 2 * len(part) + len(found)
+            self.bytes += 300 + 3 * len(part) + len(found[0])
             if 2 * self.bytes >= KEPT:
                 self.old, self.bytes = dict(self), 0
                 self.clear()
