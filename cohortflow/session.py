@@ -65,12 +65,20 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_intermediates(spark: SparkSession) -> int:
-    """Delete what ``cut_lineage`` wrote in this application; call it when no frame made from it is
-    needed any more. Returns the number of folders."""
-    paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
+def intermediates(spark: SparkSession) -> int:
+    """The number of folders that ``cut_lineage`` has written in this application and that are still there."""
+    return len(_WRITTEN.get(spark.sparkContext.applicationId, []))
+
+
+def drop_intermediates(spark: SparkSession, since: int = 0, keep: list[str] | None = None) -> int:
+    """Delete what ``cut_lineage`` wrote in this application, but for the first ``since`` folders and those that
+    hold a file of ``keep``; call it when no frame made from it is needed any more. Returns the number of folders."""
+    written = _WRITTEN.get(spark.sparkContext.applicationId, [])
+    held = {part for f in keep or () for part in f.split("/")}
+    paths = [p for p in written[since:] if p.rsplit("/", 1)[1] not in held]
     jvm = spark.sparkContext._jvm
     for p in paths:
         path = jvm.org.apache.hadoop.fs.Path(p)
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        written.remove(p)
     return len(paths)
