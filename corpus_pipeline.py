@@ -18,35 +18,52 @@ from pyspark.sql import functions as F
 
 from cohortflow.llm import lines, mixing, near, pieces, toxicity
 from cohortflow.llm.common import read, stored
+from cohortflow.session import drop_intermediates, intermediates
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Words of a shingle and similarity of near duplicates.
 WORDS, NUM, DEN = 5, 80, 100
 
 
+_BEGAN: dict[str, int] = {}
+
+
+def _tidied(spark: SparkSession, docs: DataFrame | None) -> None:
+    """Deletes the tables that the stage before has written on its way: its rows are written, and are ``docs`` now."""
+    app = spark.sparkContext.applicationId
+    if docs is not None and app in _BEGAN:
+        drop_intermediates(spark, _BEGAN[app], docs.inputFiles())
+    _BEGAN[app] = intermediates(spark)
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that are not predicted toxic; the model learns from the labels of the documents given."""
+    _tidied(spark, None)
     return toxicity.clean(docs.select(COLUMNS), read(spark, sf_dir, "labels"))
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents; of lines that are equal or nearly so, the first occurrence stays."""
+    _tidied(spark, docs)
     cut = lines.line_dedup(docs.select(COLUMNS))
     return cut.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(COLUMNS)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, the one with the least id."""
+    _tidied(spark, docs)
     return near.one_of_each(docs.select(COLUMNS), WORDS, NUM, DEN)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What the mix takes of the documents, a row for each pass over a document's source."""
+    _tidied(spark, docs)
     return mixing.mixed_documents(docs.select(COLUMNS)).select(COLUMNS)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Number and digest of each document's tokens, and of the text they decode to."""
+    _tidied(spark, docs)
     return pieces.encode_decode(docs, pieces.tokenizer_model())
 
 
