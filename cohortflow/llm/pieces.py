@@ -103,6 +103,7 @@ class PrefixTable:
         self.automaton.make_automaton()
         self.sizes = [len(p) for p in self.piece]
         self._fit: dict[int, bool] = {}
+        self.kept: int | None = None
 
     def _made(self, piece: str) -> bool:
         """Whether merging makes the piece of its characters; notes its last merge."""
@@ -135,14 +136,14 @@ class PrefixTable:
     def ids(self, part: str) -> list[int]:
         """The ids of a text that has U+2581 for spaces."""
         last = [-1] * len(part)  # the last token of each prefix; -1 for a character without piece, which goes with any token
-        fit, sizes = self._fit, self.sizes
+        fit, sizes, pairs = self._fit, self.sizes, PAIRS * self.room // KEPT
         for end, token in self.automaton.iter(part):
             if last[end] >= 0:
                 continue
             start = end - sizes[token]
             if start >= 0 and (before := last[start]) >= 0:
                 if (ok := fit.get(pair := before << 20 | token)) is None:
-                    if len(fit) >= PAIRS:
+                    if len(fit) >= pairs:
                         fit.clear()
                     ok = fit[pair] = self._go_together(self.piece[before], self.piece[token])
                 if not ok:
@@ -196,6 +197,16 @@ class PrefixTable:
             found += map(known.__getitem__, parts)
         return ",".join([ids for ids, _ in found]), "".join([back for _, back in found]).removeprefix(" ")
 
+    @property
+    def room(self) -> int:
+        return KEPT if self.kept is None else self.kept
+
+    def keep(self, kept: int | None) -> None:
+        """Bounds the store (None: by ``KEPT``), and the pairs in proportion; a store of another bound is freed."""
+        if kept != self.kept:
+            self.forget()
+            self.kept = kept
+
     def forget(self) -> None:
         """Frees what has been kept."""
         self.__dict__.pop("_known", None)
@@ -230,7 +241,7 @@ class _Known(dict):
             found = ",".join(map(str, ids)), self.table.text(ids)
         if len(part) <= 64:
             self.bytes += 300 + 3 * len(part) + len(found[0])
-            if 2 * self.bytes >= KEPT:
+            if 2 * self.bytes >= self.table.room:
                 self.old, self.bytes = dict(self), 0
                 self.clear()
             self[part] = found
@@ -260,8 +271,10 @@ def load(spark: SparkSession, path: str) -> bytes:
         return bytes(spark.read.format("binaryFile").load(path).select("content").first()[0])
 
 
-def encode_decode(docs: DataFrame, model_path: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of each document's whole text."""
+def encode_decode(docs: DataFrame, model_path: str, kept: int | None = None) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of each document's whole text.
+
+    ``kept`` bounds a worker's store where other work has filled the executor's memory (None: ``KEPT``)."""
     spark = docs.sparkSession
     ship(spark)
     model = spark.sparkContext.broadcast(load(spark, model_path))
@@ -270,6 +283,7 @@ def encode_decode(docs: DataFrame, model_path: str) -> DataFrame:
         import pyarrow as pa
 
         table = _table(model.value)
+        table.keep(kept)
         hold("pieces", table.forget)
         for batch in slices(batches, name="pieces"):
             counts, ids, texts = [], [], []
@@ -294,6 +308,7 @@ def encode_ids(docs: DataFrame, model_path: str) -> DataFrame:
         import pyarrow as pa
 
         table = _table(model.value)
+        table.keep(None)
         hold("pieces", table.forget)
         for batch in slices(batches, name="pieces"):
             ids = pa.array([table.encode(t) for t in batch.column(1).to_pylist()], pa.list_(pa.int32()))

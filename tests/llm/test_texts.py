@@ -59,6 +59,22 @@ def test_parts_are_forgotten(table, monkeypatch):
         assert fresh[f"▁w{i}"] == (",".join(map(str, table.ids(f"▁w{i}"))), f" w{i}") and len(fresh) + len(fresh.old) <= 14
 
 
+def test_a_tighter_store_is_kept_to_and_changes_no_row(spark, table):
+    table.digestible("words of the wider store")
+    table.keep(4000)
+    assert "_known" not in table.__dict__ and not table._fit  # what the wider store held is freed
+    for i in range(200):
+        ids, back = table.digestible(f"w{i} v{i}\nu{i}")
+        assert back == table.decode([int(x) for x in ids.split(",")]) and len(table.known) + len(table.known.old) <= 16
+        assert len(table._fit) <= pieces.PAIRS * 4000 // pieces.KEPT + 1
+    table.keep(None)
+    assert table.room == pieces.KEPT
+    model = pieces.tokenizer_model()
+    assert Counter(map(tuple, pieces.encode_decode(documents(spark), model, 4000).collect())) == Counter(map(tuple, pieces.encode_decode(documents(spark), model).collect()))
+    import corpus_pipeline
+    assert corpus_pipeline.KEPT < pieces.KEPT
+
+
 def test_another_operators_task_frees_the_store(table):
     from cohortflow.llm import common
 
