@@ -5,6 +5,9 @@ The single-anchor job reads the whole history for each anchor. Here each history
 the running sum of the states up to it. The outcome after an anchor is the same thing backwards: an order of day d
 belongs to the anchors from d minus the outcome days to the day before d.
 
+The histories, cut to the anchors' customers, are stored once: the daily sums, the order events and, of the order lines,
+both lifetime and outcome read the stored rows, so a fact table is joined and shuffled once and not for each of them.
+
 The result equals the single-anchor job for each anchor, with the anchor as a column, so one write replaces the
 partitions of all of them. All anchors have the same start of history and the same number of outcome days.
 """
@@ -13,6 +16,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,10 +26,11 @@ from cohortflow.functions.measures import safe_ratio
 from cohortflow.operators.filters import VALUE_TRIP_RULES, delivered, valid_trips
 from cohortflow.operators.joins import assemble
 from cohortflow.operators.keysets import KeySet
-from cohortflow.operators.scans import scan_window
+from cohortflow.operators.scans import scan_window, window_predicate
 from cohortflow.operators.states import GREATEST, LEAST, SUM, cumulated, order_events
 from cohortflow.operators.windows import latest_by, rank_within
 from cohortflow.plans import reactivation as P
+from cohortflow.session import cut_lineage
 
 #: Sums of the outcome and the columns that they are of.
 OUTCOME = {"basket_after": "basket_amount", "promo_after": "promo_amount", "spend_after": "net_basket_amount_with_tax"}
@@ -60,7 +65,7 @@ def lifetime_events(src: P.ReactivationSources, keys: KeySet, lo, hi, cities=R.L
 def ride_events(src: P.ReactivationSources, keys: KeySet, since, hi, recent_days: int = R.RECENT_DAYS) -> list[DataFrame]:
     """S2 + A2c + A3: value of the de-duplicated rides, rides and recent rides."""
     t = keys.likely(P.with_key(valid_trips(scan_window(src.trips, "day", since, hi), VALUE_TRIP_RULES)), "__key")
-    t = t.select("day", F.col("__key").alias("customer_id"), "trip_id", "revenue", "cogs").distinct()
+    t = cut_lineage(t.select("day", F.col("__key").alias("customer_id"), "trip_id", "revenue", "cogs").distinct())
     t = t.withColumns({"at": _after("day"), "until": F.date_add("day", recent_days)})
     days = t.groupBy("customer_id", "at").agg(F.sum("revenue").alias("ride_gmv"), F.sum(F.col("revenue") - F.col("cogs")).alias("ride_gp"),
                                               F.max("day").alias("last_ride_date"))
@@ -71,7 +76,7 @@ def food_events(src: P.ReactivationSources, keys: KeySet, hi, recent_days: int =
     """A2a + A3: line-item value of the second service; ages are whole 24 hours, so a line of midnight is recent for
     a day less than a later one."""
     ts = F.col("order_received_timestamp")
-    f = keys.likely(src.value_lines.where(ts < F.lit(hi).cast("timestamp_ntz")))
+    f = cut_lineage(keys.likely(src.value_lines.where(ts < F.lit(hi).cast("timestamp_ntz"))))
     day = ts.cast("date")
     f = f.withColumns({"at": F.date_add(day, 1), "until": F.date_add(day, recent_days + F.when(ts > day.cast("timestamp_ntz"), 1).otherwise(0))})
     days = f.groupBy("customer_id", "at").agg(
@@ -81,7 +86,7 @@ def food_events(src: P.ReactivationSources, keys: KeySet, hi, recent_days: int =
 
 def shop_events(src: P.ReactivationSources, keys: KeySet, hi) -> list[DataFrame]:
     """Order-level value of the lapsed service."""
-    q = keys.likely(src.order_level.where(F.col("day") < F.lit(hi))).withColumn("at", _after("day"))
+    q = cut_lineage(keys.likely(src.order_level.where(F.col("day") < F.lit(hi)))).withColumn("at", _after("day"))
     days = q.groupBy("customer_id", "at").agg(F.sum("gmv").alias("shop_gmv"), F.sum(F.col("net_revenue") + F.col("delivery_costs") + F.col("wastage")).alias("shop_gp"))
     return [days, order_events(q, "customer_id", "order_id", "at", n="n_shop_orders")]
 
@@ -110,8 +115,19 @@ KINDS = {
 }
 
 
+def order_history(src: P.ReactivationSources, keys: KeySet, anchors: Sequence[dt.date], history_start, outcome_days: int, cities) -> DataFrame:
+    """The delivered order lines of the keys' customers that the lifetime or the outcome of any anchor reads, stored."""
+    before = window_predicate("day", history_start, max(anchors))
+    after = window_predicate("day", min(anchors), max(anchors) + dt.timedelta(days=outcome_days), lo_inclusive=False, hi_inclusive=True)
+    o = src.orders.select("customer_id", "order_id", "merchant_id", "order_status", "city_id", "order_type", "order_received_timestamp", "day",
+                          *OUTCOME.values())
+    return cut_lineage(keys.likely(delivered(o.where(before | after), cities=cities)))
+
+
 def states(src: P.ReactivationSources, keys: KeySet, anchors: Sequence[dt.date], history_start, outcome_days: int, outcome_cities, rides_since) -> list[DataFrame]:
     hi = max(anchors)
+    cities = sorted({*R.LAPSED_SERVICE_CITIES, *outcome_cities})
+    src = replace(src, orders=order_history(src, keys, anchors, history_start, outcome_days, cities))
     return [*lifetime_events(src, keys, history_start, hi), *ride_events(src, keys, rides_since, hi), *food_events(src, keys, hi),
             *shop_events(src, keys, hi), *outcome_events(src, keys, anchors, outcome_days, outcome_cities)]
 
@@ -129,7 +145,7 @@ def reactivation_features(src: P.ReactivationSources, anchors: Sequence[dt.date]
                           outcome_cities=R.OUTCOME_CITIES, with_city: bool = True, with_blended: bool = False, rides_since=None) -> DataFrame:
     """P1 / P2 for all ``anchors``: ``anchor`` and the columns of the single-anchor job."""
     anchors = sorted(set(anchors))
-    today = anchor_orders(src, anchors)
+    today = cut_lineage(anchor_orders(src, anchors))  # read by each key filter
     keys = KeySet(today)
     seen = cumulated(states(src, keys, anchors, history_start, outcome_days, outcome_cities, rides_since), today.select("customer_id", "anchor"), "customer_id", KINDS)
     rates = {f"{s}_gppo": safe_ratio(f"{s}_gp", n) for s, n in (("ride", "n_rides"), ("food", "n_food_orders"), ("shop", "n_shop_orders"))}

@@ -12,6 +12,7 @@ from cohortflow.operators.keysets import KeySet
 from cohortflow.operators.states import GREATEST, LEAST, SUM, cumulated, order_events
 from cohortflow.plans import many_anchors as MA
 from cohortflow.plans import reactivation as P
+from cohortflow.session import cut_lineage
 from cohortflow.sources import testbed as T
 from cohortflow.sources.testbed import Sources
 from cohortflow.streaming.daily import window_for
@@ -50,6 +51,17 @@ def test_the_history_is_scanned_once(spark):
     assert plans[0] == plans[1]
 
 
+def test_each_fact_table_is_joined_once(spark, monkeypatch):
+    """The joins of lines and orders below all that is written and returned: one for each of anchor days, order lines, rides and food."""
+    plans = []
+    monkeypatch.setattr(MA, "cut_lineage", lambda df: plans.append(df) or cut_lineage(df))
+    src = P.ReactivationSources.from_testbed(Sources(spark, SF01))
+    plans.append(MA.reactivation_features(src, [dt.date(1999, 5, 12), dt.date(2000, 1, 21)], dt.date(1997, 1, 1), 20))
+    lines = [p._jdf.queryExecution().optimizedPlan().toString().count("l_orderkey#") > 0 for p in plans]
+    scans = sum(sum("Relation" in x and "l_orderkey#" in x for x in p._jdf.queryExecution().optimizedPlan().toString().split("\n")) for p in plans)
+    assert sum(lines) == scans == 3  # the anchor days were written by their ranking
+
+
 def history(seed=3, n=400):
     """customer, order, day, amount; a third of the rows of one customer; orders of several days, null ids, repeated rows."""
     rng = random.Random(seed)
