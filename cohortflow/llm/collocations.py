@@ -9,8 +9,9 @@ made longer. So the sample decides how many passes there are (at most one for ea
 
 The border is never listed. A pass takes the phrases whose parts have their bits set in a table of ``BITS_WORDS``
 64-bit words; that bound holds for any number of phrases, so the table is broadcast. Where bits coincide, more phrases
-are counted, as exactly as the others. These passes count 64-bit names. Phrases that share a name are counted together,
-so no frequent one is lost; a last pass counts the phrases behind the frequent names by their words.
+are counted, as exactly as the others. These passes count 64-bit names, whose first two bits tell the number of words.
+Phrases that share a name are counted together, so no frequent one is lost; a last pass counts the phrases behind the
+frequent names by their words. Tasks add up what they send, so no second sum is made before the shuffle.
 
 Frequent phrases of two words and more are then scored by their worst cut, those that a longer phrase accounts for are
 dropped, and the best of each language are ranked by ranges, so that no task sorts a whole language.
@@ -39,8 +40,10 @@ COVERED = 80
 #: One in so many documents is in the sample; a phrase that occurs so often there is proposed.
 SAMPLE_PART, SAMPLE_LEAST = 4, 5
 BITS_WORDS = 1 << 19
-#: Counts that a task holds before it adds them up and sends them on.
-HELD = 1 << 20
+#: Names, or different phrases, that a task holds before it sends them on added up, and rows that it sends at once.
+HELD, SENT = 1 << 21, 1 << 17
+#: Tasks for each core in the last pass. Each task may meet every frequent phrase, so more tasks would send more rows.
+TASKS = 3
 #: Bytes that are worked through at once; a word is never cut.
 TOGETHER = 1 << 20
 #: Parts that a language is ranked in first.
@@ -78,9 +81,9 @@ def stretches(data: bytes, size: int = TOGETHER) -> Iterator[tuple[bytes, int]]:
 
 
 class Grams:
-    """The words of a stretch and the phrases that begin in it."""
+    """The words of a stretch and the phrases that begin in it; with ``both``, phrases of one name can be told apart."""
 
-    def __init__(self, data: bytes, own: int, seed: int):
+    def __init__(self, data: bytes, own: int, seed: int, both: bool = True):
         import numpy as np
 
         lower, kind, numbers = _tables()
@@ -105,20 +108,20 @@ class Grams:
         power[0] = 1
         power = np.cumprod(power)[place]
         # two independent hashes: the first names a phrase, the second tells whether two share a name
-        self.word = [W.mixed(np.add.reduceat(n[self.text] * power, self.at[:-1])) for n in numbers]
+        self.word = [W.mixed(np.add.reduceat(n[self.text] * power, self.at[:-1])) for n in numbers[:1 + both]]
         self.sums = [w + np.uint64(seed) for w in self.word]
         self.n = 1
 
     def ids(self):
         import numpy as np
 
-        return W.mixed(self.sums[0] + np.uint64(self.n * _STEP[0] % 2**64))
+        return W.mixed(self.sums[0] + np.uint64(self.n * _STEP[0] % 2**64)) >> np.uint64(2) | np.uint64(self.n - 1 << 62)
 
     def longer(self):
         """Goes from the phrases of n words to those of n + 1."""
         import numpy as np
 
-        self.sums = [s[:-1] * np.uint64(c) + w[self.n:] for s, w, c in zip(self.sums, self.word, _STEP, strict=True)]
+        self.sums = [s[:-1] * np.uint64(c) + w[self.n:] for s, w, c in zip(self.sums, self.word, _STEP, strict=False)]
         self.n += 1
 
     def valid(self):
@@ -175,86 +178,118 @@ def _input(docs: DataFrame) -> DataFrame:
 
 
 class Held:
-    """Counts of names and lengths, added up whenever ``HELD`` of them have come together."""
+    """Names, added up whenever ``HELD`` of them have come together."""
 
     def __init__(self):
-        self.parts, self.size = [], 0
+        self.names, self.size = None, 0
 
-    def add(self, ids, n: int):
-        """Takes the names of phrases of n words; gives batches to send on."""
+    def add(self, ids):
+        """Takes names; gives batches to send on."""
         import numpy as np
 
-        if len(ids):
-            id_, f = np.unique(ids, return_counts=True)
-            self.parts.append((id_, np.full(len(f), n, np.int8), f))
-            self.size += len(f)
-            if self.size >= HELD:
+        if self.names is None:
+            self.names = np.empty(HELD, np.uint64)
+        while len(ids):
+            some = ids[:len(self.names) - self.size]
+            self.names[self.size:self.size + len(some)] = some
+            self.size += len(some)
+            ids = ids[len(some):]
+            if self.size == len(self.names):
                 yield from self.rest()
 
     def rest(self):
         import numpy as np
         import pyarrow as pa
 
-        if self.parts:
-            id_, n, f = (np.concatenate(x) for x in zip(*self.parts, strict=True))
-            order = np.argsort(id_)
-            id_, first = np.unique(id_[order], return_index=True)
-            f = np.add.reduceat(f[order], first)
-            yield pa.RecordBatch.from_arrays([pa.array(id_.view(np.int64)), pa.array(n[order][first]), pa.array(f.astype(np.int64))], ["id", "n", "f"])
-        self.parts, self.size = [], 0
+        if self.size:
+            names = self.names[:self.size]
+            names.sort()
+            first = np.flatnonzero(np.concatenate([[True], names[1:] != names[:-1]]))
+            f = np.diff(first, append=self.size).astype(np.int32)
+            id_ = names[first].view(np.int64)
+            for at in range(0, len(id_), SENT):
+                yield pa.RecordBatch.from_arrays([pa.array(id_[at:at + SENT]), pa.array(f[at:at + SENT])], ["id", "f"])
+        self.size = 0
 
 
 class Phrases:
-    """Counts of one language's phrases with their texts, added up before they are sent on."""
+    """Counts of one language's phrases; the text of each is taken where it is first met."""
 
     def __init__(self, lang: str):
-        self.lang, self.parts, self.size, self.words = lang, [], 0, 0
+        self.lang = lang
+        self._clear()
+
+    def _clear(self):
+        import numpy as np
+
+        self.id, self.row = np.empty(0, np.uint64), np.empty(0, np.int64)  # by name, and the place in the order they came in
+        self.other, self.n, self.f = np.empty(0, np.uint64), np.empty(0, np.int32), np.empty(0, np.int64)
+        self.text, self.words, self.met = [], 0, []
 
     def add(self, g: Grams, ids, at):
         import numpy as np
 
         at, f = g.counted(ids, at)
-        self.parts.append((ids[at], g.sums[1][at], np.full(len(at), g.n, np.int32), f, g.phrases(at)))
-        self.size += len(at)
+        name, other = ids[at], g.sums[1][at]
+        if len(self.id):
+            place = np.minimum(np.searchsorted(self.id, name), len(self.id) - 1)
+            row = self.row[place]
+            known = (self.id[place] == name) & (self.other[row] == other) & (self.n[row] == g.n)
+            self.f[row[known]] += f[known]
+            at, f, name, other = (x[~known] for x in (at, f, name, other))
+        if len(at):
+            self.met.append((name, other, np.full(len(at), g.n, np.int32), f.astype(np.int64)))
+            self.text.append(g.phrases(at))
+
+    def settle(self):
+        """Puts the phrases first met in a stretch to the known ones."""
+        import numpy as np
+
+        if self.met:
+            name, other, n, f = (np.concatenate(x) for x in zip(*self.met, strict=True))
+            row = np.concatenate([self.row, np.arange(len(self.f), len(self.f) + len(f))])
+            self.other, self.n, self.f = (np.concatenate(x) for x in ((self.other, other), (self.n, n), (self.f, f)))
+            name = np.concatenate([self.id, name])
+            order = np.argsort(name, kind="stable")
+            self.id, self.row, self.met = name[order], row[order], []
 
     def rest(self):
-        import numpy as np
         import pyarrow as pa
 
-        parts, text = [p[:4] for p in self.parts], [p[4] for p in self.parts]
         if self.words:  # as a phrase of no word
-            parts.append((np.zeros(1, np.uint64), np.zeros(1, np.uint64), np.zeros(1, np.int32), np.array([self.words])))
-            text.append(pa.array([""]))
-        if parts:
-            id_, other, n, f = (np.concatenate(x) for x in zip(*parts, strict=True))
-            order = np.lexsort((n, other, id_))
-            k = [x[order] for x in (id_, other, n)]
-            first = np.flatnonzero(np.concatenate([[True], np.any([x[1:] != x[:-1] for x in k], axis=0)]))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([self.lang] * len(first), pa.string()), pa.concat_arrays(text).take(pa.array(order[first])), pa.array(n[order][first]),
-                 pa.array(np.add.reduceat(f[order], first).astype(np.int64))], ["lang", "phrase", "n", "f"])
-        self.parts, self.size, self.words = [], 0, 0
+            yield pa.RecordBatch.from_arrays([pa.array([self.lang], pa.string()), pa.array([""]), pa.array([0], pa.int32()), pa.array([self.words], pa.int64())],
+                                             ["lang", "phrase", "n", "f"])
+        at = 0
+        for text in self.text:
+            end = at + len(text)
+            yield pa.RecordBatch.from_arrays([pa.array([self.lang] * len(text), pa.string()), text, pa.array(self.n[at:end]), pa.array(self.f[at:end])],
+                                             ["lang", "phrase", "n", "f"])
+            at = end
+        self._clear()
 
 
-NAMES = "id long, n byte, f long"
+def _frequent_names(docs: DataFrame, counts, least: int) -> DataFrame:
+    return (_input(docs).mapInArrow(counts, "id long, f int").repartition("id")
+            .groupBy("id").agg(F.sum("f").alias("f")).where(F.col("f") >= least).select("id"))
 
 
-def _frequent_names(docs: DataFrame, counts, least: int) -> DataFrame:
-    return _input(docs).mapInArrow(counts, NAMES).groupBy("id", "n").agg(F.sum("f").alias("f")).where(F.col("f") >= least).select("id", "n")
+def _words_of(name: str = "id") -> Column:
+    """Number of words of the phrases of a name."""
+    return F.call_function("shiftrightunsigned", F.col(name), F.lit(62)).cast("int") + 1
 
 
 def proposed(docs: DataFrame, part: int = SAMPLE_PART, least: int = SAMPLE_LEAST) -> DataFrame:
-    """id (name) and n (words) of the phrases that occur often enough in the sample."""
+    """id (name) of the phrases that occur often enough in the sample."""
     some = docs.where(F.pmod(F.xxhash64(F.lit("sample"), F.col("doc_id")), F.lit(part)) == 0)
 
     def counts(batches):
         held = Held()
         for lang, stretch, own in _by_language(batches):
-            g = Grams(stretch, own, _seed(lang))
+            g = Grams(stretch, own, _seed(lang), False)
             for n in range(1, min(LONGEST, g.count) + 1):
                 if n > 1:
                     g.longer()
-                yield from held.add(g.ids()[g.valid()], n)
+                yield from held.add(g.ids()[g.valid()])
         yield from held.rest()
 
     return _frequent_names(some, counts, least)
@@ -278,7 +313,7 @@ def _has(table, ids):
 
 
 def full_pass(docs: DataFrame, parts, new=None, least: int = LEAST) -> DataFrame:
-    """id and n of the frequent phrases whose two parts have bits in ``parts``.
+    """id of the frequent phrases whose two parts have bits in ``parts``.
 
     The first pass also counts all words; a further one, with the bits of the phrases ``new`` since, takes those
     phrases of which at least one part is new.
@@ -289,7 +324,7 @@ def full_pass(docs: DataFrame, parts, new=None, least: int = LEAST) -> DataFrame
         parts, new = tables.value
         held = Held()
         for lang, stretch, own in _by_language(batches):
-            g = Grams(stretch, own, _seed(lang))
+            g = Grams(stretch, own, _seed(lang), False)
             below = None
             for n in range(1, min(LONGEST, g.count) + 1):
                 if n > 1:
@@ -302,7 +337,7 @@ def full_pass(docs: DataFrame, parts, new=None, least: int = LEAST) -> DataFrame
                         fresh = _has(new, below)
                         take &= fresh[:-1] | fresh[1:]
                 if n > 1 or new is None:
-                    yield from held.add(ids[take], n)
+                    yield from held.add(ids[take])
                 below = ids
         yield from held.rest()
 
@@ -311,7 +346,8 @@ def full_pass(docs: DataFrame, parts, new=None, least: int = LEAST) -> DataFrame
 
 def by_words(docs: DataFrame, names, least: int = LEAST) -> DataFrame:
     """lang, phrase, n and f of the frequent phrases with bits in ``names``, and as n = 0 the words of each language."""
-    table = docs.sparkSession.sparkContext.broadcast(names)
+    sc = docs.sparkSession.sparkContext
+    table, tasks = sc.broadcast(names), TASKS * sc.defaultParallelism
 
     def counts(batches):
         import numpy as np
@@ -330,13 +366,14 @@ def by_words(docs: DataFrame, names, least: int = LEAST) -> DataFrame:
                 at = np.flatnonzero(g.valid() & _has(table.value, ids))
                 if len(at):
                     of.add(g, ids, at)
-            if sum(p.size for p in held.values()) >= HELD // 4:
+            of.settle()
+            if sum(len(p.id) for p in held.values()) >= HELD // 2:
                 for p in held.values():
                     yield from p.rest()
         for p in held.values():
             yield from p.rest()
 
-    return (_input(docs).mapInArrow(counts, "lang string, phrase string, n int, f long")
+    return (_input(docs).coalesce(tasks).mapInArrow(counts, "lang string, phrase string, n int, f long").repartition("lang", "phrase")
             .groupBy("lang", "phrase", "n").agg(F.sum("f").alias("f")).where((F.col("f") >= least) | (F.col("n") == 0)))
 
 
@@ -346,10 +383,10 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, part: int = SAMPLE_PAR
     ship(docs.sparkSession)
     candidates = stored(proposed(docs, part, sample_least))
     found = stored(full_pass(docs, bits(candidates, words), None, least))
-    new = stored(found.join(candidates.select("id"), "id", "left_anti"))  # the border's failures
-    while not new.where(F.col("n") < LONGEST).isEmpty():
+    new = stored(found.join(candidates, "id", "left_anti"))  # the border's failures
+    while not new.where(_words_of() < LONGEST).isEmpty():
         more = full_pass(docs, bits(found, words), bits(new, words), least)
-        new = stored(more.join(found.select("id"), "id", "left_anti"))
+        new = stored(more.join(found, "id", "left_anti"))
         found = found.unionByName(new)
     return by_words(docs, bits(found, words), least)
 

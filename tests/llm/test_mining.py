@@ -99,6 +99,43 @@ def test_stretches_lose_no_phrase(monkeypatch):
         assert got == Counter({" ".join(p): v for (_, p), v in grams_of([(1, data.decode(), "x")])[0].items()})
 
 
+def test_a_task_holds_and_sends_each_phrase_once():
+    of, want = C.Phrases("en"), Counter()
+    for k in range(50):
+        text = f"a b a c{k % 5}"
+        g = C.Grams(text.encode(), len(text), 5)
+        for n in (1, 2):
+            if n > 1:
+                g.longer()
+            of.add(g, g.ids(), g.valid().nonzero()[0])
+        of.settle()
+        want.update({" ".join(p): f for (_, p), f in grams_of([(1, text, "en")])[0].items() if len(p) < 3})
+        assert len(of.id) <= 14  # different phrases, however often they are met
+    sent = [(r["phrase"], r["f"]) for b in of.rest() for r in b.to_pylist()]
+    assert len(sent) == len(want) == 14 and dict(sent) == want
+    assert not len(of.id) and list(of.rest()) == []
+
+
+def test_names_are_added_up_and_tell_the_words(spark, monkeypatch):
+    monkeypatch.setattr(C, "HELD", 8)
+    monkeypatch.setattr(C, "SENT", 3)
+    g, held, got = C.Grams(b"a b a c a b d", 13, 5, False), C.Held(), Counter()
+    batches = []
+    for n in range(1, 5):
+        if n > 1:
+            g.longer()
+        batches += held.add(g.ids())
+    batches += held.rest()
+    for b in batches:
+        assert 0 < b.num_rows <= 3
+        got.update({r["id"]: r["f"] for r in b.to_pylist()})
+    names = spark.createDataFrame(list(got.items()), "id long, f long").select(C._words_of().alias("n"), "f").collect()
+    by = Counter()
+    for r in names:
+        by[r["n"]] += r["f"]
+    assert by == {1: 7, 2: 6, 3: 5, 4: 4} and sum(r["n"] == 1 for r in names) == 4
+
+
 def test_phrases_of_one_name_stay_apart(monkeypatch):
     g = C.Grams(b"a b a c a b", 11, 0)
     ids = g.ids()
