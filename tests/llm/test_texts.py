@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cohortflow.llm import language, pieces, sketches, toxicity
 from cohortflow.llm.common import read
@@ -160,6 +161,43 @@ def test_short_texts_are_contained_in_long_ones():
         assert row[8] == 1 and (size < 50 or row[5] > 0)
 
 
+def moved_bytes(df) -> int:
+    """Bytes that the exchanges of this result wrote, after running it."""
+    df.collect()
+    found = []
+
+    def walk(p):
+        if p.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            return walk(p.executedPlan())
+        if p.getClass().getSimpleName().endswith("QueryStageExec"):
+            return walk(p.plan())
+        if p.getClass().getSimpleName() == "ShuffleExchangeExec":
+            found.append(p.metrics().apply("shuffleBytesWritten").value())
+        for i in range(p.children().size()):
+            walk(p.children().apply(i))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return sum(found)
+
+
+def test_fingerprints_move_packed_texts(spark):
+    rng = random.Random(7)
+    texts = [words(rng, 400) for _ in range(300)]
+    docs = plain(spark, texts)
+    assert 0 < moved_bytes(sketches.fingerprints(docs, 8)) < 0.75 * sum(map(len, texts))
+    hot = docs.withColumn("doc_id", F.when(F.col("doc_id") < 60, F.col("doc_id")))  # a range of nulls alone lends one row for each task
+    assert 0 < moved_bytes(sketches.fingerprints(hot, 8)) < 0.75 * sum(map(len, texts))
+    for t in ("", "a", "漢字 🙂 \x00" * 99, texts[0]):
+        assert sketches.unpack(sketches.pack(t.encode())) == t.encode()
+
+
+@pytest.mark.parametrize("edges", [[], [3], [-5, 0, 4], list(range(-(1 << 63), 1 << 63, (1 << 64) // 37))])
+def test_ranges_are_found_by_halving(spark, edges):
+    ranks = [-(1 << 63), (1 << 63) - 1, *range(-7, 7), *edges, *(e + 1 for e in edges)]
+    got = spark.createDataFrame([(r,) for r in ranks], "rank long").select("rank", sketches._at_least(edges, F.col("rank"))).collect()
+    assert all(n == sum(e >= r for e in edges) for r, n in got) and len(got) == len(ranks)
+
+
 def test_fingerprints_without_rows(spark):
     assert sketches.fingerprints(documents(spark, [])).count() == 0
 
